@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from . import quality, topk
 from .bpe import op6_bpe
+from .packing import op1_packing
+from .quality import op9_quality
+from .topk import op10_top_k
+from .toxicity import op7_toxicity
 
 
 def queries():
-    return {"op6_bpe": op6_bpe}
+    return {f.__name__: f for f in (op1_packing, op6_bpe, op7_toxicity, op9_quality, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_quality": quality.OP9_SQL, "op10_top_k": topk.OP10_SQL}
