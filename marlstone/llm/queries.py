@@ -8,12 +8,14 @@ from .lm import op4_hmm
 from .packing import op1_packing
 from .quality import op9_quality
 from .simhash import op5_simhash
+from .suffixarray import op3_suffix_array
+from .suffixtree import op2_substrings
 from .topk import op10_top_k
 from .toxicity import op7_toxicity
 
 
 def queries():
-    return {f.__name__: f for f in (op1_packing, op4_hmm, op5_simhash, op6_bpe, op7_toxicity, op9_quality, op10_top_k)}
+    return {f.__name__: f for f in (op1_packing, op2_substrings, op3_suffix_array, op4_hmm, op5_simhash, op6_bpe, op7_toxicity, op9_quality, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
