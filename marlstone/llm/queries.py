@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import quality, topk
 from .bpe import op6_bpe
+from .linededup import op8_lines
 from .lm import op4_hmm
 from .packing import op1_packing
 from .quality import op9_quality
@@ -15,7 +16,7 @@ from .toxicity import op7_toxicity
 
 
 def queries():
-    return {f.__name__: f for f in (op1_packing, op2_substrings, op3_suffix_array, op4_hmm, op5_simhash, op6_bpe, op7_toxicity, op9_quality, op10_top_k)}
+    return {f.__name__: f for f in (op1_packing, op2_substrings, op3_suffix_array, op4_hmm, op5_simhash, op6_bpe, op7_toxicity, op8_lines, op9_quality, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
