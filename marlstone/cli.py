@@ -1,0 +1,96 @@
+"""Command line.  Pages come from a folder of scrapes in JSON lines (url, markdown, html,
+links, metadata), listings from JSON lines (archive_url, page_number, urls): no network."""
+
+from __future__ import annotations
+
+import argparse
+import json
+import sys
+
+from pyspark.sql import SparkSession
+
+from .operators.frontier import union_sources
+from .plans.collect import Catalog, Collector, discover_archive, discover_site, discover_sitemap
+from .profile import DEFAULT
+from .sources import files, providers
+
+
+def parser() -> argparse.ArgumentParser:
+    top = argparse.ArgumentParser("marlstone", description=__doc__)
+    sub = top.add_subparsers(dest="command", required=True)
+    add = lambda name, *flags: [p := sub.add_parser(name), [p.add_argument(*f, **k) for f, k in flags]][0]
+    flag = lambda *f, **k: (f, k)
+    out, scrapes, listings = flag("--output-dir", default="output"), flag("--scrapes"), flag("--listings")
+    pages = lambda n: (flag("--pages", type=int, default=n), flag("--all-pages", action="store_true"))
+    add("discover-archive", listings, flag("--archive-url", default=DEFAULT.archive), flag("--year", type=int), *pages(5))
+    add("discover-site", listings, flag("--archive-url", action="append"), *pages(20))
+    add("discover-sitemap", flag("--documents", required=True), flag("--sitemap-url", required=True))
+    add("stats", out, flag("--json", action="store_true"), flag("--list-failed", action="store_true"))
+    add("collect", out, scrapes, listings, flag("--url", action="append", default=[]), flag("--input"), flag("--archive", action="store_true"), flag("--site", action="store_true"), flag("--archive-url", action="append"), flag("--sitemap-url"), flag("--documents"), flag("--year", type=int), *pages(1), flag("--force", action="store_true"), flag("--skip-failed-cache", action="store_true"), flag("--fill-gaps", action="store_true"), flag("--json-output"))
+    add("parse", flag("pdf_files", nargs="*"), flag("--data-dir", default="."), flag("--no-recursive", dest="recursive", action="store_false"))
+    return top
+
+
+def page_function(spark: SparkSession, path: str | None):
+    rows = spark.read.schema("archive_url string, page_number int, urls array<string>").json(path).collect() if path else []  # a listing's pages
+    listing = {(r["archive_url"], r["page_number"]): list(r["urls"] or []) for r in rows}
+    return lambda archive, number: listing.get((archive, number), [])
+
+
+def fetcher(spark: SparkSession, path: str | None) -> providers.TableFetcher:
+    rows = spark.read.schema(providers.SCRAPE).json(path).collect() if path else []
+    return providers.TableFetcher({r["url"]: r.asDict() for r in rows})
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    args = parser().parse_args(argv)
+    spark = spark or SparkSession.builder.appName("marlstone").getOrCreate()
+    most = None if getattr(args, "all_pages", False) else getattr(args, "pages", None)
+    if args.command == "stats":
+        catalog = Catalog(spark, args.output_dir)
+        stats = catalog.stats()
+        print(json.dumps(stats) if args.json else "\n".join(f"{k}: {v}" for k, v in stats.items()))
+        if args.list_failed:
+            for r in catalog.failed().toLocalIterator():
+                print(r["url"], r["error_message"], sep="\t")
+        return 0
+    if args.command == "parse":
+        found = files.pdf_files(spark, args.data_dir, args.recursive)
+        named = [f.rsplit("/", 1)[-1] for f in args.pdf_files]
+        chosen = files.unique_names(found.filter(found["name"].isin(named)) if named else found)
+        for r in chosen.orderBy("path").toLocalIterator():
+            print(r["path"])
+        return 0 if chosen.head(1) else 1
+    if args.command.startswith("discover"):
+        if args.command == "discover-sitemap":
+            urls = discover_sitemap(spark.read.json(args.documents), args.sitemap_url)
+        elif args.command == "discover-site":
+            urls = discover_site(spark, args.archive_url or [DEFAULT.archive], page_function(spark, args.listings), most)
+        else:
+            urls = discover_archive(spark, args.archive_url, page_function(spark, args.listings), most, args.year)
+        for r in urls.toLocalIterator():
+            print(r["url"])
+        return 0
+    collector = Collector(spark, args.output_dir, fetcher(spark, args.scrapes), on_progress=lambda e: print(json.dumps(e), file=sys.stderr))
+    how = {"resume": not args.force, "retry_failed": not args.skip_failed_cache}
+    archives, page = args.archive_url or [DEFAULT.archive], page_function(spark, args.listings)
+    if args.fill_gaps:
+        got = collector.fill_gaps_archive(archives[0], page, most)
+    elif args.archive:
+        got = collector.collect_archive(archives[0], page, most, **how)
+    elif args.site:
+        got = collector.collect_site(archives, page, most, **how)
+    elif args.sitemap_url:
+        got = collector.collect_sitemap(spark.read.json(args.documents), args.sitemap_url, **how)
+    else:
+        lists = [files.urls_from_list(spark, args.url)] + ([files.urls_from_file(spark, args.input)] if args.input else [])
+        merged = union_sources(*lists)
+        got = collector.collect_urls(merged.select("url", merged["place"].alias("ord")).selectExpr("url", "ord.list * 1000000000000 + ord.ord as ord"), **how)
+    if args.json_output:
+        got.drop("metadata").write.mode("overwrite").option("ignoreNullFields", "false").json(args.json_output)
+    print("\n".join(f"{k}: {v}" for k, v in collector.stats().items()))
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())

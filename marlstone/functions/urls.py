@@ -17,8 +17,9 @@ def _lower_scheme(url: Column) -> Column:
 
 
 def normalize_article_url(url: Column) -> Column:
-    """Without query, fragment and trailing slashes."""
-    return F.regexp_replace(_lower_scheme(F.regexp_replace(strip(url), "(?s)[?#].*$", "")), "/+$", "")
+    """Without query, fragment, empty parameters and trailing slashes."""
+    plain = F.regexp_replace(strip(url), "(?s)[?#].*$", "")
+    return F.regexp_replace(_lower_scheme(F.regexp_replace(plain, "(/[^/;]*);$", "$1")), "/+$", "")
 
 
 def normalize_listing_url(url: Column) -> Column:

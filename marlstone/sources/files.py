@@ -38,8 +38,8 @@ def records_from_jsonl(spark: SparkSession, path: str, columns: tuple[str, ...]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     lines = _numbered(spark.read.text(path)).filter(strip(F.col("value")) != "")
     # a line that is JSON but no object is no record
-    objects = lines.filter(strip(F.col("value")).startswith("{"))
-    rows = objects.select("ord", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("ord", "r.*")
+    an_object = F.when(~strip(F.col("value")).rlike(r"^[\[\"\d\-tfn]"), F.col("value"))
+    rows = lines.select("ord", F.from_json(an_object, schema, {"mode": "FAILFAST"}).alias("r")).select("ord", "r.*")
     return last_by(rows.filter("slug is not null and slug <> ''"), ["slug"], ["ord"]).drop("ord").select(*columns)
 
 
