@@ -39,11 +39,11 @@ from .common import chosen, stored
 _M = 0x9E3779B97F4A7C15
 _M_INVERSE = pow(_M, -1, 2**64)
 #: Units of text hashed at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Distinct records in a group that one task solves as a whole.
 GROUP = 4096
 #: Bytes of records that an engine gets at once.
-ENGINE_BYTES = 2 << 20
+ENGINE_BYTES = 1 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -138,17 +138,32 @@ class Units:
 
     def runs(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """key, first window and end of each run of windows with one key."""
+        return self._runs(units)[:3]
+
+    def keys(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys, and whether the gram of each is there more than once: only
+        then can a text repeat a window of that key by itself."""
+        k, _, _, grams = self._runs(units)
+        own = np.unique(k)
+        many = np.zeros(len(own), np.int64)
+        for g in grams:
+            at = np.minimum(np.searchsorted(own, g), len(own) - 1)
+            many += np.bincount(at[own[at] == g], minlength=len(own))
+        return own, many > 1
+
+    def _runs(self, units: np.ndarray):
         w = self.window - self.gram + 1
-        keys = []
+        keys, grams = [], []
         n = len(units) - self.window + 1
         if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), grams
         for at in range(0, n, CHUNK):
             part = units[at : at + CHUNK + self.window - 1]
-            keys.append(sliding_min(gram_hashes(part, self.gram), w))
+            grams.append(gram_hashes(part, self.gram))
+            keys.append(sliding_min(grams[-1], w))
         keys = np.concatenate(keys) if len(keys) > 1 else keys[0]
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[first], first, np.concatenate((first[1:], [n]))
+        return keys[first], first, np.concatenate((first[1:], [n])), grams
 
     def window_hashes(self, units: np.ndarray, first: int, end: int) -> list[np.ndarray]:
         """128 bits for each window from ``first`` to ``end``."""
@@ -176,14 +191,10 @@ def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP)
             a, b, sizes, found = batch.column(0), batch.column(1), [], []
             weights = []
             for data in _text(batch, "text"):
-                k, first, end = units.runs(units.split(data)[0])
-                own, many = np.unique(k, return_counts=True)
-                # a run longer than the grams of a window holds a gram twice
-                longer = np.unique(k[end - first > window - units.gram + 1])
-                many = many + np.isin(own, longer)
+                own, many = units.keys(units.split(data)[0])
                 sizes.append(len(own))
                 found.append(own.view(np.int64))
-                weights.append(np.minimum(many, 2).astype(np.int8))
+                weights.append(1 + many.astype(np.int8))
             take = np.repeat(np.arange(len(sizes)), sizes)
             yield pa.record_batch({"h1": a.take(pa.array(take)), "h2": b.take(pa.array(take)), "key": pa.array(np.concatenate(found)), "many": pa.array(np.concatenate(weights))})
 
@@ -262,18 +273,14 @@ def _solved(batches, units: Units, solve: Callable):
         t = pa.Table.from_batches(tables)
         key, counts, weights = (t[c].to_numpy() for c in ("key", "n", "weight"))
         contents = t["content"].to_pylist()
-        _, group, members = np.unique(key, return_inverse=True, return_counts=True)
-        lone = (members[group] == 1) & (weights == 1) & (counts <= units.window - units.gram + 1)  # a false candidate
         low, high, per = [], [], np.zeros(len(key), np.int64)
-        todo = np.flatnonzero(~lone).tolist()
         at = 0
-        while at < len(todo):
+        while at < len(key):
             size, end = 0, at
-            while end < len(todo) and (size < ENGINE_BYTES or key[todo[end]] == key[todo[end - 1]]):
-                size += len(contents[todo[end]])
+            while end < len(key) and (size < ENGINE_BYTES or key[end] == key[end - 1]):
+                size += len(contents[end])
                 end += 1
-            part = todo[at:end]
-            for i, flags in zip(part, solve([contents[i] for i in part], weights[part], counts[part]), strict=True):
+            for i, flags in enumerate(solve(contents[at:end], weights[at:end], counts[at:end]), at):
                 edge = np.diff(np.concatenate(([False], flags, [False])).view(np.int8))
                 low.append(np.flatnonzero(edge == 1))
                 high.append(np.flatnonzero(edge == -1))

@@ -49,6 +49,22 @@ def test_bytes(spark, window, gram, group):
     assert kept.filter("text is null").count() == sum(r[1] is None for r in rows)
 
 
+def test_repeats_inside_one_text(spark):
+    """A text that alone repeats a window, nearer than the gram positions of a window."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(12):
+        part = "".join(rng.choice("abcdefgh") for _ in range(30 + i))
+        rows.append((i, part + part + "".join(rng.choice("abcdefgh") for _ in range(40)), "en", "s", 1))
+    rows += [(100 + i, " ".join([f"u{i}x{j}" for j in range(8 + i)] * 2), "en", "s", 1) for i in range(5)]
+    df = frame(spark, rows)
+    got = sorted(tuple(map(str, r)) for r in suffixarray.deduplicated(df, 25, 5).collect())
+    assert got == sorted(tuple(map(str, r)) for r in brute(rows, list, bytes, 25))
+    words = sorted((r[0], r[1], r[2], r[3]) for r in suffixtree.deduplicated(df, 7, 2).collect())
+    assert words == sorted((i, n, m, h) for i, n, m, _, h in brute(rows, bytes.split, b" ".join, 7))
+    assert any(r[2] for r in words)
+
+
 def test_engines_on_random_strings():
     rng = random.Random(3)
     for _ in range(40):
