@@ -34,10 +34,10 @@ from pyspark.sql.window import Window
 from .common import chosen, crc_mod, table
 
 #: Most labelled rows of label 0 and of label 1 that the model is fitted on.
-PER_CLASS = (700, 500)
+PER_CLASS = (900, 700)
 BUCKETS, WIDTH, GRAMS = 1 << 17, 8, (3, 4, 5)
 #: Words in a window, and words from one window to the next.
-WINDOW, STEP = 6, 3
+WINDOW, STEP = 3, 1
 EPOCHS, RATE, BATCH, ROUNDS = (5, 8), (0.1, 0.2), 128, 2
 SEED = 7
 #: Words whose logits a Python worker keeps; when full, it starts anew.
