@@ -199,7 +199,8 @@ def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP)
             yield pa.record_batch({"h1": a.take(pa.array(take)), "h2": b.take(pa.array(take)), "key": pa.array(np.concatenate(found)), "many": pa.array(np.concatenate(weights))})
 
     held = stored(classes.mapInArrow(keys, "h1 bigint, h2 bigint, key bigint, many tinyint"), "keys")
-    shared = held.groupBy("key").agg(F.sum("many").alias("many")).filter("many > 1").select("key")
+    # an aggregate's result is written before a join with it: only plain shuffles can be split where a key is hot
+    shared = stored(held.groupBy("key").agg(F.sum("many").alias("many")).filter("many > 1").select("key"), "shared")
     candidates = held.join(shared, "key").groupBy("h1", "h2").agg(F.collect_list("key").alias("keys"))
 
     def records(batches):
@@ -244,9 +245,9 @@ def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP)
     solved = small.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _solved(batches, units, solve), "c1 bigint, c2 bigint, low int, high int")
     if some_large:
         split = stored(merged.join(large, "key").mapInArrow(lambda batches: _windows(batches, units), "w1 bigint, w2 bigint, c1 bigint, c2 bigint, low int, weight bigint"), "windows")
-        twice = split.groupBy("w1", "w2").agg(F.sum("weight").alias("c")).filter("c > 1").select("w1", "w2")
+        twice = stored(split.groupBy("w1", "w2").agg(F.sum("weight").alias("c")).filter("c > 1").select("w1", "w2"), "twice")
         solved = solved.unionByName(split.join(twice, ["w1", "w2"]).select("c1", "c2", "low", (F.col("low") + 1).alias("high")))
-    solved = solved.groupBy("c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))  # of one record, so few
+    solved = stored(solved.groupBy("c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "solved")  # of one record, so few
     spans = found.select("h1", "h2", "c1", "c2", "first").join(solved, ["c1", "c2"]).groupBy("h1", "h2").agg(F.collect_list(F.struct("first", "ranges")).alias("found"))
     return classes.join(stored(spans, "spans"), ["h1", "h2"], "left").select("h1", "h2", "n", "text", "found")
 
