@@ -89,12 +89,13 @@ def repeats(rows: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     keys = stored(rows.mapInArrow(hashed, f"doc_id {kind}, h1 bigint, h2 bigint, at int, c1 bigint, c2 bigint"), "chunks")
-    shared = keys.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("c1", "c2")
+    # an aggregate's result is written before a join with it: only plain shuffles can be split where a key is hot
+    shared = stored(keys.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("c1", "c2"), "shared")
     places = keys.join(shared, ["c1", "c2"]).groupBy("h1", "h2").agg(F.collect_list("at").alias("places"))
     found = rows.join(places, ["h1", "h2"]).mapInArrow(contents, f"doc_id {kind}, h1 bigint, h2 bigint, at int, content binary")
     found = stored(found, "contents")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2", "at")
-    first = found.groupBy("content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "first")
+    first = stored(found.groupBy("content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "first"), "first")
     later = found.select("content", "h1", "h2", "at", place.alias("place")).join(first, "content").filter("place > first")
     return stored(later.groupBy("h1", "h2").agg(F.collect_set("at").alias("drop")), "drops")
 
