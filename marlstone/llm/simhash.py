@@ -194,9 +194,11 @@ def components(edges: DataFrame) -> DataFrame:
             return edges
         before = now
         both = edges.union(edges.select("b", "a")).toDF("a", "b")
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        # written before the join, so that a node with very many links is a plain shuffle, which can be split
+        least = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large, "large")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
         edges = stored(small.filter("a <> b").distinct(), "edges")
 
@@ -208,7 +210,7 @@ def classes(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
     roots = components(links(distinct, distance)).toDF("fp", "root")
     of = distinct.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(of.join(least, "root").select("fp", "root", "component_id"), "fp")
+    return rows.join(stored(of.join(least, "root").select("fp", "root", "component_id"), "classes"), "fp")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
