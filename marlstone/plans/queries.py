@@ -327,7 +327,7 @@ def dedupe_existing(spark, sf_dir):
 
 
 @query(f"""
-WITH RECURSIVE t AS (SELECT page_id, list_filter(['url:' || lower({NORMAL}), 'title:' || lower(left({TITLE}, 12)), 'host:' || regexp_extract(url, '//([^/]+)', 1) || CAST(page_id % 7 AS VARCHAR)], lambda x: x IS NOT NULL) AS keys FROM pages),
+WITH RECURSIVE t AS (SELECT page_id, list_filter(['url:' || lower({NORMAL}), 'title:' || nullif(regexp_replace(lower({TITLE}), '[ \\t\\n\\r]+', ' ', 'g'), ''), 'host:' || regexp_extract(url, '//([^/]+)', 1)], lambda x: x IS NOT NULL) AS keys FROM pages),
 o AS (SELECT row_number() OVER (ORDER BY page_id) AS rn, * FROM t),
 w AS (SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS page_id, []::VARCHAR[] AS seen, false AS kept, []::VARCHAR[] AS keys
   UNION ALL
@@ -338,7 +338,7 @@ SELECT t.page_id, min(l.page_id) AS leader FROM (SELECT page_id, unnest(keys) AS
 """)
 def dedupe_greedy(spark, sf_dir):
     rows = table(spark, sf_dir, "pages")
-    keys = F.array_compact(F.array(F.concat(F.lit("url:"), F.lower(urls.normalize_article_url(c("url")))), F.concat(F.lit("title:"), F.lower(F.left(html.plain_title(c("html")), F.lit(12)))), F.concat(F.lit("host:"), F.regexp_extract("url", "//([^/]+)", 1), (c("page_id") % 7).cast("string"))))
+    keys = F.array_compact(F.array(F.concat(F.lit("url:"), F.lower(urls.normalize_article_url(c("url")))), F.concat(F.lit("title:"), text.text_key(html.plain_title(c("html")))), F.concat(F.lit("host:"), F.regexp_extract("url", "//([^/]+)", 1))))
     return dedupe.greedy_leaders(rows.select("page_id", keys.alias("keys")), "page_id", "keys")
 
 
@@ -454,14 +454,14 @@ def union_sources(spark, sf_dir):
 @query("""
 WITH RECURSIVE e AS (SELECT 'r' || r_regionkey AS src, 'n' || n_nationkey AS dst FROM region JOIN nation ON n_regionkey = r_regionkey
   UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer),
-b AS (SELECT 'r' || r_regionkey AS node, 0 AS level FROM region WHERE r_regionkey < 3 UNION ALL SELECT dst, level + 1 FROM b JOIN e ON src = node)
+b AS (SELECT 'r' || r_regionkey AS node, 0 AS level FROM region UNION ALL SELECT dst, level + 1 FROM b JOIN e ON src = node)
 SELECT node, min(level) AS level FROM b GROUP BY node
 """)
 def bfs_tree(spark, sf_dir):
     tag = lambda t, k: F.concat(F.lit(t), c(k).cast("string"))
     edges = table(spark, sf_dir, "nation").select(tag("r", "n_regionkey").alias("src"), tag("n", "n_nationkey").alias("dst"))
     edges = edges.unionByName(table(spark, sf_dir, "customer").select(tag("n", "c_nationkey").alias("src"), tag("c", "c_custkey").alias("dst")))
-    return frontier.closure(table(spark, sf_dir, "region").filter("r_regionkey < 3").select(tag("r", "r_regionkey").alias("node")), edges)
+    return frontier.closure(table(spark, sf_dir, "region").select(tag("r", "r_regionkey").alias("node")), edges)
 
 
 # -- lineitem: the page log ---------------------------------------------------------------------
@@ -513,12 +513,12 @@ def upsert_pages(spark, sf_dir):
 
 # -- conversations: blocks ---------------------------------------------------------------------------
 
-BLOCKS = """SELECT conv_id AS doc, CAST(turn // 4 AS INTEGER) AS page_idx, CAST(turn AS INTEGER) AS "index", CASE WHEN role = 'user' THEN 'title' ELSE 'text' END AS type, left(text, 40) AS text, length(text) AS n FROM conversations"""
+BLOCKS = """SELECT conv_id AS doc, CAST(turn // 4 AS INTEGER) AS page_idx, CAST(turn AS INTEGER) AS "index", CASE WHEN role = 'user' THEN 'title' ELSE 'text' END AS type, text, length(text) AS n FROM conversations"""
 ROWS = f"WITH d AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations), b AS ({BLOCKS.replace('FROM conversations', 'FROM d')}), f AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY doc, page_idx, \"index\" ORDER BY type, text) = 1)"
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").select(c("conv_id").alias("doc"), F.floor(c("turn") / 4).cast("int").alias("page_idx"), c("turn").cast("int").alias("index"), F.when(c("role") == "user", "title").otherwise("text").alias("type"), F.left("text", F.lit(40)).alias("text"), F.length("text").alias("n"))
+    rows = table(spark, sf_dir, "conversations").select(c("conv_id").alias("doc"), F.floor(c("turn") / 4).cast("int").alias("page_idx"), c("turn").cast("int").alias("index"), F.when(c("role") == "user", "title").otherwise("text").alias("type"), "text", F.length("text").alias("n"))
     return dedupe.first_by(rows, ["doc", "page_idx", "index"], ["type", "text"])
 
 
