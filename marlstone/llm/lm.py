@@ -34,9 +34,9 @@ from .common import chosen, crc_mod, stored, table
 STATES, SYMBOLS, ROUNDS = 4, 8192, 3
 #: Tokens whose counts every task holds, and the longest of them in bytes.
 DICTIONARY, LONGEST = 65_536, 64
-STRETCH, SEQUENCES = 128, 2048
+STRETCH, SEQUENCES = 128, 1024
 #: Distinct tokens that a counting task holds before it passes them on.
-FLUSH = 400_000
+FLUSH = 250_000
 SHAPES = 32
 #: Weight of the symbol shares that smooth each state's emissions, in tokens.
 SMOOTH = 10.0
@@ -114,7 +114,12 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, symbols: int = SYMBOLS, dictionary: int = DICTIONARY) -> Vocabulary:
     shapes = {r["shape"]: (r["c"], r["k"]) for r in counts.groupBy("shape").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect()}  # SHAPES rows and the end token
-    top = counts.filter((F.col("shape") >= 0) & (F.octet_length("token") <= LONGEST)).orderBy(F.desc("c"), "token").limit(dictionary).collect()
+    usable = counts.filter((F.col("shape") >= 0) & (F.octet_length("token") <= LONGEST))
+    # by powers of two of the count, those that the dictionary can reach; so no task passes on more than it must
+    levels = sorted(((r["level"], r["k"]) for r in usable.groupBy(F.floor(F.log2("c")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
+    reach = next((level for i, (level, _) in enumerate(levels) if sum(k for _, k in levels[: i + 1]) >= dictionary), 0)
+    # written first: a limit that is collected directly would send as many rows from each partition
+    top = stored(usable.filter(F.floor(F.log2("c")) >= reach).orderBy(F.desc("c"), "token").limit(dictionary), "dictionary").orderBy(F.desc("c"), "token").collect()
     made = Vocabulary([(r["token"], r["shape"], r["c"]) for r in top], sum(c for c, _ in shapes.values()), sum(k for _, k in shapes.values()), shapes, symbols)
     return made.with_end(shapes.get(-1, (0, 0))[0])
 
@@ -122,13 +127,12 @@ def vocabulary(counts: DataFrame, symbols: int = SYMBOLS, dictionary: int = DICT
 def encoded(docs: DataFrame, shared) -> DataFrame:
     """Each document (doc_id, held_out, text) as symbols, with what its dictionary tokens
     add to both scores, and its other tokens (``rare``)."""
-    rare_type = pa.list_(pa.struct([("token", pa.string()), ("n", pa.int32())]))
-
     def run(batches):
         vocab = shared.value
         lookup = vocab.index.get
         for batch in batches:
-            symbols, totals, base, known, model, rares = [], [], [], [], [], []
+            symbols, totals, base, known, model = [], [], [], [], []
+            tokens, times, offsets = [], [], [0]
             for text in batch.column(batch.schema.get_field_index("text")):
                 words = words_of(text.as_py())
                 at = np.fromiter(map(lookup, words, repeat(-1)), np.int64, len(words))
@@ -146,8 +150,12 @@ def encoded(docs: DataFrame, shared) -> DataFrame:
                 base.append(float(logs.sum()) - len(words) * vocab.log_total)
                 known.append(int((vocab.counts[own] > 0).sum()))
                 model.append(float(vocab.log_count[at[hit & shaped]].sum() - vocab.log_shape[ids[shaped] - vocab.first_shape].sum()))
-                rares.append([{"token": w.decode(), "n": n} for w, n in Counter(rare).items()])
-            yield pa.record_batch({"doc_id": batch.column(batch.schema.get_field_index("doc_id")), "held_out": batch.column(batch.schema.get_field_index("held_out")), "symbols": pa.array(symbols, pa.binary()), "n_tokens": pa.array(totals, pa.int64()), "n_known": pa.array(known, pa.int64()), "base": pa.array(base, pa.float64()), "model": pa.array(model, pa.float64()), "rare": pa.array(rares, rare_type)})
+                found = Counter(rare)
+                tokens.extend(found)
+                times.extend(found.values())
+                offsets.append(len(tokens))
+            rares = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(tokens, pa.binary()).cast(pa.string()), pa.array(times, pa.int32())], ["token", "n"]))
+            yield pa.record_batch({"doc_id": batch.column(batch.schema.get_field_index("doc_id")), "held_out": batch.column(batch.schema.get_field_index("held_out")), "symbols": pa.array(symbols, pa.binary()), "n_tokens": pa.array(totals, pa.int64()), "n_known": pa.array(known, pa.int64()), "base": pa.array(base, pa.float64()), "model": pa.array(model, pa.float64()), "rare": rares})
 
     shape = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, symbols binary, n_tokens bigint, n_known bigint, base double, model double, rare array<struct<token:string,n:int>>"
     return docs.mapInArrow(run, shape).withColumn("row", F.monotonically_increasing_id())
