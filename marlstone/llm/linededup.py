@@ -8,6 +8,9 @@ where it occurs first (smallest doc_id, null last, then by a hash of the row, th
 place) and is removed elsewhere.  Hashes only find candidates: their contents are then
 grouped by the bytes themselves.
 
+What belongs to a document comes to its text by a merge join at every size: it grows with
+the corpus, so a plan that broadcasts it on small inputs would tell nothing of large ones.
+
 Defined results: a null text has no lines and stays null; an empty text is one empty line;
 a chunk without a word stays; rows equal in doc_id and text count as one document, and each
 is returned; an empty table gives no rows; other columns are passed through by
@@ -92,7 +95,7 @@ def repeats(rows: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
     # an aggregate's result is written before a join with it: only plain shuffles can be split where a key is hot
     shared = stored(keys.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("c1", "c2"), "shared")
     places = keys.join(shared, ["c1", "c2"]).groupBy("h1", "h2").agg(F.collect_list("at").alias("places"))
-    found = rows.join(places, ["h1", "h2"]).mapInArrow(contents, f"doc_id {kind}, h1 bigint, h2 bigint, at int, content binary")
+    found = rows.join(places.hint("merge"), ["h1", "h2"]).mapInArrow(contents, f"doc_id {kind}, h1 bigint, h2 bigint, at int, content binary")
     found = stored(found, "contents")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2", "at")
     first = stored(found.groupBy("content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "first"), "first")
@@ -127,7 +130,7 @@ def _finished(text, drop, roll: int, every: int):
 def deduplicated(docs: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 and kept_text of each row of ``docs`` (doc_id, text)."""
     rows = _rows(docs)
-    joined = rows.join(repeats(rows, roll, every), ["h1", "h2"], "left")
+    joined = rows.join(repeats(rows, roll, every).hint("merge"), ["h1", "h2"], "left")
     return joined.select("doc_id", _finished(F.col("text"), F.col("drop"), roll, every).alias("made")).select("doc_id", "made.*")
 
 
@@ -137,7 +140,7 @@ def without_repeats(docs: DataFrame, roll: int = ROLL, every: int = EVERY) -> Da
     drops = repeats(own, roll, every)
     key = halves(F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit("\x00"), F.coalesce(docs["text"], F.lit(""))))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("marl_row"), key[0].alias("h1"), key[1].alias("h2"))
-    made = rows.join(drops, ["h1", "h2"], "left").select("marl_row", _finished(F.col("marl_row.text"), F.col("drop"), roll, every).alias("marl_made"))
+    made = rows.join(drops.hint("merge"), ["h1", "h2"], "left").select("marl_row", _finished(F.col("marl_row.text"), F.col("drop"), roll, every).alias("marl_made"))
     return made.select(*[F.col("marl_made.kept_text").alias(c) if c == "text" else F.col("marl_row")[c].alias(c) for c in docs.columns])
 
 
