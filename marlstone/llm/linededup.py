@@ -1,9 +1,11 @@
 """Line dedup by content-defined chunks (operator 8).
 
-A text falls into lines (split at ``\\n``) and the lines into chunks: a rolling hash over the
-hashes of the last ``ROLL`` lines ends a chunk where it is divisible by ``EVERY``.  Chunk
-borders thus depend on nearby lines alone, and lines put in or left out elsewhere don't
-shift them.  A chunk of two or more lines that occurs more than once in the corpus stays
+A text falls into lines (split at ``\\n``) and the lines into chunks: each line may end one,
+and one-line chunks are merged into a neighbour by content.  Of the ends, that with the
+smallest rolling hash over the hashes of the last ``ROLL`` lines is kept first, then the
+next that leaves no line alone, and so on.  Chunks are thus two or three lines, which short
+repeats can hold; their borders depend on nearby lines alone, and lines put in or left out
+elsewhere don't shift them.  A chunk of two or more lines that occurs more than once in the corpus stays
 where it occurs first (smallest doc_id, null last, then by a hash of the row, then by its
 place) and is removed elsewhere.  Hashes only find candidates: their contents are then
 grouped by the bytes themselves.
@@ -29,25 +31,26 @@ from pyspark.sql import functions as F
 from .common import stored, table
 from .repeats import halves
 
-ROLL, EVERY = 3, 4
-#: A chunk ends here even if no hash says so.
-LONGEST = 256
+ROLL = 1
 _M = 0x9E3779B97F4A7C15
 
 
-def chunks(data: bytes, roll: int = ROLL, every: int = EVERY) -> list[list[bytes]]:
+def chunks(data: bytes, roll: int = ROLL) -> list[list[bytes]]:
     """The chunks of a text, each a list of lines."""
-    found: list[list[bytes]] = [[]]
-    last: list[int] = []
-    for line in data.split(b"\n"):
-        found[-1].append(line)
-        last = [*last[1 - roll :], xxhash.xxh64_intdigest(line)] if roll > 1 else [xxhash.xxh64_intdigest(line)]
+    lines = data.split(b"\n")
+    hashes = [xxhash.xxh64_intdigest(line) for line in lines]
+    order = []
+    for end in range(2, len(lines) - 1):  # no chunk of one line at either side
         mixed = 0
-        for h in last:
+        for h in hashes[max(0, end - roll) : end]:
             mixed = (mixed * _M + h) & (2**64 - 1)
-        if (mixed ^ mixed >> 29) % every == 0 or len(found[-1]) >= LONGEST:
-            found.append([])
-    return found if found[-1] else found[:-1]
+        order.append((mixed, end))
+    ends = {0, len(lines)}
+    for _, end in sorted(order):
+        if end - 1 not in ends and end + 1 not in ends:
+            ends.add(end)
+    cuts = sorted(ends)
+    return [lines[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def repeatable(chunk: list[bytes]) -> bool:
@@ -60,14 +63,14 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), h1.alias("h1"), h2.alias("h2"))
 
 
-def repeats(rows: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
+def repeats(rows: DataFrame, roll: int = ROLL) -> DataFrame:
     """h1, h2 and ``drop``, the places of chunks to remove, of rows that have any."""
 
     def hashed(batches):
         for batch in batches:
             take, at, c = [], [], ([], [])
             for i, x in enumerate(batch.column(batch.schema.get_field_index("text"))):
-                for k, chunk in enumerate(chunks((x.as_py() or "").encode(), roll, every)):
+                for k, chunk in enumerate(chunks((x.as_py() or "").encode(), roll)):
                     if repeatable(chunk):
                         digest = hashlib.blake2b(b"\n".join(chunk), digest_size=16).digest()
                         take.append(i)
@@ -82,7 +85,7 @@ def repeats(rows: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
             take, at, found = [], [], []
             wanted = batch.column(batch.schema.get_field_index("places"))
             for i, x in enumerate(batch.column(batch.schema.get_field_index("text"))):
-                own = chunks((x.as_py() or "").encode(), roll, every)
+                own = chunks((x.as_py() or "").encode(), roll)
                 for k in sorted(set(wanted[i].as_py())):
                     take.append(i)
                     at.append(k)
@@ -103,44 +106,44 @@ def repeats(rows: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
     return stored(later.groupBy("h1", "h2").agg(F.collect_set("at").alias("drop")), "drops")
 
 
-def _kept(text: str | None, drop: list[int] | None, roll: int, every: int) -> tuple[int, int, str | None]:
+def _kept(text: str | None, drop: list[int] | None, roll: int) -> tuple[int, int, str | None]:
     if text is None:
         return 0, 0, None
     if not drop:
         return text.count("\n") + 1, 0, text
-    own = chunks(text.encode(), roll, every)
+    own = chunks(text.encode(), roll)
     gone = set(drop)
     kept = [line for k, chunk in enumerate(own) if k not in gone for line in chunk]
     n = sum(map(len, own))
     return n, n - len(kept), b"\n".join(kept).decode()
 
 
-def _finished(text, drop, roll: int, every: int):
+def _finished(text, drop, roll: int):
     """A struct of n_lines, n_removed, kept_sha256 and kept_text."""
 
     @F.arrow_udf("struct<n_lines:bigint,n_removed:bigint,kept_sha256:string,kept_text:string>")
     def run(texts: pa.Array, drops: pa.Array) -> pa.Array:
-        made = [_kept(t.as_py(), d.as_py(), roll, every) for t, d in zip(texts, drops, strict=True)]
+        made = [_kept(t.as_py(), d.as_py(), roll) for t, d in zip(texts, drops, strict=True)]
         columns = [pa.array((m[0] for m in made), pa.int64()), pa.array((m[1] for m in made), pa.int64()), pa.array((hashlib.sha256((m[2] or "").encode()).hexdigest() for m in made), pa.string()), pa.array((m[2] for m in made), pa.string())]
         return pa.StructArray.from_arrays(columns, ["n_lines", "n_removed", "kept_sha256", "kept_text"])
 
     return run(text, drop)
 
 
-def deduplicated(docs: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
+def deduplicated(docs: DataFrame, roll: int = ROLL) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 and kept_text of each row of ``docs`` (doc_id, text)."""
     rows = _rows(docs)
-    joined = rows.join(repeats(rows, roll, every).hint("merge"), ["h1", "h2"], "left")
-    return joined.select("doc_id", _finished(F.col("text"), F.col("drop"), roll, every).alias("made")).select("doc_id", "made.*")
+    joined = rows.join(repeats(rows, roll).hint("merge"), ["h1", "h2"], "left")
+    return joined.select("doc_id", _finished(F.col("text"), F.col("drop"), roll).alias("made")).select("doc_id", "made.*")
 
 
-def without_repeats(docs: DataFrame, roll: int = ROLL, every: int = EVERY) -> DataFrame:
+def without_repeats(docs: DataFrame, roll: int = ROLL) -> DataFrame:
     """``docs`` with repeated chunks cut from ``text``; the other columns as they were."""
     own = _rows(docs)
-    drops = repeats(own, roll, every)
+    drops = repeats(own, roll)
     key = halves(F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit("\x00"), F.coalesce(docs["text"], F.lit(""))))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("marl_row"), key[0].alias("h1"), key[1].alias("h2"))
-    made = rows.join(drops.hint("merge"), ["h1", "h2"], "left").select("marl_row", _finished(F.col("marl_row.text"), F.col("drop"), roll, every).alias("marl_made"))
+    made = rows.join(drops.hint("merge"), ["h1", "h2"], "left").select("marl_row", _finished(F.col("marl_row.text"), F.col("drop"), roll).alias("marl_made"))
     return made.select(*[F.col("marl_made.kept_text").alias(c) if c == "text" else F.col("marl_row")[c].alias(c) for c in docs.columns])
 
 

@@ -44,6 +44,30 @@ def test_against_brute_force(spark):
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in cut.collect()) == got
 
 
+def test_short_blocks_go(spark):
+    """Repeated blocks of 3 to 8 lines between lines of their own, found without chunks()."""
+    rows, later = [], {}
+    for k in range(240):
+        block = [f"block {k} line {j}" for j in range(3 + k % 6)]
+        for copy in range(2):
+            own = [f"own {k} {copy} {j}" for j in range(7)]
+            at = (k * 3 + copy * 2) % 7
+            rows.append((2 * k + copy, "\n".join([*own[:at], *block, *own[at:]]), "en", "s1", 1))
+        later[2 * k + 1] = len(block)
+    removed = {r["doc_id"]: r["n_removed"] for r in linededup.deduplicated(frame(spark, rows)).collect()}
+    assert not any(n for i, n in removed.items() if i not in later)
+    assert all(removed[i] <= n for i, n in later.items())
+    threes = [i for i, n in later.items() if n == 3]
+    assert sum(removed[i] for i in threes) > 0.15 * 3 * len(threes)
+    assert sum(removed.values()) > 0.4 * sum(later.values())
+
+
+def test_no_lone_lines():
+    for n in range(1, 60):
+        sizes = [len(x) for x in linededup.chunks("\n".join(f"line {n} {i}" for i in range(n)).encode())]
+        assert sum(sizes) == n and all(size > 1 for size in sizes[:-1])
+
+
 def test_chunks_resist_shifts():
     lines = [f"line {i}".encode() for i in range(200)]
     a = [b"\n".join(x) for x in linededup.chunks(b"\n".join(lines))]
