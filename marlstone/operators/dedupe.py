@@ -44,7 +44,8 @@ def greedy_leaders(rows: DataFrame, id_column: str, keys: str, most_rounds: int
 
     Each round keeps the undecided rows that are the smallest undecided one of all their
     keys, and rejects those that share a key with them.  Rounds are written, not kept in
-    lineage; a chain of conflicts of length n takes n / 2 rounds."""
+    lineage; a chain of conflicts of length n takes n / 2 rounds.  Raises if rows are
+    undecided after ``most_rounds``."""
     pairs = cut(rows.select(F.col(id_column).alias("id"), F.explode_outer(keys).alias("k")).distinct())
     open_, leaders = pairs, None
     for _ in range(most_rounds):
@@ -57,6 +58,9 @@ def greedy_leaders(rows: DataFrame, id_column: str, keys: str, most_rounds: int
         taken = open_.join(new, "id", "left_semi").filter("k is not null").select("k").distinct()
         out = open_.join(taken, "k", "left_semi").select("id").unionByName(new).distinct()
         open_ = cut(open_.join(out, "id", "left_anti"))
+    else:
+        if open_.head(1):
+            raise ValueError(f"rows undecided after {most_rounds} rounds")
     leaders = pairs.select("id").limit(0) if leaders is None else leaders
     owner = pairs.join(leaders, "id", "left_semi").filter("k is not null").groupBy("k").agg(F.min("id").alias("owner"))
     found = pairs.join(owner, "k", "left").groupBy("id").agg(F.min("owner").alias("owner"))

@@ -32,6 +32,14 @@ def test_greedy_dedupe_equals_the_loop(spark, seed):
     assert dict(map(tuple, dedupe.greedy_leaders(df, "id", "keys").collect())) == sequential(rows)
 
 
+def test_greedy_dedupe_raises_when_rows_stay_undecided(spark):
+    rows = [(i, [f"k{i}", f"k{i + 1}"]) for i in range(10)]  # each conflicts with the next
+    df = spark.createDataFrame(rows, "id int, keys array<string>")
+    assert dict(map(tuple, dedupe.greedy_leaders(df, "id", "keys", most_rounds=5).collect())) == sequential(rows)
+    with pytest.raises(ValueError):
+        dedupe.greedy_leaders(df, "id", "keys", most_rounds=3)
+
+
 def test_resume_pages_is_the_mex(spark):
     rng = random.Random(1)
     rows = [(a, rng.randrange(1, 9)) for a in "abcdef" for _ in range(rng.randrange(1, 9))]
