@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +16,20 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dirs: dict[str, str] = {}
 
 
+#: The folder of each frame that ``stored`` or ``bucketed`` has made and ``dropped`` hasn't deleted.
+_tables: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+_left: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the one that the cluster names in
-    ``spark.checkpoint.dir``; a folder of our own only where that is unset (tests)."""
+    ``spark.checkpoint.dir``; a folder of our own only where that is unset and the driver
+    is the only machine (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[[^,\]]*\])?$", spark.sparkContext.master):
+        raise ValueError("a cluster must name its shared folder in spark.checkpoint.dir")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="marlstone-")
@@ -27,18 +37,66 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own_dirs[app]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a Parquet table in the shared folder and read back: it cuts
-    the lineage, outlives executors, and gives the planner true sizes."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def _delete(spark: SparkSession, path: str) -> None:
+    _left.discard(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _at_exit() -> None:
+    """Deletes what no ``dropped`` did: tables that returned frames still read."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        for path in list(_left):
+            _delete(spark, path)
+
+
+atexit.register(_at_exit)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables of ``stored`` that nothing reads any more; what came of them must
+    have been written."""
+    for df in tables:
+        if path := _tables.pop(df, None):
+            _delete(df.sparkSession, path)
+
+
+def _written(spark: SparkSession, write, made, path: str) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")  # the shuffles of this write are of no use after it
     try:
-        df.write.parquet(path)
+        write()
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    df = made()
+    _tables[df] = path
+    _left.add(path)
+    return df
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder and read back: it cuts
+    the lineage, outlives executors, and gives the planner true sizes."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return _written(spark, lambda: df.write.parquet(path), lambda: spark.read.schema(df.schema).parquet(path), path)
+
+
+def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """As ``stored``, dealt into buckets by ``keys``: joins and groupings by them shuffle
+    nothing of this table any more, however often it is read."""
+    spark = df.sparkSession
+    own = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{own}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def made():
+        found = spark.table(own)
+        spark.sql(f"DROP TABLE {own}")  # the files stay: the table is external
+        return found
+
+    return _written(spark, lambda: df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(own), made, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,21 +7,27 @@ suffix of the corpus to every other, so windows are first put into groups such t
 windows always share a group:
 
 1. Equal texts are merged into one class with a count (a text that occurs twice is
-   removed wholly, if it has a window).
-2. The key of a window is the least hash among its grams of ``gram`` units.  It depends on
-   the window's content alone, so equal windows have equal keys.  Neighbouring windows
-   mostly share their key; such a run of windows is one record.
+   removed wholly, if it has a window).  The classes are stored in buckets, so that their
+   texts go through one shuffle, however often they are read.
+2. The anchor of a window is its gram of ``gram`` units with the least hash, and its key
+   that hash: the prefix of the suffix that starts at the anchor.  The anchor depends on
+   the window's content alone, so equal windows share a key.  Neighbouring windows mostly
+   share their anchor; such a run of windows is one record.
 3. Keys of a single record in the whole corpus can't hold a repeat and go no further.
 4. The remaining records are merged with their count if they are equal, in each task before
    the shuffle and after it.
 5. A group of ``GROUP`` different records or fewer is solved in memory by the operator's own
-   engine (suffix tree, or Burrows-Wheeler transform).  A larger one is split into single
-   windows under longer keys, a hash of the whole window.
+   engine (suffix tree, or Burrows-Wheeler transform).  In a larger one the prefix grows to
+   the whole window: windows whose 128-bit BLAKE2 digest occurs twice are sent on with their
+   contents and grouped by these bytes, so each group is one node, however many it counts.
 6. What holds for a record goes back to all texts that have it.
 
 Step 3 drops nothing that repeats, and clashes of its 64-bit hashes only make candidates
-that an engine, which compares contents, rejects.  128 bits of hash stand for a text, for
-an equal record, and for a window on the path of split groups.
+that an engine, which compares contents, rejects.  Digests (SHA-256, BLAKE2) of 128 bits
+stand for whole texts and for equal records.
+
+With ``keep_first`` one occurrence of each repeated window stays, the first by doc_id and
+then by place in the text.
 """
 
 from __future__ import annotations
@@ -34,14 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chosen, stored
+from .common import bucketed, chosen, dropped, stored
 
 _M = 0x9E3779B97F4A7C15
 _M_INVERSE = pow(_M, -1, 2**64)
 #: Units of text hashed at a time.
 CHUNK = 1 << 20
 #: Distinct records in a group that one task solves as a whole.
-GROUP = 4096
+GROUP = 1024
 #: Bytes of records that an engine gets at once.
 ENGINE_BYTES = 1 << 20
 
@@ -165,10 +171,12 @@ class Units:
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         return keys[first], first, np.concatenate((first[1:], [n])), grams
 
-    def window_hashes(self, units: np.ndarray, first: int, end: int) -> list[np.ndarray]:
-        """128 bits for each window from ``first`` to ``end``."""
-        part = units[first : end + self.window - 1].astype(np.uint64)
-        return [gram_hashes(x, self.window).view(np.int64) for x in (part, mix(part + np.uint64(77)))]
+    def windows(self, content: bytes, count: int) -> list[bytes]:
+        """The first ``count`` windows of a record's content."""
+        if not self.words:
+            return [content[i : i + self.window] for i in range(count)]
+        _, starts, ends = self.split(content)
+        return [content[starts[i] : ends[i + self.window - 1]] for i in range(count)]
 
 
 def _text(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
@@ -177,18 +185,28 @@ def _text(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
         yield x.as_py() or b""
 
 
-def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP) -> DataFrame:
-    """h1, h2, n (copies), text and ``found`` (records with ranges of repeated windows) for
-    each distinct text of ``docs`` (text); null counts as empty."""
+def _halves_of(digest: bytes) -> tuple[int, int]:
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:16], "little", signed=True)
+
+
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP, keep_first: bool = False) -> DataFrame:
+    """h1, h2, n (copies), low (the smallest doc_id), text and ``found`` (records with ranges
+    of windows to remove) for each distinct text of ``docs`` (doc_id, text); null counts as
+    empty.  With ``keep_first`` the ranges leave out each window's first occurrence."""
     text = F.coalesce(docs["text"], F.lit(""))
     h1, h2 = halves(text)
-    # one shuffle of the texts; the groupings and joins below stay with its partitions
-    classes = docs.select(h1.alias("h1"), h2.alias("h2"), text.alias("text")).groupBy("h1", "h2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    low = F.coalesce(docs["doc_id"].try_cast("bigint"), F.lit(2**63 - 1)) if "doc_id" in docs.columns else F.lit(0).cast("bigint")
+    rows = docs.select(h1.alias("h1"), h2.alias("h2"), low.alias("low"), text.alias("text"))
+    classes = bucketed(rows.groupBy("h1", "h2").agg(F.min("low").alias("low"), F.first("text").alias("text"), F.count(F.lit(1)).alias("n")), ["h1", "h2"], "classes")
     window = units.window
 
     def keys(batches):
         for batch in batches:
-            a, b, sizes, found = batch.column(0), batch.column(1), [], []
+            a, b, sizes, found = _column(batch, "h1"), _column(batch, "h2"), [], []
             weights = []
             for data in _text(batch, "text"):
                 own, many = units.keys(units.split(data)[0])
@@ -198,15 +216,15 @@ def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP)
             take = np.repeat(np.arange(len(sizes)), sizes)
             yield pa.record_batch({"h1": a.take(pa.array(take)), "h2": b.take(pa.array(take)), "key": pa.array(np.concatenate(found)), "many": pa.array(np.concatenate(weights))})
 
-    held = stored(classes.mapInArrow(keys, "h1 bigint, h2 bigint, key bigint, many tinyint"), "keys")
+    held = stored(classes.select("h1", "h2", "text").mapInArrow(keys, "h1 bigint, h2 bigint, key bigint, many tinyint"), "keys")
     # an aggregate's result is written before a join with it: only plain shuffles can be split where a key is hot
     shared = stored(held.groupBy("key").agg(F.sum("many").alias("many")).filter("many > 1").select("key"), "shared")
     candidates = held.join(shared, "key").groupBy("h1", "h2").agg(F.collect_list("key").alias("keys"))
 
     def records(batches):
         for batch in batches:
-            h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            wanted = batch.column(batch.schema.get_field_index("keys"))
+            h1, h2, low = (_column(batch, c).to_numpy() for c in ("h1", "h2", "low"))
+            wanted = _column(batch, "keys")
             out = {c: [] for c in RECORD}
             size = 0
             for i, data in enumerate(_text(batch, "text")):
@@ -218,15 +236,9 @@ def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP)
                         e = min(f + 4 * window, int(end[j]))
                         content = data[starts[f] : ends[e + window - 2]]
                         content = b" ".join(content.split()) if units.words else content
-                        digest = hashlib.blake2b(content, digest_size=16).digest()
-                        out["content"].append(content)
-                        out["c1"].append(int.from_bytes(digest[:8], "little", signed=True))
-                        out["c2"].append(int.from_bytes(digest[8:], "little", signed=True))
-                        out["first"].append(f)
-                        out["n"].append(e - f)
-                        out["key"].append(int(k.view(np.int64)[j]))
-                        out["h1"].append(h[0][i])
-                        out["h2"].append(h[1][i])
+                        c1, c2 = _halves_of(hashlib.blake2b(content, digest_size=16).digest())
+                        for c, v in zip(RECORD, (h1[i], h2[i], low[i], k.view(np.int64)[j], c1, c2, f, e - f, content), strict=True):
+                            out[c].append(v)
                         size += len(content)
                 if size > 8 << 20:
                     yield _records(out)
@@ -234,22 +246,62 @@ def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP)
                     size = 0
             yield _records(out)
 
-    with_keys = classes.join(candidates, ["h1", "h2"]).select("h1", "h2", "text", "keys")
-    found = with_keys.mapInArrow(records, "h1 bigint, h2 bigint, key bigint, c1 bigint, c2 bigint, first int, n int, content binary")
-    found = stored(found, "records")
-    merged = stored(found.groupBy("key", "c1", "c2").agg(F.first("content").alias("content"), F.first("n").alias("n"), F.count(F.lit(1)).alias("weight")), "merged")
-    sizes = merged.groupBy("key").agg(F.count(F.lit(1)).alias("different"))
-    large = stored(sizes.filter(F.col("different") > group).select("key"), "large")
+    with_keys = classes.join(candidates, ["h1", "h2"]).select("h1", "h2", "low", "text", "keys")
+    found = stored(with_keys.mapInArrow(records, "h1 bigint, h2 bigint, low bigint, key bigint, c1 bigint, c2 bigint, first int, n int, content binary"), "records")
+    dropped(held, shared)
+    own = F.struct("low", "h1", "h2", "first")
+    merged = found.groupBy("key", "c1", "c2").agg(F.first("content").alias("content"), F.first("n").alias("n"), F.count(F.lit(1)).alias("weight"), F.min(own).alias("owner"))
+    merged = stored(merged.select("key", "c1", "c2", "content", "n", "weight", *[F.col(f"owner.{c}").alias(f"own_{c}") for c in ("low", "h1", "h2", "first")]), "merged")
+    large = stored(merged.groupBy("key").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > group).select("key"), "large")
     some_large = bool(large.head(1))
     small = merged.join(large, "key", "left_anti") if some_large else merged
-    solved = small.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _solved(batches, units, solve), "c1 bigint, c2 bigint, low int, high int")
+    solved = small.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _solved(batches, units, solve), "c1 bigint, c2 bigint, low int, high int, first boolean")
+    steps = []
     if some_large:
-        split = stored(merged.join(large, "key").mapInArrow(lambda batches: _windows(batches, units), "w1 bigint, w2 bigint, c1 bigint, c2 bigint, low int, weight bigint"), "windows")
-        twice = stored(split.groupBy("w1", "w2").agg(F.sum("weight").alias("c")).filter("c > 1").select("w1", "w2"), "twice")
-        solved = solved.unionByName(split.join(twice, ["w1", "w2"]).select("c1", "c2", "low", (F.col("low") + 1).alias("high")))
-    solved = stored(solved.groupBy("c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "solved")  # of one record, so few
-    spans = found.select("h1", "h2", "c1", "c2", "first").join(solved, ["c1", "c2"]).groupBy("h1", "h2").agg(F.collect_list(F.struct("first", "ranges")).alias("found"))
-    return classes.join(stored(spans, "spans"), ["h1", "h2"], "left").select("h1", "h2", "n", "text", "found")
+        solved = solved.unionByName(_by_whole_windows(merged.join(large, "key"), units, steps))
+    solved = stored(solved.groupBy("c1", "c2").agg(F.collect_list(F.struct("low", "high", "first")).alias("ranges")), "solved")  # of one record, so few
+    spans = found.join(solved, ["c1", "c2"])
+    if keep_first:
+        owners = merged.select("c1", "c2", "own_h1", "own_h2", "own_first")
+        is_owner = (F.col("h1") == F.col("own_h1")) & (F.col("h2") == F.col("own_h2")) & (F.col("first") == F.col("own_first"))
+        spans = spans.join(owners, ["c1", "c2"]).withColumn("ranges", F.when(is_owner, F.filter("ranges", lambda r: ~r["first"])).otherwise(F.col("ranges")))
+    spans = stored(spans.groupBy("h1", "h2").agg(F.collect_list(F.struct("first", "ranges")).alias("found")), "spans")
+    dropped(found, merged, large, solved, *steps)
+    return classes.join(spans, ["h1", "h2"], "left").select("h1", "h2", "n", "low", "text", "found")
+
+
+def _by_whole_windows(large: DataFrame, units: Units, steps: list[DataFrame]) -> DataFrame:
+    """Merged records of large groups -> repeated windows (c1, c2, low, high, first): the
+    prefix is the whole window, so equal prefixes are one node.  Tables go to ``steps``."""
+
+    def digests(batches):
+        for batch in batches:
+            counts = _column(batch, "n").to_numpy()
+            w = [_halves_of(hashlib.blake2b(x, digest_size=16).digest()) for content, n in zip(_text(batch, "content"), counts.tolist(), strict=True) for x in units.windows(content, n)]
+            take = pa.array(np.repeat(np.arange(len(counts)), counts))
+            at = np.arange(len(w)) - np.repeat(np.cumsum(counts) - counts, counts)
+            halves = np.array(w, np.int64).reshape(-1, 2)
+            yield pa.record_batch({"w1": pa.array(halves[:, 0]), "w2": pa.array(halves[:, 1]), "at": pa.array(at.astype(np.int32))} | {c: _column(batch, c).take(take) for c in ("c1", "c2", "weight")})
+
+    def contents(batches):
+        for batch in batches:
+            places = _column(batch, "places").to_pylist()
+            found = []
+            for content, own in zip(_text(batch, "content"), places, strict=True):
+                whole = units.windows(content, max(own) + 1)
+                found += [whole[i] for i in own]
+            take = pa.array(np.repeat(np.arange(len(places)), list(map(len, places))))
+            yield pa.record_batch({"window": pa.array(found, pa.binary()), "at": pa.array([i for own in places for i in own], pa.int32())} | {c: _column(batch, c).take(take) for c in ("c1", "c2", "weight", *OWNER)})
+
+    each = stored(large.mapInArrow(digests, "w1 bigint, w2 bigint, at int, c1 bigint, c2 bigint, weight bigint"), "digests")
+    twice = stored(each.groupBy("w1", "w2").agg(F.sum("weight").alias("c")).filter("c > 1").select("w1", "w2"), "twice")
+    places = stored(each.join(twice, ["w1", "w2"]).groupBy("c1", "c2").agg(F.collect_list("at").alias("places")), "places")
+    rows = large.join(places, ["c1", "c2"])
+    rows = stored(rows.mapInArrow(contents, "window binary, at int, c1 bigint, c2 bigint, weight bigint, " + ", ".join(f"{c} {'int' if c == 'own_first' else 'bigint'}" for c in OWNER)), "windows")
+    place = F.struct(*OWNER[:3], (F.col("own_first") + F.col("at")).alias("at"))
+    same = stored(rows.groupBy("window").agg(F.sum("weight").alias("c"), F.min(place).alias("best")).filter("c > 1").select("window", "best"), "same")
+    steps += [each, twice, places, rows, same]
+    return rows.join(same, "window").select("c1", "c2", F.col("at").alias("low"), (F.col("at") + 1).alias("high"), (place == F.col("best")).alias("first"))
 
 
 def halves(text):
@@ -258,7 +310,8 @@ def halves(text):
     return tuple(F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint") for at in (1, 17))
 
 
-RECORD = {"h1": pa.int64(), "h2": pa.int64(), "key": pa.int64(), "c1": pa.int64(), "c2": pa.int64(), "first": pa.int32(), "n": pa.int32(), "content": pa.binary()}
+OWNER = ("own_low", "own_h1", "own_h2", "own_first")
+RECORD = {"h1": pa.int64(), "h2": pa.int64(), "low": pa.int64(), "key": pa.int64(), "c1": pa.int64(), "c2": pa.int64(), "first": pa.int32(), "n": pa.int32(), "content": pa.binary()}
 
 
 def _records(out: dict) -> pa.RecordBatch:
@@ -267,29 +320,39 @@ def _records(out: dict) -> pa.RecordBatch:
 
 def _solved(batches, units: Units, solve: Callable):
     """Merged records sorted by key, in portions of whole groups -> ranges of repeated
-    windows.  ``solve(contents, weights, counts)`` tells which of the ``counts`` windows of
-    each record repeat."""
+    windows, cut where ``first`` changes: whether the record's owner has the first of all
+    occurrences.  ``solve(contents, counts)`` gives for each of the ``counts`` windows of
+    each record the number of its node, or -1 if these records have it once."""
 
     def out(tables):
         t = pa.Table.from_batches(tables)
-        key, counts, weights = (t[c].to_numpy() for c in ("key", "n", "weight"))
+        key, counts, weights, low, h1, h2, first = (t[c].to_numpy() for c in ("key", "n", "weight", *OWNER))
         contents = t["content"].to_pylist()
-        low, high, per = [], [], np.zeros(len(key), np.int64)
-        at = 0
+        made, at = [], 0
         while at < len(key):
             size, end = 0, at
             while end < len(key) and (size < ENGINE_BYTES or key[end] == key[end - 1]):
                 size += len(contents[end])
                 end += 1
-            for i, flags in enumerate(solve(contents[at:end], weights[at:end], counts[at:end]), at):
-                edge = np.diff(np.concatenate(([False], flags, [False])).view(np.int8))
-                low.append(np.flatnonzero(edge == 1))
-                high.append(np.flatnonzero(edge == -1))
-                per[i] = len(low[-1])
+            n = counts[at:end]
+            node = np.concatenate(solve(contents[at:end], n))
+            record = np.repeat(np.arange(at, end), n)
+            offset = np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
+            owner = np.stack((low[at:end], h1[at:end], h2[at:end]), 1)
+            rank = np.unique(owner, axis=0, return_inverse=True)[1].ravel()
+            order = np.lexsort((first[record] + offset, rank[record - at], node))
+            starts = np.concatenate(([True], node[order[1:]] != node[order[:-1]]))
+            leads = np.zeros(len(node), bool)
+            leads[order[starts]] = True
+            state = np.where(node >= 0, np.where(leads, 2, 1), np.where(weights[record] > 1, 2, 0))
+            edge = np.flatnonzero(np.concatenate(([True], (state[1:] != state[:-1]) | (record[1:] != record[:-1]))))
+            length = np.diff(np.concatenate((edge, [len(node)])))
+            used = state[edge] > 0
+            made.append((record[edge][used], offset[edge][used], (offset[edge] + length)[used], state[edge][used] == 2))
             at = end
-        take = pa.array(np.repeat(np.arange(len(key)), per))
-        joined = lambda x: pa.array(np.concatenate(x or [np.zeros(0, np.int64)]).astype(np.int32))
-        return pa.record_batch({"c1": t["c1"].combine_chunks().take(take), "c2": t["c2"].combine_chunks().take(take), "low": joined(low), "high": joined(high)})
+        which, begin, stop, lead = (np.concatenate(x) for x in zip(*made, strict=True))
+        take = pa.array(which)
+        return pa.record_batch({"c1": t["c1"].combine_chunks().take(take), "c2": t["c2"].combine_chunks().take(take), "low": pa.array(begin.astype(np.int32)), "high": pa.array(stop.astype(np.int32)), "first": pa.array(lead)})
 
     held, size = [], 0
     for batch in batches:
@@ -307,17 +370,6 @@ def _solved(batches, units: Units, solve: Callable):
         yield out(held)
 
 
-def _windows(batches, units: Units):
-    """Records of large groups -> their windows, each under 128 bits of its content."""
-    for batch in batches:
-        c1, c2, n, weight = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("c1", "c2", "n", "weight"))
-        found = [units.window_hashes(units.split(c)[0], 0, k) for c, k in zip(_text(batch, "content"), n.tolist(), strict=True)]
-        take = np.repeat(np.arange(len(n)), n)
-        within = np.concatenate([np.arange(k) for k in n.tolist()] or [[]]).astype(np.int32)
-        hashes = [pa.array(np.concatenate([x[j] for x in found] or [np.zeros(0, np.int64)])) for j in (0, 1)]
-        yield pa.record_batch({"w1": hashes[0], "w2": hashes[1], "c1": pa.array(c1[take]), "c2": pa.array(c2[take]), "low": pa.array(within), "weight": pa.array(weight[take])})
-
-
 def covered(found: list[dict] | None, copies: int, n_units: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal stretches of removed units.  found: records of the
     text with their ranges of repeated windows, in any order."""

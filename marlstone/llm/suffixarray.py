@@ -96,38 +96,40 @@ def deep_boundaries(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarr
     return order, unset
 
 
-def solve(contents: list[bytes], weights: np.ndarray, counts: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """Which windows of each record occur elsewhere in these records."""
+def solve(contents: list[bytes], counts: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
+    """For each window of each record the interval of suffixes that begin with it, as a
+    number, or -1 if these records have it once."""
     between = bytes([BETWEEN])
     data = np.frombuffer(between.join(contents) + between, np.uint8)
     order, deep = deep_boundaries(data, window)
-    found = np.zeros(len(data), bool)
-    found[order[deep[:-1] | deep[1:]]] = True
+    node = np.full(len(data), -1, np.int64)
+    inside = deep[:-1] | deep[1:]
+    node[order[inside]] = np.cumsum(~deep[:-1])[inside]
     sizes = np.array([len(c) + 1 for c in contents])
     offsets = np.cumsum(sizes) - sizes
-    return [np.ones(n, bool) if w > 1 else found[o : o + n] for o, n, w in zip(offsets.tolist(), counts.tolist(), weights.tolist(), strict=True)]
+    return [node[o : o + n] for o, n in zip(offsets.tolist(), counts.tolist(), strict=True)]
 
 
-def _per_text(docs: DataFrame, window: int, gram: int, text: bool, **limits) -> DataFrame:
+def _per_text(docs: DataFrame, window: int, gram: int, text: bool, keep_first: bool = False, **limits) -> DataFrame:
     units = Units(window, min(gram, window), words=False)
 
     def finish(batches):
         for batch in batches:
-            out = {"h1": [], "h2": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept_text": []}
+            out = {"h1": [], "h2": [], "low": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept_text": []}
             for r in batch.to_pylist():
                 data = r["text"].encode()
-                low, high = covered(r["found"], r["n"], len(data), window)
+                low, high = covered(r["found"], 1 if keep_first else r["n"], len(data), window)
                 kept, at = [], 0
                 for a, b in zip(low.tolist(), high.tolist(), strict=True):
                     kept.append(data[at:a])
                     at = b
                 kept = b"".join([*kept, data[at:]])
-                for c, v in zip(out, (r["h1"], r["h2"], len(data), int((high - low).sum()), len(low), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if text else None), strict=True):
+                for c, v in zip(out, (r["h1"], r["h2"], r["low"], len(data), int((high - low).sum()), len(low), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if text else None), strict=True):
                     out[c].append(v)
             yield pa.record_batch({c: pa.array(v, pa.string() if c[0] == "k" else pa.int64()) for c, v in out.items()})
 
-    found = removed(docs, units, lambda *x: solve(*x, window=window), **limits)
-    return found.mapInArrow(finish, "h1 bigint, h2 bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    found = removed(docs, units, lambda *x: solve(*x, window=window), keep_first=keep_first, **limits)
+    return found.mapInArrow(finish, "h1 bigint, h2 bigint, low bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, **limits) -> DataFrame:
@@ -136,13 +138,22 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, **limi
     return by_document(docs, _per_text(docs, window, gram, False, **limits)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, **limits) -> DataFrame:
-    """``docs`` with ``text`` cut; the other columns as they were.  A null text stays null."""
+def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep_first: bool = False, **limits) -> DataFrame:
+    """``docs`` with ``text`` cut; the other columns as they were.  A null text stays null.
+    With ``keep_first`` a passage stays where it occurs first: in the row with the smallest
+    doc_id (an integer; others come last, in the order of a hash of the text), and there
+    at its first place; rows equal in doc_id and text count as one and stay alike."""
     h1, h2 = halves(F.coalesce(docs["text"], F.lit("")))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("marl_row"), docs["text"].isNull().alias("marl_null"), h1.alias("h1"), h2.alias("h2"))
-    kept = _per_text(docs.select("text"), window, gram, True, **limits).select("h1", "h2", "kept_text")
-    text = F.when(~F.col("marl_null"), F.col("kept_text"))
-    joined = rows.join(kept, ["h1", "h2"]).select("marl_row", text.alias("marl_text"))
+    low = F.coalesce(docs["doc_id"].try_cast("bigint"), F.lit(2**63 - 1)) if keep_first else F.lit(0)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("marl_row"), docs["text"].isNull().alias("marl_null"), h1.alias("h1"), h2.alias("h2"), low.alias("marl_low"))
+    own = docs.select("doc_id", "text") if keep_first else docs.select("text")
+    kept = _per_text(own, window, gram, True, keep_first=keep_first, **limits).select("h1", "h2", "low", "n_bytes", "kept_text")
+    if keep_first:  # of equal texts those after the first go, if they have a window
+        gone = (F.col("marl_low") != F.col("low")) & (F.col("n_bytes") >= window)
+        kept_text = F.when(gone, "").otherwise(F.col("kept_text"))
+    else:
+        kept_text = F.col("kept_text")
+    joined = rows.join(kept, ["h1", "h2"]).select("marl_row", F.when(~F.col("marl_null"), kept_text).alias("marl_text"))
     return joined.select(*[F.col("marl_text").alias(c) if c == "text" else F.col("marl_row")[c].alias(c) for c in docs.columns])
 
 

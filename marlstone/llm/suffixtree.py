@@ -1,12 +1,15 @@
 """Substring dedup over words by prefix-partitioned suffix trees (operator 2).
 
-``repeats`` brings windows that can be equal into one group.  Here, a portion of groups is
-split further: suffixes go by a prefix of variable length, the shortest of 1, 2, 4 ...
-words that leaves ``SUBTREE`` suffixes or fewer (or the whole window).  The suffixes under
-one prefix are sorted and the common prefixes of neighbours taken, which is the subtree:
-its internal nodes are the intervals of the common-prefix array.  Under a node as deep as
-the window, every leaf starts a window that occurs elsewhere; the node's depth is the
-length of the maximal repeat.
+Suffixes are split by prefixes of variable length, in two steps.  ``repeats`` splits those of
+the whole corpus between tasks: the suffix at a window's anchor goes by its first ``GRAM``
+words, and where too many different ones share these, by the whole window.  Within a portion
+of such groups, ``prefix_groups`` gives each suffix the shortest prefix that ``SUBTREE``
+suffixes or fewer share, one word longer at a time and only where a group is still too large.
+The suffixes under one prefix make a subtree of bounded size, which is built by sorting
+them and taking the common prefixes of neighbours: its internal nodes are the intervals of
+these.  Trees end at the depth of a window, as what lies deeper is a later window's.  Every
+leaf under a node of that depth starts a window that occurs elsewhere, and neighbouring
+ones join to maximal repeats.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Defined results: a null, empty or blank text has no
 words; texts shorter than a window are kept whole; equal rows are copies of each other, so
@@ -27,71 +30,59 @@ from .repeats import Units, by_document, covered, own_columns, removed
 
 #: Words in a window, and in the grams whose least hash keys it.
 WINDOW, GRAM = 35, 10
-#: Suffixes in a subtree.
-SUBTREE = 65_536
-
-
-def prefix_ranks(ids: np.ndarray, most: int) -> list[np.ndarray]:
-    """For lengths 1, 2, 4 ... up to ``most``, the rank of the stretch of that length at each
-    position (stretches at the end run on into themselves and must not be asked for)."""
-    ranks, length = [ids], 1
-    while 2 * length <= most:
-        a = ranks[-1]
-        b = np.concatenate((a[length:], np.zeros(min(length, len(a)), a.dtype)))
-        ranks.append(np.unique(a.astype(np.int64) * (int(a.max(initial=0)) + 2) + b, return_inverse=True)[1])
-        length *= 2
-    return ranks
-
-
-def subtrees(suffixes: np.ndarray, ranks: list[np.ndarray], limit: int = SUBTREE):
-    """Splits the suffixes by variable-length prefixes; yields portions of whole subtrees."""
-    left = suffixes
-    for depth, rank in enumerate(ranks):
-        own = rank[left]
-        sizes = np.bincount(own)
-        fits = sizes[own] <= limit if depth + 1 < len(ranks) else np.ones(len(left), bool)
-        if fits.any():
-            yield left[fits], rank
-        left = left[~fits]
+#: Suffixes in a subtree, and in the subtrees that are built at once.
+SUBTREE, TOGETHER = 1024, 65_536
+
+
+def prefix_groups(ids: np.ndarray, suffixes: np.ndarray, window: int, limit: int = SUBTREE):
+    """Splits suffixes of ``ids`` by variable-length prefixes, each as long as it takes to
+    leave ``limit`` suffixes or fewer, and the window at most.  Yields a length and the
+    suffixes of whole subtrees under prefixes of that length, ``TOGETHER`` of them or one
+    subtree at a time."""
+    left, prefix, words = suffixes, ids[suffixes], int(ids.max(initial=0)) + 1
+    for length in range(1, window + 1):
+        _, prefix, sizes = np.unique(prefix, return_inverse=True, return_counts=True)
+        fits = sizes[prefix] <= limit if length < window else np.ones(len(left), bool)
+        done = np.flatnonzero(fits)
+        done = done[np.argsort(prefix[done], kind="stable")]
+        bounds = np.cumsum(sizes[np.unique(prefix[done])])
+        at = 0
+        while at < len(done):
+            k = np.searchsorted(bounds, at + TOGETHER, side="right")
+            end = int(bounds[k - 1] if k and bounds[k - 1] > at else bounds[k])
+            yield length, left[done[at:end]]
+            at = end
+        left, prefix = left[~fits], prefix[~fits].astype(np.int64)
         if not len(left):
             return
+        prefix = prefix * words + ids[left + length]
 
 
-def deep_leaves(suffixes: np.ndarray, prefix: np.ndarray, ranks: list[np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes under internal nodes of depth ``window`` or more, in order, and for each
-    the common prefix with the suffix before it (at most ``window``)."""
-    half = len(ranks) - 1
-    rest = window - (1 << half)
-    order = suffixes[np.lexsort((ranks[half][suffixes + rest], ranks[half][suffixes], prefix[suffixes]))]
-    common = np.zeros(len(order), np.int64)
-    a, b = order[:-1], order[1:]
-    at = np.zeros(len(a), np.int64)
-    for k in range(half, -1, -1):  # longest equal stretches first
-        step = 1 << k
-        can = at + step <= window
-        inside = np.where(can, at, 0)
-        at = np.where(can & (ranks[k][a + inside] == ranks[k][b + inside]), at + step, at)
-    common[1:] = at
-    deep = common >= window
-    leaf = deep | np.concatenate((deep[1:], [False]))
-    return order[leaf], common[leaf]
-
-
-def solve(contents: list[bytes], weights: np.ndarray, counts: np.ndarray, window: int = WINDOW, limit: int = SUBTREE) -> list[np.ndarray]:
-    """Which windows of each record occur elsewhere in these records."""
+def deep_nodes(ids: np.ndarray, suffixes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The leaves, in order, of a few subtrees, and the number of the internal node of depth
+    ``window`` that each lies under (-1: none)."""
+    rows = np.ascontiguousarray(ids[suffixes[:, None] + np.arange(window)].astype(np.int32))
+    order = np.argsort(rows.view(f"V{4 * window}").ravel(), kind="stable")
+    deep = np.concatenate(([False], (rows[order[1:]] == rows[order[:-1]]).all(1), [False]))  # of neighbours' common prefixes
+    inside = deep[:-1] | deep[1:]
+    return suffixes[order], np.where(inside, np.cumsum(~deep[:-1]), -1)
+
+
+def solve(contents: list[bytes], counts: np.ndarray, window: int = WINDOW, limit: int = SUBTREE) -> list[np.ndarray]:
+    """For each window of each record the number of its node of the window's depth, or -1 if
+    these records have it once."""
     lists = [c.split() for c in contents]
-    ids: dict[bytes, int] = {}
-    flat = np.array([ids.setdefault(w, len(ids)) for words in lists for w in words], np.int64)
-    flat = np.concatenate((flat, np.full(2 * window, len(ids), np.int64)))
+    seen: dict[bytes, int] = {}
+    ids = np.array([seen.setdefault(w, len(seen)) for words in lists for w in words], np.int64)
     sizes = np.array([len(words) for words in lists])
     offsets = np.cumsum(sizes) - sizes
     starts = np.repeat(offsets, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    ranks = prefix_ranks(flat, window)
-    found = np.zeros(len(flat), bool)
-    for part, prefix in subtrees(starts, ranks, limit):
-        leaves, _ = deep_leaves(part, prefix, ranks, window)
-        found[leaves] = True
-    return [np.ones(n, bool) if w > 1 else found[o : o + n] for o, n, w in zip(offsets.tolist(), counts.tolist(), weights.tolist(), strict=True)]
+    node, nodes = np.full(len(ids), -1, np.int64), 0
+    for _, suffixes in prefix_groups(ids, starts, window, limit):
+        leaves, own = deep_nodes(ids, suffixes, window)
+        node[leaves] = np.where(own >= 0, own + nodes, -1)
+        nodes += len(leaves) + 1
+    return [node[o : o + n] for o, n in zip(offsets.tolist(), counts.tolist(), strict=True)]
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: bool = True, **limits) -> DataFrame:

@@ -28,6 +28,6 @@ def frame(spark, rows, extra: bool = False):
     """The rows as a frame; with ``extra``, columns whose names operators use themselves."""
     df = spark.createDataFrame(rows, DOCS)
     if extra:
-        for c in ("n", "row", "host", "fp", "m", "key", "a", "b", "kept", "id", "part", "h", "root"):
+        for c in ("n", "row", "host", "fp", "m", "key", "a", "b", "kept", "id", "part", "h", "root", "marl_row", "h1", "h2", "token", "score", "made", "low", "copy"):
             df = df.withColumn(c, df["doc_id"].cast("string"))
     return df.repartition(3)

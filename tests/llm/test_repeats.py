@@ -73,10 +73,71 @@ def test_engines_on_random_strings():
         counts = np.array([len(c) - window + 1 for c in contents])
         seen = Counter(c[i : i + window] for c in contents for i in range(len(c) - window + 1))
         want = [[seen[c[i : i + window]] > 1 for i in range(n)] for c, n in zip(contents, counts.tolist(), strict=True)]
-        ones = np.ones(len(contents), np.int64)
-        assert [f.tolist() for f in suffixarray.solve(contents, ones, counts, window)] == want
+        many = lambda nodes: [(x >= 0).tolist() for x in nodes]
         spaced = [b" ".join(bytes([x]) for x in c) for c in contents]
-        assert [f.tolist() for f in suffixtree.solve(spaced, ones, counts, window, limit=rng.choice([2, 5, 1000]))] == want
+        for nodes in (suffixarray.solve(contents, counts, window), suffixtree.solve(spaced, counts, window, limit=rng.choice([2, 5, 1000]))):
+            assert many(nodes) == want
+            flat = [(n, c[i : i + window]) for x, c in zip(nodes, contents, strict=True) for i, n in enumerate(x.tolist()) if n >= 0]
+            assert len(set(flat)) == len({n for n, _ in flat}) == len({w for _, w in flat})  # a node for each repeated window
+
+
+def test_prefixes_split_ordinary_text():
+    """Prefixes are as long as they must be, and no longer."""
+    rng = np.random.default_rng(1)
+    ids = rng.zipf(1.3, 6000) % 500
+    parts = list(suffixtree.prefix_groups(ids, np.arange(5900), 10, limit=40))
+    assert sorted(np.concatenate([p for _, p in parts]).tolist()) == list(range(5900))
+    assert len([1 for _, p in parts if len(p)]) > 2
+    size = lambda s, k: Counter(tuple(ids[i : i + k]) for i in range(5900))[tuple(ids[s : s + k])]
+    for length, part in parts:
+        for s in part[::37].tolist():
+            assert (size(s, length) <= 40 or length == 10) and (length == 1 or size(s, length - 1) > 40)
+
+
+def thue_morse(n, flip):
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("group", [1024, 1])
+def test_words_that_hash_alike(spark, group):
+    """Two words whose polynomial hashes clash modulo 2^64, in otherwise equal windows."""
+    rest = [f"w{i}" for i in range(34)]
+    rows = [(i, " ".join([*rest[:17], thue_morse(4096, i), *rest[17:]]), "en", "s", 1) for i in range(2)]
+    assert len({int(repeats.sums(np.frombuffer(thue_morse(4096, i).encode(), np.uint8) + np.uint8(1))[-1]) for i in range(2)}) == 1
+    assert [r["n_removed"] for r in suffixtree.deduplicated(frame(spark, rows), group=group).collect()] == [0, 0]
+    rows += [(2, rows[0][1] + " more", "en", "s", 1)]
+    assert sorted((r[0], r["n_removed"]) for r in suffixtree.deduplicated(frame(spark, rows), group=group).collect()) == [(0, 35), (1, 0), (2, 35)]
+
+
+def test_longer_than_a_chunk(spark, monkeypatch):
+    """Texts, and words, longer than what is hashed at a time."""
+    monkeypatch.setattr(repeats, "CHUNK", 256)
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["a", "b", "c" * 600, "d" * 299]) for _ in range(90)), "en", "s", 1) for i in range(6)]
+    assert sorted((r[0], r[1], r[2], r[3]) for r in suffixtree.deduplicated(frame(spark, rows), 5, 2).collect()) == sorted((i, n, m, h) for i, n, m, _, h in brute(rows, bytes.split, b" ".join, 5))
+    units = repeats.Units(5, 2, words=True)
+    assert len(units.split(rows[0][1].encode())[0]) == 90
+
+
+@pytest.mark.parametrize("group", [1024, 2])
+def test_first_occurrence_stays(spark, group):
+    rows = [r for r in corpus(25, n=60) if r[0] is not None]
+    rows = [*dict.fromkeys(rows)]
+    rng = random.Random(3)
+    rng.shuffle(rows)
+    seen, want = set(), {}
+    texts = sorted((i, (t or "").encode()) for i, t, *_ in rows)
+    for i, t in texts:
+        m = [False] * len(t)
+        for k in range(len(t) - 24):
+            w = t[k : k + 25]
+            if w in seen:
+                m[k : k + 25] = [True] * 25
+            seen.add(w)
+        want[i] = bytes(x for x, y in zip(t, m, strict=True) if not y).decode(errors="ignore")
+    got = suffixarray.without_repeats(frame(spark, rows, extra=True), 25, 10, group=group, keep_first=True).collect()
+    assert {r["doc_id"]: r["text"] or "" for r in got} == want
+    assert sum(map(len, want.values())) < sum(len(t) for _, t in texts)
 
 
 def test_keys_depend_on_windows_alone():
