@@ -11,13 +11,14 @@ rounds: whole documents as bags first, then short windows, where a toxic documen
 its highest windows under the last model and a clean one its highest and a few others.
 A document's score is its highest window's logit, calibrated on the training documents.
 
-The model is fitted on the driver on a bounded sample of labelled rows (``PER_CLASS``,
-the first rows by a hash of the id); scoring covers every whole text.
+The model is fitted on the driver on a bounded sample of labelled ids (``PER_CLASS``, the
+first by a hash of the id, and of texts up to ``LONGEST`` bytes); scoring covers every
+whole text.
 
 Defined results: null and empty texts get the score of a bag without words; labels
-without a document, null labels and null ids are no training rows; with no training row
-of either class every score is 0; repeated rows are scored alike; other columns are
-never read.
+without a document, null labels and null ids are no training rows; repeated rows count
+once in training and are scored alike; with no training row of either class every score
+is 0; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import chosen, crc_mod, table
+from .common import chosen, crc_mod, stored, table
 
 #: Most labelled rows of label 0 and of label 1 that the model is fitted on.
 PER_CLASS = (900, 700)
+#: Bytes of the longest text that the model is fitted on; the driver holds the sample.
+LONGEST = 1 << 17
 BUCKETS, WIDTH, GRAMS = 1 << 17, 8, (3, 4, 5)
 #: Words in a window, and words from one window to the next.
 WINDOW, STEP = 3, 1
@@ -184,15 +186,16 @@ def scored(spark: SparkSession, text: Column, model: tuple[np.ndarray, float, fl
     return run(text)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS) -> DataFrame:
-    """text and label of the bounded sample: rows whose crc32(doc_id) mod 3 isn't 1, the
-    first of each class by a hash of the id."""
-    usable = chosen(labels, doc_id="doc_id", label="toxic").filter(F.col("label").isin(0, 1) & (crc_mod(F.col("doc_id"), 3) != 1)).distinct()
-    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    limits = F.when(F.col("label") == 1, per_class[1]).otherwise(per_class[0])
-    sample = usable.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= limits)
-    own = chosen(docs, doc_id="doc_id", text="text")
-    return own.join(F.broadcast(sample), "doc_id").orderBy("label", "at").limit(sum(per_class))  # at most sum(per_class) rows
+def training_rows(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS, longest: int = LONGEST) -> DataFrame:
+    """text and label of the bounded sample: of each class the first ids by a hash, each of
+    them once, whose crc32 mod 3 isn't 1.  An id with both labels is toxic; of several texts
+    of an id the least counts; texts of more than ``longest`` bytes don't."""
+    usable = chosen(labels, doc_id="doc_id", label="toxic").filter(F.col("label").isin(0, 1) & (crc_mod(F.col("doc_id"), 3) != 1))
+    usable = usable.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("place", F.xxhash64("doc_id"))
+    first = [usable.filter(F.col("label") == k).orderBy("place", "doc_id").limit(n) for k, n in enumerate(per_class)]
+    sample = stored(first[0].unionByName(first[1]), "sample")  # sum(per_class) rows at most
+    own = chosen(docs, doc_id="doc_id", text="text").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+    return own.join(F.broadcast(sample), "doc_id").groupBy("label", "place", "doc_id").agg(F.min("text").alias("text")).orderBy("label", "place", "doc_id")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, per_class: tuple[int, int] = PER_CLASS) -> DataFrame:

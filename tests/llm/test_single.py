@@ -159,5 +159,12 @@ def test_toxicity(spark):
     held = [i for i in range(400) if got[i]["held_out"]]
     assert np.mean([got[i]["predicted"] == (i % 3 == 0) for i in held]) > 0.95
     assert got[1000]["predicted"] == 1 and got[1001]["predicted"] == got[1002]["predicted"] == 0
+    twice = [*rows, *rows, (402, "x " * 200_000, "en", "s", 1)]
+    table = spark.createDataFrame([*labels, *labels, (402, 1, 1)], "doc_id long, quality int, toxic int")
+    same = toxicity.toxicity(frame(spark, twice), table)  # repeated rows and a very long text change no score
+    assert {(r["doc_id"], round(r["score"], 9)) for r in same.collect() if r["doc_id"] != 402} == {(i, round(r["score"], 9)) for i, r in got.items()}
+    sample = toxicity.training_rows(frame(spark, twice), table, (30, 20)).collect()
+    assert [r["label"] for r in sample] == [0] * 30 + [1] * 20 and len({r["doc_id"] for r in sample}) == 50
+    assert toxicity.toxicity(frame(spark, rows).limit(0), table).count() == 0
     none = toxicity.toxicity(frame(spark, rows), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert {r["score"] for r in none.collect()} == {0.0}
