@@ -8,9 +8,10 @@ counts, Spark adds them up by symbol, and the driver gets the sums, whose number
 by symbols times states.  The scaled forward recursion over the whole token sequence then
 gives a document's exact likelihood under the trained model.
 
-In training, a document is cut into stretches of ``STRETCH`` tokens that count as sequences
-of their own; scores always take whole documents.  Counts outside a bounded dictionary
-are joined by token, never broadcast.
+Training and scores both take whole documents.  One longer than ``STRETCH`` tokens is worked
+on in stretches: the product of a stretch's steps is a matrix of states by states, and these
+carry the exact forward and backward vectors over every cut.  Counts outside a bounded
+dictionary are joined by token, never broadcast.
 
 Defined results: a null or empty text is its end token alone; a null id counts as
 training; without training tokens every score is that of the smoothing alone; repeated
@@ -20,6 +21,7 @@ read.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from itertools import repeat
 
@@ -32,9 +34,10 @@ from .common import chosen, crc_mod, stored, table
 
 #: Latent states, tokens that are symbols, and Baum-Welch rounds.
 STATES, SYMBOLS, ROUNDS = 4, 8192, 3
-#: Tokens whose counts every task holds, and the longest of them in bytes.
+#: Tokens whose counts every task holds; longer ones than LONGEST bytes go by a digest there.
 DICTIONARY, LONGEST = 65_536, 64
-STRETCH, SEQUENCES = 128, 1024
+#: Tokens of a stretch, and steps of all sequences that are worked on at once.
+STRETCH, CELLS = 1024, 1 << 19
 #: Distinct tokens that a counting task holds before it passes them on.
 FLUSH = 250_000
 SHAPES = 32
@@ -49,6 +52,11 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]  # bytes: only A-Z change
 
 
+def name_of(word: bytes) -> bytes:
+    """How the dictionary names a token: itself, or a digest after a space, which no token has."""
+    return word if len(word) <= LONGEST else b" " + hashlib.sha256(word).hexdigest()[:32].encode()
+
+
 def shape_of(word: bytes) -> int:
     """A class by length, non-ASCII bytes, a last byte that is no letter or digit, and digits."""
     n = len(word)
@@ -85,12 +93,13 @@ class Vocabulary:
     """What every task needs of the counts: the dictionary, its symbols, and the shapes' totals."""
 
     def __init__(self, rows: list[tuple[str, int, int]], n: int, v: int, shapes: dict[int, tuple[int, int]], symbols: int):
-        """rows: token, shape and count, most frequent first.  shapes: count and number of all tokens."""
+        """rows: a token's name, shape and count, most frequent first.  shapes: count and number of all tokens."""
         self.index = {END: 0} | {t.encode(): i + 1 for i, (t, _, _) in enumerate(rows)}
         counts = np.array([0, *(c for _, _, c in rows)], np.int64)
         self.counts = counts
         own = min(symbols, len(rows))
         self.n_symbols = 1 + own + SHAPES
+        self.kind = "<u2" if self.n_symbols <= 1 << 16 else "<u4"
         self.first_shape = 1 + own
         self.symbol = np.array([0, *range(1, own + 1), *(self.first_shape + s for _, s, _ in rows[own:])], np.int64)
         mass, types = np.zeros(SHAPES), np.zeros(SHAPES)
@@ -114,7 +123,8 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, symbols: int = SYMBOLS, dictionary: int = DICTIONARY) -> Vocabulary:
     shapes = {r["shape"]: (r["c"], r["k"]) for r in counts.groupBy("shape").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect()}  # SHAPES rows and the end token
-    usable = counts.filter((F.col("shape") >= 0) & (F.octet_length("token") <= LONGEST))
+    name = F.when(F.octet_length("token") <= LONGEST, F.col("token")).otherwise(F.concat(F.lit(" "), F.substring(F.sha2(F.col("token").cast("binary"), 256), 1, 32)))
+    usable = counts.filter(F.col("shape") >= 0).select(name.alias("token"), "shape", "c")
     # by powers of two of the count, those that the dictionary can reach; so no task passes on more than it must
     levels = sorted(((r["level"], r["k"]) for r in usable.groupBy(F.floor(F.log2("c")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
     reach = next((level for i, (level, _) in enumerate(levels) if sum(k for _, k in levels[: i + 1]) >= dictionary), 0)
@@ -136,6 +146,9 @@ def encoded(docs: DataFrame, shared) -> DataFrame:
             for text in batch.column(batch.schema.get_field_index("text")):
                 words = words_of(text.as_py())
                 at = np.fromiter(map(lookup, words, repeat(-1)), np.int64, len(words))
+                for i in np.flatnonzero(at < 0).tolist():
+                    if len(words[i]) > LONGEST:
+                        at[i] = lookup(name_of(words[i]), -1)
                 hit = at >= 0
                 ids = vocab.symbol[at]
                 missing = np.flatnonzero(~hit)
@@ -145,7 +158,7 @@ def encoded(docs: DataFrame, shared) -> DataFrame:
                 own = at[hit]
                 logs = vocab.log_count[own]
                 shaped = ids >= vocab.first_shape
-                symbols.append(ids.astype("<u2").tobytes())
+                symbols.append(ids.astype(vocab.kind).tobytes())
                 totals.append(len(words))
                 base.append(float(logs.sum()) - len(words) * vocab.log_total)
                 known.append(int((vocab.counts[own] > 0).sum()))
@@ -174,40 +187,112 @@ def first_model(share: np.ndarray, states: int = STATES) -> Model:
     return Model(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def expected(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of starts, moves and emissions over the sequences, by scaled
-    forward-backward recursions on all of them at once."""
-    k, v = len(model.start), len(model.emit)
-    longest = max(map(len, sequences))
-    grid, there = np.zeros((longest, len(sequences)), np.int64), np.zeros((longest, len(sequences)), bool)
-    for i, s in enumerate(sequences):
+def _grid(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences side by side, a row for each step, and where there is a step."""
+    longest = max(map(len, pieces))
+    grid, there = np.zeros((longest, len(pieces)), np.int64), np.zeros((longest, len(pieces)), bool)
+    for i, s in enumerate(pieces):
         grid[: len(s), i] = s
         there[: len(s), i] = True
-    ahead = np.empty((longest, len(sequences), k))
+    return grid, there
+
+
+def _portions(sizes: np.ndarray):
+    """Positions of pieces by length, in portions of ``CELLS`` steps or one piece."""
+    order = np.argsort(sizes, kind="stable")
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and sizes[order[end]] * (end + 1 - at) <= CELLS:
+            end += 1
+        yield order[at:end].tolist()
+        at = end
+
+
+def transfers(model: Model, pieces: list[np.ndarray]) -> np.ndarray:
+    """For each piece a matrix, up to a factor: the vector before the piece's first emission
+    times it is the one after its last."""
+    k = len(model.start)
+    grid, there = _grid(pieces)
+    made = np.eye(k) * model.emit[grid[0]][:, None, :]
+    for t in range(1, len(grid)):
+        step = (made.reshape(-1, k) @ model.move).reshape(made.shape) * model.emit[grid[t]][:, None, :]
+        made = np.where(there[t][:, None, None], step, made)
+        if t % 8 == 0:  # emissions are over 1e-30 or so, and doubles reach 1e-300
+            made /= made.sum((1, 2), keepdims=True)
+    return made
+
+
+def _borders(model: Model, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each piece of one sequence the forward vector before it (zeros: none) and the
+    backward vector at its end, up to a factor."""
+    n, k = len(steps), len(model.start)
+    before, after = np.zeros((n, k)), np.ones((n, k))
+    a = model.start
+    for s in range(n - 1):
+        a = a @ steps[s]
+        before[s + 1] = a = a / a.sum()
+        a = a @ model.move
+    for s in range(n - 1, 0, -1):
+        b = model.move @ (steps[s] @ after[s])
+        after[s - 1] = b / b.sum()
+    return before, after
+
+
+def expected(model: Model, sequences: list[np.ndarray], stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts of starts, moves and emissions over whole sequences, by scaled
+    forward-backward recursions on many of them at once."""
+    k = len(model.start)
+    sums = [np.zeros(k), np.zeros((k, k)), np.zeros((len(model.emit), k))]
+    pieces, before, after = [], [], []
+    none, end = np.zeros((1, k)), np.ones((1, k))
+    for s in sequences:
+        own = [s[i : i + stretch] for i in range(0, len(s), stretch)]
+        if len(own) > 1:
+            steps = np.empty((len(own), k, k))
+            for part in _portions(np.array(list(map(len, own))) * k):
+                steps[part] = transfers(model, [own[i] for i in part])
+            b, a = _borders(model, steps)
+        pieces += own
+        before.append(b if len(own) > 1 else none)
+        after.append(a if len(own) > 1 else end)
+    before, after = np.concatenate(before), np.concatenate(after)
+    for part in _portions(np.array(list(map(len, pieces)))):
+        for x, y in zip(sums, _counts(model, [pieces[i] for i in part], before[part], after[part]), strict=True):
+            x += y
+    return tuple(sums)
+
+
+def _counts(model: Model, pieces: list[np.ndarray], before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts of pieces of sequences, between what comes before and after each."""
+    k, v = len(model.start), len(model.emit)
+    grid, there = _grid(pieces)
+    longest, n = grid.shape
+    last = there.sum(0) - 1
+    opens = ~before.any(1)
+    ahead = np.empty((longest, n, k))
     seen = model.emit[grid]
     seen[~there] = 1.0
-    scale = np.ones((longest, len(sequences), 1))
-    a = model.start * seen[0]
+    scale = np.ones((longest, n, 1))
     for t in range(longest):
-        if t:
-            a = (ahead[t - 1] @ model.move) * seen[t]
+        a = (ahead[t - 1] @ model.move if t else np.where(opens[:, None], model.start, before @ model.move)) * seen[t]
         scale[t] = a.sum(1, keepdims=True)
-        ahead[t] = a = a / scale[t]
-    moves, back = np.zeros((k, k)), np.ones((len(sequences), k))
+        ahead[t] = a / scale[t]
+    after = after / (ahead[last, np.arange(n)] * after).sum(1, keepdims=True)
+    moves, back = np.zeros((k, k)), np.ones((n, k))
     emits = np.zeros((v, k))
     for t in range(longest - 1, -1, -1):
+        back = np.where((last == t)[:, None], after, back)
         both = ahead[t] * back
         both /= both.sum(1, keepdims=True)
         ahead[t] = both * there[t][:, None]
-        if t:
-            later = seen[t] * back / scale[t]
-            back = later @ model.move.T
-            raw = ahead[t - 1] * there[t][:, None]
-            moves += raw.T @ later
+        later = seen[t] * back / scale[t]
+        moves += ((ahead[t - 1] if t else before) * there[t][:, None]).T @ later
+        back = later @ model.move.T
     flat = grid[there]
     for j in range(k):
         emits[:, j] = np.bincount(flat, ahead[..., j][there], v)
-    return ahead[0].sum(0), moves * model.move, emits
+    return ahead[0][opens].sum(0), moves * model.move, emits
 
 
 def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
@@ -236,7 +321,7 @@ def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
 
 def trained(rows: DataFrame, vocab: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over the column ``symbols``."""
-    spark, model = rows.sparkSession, first_model(vocab.share, states)
+    spark, model, kind = rows.sparkSession, first_model(vocab.share, states), vocab.kind
     shape = "id int, " + ", ".join(f"s{j} double" for j in range(states))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
@@ -245,19 +330,20 @@ def trained(rows: DataFrame, vocab: Vocabulary, states: int = STATES, rounds: in
             model = shared.value
             sums = [np.zeros(states), np.zeros((states, states)), np.zeros((len(model.emit), states))]
             held: list[np.ndarray] = []
+            size = 0
 
             def add():
-                held.sort(key=len)
                 for x, y in zip(sums, expected(model, held), strict=True):
                     x += y
                 held.clear()
 
             for batch in batches:
                 for x in batch.column(0):
-                    s = np.frombuffer(x.as_py(), "<u2").astype(np.int64)
-                    held.extend(s[i : i + STRETCH] for i in range(0, len(s), STRETCH))
-                    while len(held) >= SEQUENCES:
+                    held.append(np.frombuffer(x.as_py(), kind).astype(np.int64))
+                    size += len(held[-1])
+                    if size >= 2 * CELLS:
                         add()
+                        size = 0
             if held:
                 add()
             rows = np.vstack([sums[2], sums[1], sums[0][None]])  # emissions, then moves, then starts
@@ -275,13 +361,13 @@ def trained(rows: DataFrame, vocab: Vocabulary, states: int = STATES, rounds: in
     return model
 
 
-def scored(rows: DataFrame, model: Model) -> DataFrame:
+def scored(rows: DataFrame, model: Model, kind: str) -> DataFrame:
     """``rows`` with log10 of the probability of their symbols, as ``forward``."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            sequences = [np.frombuffer(x.as_py(), "<u2").astype(np.int64) for x in batch.column(batch.schema.get_field_index("symbols"))]
+            sequences = [np.frombuffer(x.as_py(), kind).astype(np.int64) for x in batch.column(batch.schema.get_field_index("symbols"))]
             at = batch.schema.get_field_index("symbols")
             yield pa.RecordBatch.from_arrays([pa.array(log10_likelihoods(shared.value, sequences)) if i == at else batch.column(i) for i in range(batch.num_columns)], names=["forward" if i == at else n for i, n in enumerate(batch.schema.names)])
 
@@ -302,7 +388,7 @@ def language_model(docs: DataFrame, states: int = STATES, symbols: int = SYMBOLS
     # tokens outside the dictionary: log10((c + 1) / total) splits into a part in c, joined here, and a local one
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n").join(counts.select("token", "c"), "token")
     rare = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("logs"), F.sum("n").alias("rare_known"))
-    made = scored(rows, model).join(rare, "row", "left")
+    made = scored(rows, model, vocab.kind).join(rare, "row", "left")
     logs = F.coalesce("logs", F.lit(0.0))
     return made.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(vocab.n).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), (F.col("forward") + F.col("model") + logs).alias("score"))
 
