@@ -9,8 +9,10 @@ keys are joined by equality and each meeting is verified on all 64 bits.
 
 Only distinct fingerprints are indexed.  A task emits no pairs of a group but a spanning
 forest of the links it found, which has the same components.  A group larger than
-``GROUP`` is passed on under longer keys: its other bits are cut into five pieces, of which
-four differing bits leave at least one equal.  Components come from alternating large-star
+``GROUP`` is passed on, as it streams by, under longer keys: its other bits are cut into five
+pieces, of which four differing bits leave at least one equal.  What is too large even then,
+a dense cluster, is dealt into blocks of ``GROUP``, and each two blocks make a group of their
+own: so no task holds more than two blocks, however many fingerprints share a key.  Components come from alternating large-star
 and small-star steps on the written links.
 
 Defined results: a null, empty or blank text has fingerprint zero, which links like any
@@ -21,6 +23,8 @@ gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,8 +36,7 @@ from .common import chosen, stored, table
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Offset and width of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-PIECES = DISTANCE + 1
-#: Fingerprints in a group that one task compares on the first level.
+#: Fingerprints in a group that one task compares, or in each of the two blocks that it does.
 GROUP = 8192
 #: Groups up to this size are compared all at once, larger ones row by row.
 SMALL = 24
@@ -82,17 +85,17 @@ def others(key: int) -> int:
     return (2**64 - 1) ^ ((1 << width) - 1 << offset)
 
 
-def longer(key: int, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the second level for a large group, five for each fingerprint: the first
-    key with one piece of the other bits."""
-    bits = [i for i in range(64) if others(key) >> i & 1]
+def longer(key: int, fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the second level for a large group: each fingerprint under the group's key
+    with one piece of its other bits."""
+    bits = np.array([i for i in range(64) if others(key) >> i & 1])
     keys = []
-    for piece, part in enumerate(np.array_split(np.array(bits), PIECES)):
+    for piece, part in enumerate(np.array_split(bits, distance + 1)):
         mask = np.uint64(sum(1 << int(i) for i in part))
         mixed = ((fps & mask) ^ np.uint64(key)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(piece)
         mixed ^= mixed >> np.uint64(29)
         keys.append((mixed * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(key)).view(np.int64))  # a clash only adds a comparison
-    return np.concatenate(keys), np.tile(fps, PIECES)
+    return np.concatenate(keys), np.tile(fps, distance + 1)
 
 
 class Forest:
@@ -139,50 +142,77 @@ def _links(keys: np.ndarray, fps: np.ndarray, distance: int):
                 yield np.full(len(one), group[i]), group[near[one]]
 
 
-def _met(batches, last_level: bool, distance: int, limit: int):
-    """Rows (key, fp) sorted by key -> forest links (a, b); of a group beyond the limit,
-    on the first level, rows (key of the second level, fp) as (b null)."""
+def _met(batches, level: int, distance: int, limit: int):
+    """Rows (key, fp) sorted by key -> forest links (a, b).  A group beyond the limit is
+    passed on in rows with b null: on the first level under longer keys (key, a = fp), on
+    the second in blocks (key, block, a = fp).  On the third every group is solved."""
     forest = Forest()
 
-    def made(keys, fps):
+    def on(key: int, fps: np.ndarray, before: int = 0):
+        """before: how many of the group were passed on already"""
+        keys, of = longer(key, fps, distance) if level == 1 else (np.full(len(fps), key), fps)
+        blocks = (before + np.arange(len(of))) // limit
+        return pa.record_batch({"key": pa.array(keys), "block": pa.array(blocks.astype(np.int32)), "a": pa.array(of.view(np.int64)), "b": pa.nulls(len(of), pa.int64())})
+
+    def whole(keys, fps):
+        """Complete groups."""
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         sizes = np.diff(np.concatenate((starts, [len(keys)])))
-        large = np.zeros(len(keys), bool) if last_level else np.repeat(sizes > limit, sizes)
-        if large.any():
-            for k in np.unique(keys[large]).tolist():
-                new, of = longer(k, fps[keys == k])
-                yield pa.record_batch({"key": pa.array(new), "a": pa.array(of.view(np.int64)), "b": pa.nulls(len(of), pa.int64())})
+        large = (sizes > limit) & (level < 3)
+        for at, n in zip(starts[large].tolist(), sizes[large].tolist(), strict=True):
+            yield on(int(keys[at]), fps[at : at + n])
+        rest = ~np.repeat(large, sizes)
         a, b = [], []
-        for x, y in _links(keys[~large], fps[~large], distance) if not large.all() else ():
+        for x, y in _links(keys[rest], fps[rest], distance) if rest.any() else ():
             for p, q in zip(x.view(np.int64).tolist(), y.view(np.int64).tolist(), strict=True):
                 if forest.joins(p, q):
                     a.append(max(p, q))
                     b.append(min(p, q))
         if a:
-            yield pa.record_batch({"key": pa.nulls(len(a), pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            yield pa.record_batch({"key": pa.nulls(len(a), pa.int64()), "block": pa.nulls(len(a), pa.int32()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held = np.zeros(0, np.int64), np.zeros(0, np.uint64)  # of one group, which may go on
+    passing, passed = None, 0  # the group that is passed on as it comes, and how far
     for batch in batches:
-        keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+        keys = np.concatenate((held[0], batch.column(0).to_numpy()))
+        fps = np.concatenate((held[1], batch.column(1).to_numpy().view(np.uint64)))
+        if passing is not None and (n := int((keys == passing).sum())):
+            yield on(passing, fps[:n], passed)
+            passed += n
+            keys, fps = keys[n:], fps[n:]
+        held = keys[:0], fps[:0]
         if not len(keys):
             continue
-        cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+        passing = None
+        cut = int(np.searchsorted(keys, keys[-1]))
         if cut:
-            whole = [*held, (keys[:cut], fps[:cut])]
-            held = []
-            yield from made(*(np.concatenate(x) for x in zip(*whole, strict=True)))
-        held.append((keys[cut:], fps[cut:]))
-    if held:
-        yield from made(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield from whole(keys[:cut], fps[:cut])
+        if level < 3 and len(keys) - cut > limit:
+            passing, passed = int(keys[-1]), len(keys) - cut
+            yield on(passing, fps[cut:])
+        else:
+            held = keys[cut:], fps[cut:]
+    if len(held[0]):
+        yield from whole(*held)
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE, limit: int = GROUP) -> DataFrame:
     """Links (a > b) between the distinct fingerprints ``fp``, enough for the components."""
-    shape = "key bigint, a bigint, b bigint"
-    level = lambda df, last: df.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _met(batches, last, distance, limit), shape)
-    first = stored(level(distinct.select(F.explode(signatures(F.col("fp"))).alias("key"), "fp"), False), "links")
-    second = level(first.filter(F.col("b").isNull()).select("key", F.col("a").alias("fp")), True)
-    return first.filter(F.col("b").isNotNull()).unionByName(second).select("a", "b").distinct()
+    rows, found = distinct.select(F.explode(signatures(F.col("fp"))).alias("key"), "fp"), []
+    for level in (1, 2, 3):
+        dealt = rows.repartition("key").sortWithinPartitions("key")
+        made = stored(dealt.mapInArrow(lambda batches, level=level: _met(batches, level, distance, limit), "key bigint, block int, a bigint, b bigint"), "links")
+        found.append(made.filter(F.col("b").isNotNull()).select("a", "b"))
+        rows = made.filter(F.col("b").isNull()).select("key", "block", F.col("a").alias("fp"))
+        if not rows.head(1):
+            break
+        if level == 2:  # each two blocks of a group meet
+            blocks = stored(rows.groupBy("key").agg(F.max("block").alias("last")), "blocks")
+            pairs = rows.join(blocks, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+            rows = pairs.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "fp")
+        else:
+            rows = rows.select("key", "fp")
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -45,25 +45,48 @@ def test_against_brute_force(spark):
     assert sorted(str(tuple(r)) for r in made) == expected
 
 
-@pytest.mark.parametrize("limit", [8192, 3])
-def test_links_keep_components(spark, limit):
+@pytest.mark.parametrize(("limit", "rows"), [(8192, 10_000), (3, 10_000), (3, 7), (1, 5)])
+def test_links_keep_components(spark, limit, rows):
+    """However small the groups that are compared, and however few rows come at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     rng = np.random.default_rng(5)
     fps = [0, 2**63, 2**64 - 1]
-    for _ in range(8):
+    for _ in range(6):
         x = int(rng.integers(0, 2**63))
-        for _ in range(25):
+        for _ in range(12):
             fps.append(x)
             for b in rng.integers(0, 64, rng.integers(1, 6)):
                 x ^= 1 << int(b)
     fps = sorted(set(fps))
     signed = [x - 2**64 if x >= 2**63 else x for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
-    roots = dict(map(tuple, simhash.components(simhash.links(df, limit=limit)).collect()))
+    try:
+        forest = simhash.links(df, limit=limit)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    roots = dict(map(tuple, simhash.components(forest).collect()))
     mine = [roots.get(x, x) for x in signed]
     theirs = slow_components(list(enumerate(fps)))
     assert len(set(zip(mine, theirs, strict=True))) == len(set(mine)) == len(set(theirs))
 
 
+def test_more_shingles_than_are_counted_at_a_time():
+    text = " ".join(f"w{i % 977}x{i % 89}" for i in range(140_000))
+    assert simhash.fingerprint_of(text) == slow_fingerprint(text)
+
+
+def test_a_forest_that_forgets_loses_nothing(monkeypatch):
+    """Links over again are harmless; none is missing."""
+    monkeypatch.setattr(simhash, "FOREST", 3)
+    forest, up = simhash.Forest(), list(range(40))
+    pairs = [(i, j) for i in range(40) for j in range(i) if (i * j) % 7 == 0]
+    root = lambda i: i if up[i] == i else root(up[i])
+    for a, b in pairs:
+        if forest.joins(a, b):
+            up[max(root(a), root(b))] = min(root(a), root(b))
+    assert all(root(a) == root(b) for a, b in pairs)
+
+
 def test_keep_one_and_empty(spark):
     rows = corpus()
     df = frame(spark, rows, extra=True)
