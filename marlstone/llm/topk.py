@@ -1,7 +1,10 @@
 """Exact top-k search by inner product (operator 10).
 
-Candidates lie in blocks, each block column by column; queries come in blocks as well,
-and every block of queries meets every block of candidates.  For a query, the product is
+Candidates lie in blocks, each block column by column; queries come in blocks as well, and
+every block of queries meets every block of candidates: ``TOGETHER`` query blocks at a time
+come to one copy of a candidate block, in the narrowest integers that hold them.  The first
+candidate block is searched ahead, and each query's k-th score there bounds it in all the
+others.  For a query, the product is
 accumulated over one block of dimensions after another.  What the remaining dimensions
 can still add is at most the product of the two remaining norms; candidates whose partial
 sum and this bound stay under the k-th best sum known so far are dropped, and the
@@ -29,24 +32,33 @@ from .common import chosen, stored, table
 #: Dimensions that are accumulated before survivors are compacted.
 DIMENSIONS = 16
 #: Vectors in a block of candidates and in a block of queries.
-CANDIDATES, QUERIES = 16_384, 512
+CANDIDATES, QUERIES, TOGETHER = 16_384, 256, 4
 #: Candidates with the best first sums that are scored in full to get a first bound.
 PROBES = 32
 
 
-def pad(rows: list, width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width), np.int64)
-    for i, row in enumerate(rows):
-        out[i, : len(row)] = row
+def padded(lists: pa.ListArray) -> np.ndarray:
+    """Lists of integers as rows of a matrix in the narrowest type, zeros after short ones."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    most = max((int(flat.max()), -int(flat.min()) - 1), default=0) if len(flat) else 0
+    out = np.zeros((len(sizes), int(sizes.max(initial=0))), np.int16 if most < 2**15 else np.int32 if most < 2**31 else np.int64)
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
     return out
 
 
-def search(queries: np.ndarray, query_rows: np.ndarray, columns: np.ndarray, rows: np.ndarray, k: int, step: int = DIMENSIONS) -> list[tuple[np.ndarray, np.ndarray]]:
+def widened(x: np.ndarray, width: int) -> np.ndarray:
+    """With rows of zeros up to ``width``."""
+    return np.vstack([x, np.zeros((width - len(x), x.shape[1]), x.dtype)])
+
+
+def search(queries: np.ndarray, query_rows: np.ndarray, columns: np.ndarray, rows: np.ndarray, k: int, step: int = DIMENSIONS, bars: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the positions and scores of its k best columns, best first, ties to
     smaller positions.  ``columns`` has a row for each dimension and a column for each
-    candidate; a candidate whose row number is the query's own takes no part."""
+    candidate; a candidate whose row number is the query's own takes no part.  ``bars``:
+    scores that the result needs nothing below of, for each query."""
     width, n = columns.shape
-    most = lambda x: int(np.abs(x).max(initial=0))
+    most = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
     exact = most(queries) * most(columns) * max(width, 1) < 2**53  # then doubles hold each sum without error
     wide = np.float64 if exact else np.int64
     first = np.argsort(-np.square(columns, dtype=np.float64).sum(1), kind="stable")  # heavy dimensions first
@@ -58,20 +70,21 @@ def search(queries: np.ndarray, query_rows: np.ndarray, columns: np.ndarray, row
     for q, own in zip(range(len(queries)), query_rows, strict=True):
         left = np.flatnonzero(rows != own)
         sums = np.zeros(len(left), wide)
-        bar = -math.inf
+        bar = -math.inf if bars is None else bars[q]
         for b, c in enumerate(cuts):
             block = columns[c : c + step]
             sums = sums + queries[q, c : c + step] @ (block if len(left) == n else block[:, left])
-            if len(left) <= k or b == len(cuts) - 1 or not exact:
+            if not len(left) or len(left) <= k and bars is None or b == len(cuts) - 1 or not exact:
                 continue
-            if b == 0:
+            if b == 0 and len(left) > k:
                 probe = left[np.argpartition(-sums, min(PROBES, len(sums)) - 1)[:PROBES]]
                 whole = queries[q] @ columns[:, probe]
                 if len(whole) >= k:
-                    bar = np.partition(whole, len(whole) - k)[len(whole) - k]
+                    bar = max(bar, np.partition(whole, len(whole) - k)[len(whole) - k])
             rest = query_mass[b][q] * column_mass[b][left]
             rest += 1e-9 * rest + 1e-6  # the norms are rounded
-            bar = max(bar, np.partition(sums - rest, len(sums) - k)[len(sums) - k])
+            if len(left) > k:
+                bar = max(bar, np.partition(sums - rest, len(sums) - k)[len(sums) - k])
             alive = sums + rest >= bar
             left, sums = left[alive], sums[alive]
         best = np.lexsort((left, -sums))[:k]
@@ -91,40 +104,52 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0)
     n_blocks, q_blocks = max(1, -(-n // CANDIDATES)), max(1, -(-n_queries // QUERIES))
 
     def pack(rows: pa.Table) -> pa.Table:
-        """One row for a block: ids and row numbers (by id, nulls last), then the matrix column by column."""
-        ids = rows["vec_id"].to_numpy(zero_copy_only=False).astype(np.float64)
-        order = np.lexsort((rows["row"].to_numpy(), np.where(rows["vec_id"].is_null(), 0, rows["vec_id"].fill_null(0)), np.isnan(ids)))
+        """One row for a block: ids and row numbers (by id, nulls last), bars, then the matrix column by column."""
+        ids = rows["vec_id"].combine_chunks()
+        order = np.lexsort((rows["row"].to_numpy(), ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)))
         rows = rows.take(pa.array(order))
-        lists = rows["v"].combine_chunks()
-        width = int(max(np.diff(lists.offsets.to_numpy()), default=0))
-        matrix = pad(lists.to_pylist(), width)
-        return pa.table({"part": [rows["part"][0].as_py()], "ids": [rows["vec_id"].to_pylist()], "rows": [rows["row"].to_pylist()], "matrix": [np.ascontiguousarray(matrix.T).tobytes()]}, schema=packed)
+        matrix = padded(rows["v"].combine_chunks())
+        block = {"part": [rows["part"][0].as_py()], "ids": [rows["vec_id"].to_pylist()], "rows": [rows["row"].to_pylist()], "bars": [rows["bar"].to_pylist()]}
+        return pa.table(block | {"kind": [matrix.dtype.str], "matrix": [np.ascontiguousarray(matrix.T).tobytes()]}, schema=packed)
 
-    packed = pa.schema([("part", pa.int32()), ("ids", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64())), ("matrix", pa.binary())])
-    shape = "part int, ids array<bigint>, rows array<bigint>, matrix binary"
+    packed = pa.schema([("part", pa.int32()), ("ids", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64())), ("bars", pa.list_(pa.int64())), ("kind", pa.string()), ("matrix", pa.binary())])
+    shape = "part int, ids array<bigint>, rows array<bigint>, bars array<bigint>, kind string, matrix binary"
     dealt = lambda df, parts: df.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")).groupBy("part").applyInArrow(pack, shape)
-    candidates = dealt(made, n_blocks)
-    queries = dealt(made.filter(is_query), q_blocks).select(F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("matrix").alias("q_matrix"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("part"))
-
-    def meet(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                columns = np.frombuffer(r["matrix"], np.int64).reshape(-1, len(r["ids"]))
-                q = np.frombuffer(r["q_matrix"], np.int64).reshape(-1, len(r["q_ids"])).T
-                width = max(columns.shape[0], q.shape[1])
-                columns = np.vstack([columns, np.zeros((width - columns.shape[0], columns.shape[1]), np.int64)])
-                q = np.hstack([q, np.zeros((q.shape[0], width - q.shape[1]), np.int64)])
-                found = search(q, np.array(r["q_rows"]), columns, np.array(r["rows"]), k)
+    none = F.lit(None).cast("bigint")
+    candidates = stored(dealt(made.withColumn("bar", none), n_blocks), "candidates")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for c in left.to_pylist():  # one block, or none
+            columns = np.frombuffer(c["matrix"], c["kind"]).reshape(-1, len(c["ids"]))
+            ids, rows = pa.array(c["ids"], pa.int64()), np.array(c["rows"])
+            for i in range(right.num_rows):
+                q = {x: right[x][i].as_py() for x in ("ids", "rows", "bars", "kind", "matrix")}
+                own = np.frombuffer(q["matrix"], q["kind"]).reshape(-1, len(q["ids"]))
+                width = max(len(columns), len(own))
+                bars = np.array([-math.inf if x is None else x for x in q["bars"]])
+                found = search(widened(own, width).T, np.array(q["rows"]), widened(columns, width), rows, k, bars=bars if np.isfinite(bars).any() else None)
                 sizes = [len(at) for at, _ in found]
-                at = np.concatenate([a for a, _ in found] or [np.zeros(0, np.int64)]).astype(np.int64)
-                yield pa.record_batch({
-                    "query_row": pa.array(np.repeat(np.array(r["q_rows"], np.int64), sizes)),
-                    "query_id": pa.array(np.repeat(np.array(r["q_ids"], np.int64), sizes)),
-                    "vec_id": pa.array(r["ids"], pa.int64()).take(pa.array(at)),
-                    "score": pa.array(np.concatenate([s for _, s in found] or [np.zeros(0, np.int64)])),
-                })
-
-    best = candidates.join(queries, "part").mapInArrow(meet, "query_row bigint, query_id bigint, vec_id bigint, score bigint")
+                at = np.concatenate([a for a, _ in found]).astype(np.int64)
+                out.append(pa.table([np.repeat(np.array(q["rows"], np.int64), sizes), pa.array(q["ids"], pa.int64()).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))), ids.take(pa.array(at)), np.concatenate([s for _, s in found])], schema=met))
+        return pa.concat_tables(out) if out else met.empty_table()
+
+    met = pa.schema([(c, pa.int64()) for c in ("query_row", "query_id", "vec_id", "score")])
+
+    def against(blocks: DataFrame, queries: DataFrame, parts: list[int]) -> DataFrame:
+        """All query blocks against the candidate blocks ``parts`` (from, to)."""
+        salts = max(1, -(-q_blocks // TOGETHER))
+        left = blocks.filter(F.col("part").between(*parts)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        right = queries.withColumn("salt", F.floor(F.col("part") / TOGETHER).cast("int")).withColumn("part", F.explode(F.sequence(*map(F.lit, parts))))
+        keys = ["part", "salt"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_row bigint, query_id bigint, vec_id bigint, score bigint")
+
+    asked = made.filter(is_query)
+    best = against(candidates, dealt(asked.withColumn("bar", none), q_blocks), [0, 0])
+    if n_blocks > 1:
+        best = stored(best, "first")
+        bars = best.groupBy(F.col("query_row").alias("row")).agg(F.min("score").alias("bar"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).drop("n")
+        best = best.unionByName(against(candidates, dealt(asked.join(bars, "row", "left"), q_blocks), [1, n_blocks - 1]))
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
