@@ -2,8 +2,10 @@
 
 Each document is measured alone, in one pass over its whole text.  The failures of every
 rule are then counted by host (``source``); a host's rate is shrunk towards the rates of
-all hosts by a beta prior whose two parameters are fitted to those rates by moments, and
-a host of which any shrunk rate reaches its limit is rejected with all its documents.
+all hosts by a beta prior whose two parameters are fitted to those rates by moments.  A
+host is rejected with all its documents if a shrunk rate lies ``DEVIATIONS`` of the prior's
+standard deviations above the prior's mean, so it is out of line with the other hosts, and
+is ``LEAST`` at least, so that most of what it has is bad.
 
 Defined results: a null text counts as empty (no words, so it fails the base rules);
 documents with a null host form a host of their own; repeated rows are measured and
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from functools import reduce
+from math import sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,9 @@ from .common import chosen, stored, table
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
-#: A host is rejected if the shrunk rate of a rule's failures reaches this.
-HOST_LIMIT = 0.8
+#: How far above the prior's mean, in its standard deviations, and at least how high the
+#: shrunk rate of a rule's failures must be for a host to be rejected.
+DEVIATIONS, LEAST = 2.0, 0.5
 #: Host verdicts are dealt to so many salts, so that a host with a third of all rows isn't one group.
 SALTS = 16
 #: Bounds of the prior's weight, in documents.
@@ -102,8 +106,8 @@ def base_failed(m: Column) -> Column:
     return found["short"] | found["repeats"]
 
 
-def host_verdicts(rows: DataFrame, host: str, measure: str, limit: float = HOST_LIMIT) -> DataFrame:
-    """host, rejected and each rule's shrunk rate, one row for each host.  The prior is
+def host_verdicts(rows: DataFrame, host: str, measure: str, deviations: float = DEVIATIONS, least: float = LEAST) -> DataFrame:
+    """host, n, rejected and each rule's shrunk rate, one row for each host.  The prior is
     two numbers for each rule; nothing else comes to the driver."""
     found = rules(rows[measure])
     hosts = stored(
@@ -111,12 +115,13 @@ def host_verdicts(rows: DataFrame, host: str, measure: str, limit: float = HOST_
         "hosts",
     )
     moments = hosts.agg(*[f(F.col(k) / F.col("n")).alias(f"{k}_{f.__name__}") for k in found for f in (F.avg, F.var_pop)]).first()
-    shrunk = {}
+    shrunk, over = {}, []
     for k in found:
         mean, spread = moments[f"{k}_avg"] or 0.0, moments[f"{k}_var_pop"] or 0.0
         weight = min(HEAVIEST, max(LIGHTEST, mean * (1 - mean) / spread - 1)) if spread > 0 else HEAVIEST
         shrunk[k] = (F.col(k) + mean * weight) / (F.col("n") + weight)
-    return hosts.select("host", "n", *[v.alias(f"{k}_rate") for k, v in shrunk.items()]).withColumn("rejected", reduce(lambda a, b: a | b, [F.col(f"{k}_rate") >= limit for k in found]))
+        over.append(shrunk[k] >= max(least, mean + deviations * sqrt(mean * (1 - mean) / (weight + 1))))
+    return hosts.select("host", "n", *[v.alias(f"{k}_rate") for k, v in shrunk.items()], reduce(lambda a, b: a | b, over).alias("rejected"))
 
 
 def with_verdicts(rows: DataFrame, host: str, dealt_by: list[str], verdicts: DataFrame) -> DataFrame:
@@ -128,32 +133,43 @@ def with_verdicts(rows: DataFrame, host: str, dealt_by: list[str], verdicts: Dat
     return keyed.join(small, ["marl_key", "marl_salt"], "left").drop("marl_key", "marl_salt")
 
 
-def quality_rules(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+def quality_rules(docs: DataFrame, **limits) -> DataFrame:
     """doc_id, the measures, base_failed, host_rejected and kept of each row of ``docs``
     (doc_id, text, source)."""
     rows = stored(chosen(docs, doc_id="doc_id", host="source", text="text").select("doc_id", "host", measured(F.col("text")).alias("m")), "measures")
-    joined = with_verdicts(rows, "host", ["doc_id", "m"], host_verdicts(rows, "host", "m", limit))
+    joined = with_verdicts(rows, "host", ["doc_id", "m"], host_verdicts(rows, "host", "m", **limits))
     failed, rejected = base_failed(F.col("m")), F.col("marl_host.rejected")
     return joined.select("doc_id", *[f"m.{x}" for x in MEASURES], failed.alias("base_failed"), rejected.alias("host_rejected"), (~failed & ~rejected).alias("kept"))
 
 
-def keep_good(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
-    own = chosen(docs, host="source", text="text").select("host", measured(F.col("text")).alias("m"))
-    verdicts = host_verdicts(own, "host", "m", limit)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("marl_row"), docs["source"].alias("marl_source"), measured(docs["text"]).alias("marl_m"))
+def keep_good(docs: DataFrame, **limits) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.  Rows are
+    written with their measures, so each text is measured once."""
+    rows = stored(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("marl_row"), docs["source"].alias("marl_source"), measured(docs["text"]).alias("marl_m")), "measured")
+    verdicts = host_verdicts(rows.select("marl_source", "marl_m"), "marl_source", "marl_m", **limits)
     kept = with_verdicts(rows.filter(~base_failed(F.col("marl_m"))), "marl_source", ["marl_row"], verdicts).filter(~F.col("marl_host.rejected"))
     return kept.select("marl_row.*")
 
 
+def quality_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdicts on ``documents``, where a host is a source's texts of one order of length
+    (powers of two of their characters): those of the shortest texts are rejected."""
+    docs = table(spark, sf_dir, "documents")
+    size = F.floor(F.log2(F.length(F.coalesce("text", F.lit(""))) + 1)).cast("int")
+    rows = stored(docs.select(F.concat_ws("/", F.coalesce("source", F.lit(NO_HOST)), size.cast("string")).alias("host"), measured(F.col("text")).alias("m")), "measures")
+    verdicts = host_verdicts(rows, "host", "m")
+    rates = [F.round(c, 9).alias(c) for c in verdicts.columns if c.endswith("_rate")]
+    return verdicts.select("host", "n", *rates, "rejected")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = quality_rules(table(spark, sf_dir, "documents"))
     return made.select("doc_id", *MEASURES, "base_failed", "kept")
 
 
-OP9_SQL = r"""
+_MEASURED_SQL = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents
+  SELECT row_number() OVER () AS rid, doc_id, {host} AS host, coalesce(text, '') AS text FROM documents
 ), w AS (
   SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d
 ), words AS (
@@ -174,7 +190,7 @@ WITH d AS (
   SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid
 ), m AS (
-  SELECT d.rid, doc_id, coalesce(source, chr(0)) AS host, CAST(len(ws) AS BIGINT) AS n_words,
+  SELECT d.rid, doc_id, host, CAST(len(ws) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
@@ -196,11 +212,28 @@ WITH d AS (
   SELECT rule, mean, CASE WHEN spread > 0 THEN
     least(10000, greatest(1, mean * (1 - mean) / spread - 1)) ELSE 10000 END AS weight
   FROM prior
+), shrunk AS (
+  SELECT host, n, rule, (bad + mean * weight) / (n + weight) AS rate,
+    greatest(0.5, mean + 2.0 * sqrt(mean * (1 - mean) / (weight + 1))) AS most
+  FROM hosts JOIN weighed USING (rule)
 ), verdict AS (
-  SELECT host, bool_or((bad + mean * weight) / (n + weight) >= 0.8) AS rejected
-  FROM hosts JOIN weighed USING (rule) GROUP BY host
+  SELECT host, bool_or(rate >= most) AS rejected FROM shrunk GROUP BY host
 )
+"""
+OP9_SQL = (
+    _MEASURED_SQL.replace("{host}", "coalesce(source, chr(0))")
+    + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   short OR repeats AS base_failed, NOT (short OR repeats) AND NOT rejected AS kept
 FROM f JOIN verdict USING (host)
 """
+)
+HOSTS_SQL = (
+    _MEASURED_SQL.replace("{host}", "coalesce(source, chr(0)) || '/' || CAST(CAST(floor(log2(length(coalesce(text, '')) + 1)) AS INTEGER) AS VARCHAR)")
+    + """
+SELECT host, n, """
+    + ", ".join(f"round(max(rate) FILTER (WHERE rule = '{k}'), 9) AS {k}_rate" for k in ("short", "repeats", "symbols", "odd_words"))
+    + """, rejected
+FROM shrunk JOIN verdict USING (host) GROUP BY host, n, rejected
+"""
+)
