@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding (operator 6).
 
 The merges of one pre-token are driven by a rank queue: a bucket for each merge rank
-holds the linked-list positions where that merge is possible, and a three-level bitmap
+holds the linked-list positions where that merge is possible, and a bitmap of two levels
 over the ranks finds the lowest non-empty bucket with find-first-set.  Entries are never
 removed when a merge changes their pair; they are skipped as stale when they come up.
 A pre-token of n bytes takes about n log n steps, so very long ones are harmless.
@@ -205,6 +205,16 @@ def round_trip(spark: SparkSession, text: Column, vocabulary: str, pattern: str)
     return run(text)
 
 
+def closed(spark: SparkSession, text: Column, vocabulary: str | None = None, pattern: str | None = None) -> Column:
+    """``array<int>``: a text's token ids and, to close it, an id that is no token's."""
+    import public_tokenizers
+
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
+        end = max(parse_ranks(f.read()).values(), default=-1) + 1
+    return F.array_append(encode(spark, text, path, pattern or public_tokenizers.PATTERN), F.lit(end))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
     import public_tokenizers

@@ -1,23 +1,27 @@
 """Best-fit packing into bins of several permitted lengths (operator 1).
 
-A document has one token for each word ``[^\\x20\\x09-\\x0D]+`` and an end token; one longer
-than the greatest permitted length is cut into pieces of that length and a rest.  Pieces
+A document's tokens are its words ``[^\\x20\\x09-\\x0D]+`` and an end token, or what a tokenizer
+made of it; a document longer than the greatest permitted length is cut into pieces of that length and a rest.  Pieces
 are taken by falling length.  Each goes to the open bin that it leaves least room in; if
 none has room, a bin is opened at the permitted length of the least expected cost a token:
 the cost of each length is set against the fill that it would reach, the piece and then
 greedily the longest pieces still to come that fit.  At the end, every bin shrinks to the
 shortest permitted length that holds its contents.
 
-Pieces are dealt to shards by a hash of their row, so each shard is a random part of the
-corpus, and shards are packed independently; the shard count follows the number of pieces.
+Pieces are dealt to shards by a hash of id, text and piece, so each shard is a random part of
+the corpus however its files are split, and shards are packed independently; the shard
+count follows the number of pieces.  Only lengths are packed; then each document's tokens
+are cut into its pieces, and the pieces of a bin meet and are joined to a sequence.
 
-Defined results: a null or empty text is its end token alone; repeated rows are packed
-each; an empty table gives no rows; other columns are never read.  Among bins with equal
-room the one opened first wins, among equal lengths the smaller (doc_id, row).
+Defined results: a null or empty text is its end token alone; rows equal in id and text are
+numbered and packed each; an empty table gives no rows; other columns are never read.  Among
+bins with equal room the one opened first wins, among equal lengths the smaller id (null
+first), then the order of a hash of the text, the row's number and the piece.
 """
 
 from __future__ import annotations
 
+import re
 from heapq import heappop, heappush
 
 import numpy as np
@@ -26,12 +30,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chosen, stored, table
+from .repeats import halves
 
 LENGTHS = (512, 1024, 2048, 4096)
 #: Cost of a bin besides its length, in tokens.
 OVERHEAD = 64
 #: Pieces in a shard.
 SHARD = 40_000
+#: Closes each document among words, of which none is empty.
+END = ""
+_WORD = re.compile("[^\\x20\\x09-\\x0d]+")
+#: A row for each distinct pair of id and text, and which of its equals it is.
+ROW = ("doc_id", "h1", "h2", "copy")
 
 
 def n_tokens(text: Column) -> Column:
@@ -90,20 +100,19 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, overhead: int
     return bins, final
 
 
-def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
-    """One row for each piece: doc_id, piece (from 0), start and n_tokens (in the document's
-    tokens), bin_id, bin_length, slot (in the bin, from 0) and bin_offset (in its tokens)."""
+def _placed(rows: DataFrame, lengths: tuple[int, ...], overhead: int, shard: int) -> DataFrame:
+    """Pieces and their places, of rows (doc_id, h1, h2, n: tokens), of which equal ones are numbered."""
     most = max(lengths)
-    rows = chosen(docs, doc_id="doc_id", text="text").select("doc_id", n_tokens(F.col("text")).alias("n"), F.monotonically_increasing_id().alias("row"))
-    rows = stored(rows, "lengths")
-    count = rows.agg(F.sum(F.ceil(F.col("n") / most))).first()[0] or 0
-    pieces = rows.select("doc_id", "row", "n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / most).cast("int") - 1)).alias("piece"))
+    rows = stored(rows.groupBy("doc_id", "h1", "h2", "n").agg(F.count(F.lit(1)).alias("copies")), "lengths")
+    count = rows.agg(F.sum(F.ceil(F.col("n") / most) * F.col("copies"))).first()[0] or 0
+    each = rows.select("doc_id", "h1", "h2", "n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+    pieces = each.select(*ROW, "n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / most).cast("int") - 1)).alias("piece"))
     start = F.col("piece").cast("long") * most
-    pieces = pieces.select("doc_id", "row", "piece", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - start).alias("n_tokens"))
-    sharded = pieces.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.lit(max(1, -(-count // shard)))).cast("int"))
+    pieces = pieces.select(*ROW, "piece", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - start).alias("n_tokens"))
+    sharded = pieces.withColumn("shard", F.pmod(F.xxhash64(*ROW, "piece"), F.lit(max(1, -(-count // shard)))).cast("int"))
 
     def one(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("row", "ascending"), ("piece", "ascending")])
+        rows = rows.sort_by([("n_tokens", "descending"), *[(c, "ascending") for c in (*ROW, "piece")]])
         sizes = rows["n_tokens"].to_pylist()
         bins, final = best_fit(sizes, lengths, overhead)
         filled, slots, slot, offset = [0] * len(final), [0] * len(final), [], []
@@ -114,11 +123,69 @@ def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OV
             filled[b] += s
         ids = np.array(bins, np.int64) + (rows["shard"][0].as_py() << 32)
         made = {"bin_id": pa.array(ids), "bin_length": pa.array([final[b] for b in bins], pa.int32()), "slot": pa.array(slot, pa.int32()), "bin_offset": pa.array(offset, pa.int32())}
-        return pa.table({x: rows[x] for x in ("doc_id", "row", "piece", "start", "n_tokens")} | made)
+        return pa.table({x: rows[x] for x in (*ROW, "piece", "start", "n_tokens")} | made)
+
+    shape = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h1 bigint, h2 bigint, copy bigint, piece int, start bigint, n_tokens bigint, bin_id bigint, bin_length int, slot int, bin_offset int"
+    return sharded.groupBy("shard").applyInArrow(one, shape)
+
+
+def _own(docs: DataFrame, body: Column | None = None) -> DataFrame:
+    rows = chosen(docs, doc_id="doc_id", text="text")
+    h1, h2 = halves(F.coalesce(F.col("text"), F.lit("")))
+    return rows.select("doc_id", h1.alias("h1"), h2.alias("h2"), (F.col("text") if body is None else body).alias("body"))
 
-    shape = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row bigint, piece int, start bigint, n_tokens bigint, bin_id bigint, bin_length int, slot int, bin_offset int"
-    return sharded.groupBy("shard").applyInArrow(one, shape).drop("row")
+
+def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
+    """One row for each piece: doc_id, piece (from 0), start and n_tokens (in the document's
+    words), bin_id, bin_length, slot (in the bin, from 0) and bin_offset (in its tokens)."""
+    rows = _own(docs).select("doc_id", "h1", "h2", n_tokens(F.col("body")).alias("n"))
+    return _placed(rows, lengths, overhead, shard).drop("h1", "h2", "copy")
+
+
+def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD, tokens: Column | None = None) -> DataFrame:
+    """One row for each bin: bin_id, bin_length, n_tokens, the sequence ``tokens``, and of its
+    pieces in order the arrays doc_ids, starts (in the document's tokens) and sizes.  ``tokens``
+    makes an array of tokens, none of them empty, of the column ``text``; without it they are
+    words and END."""
+    own = _own(docs, tokens)
+    if tokens is not None:
+        own = stored(own, "tokens")  # a tokenizer runs once
+    n = n_tokens(F.col("body")) if tokens is None else F.size("body").cast("bigint")
+    placed = stored(_placed(own.select("doc_id", "h1", "h2", n.alias("n")), lengths, overhead, shard), "placed")
+    place = F.struct("start", "n_tokens", "bin_id", "bin_length", "slot")
+    places = stored(placed.groupBy(*ROW).agg(F.collect_list(place).alias("places")), "places")  # of one document
+    bodies = stored(own.groupBy("doc_id", "h1", "h2").agg(F.first("body").alias("body")), "bodies")
+    same = bodies["doc_id"].eqNullSafe(places["doc_id"]) & (bodies["h1"] == places["h1"]) & (bodies["h2"] == places["h2"])
+    as_words = tokens is None
+    kind = "string" if as_words else own.schema["body"].dataType.elementType.simpleString()
+    id_kind = own.schema["doc_id"].dataType.simpleString()
+
+    def cut(batches):
+        for batch in batches:
+            at = {c: batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "body", "places")}
+            take, columns, parts = [], {c: [] for c in ("bin_id", "bin_length", "slot", "start")}, []
+            for i, (body, own) in enumerate(zip(at["body"], at["places"].to_pylist(), strict=True)):
+                whole = [*_WORD.findall(body.as_py() or ""), END] if as_words else body.values
+                for p in own:
+                    take.append(i)
+                    for c, v in columns.items():
+                        v.append(p[c])
+                    parts.append(whole[p["start"] : p["start"] + p["n_tokens"]])
+            lists = pa.array(parts, pa.list_(pa.string())) if as_words else pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.concat_arrays(parts) if parts else pa.array([], at["body"].type.value_type))
+            yield pa.record_batch({"bin_id": pa.array(columns["bin_id"], pa.int64()), "bin_length": pa.array(columns["bin_length"], pa.int32()), "slot": pa.array(columns["slot"], pa.int32()), "doc_id": at["doc_id"].take(pa.array(take, pa.int64())), "start": pa.array(columns["start"], pa.int64()), "tokens": lists})
+
+    joined = bodies.join(places, same).select(bodies["doc_id"], "body", "places")
+    pieces = joined.mapInArrow(cut, f"bin_id bigint, bin_length int, slot int, doc_id {id_kind}, start bigint, tokens array<{kind}>")
+    bins = pieces.groupBy("bin_id", "bin_length").agg(F.array_sort(F.collect_list(F.struct("slot", "doc_id", "start", "tokens"))).alias("p"))  # a bin's, so few
+    whole = F.flatten(F.transform("p", lambda x: x["tokens"]))
+    listed = [F.transform("p", lambda x: x["doc_id"]).alias("doc_ids"), F.transform("p", lambda x: x["start"]).alias("starts"), F.transform("p", lambda x: F.size(x["tokens"])).alias("sizes")]
+    made = bins.select("bin_id", "bin_length", whole.alias("tokens"), *listed)
+    return made.select("bin_id", "bin_length", F.size("tokens").alias("n_tokens"), "tokens", "doc_ids", "starts", "sizes")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    """The sequences' places and contents, these as SHA-256 of the words joined by a space."""
+    made = packed(table(spark, sf_dir, "documents"))
+    return made.withColumn("tokens_sha256", F.sha2(F.array_join("tokens", " "), 256)).drop("tokens")
+
+
