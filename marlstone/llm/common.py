@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: How tables are written.  Very long texts make pages of hundreds of MB by default, as their
+#: size is looked at only after 100 rows, and Snappy keeps such pages outside the heap.
+WRITING = {"compression": "zstd", "parquet.page.size.row.check.min": "4", "parquet.page.size.row.check.max": "64"}
 _own_dirs: dict[str, str] = {}
 
 
@@ -80,7 +83,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     the lineage, outlives executors, and gives the planner true sizes."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    return _written(spark, lambda: df.write.parquet(path), lambda: spark.read.schema(df.schema).parquet(path), path)
+    return _written(spark, lambda: df.write.options(**WRITING).parquet(path), lambda: spark.read.schema(df.schema).parquet(path), path)
 
 
 def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -96,7 +99,7 @@ def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
         spark.sql(f"DROP TABLE {own}")  # the files stay: the table is external
         return found
 
-    return _written(spark, lambda: df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(own), made, path)
+    return _written(spark, lambda: df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).options(**WRITING).option("path", path).saveAsTable(own), made, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -47,7 +47,7 @@ _M_INVERSE = pow(_M, -1, 2**64)
 #: Units of text hashed at a time.
 CHUNK = 1 << 20
 #: Distinct records in a group that one task solves as a whole.
-GROUP = 1024
+GROUP = 4096
 #: Bytes of records that an engine gets at once.
 ENGINE_BYTES = 1 << 20
 

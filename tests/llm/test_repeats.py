@@ -98,7 +98,7 @@ def thue_morse(n, flip):
     return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
 
 
-@pytest.mark.parametrize("group", [1024, 1])
+@pytest.mark.parametrize("group", [4096, 1])
 def test_words_that_hash_alike(spark, group):
     """Two words whose polynomial hashes clash modulo 2^64, in otherwise equal windows."""
     rest = [f"w{i}" for i in range(34)]
@@ -119,7 +119,7 @@ def test_longer_than_a_chunk(spark, monkeypatch):
     assert len(units.split(rows[0][1].encode())[0]) == 90
 
 
-@pytest.mark.parametrize("group", [1024, 2])
+@pytest.mark.parametrize("group", [4096, 2])
 def test_first_occurrence_stays(spark, group):
     rows = [r for r in corpus(25, n=60) if r[0] is not None]
     rows = [*dict.fromkeys(rows)]

@@ -1,6 +1,7 @@
 """Operators whose rows stand alone or nearly so: quality, top-k, packing, BPE, toxicity."""
 
 import base64
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -26,21 +27,24 @@ def test_quality_measures():
 
 
 def test_quality_hosts(spark):
-    good = [(i, " ".join(f"word{i}x{j}" for j in range(30)), "en", "good", 1) for i in range(60)]
+    good = [(i, " ".join(f"word{i}x{j}" for j in range(30)), "en", f"good{i % 6}", 1) for i in range(60)]
     bad = [(100 + i, "too short", "en", "bad", 1) for i in range(200)] + [(400, good[0][1] + " more", "en", "bad", 1)]
-    rows = good + bad + [(500, "x", "en", None, 1), (None, None, None, None, None)]
+    rows = good + bad + [(500, "x", "en", None, 1), (None, None, None, None, None), *[(600 + i, good[i][1] + " no host", "en", None, 1) for i in range(6)]]
     df = frame(spark, rows, extra=True)
     made = {r["doc_id"]: r for r in quality.quality_rules(df).collect()}
     assert all(made[i]["kept"] for i in range(60))
     assert not made[400]["base_failed"] and made[400]["host_rejected"] and not made[400]["kept"]
     assert made[500]["base_failed"] and None in made and len(made) == len(rows)
     kept = quality.keep_good(df)
-    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(60))
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [*range(60), *range(600, 606)]
     assert quality.quality_rules(df.limit(0)).count() == 0 and quality.keep_good(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("scale", [256.0, 3e7])
-def test_topk(spark, scale):
+@pytest.mark.parametrize(("scale", "block"), [(256.0, 16_384), (3e7, 16_384), (256.0, 20), (3e7, 9), (1e8, 20)])
+def test_topk(spark, scale, block, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", block)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "TOGETHER", 2)
     rng = random.Random(1)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(40)]) for i in range(120)]
     rows += [(150, rows[3][1]), (200, None), (250, [1.0, None]), (300, [float("nan")] * 40), (350, []), (None, rows[5][1]), (7, rows[7][1]), (400, [0.5] * 10)]
@@ -68,6 +72,9 @@ def test_topk_search_prunes_nothing_good():
         whole = queries[q] @ columns
         order = [i for i in np.lexsort((np.arange(3000), -whole)) if i != q][:5]
         assert at.tolist() == order and scores.tolist() == whole[order].tolist()
+    bars = np.array([s[-1] + (i % 2) for i, (_, s) in enumerate(found)], np.float64)  # those below the bar needn't come
+    for (at, scores), (a, s), bar in zip(topk.search(queries, np.arange(20), columns, np.arange(3000), 5, bars=bars), found, bars, strict=True):
+        assert [x for x in zip(at.tolist(), scores.tolist(), strict=True) if x[1] >= bar] == [x for x in zip(a.tolist(), s.tolist(), strict=True) if x[1] >= bar]
 
 
 def naive_best_fit(sizes, lengths, overhead):
@@ -120,6 +127,30 @@ def test_packing(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_sequences(spark):
+    """Each document's tokens are found again, in order, in the sequences; bins don't depend
+    on how rows lie in partitions, ties and repeated rows included."""
+    rows = [*corpus(4), *corpus(4)[:9], (77, None, None, None, None), (78, "w " * 150, "en", "s", 1), (78, "v " * 150, "en", "s", 1)]
+    df = frame(spark, rows, extra=True)
+    made = packing.packed(df, (16, 32, 64), shard=20).collect()
+    parts: dict = {}
+    for r in made:
+        assert r["n_tokens"] == len(r["tokens"]) == sum(r["sizes"]) <= r["bin_length"] and not any(r["n_tokens"] <= x < r["bin_length"] for x in (16, 32, 64))
+        at = 0
+        for i, start, n in zip(r["doc_ids"], r["starts"], r["sizes"], strict=True):
+            parts.setdefault(i, Counter())[start, tuple(r["tokens"][at : at + n])] += 1
+            at += n
+    want: dict = {}
+    for i, t, *_ in rows:
+        words = [*(t or "").encode().split(), b""]
+        for start in range(0, len(words), 64):
+            want.setdefault(i, Counter())[start, tuple(w.decode() for w in words[start : start + 64])] += 1
+    assert parts == want
+    again = packing.packed(df.repartition(7, "text"), (16, 32, 64), shard=20).collect()
+    assert sorted(map(str, again)) == sorted(map(str, made))
+    assert packing.packed(df.limit(0)).count() == 0
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
@@ -139,6 +170,20 @@ def test_bpe(spark, tokenizer):
         assert bytes(r["back"]) == (r["text"] or "").encode()
 
 
+def test_bpe_round_trip(spark, tokenizer, tmp_path):
+    rows = [*corpus(5), (None, "no id é", None, None, None)]
+    frame(spark, rows, extra=True).write.parquet(f"{tmp_path}/documents.parquet")
+    made = bpe.op6_bpe(spark, str(tmp_path))
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    want = []
+    for i, t, *_ in rows:
+        ids = tokenizer.encode_ordinary(t or "")
+        want.append((i, len(ids), sha(" ".join(map(str, ids)).encode()), sha((t or "").encode())))
+    assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, want)) and made.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    frame(spark, rows).limit(0).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert bpe.op6_bpe(spark, f"{tmp_path}/empty").count() == 0
+
+
 def test_toxicity(spark):
     rng = random.Random(2)
     plain = ["".join(rng.choice("abdefilmnoprstu") for _ in range(rng.randrange(2, 8))) for _ in range(300)]
