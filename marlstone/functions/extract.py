@@ -6,13 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..profile import AUTHOR_KEYS, DEFAULT, KEYWORD_KEYS, SiteProfile
-from .text import blank_to_null, lines, string_list, strip, stripped_lines, word_count
+from ..profile import AUTHOR_KEYS, DATE, DEFAULT, KEYWORD_KEYS, MARKDOWN_LINK, SiteProfile
+from .text import BREAK, SPACE, blank_to_null, let, string_list, strip, stripped_lines, word_count
 from .urls import is_article_url, normalize_article_url, resolve, slug_from_url
 
-_LINK = r"\[([^\]]+)\]\((https?://[^\)]+)\)"
-_DATE = r":\s*([0-9]{1,2}\s+\w+\s+[0-9]{4})"
-
 
 def _text(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
@@ -24,20 +21,15 @@ def _first(xs: Column) -> Column:
 
 def _markdown_links(markdown: Column) -> Column:
     """(label, url) of each markdown link."""
-    labels, urls = (F.regexp_extract_all(_text(markdown), F.lit(_LINK), F.lit(i)) for i in (1, 2))
+    labels, urls = (F.regexp_extract_all(_text(markdown), F.lit(MARKDOWN_LINK), F.lit(i)) for i in (1, 2))
     return F.arrays_zip(labels.alias("label"), urls.alias("url"))
 
 
-def _before_heading(xs: Column) -> Column:
-    """The lines before the first level-2 heading."""
-    at = F.array_position(F.transform(xs, lambda x: x.startswith("## ")), True)
-    return F.when(at > 0, F.slice(xs, F.lit(1), (at - 1).cast("int"))).otherwise(xs)
-
-
-def _after(markdown: Column, marker: str) -> Column:
-    """What follows the marker's first occurrence (anywhere: Q2); null without one."""
-    at = F.instr(_text(markdown), marker)
-    return F.when(at > 0, F.substr(markdown, at + len(marker)))
+def _section(markdown: Column, marker: str) -> Column:
+    """What follows the marker's first occurrence (anywhere: Q2) up to a line that is a
+    level-2 heading; null without one."""
+    after = F.get(F.split(_text(markdown), marker, 2), F.lit(1))
+    return F.regexp_replace(after, rf"(?s)(?:\A|{BREAK})[{SPACE}]*## .*\z", "")
 
 
 def listing_urls(links: Column, markdown: Column, html: Column, raw_html: Column, base: Column, site: SiteProfile = DEFAULT, strict: bool = True) -> Column:
@@ -45,7 +37,7 @@ def listing_urls(links: Column, markdown: Column, html: Column, raw_html: Column
     bare = F.lit(site.article_prefix.replace(".", r"\.") + site.slug + r"(?:[?#][^\s\"')>]*)?")
     found = F.concat(
         F.coalesce(links, F.array().cast("array<string>")),
-        F.regexp_extract_all(_text(markdown), F.lit(_LINK), F.lit(2)),
+        F.regexp_extract_all(_text(markdown), F.lit(MARKDOWN_LINK), F.lit(2)),
         *[F.regexp_extract_all(_text(x), bare, F.lit(0)) for x in (markdown, html, raw_html)],
     )
     normal = F.transform(F.filter(found, lambda x: x.isNotNull()), lambda x: normalize_article_url(resolve(base, x)))
@@ -63,17 +55,19 @@ def peer_review_url(markdown: Column, labelled: Column, site: SiteProfile = DEFA
 
 
 def _listed(metadata: Column, keys: tuple[str, ...]) -> Column:
-    lists = [string_list(F.try_element_at(metadata, F.lit(k))) for k in keys]
-    return F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists])
+    found = [F.try_element_at(metadata, F.lit(k)) for k in keys]
+    return F.coalesce(*[F.when(x.rlike(f"[^{SPACE}]"), string_list(x)) for x in found])
 
 
 def authors(metadata: Column, markdown: Column) -> Column:
     """T4: from the metadata, else the second line of the text if it reads like names."""
-    own = stripped_lines(_text(markdown))
-    second = F.get(own, F.lit(1))
-    names = string_list(F.replace(second, F.lit(" & "), F.lit(", ")))
-    usable = ~second.startswith("## ") & (F.size(names) > 0) & F.forall(names, lambda n: word_count(n) <= 6)
-    return F.coalesce(_listed(metadata, AUTHOR_KEYS), F.when(usable, names), F.array().cast("array<string>"))
+
+    def named(second: Column) -> Column:
+        names = string_list(F.replace(second, F.lit(" & "), F.lit(", ")))
+        return F.when(~second.startswith("## "), let(names, lambda xs: F.when((F.size(xs) > 0) & F.forall(xs, lambda n: word_count(n) <= 6), xs)))
+
+    second = let(stripped_lines(F.slice(F.split(strip(_text(markdown)), rf"(?:{BREAK})[{SPACE}]*", 3), F.lit(1), F.lit(2))[1]), lambda xs: F.get(xs, F.lit(0)))
+    return F.coalesce(_listed(metadata, AUTHOR_KEYS), let(second, named), F.array().cast("array<string>"))
 
 
 def keywords(metadata: Column) -> Column:
@@ -83,14 +77,14 @@ def keywords(metadata: Column) -> Column:
 
 def section_headings(markdown: Column) -> Column:
     """T5: level-2 headings in order."""
-    found = F.filter(F.transform(lines(_text(markdown)), strip), lambda x: x.startswith("## "))
+    found = F.filter(F.transform(F.split(_text(markdown), BREAK), strip), lambda x: x.startswith("## "))
     return F.transform(found, lambda x: strip(F.substr(x, F.lit(4))))
 
 
 def reference_count(markdown: Column) -> Column:
     """Numbered lines after the references' heading; 0 is null."""
-    own = _before_heading(stripped_lines(_after(markdown, "## References")))
-    return F.nullif(F.size(F.filter(own, lambda x: x.rlike(r"^\d+\.|^\[\d+\]"))), F.lit(0))
+    own = stripped_lines(_section(markdown, "## References"))
+    return let(F.size(F.filter(own, lambda x: x.rlike(r"^\d+\.|^\[\d+\]"))), lambda n: F.when(n > 0, n))
 
 
 def article_pdf_url(url: Column, links: Column, markdown: Column, html: Column, metadata: Column, site: SiteProfile = DEFAULT) -> Column:
@@ -109,15 +103,15 @@ def title(url: Column, metadata: Column, markdown: Column, site: SiteProfile = D
     isn't the slug."""
     own = strip(blank_to_null(F.try_element_at(metadata, F.lit("title"))))
     suffix = f" | {site.journal}"
-    named = F.when(own.endswith(suffix), strip(F.substr(own, F.lit(1), F.length(own) - len(suffix)))).otherwise(own)
+    named = let(own, lambda t: F.when(t.endswith(suffix), strip(F.substr(t, F.lit(1), F.length(t) - len(suffix)))).otherwise(t))
     slug = slug_from_url(url)
-    heads = F.transform(F.filter(lines(_text(markdown)), lambda x: x.startswith("# ")), lambda x: strip(F.substr(x, F.lit(3))))
-    return F.coalesce(named, _first(F.filter(heads, lambda x: (x != "") & (x != slug))))
+    heads = F.transform(F.filter(F.split(_text(markdown), BREAK), lambda x: x.startswith("# ")), lambda x: strip(F.substr(x, F.lit(3))))
+    return F.coalesce(named, let(slug, lambda own: _first(F.filter(heads, lambda x: (x != "") & (x != F.coalesce(own, F.lit("")))))))
 
 
 def abstract(markdown: Column) -> Column:
     """The lines after the abstract's heading, joined by spaces."""
-    return F.nullif(F.array_join(_before_heading(stripped_lines(_after(markdown, "## Abstract"))), " "), F.lit(""))
+    return let(F.array_join(stripped_lines(_section(markdown, "## Abstract")), " "), lambda x: F.when(x != "", x))
 
 
 def doi(url: Column, markdown: Column, site: SiteProfile = DEFAULT) -> Column:
@@ -128,7 +122,7 @@ def doi(url: Column, markdown: Column, site: SiteProfile = DEFAULT) -> Column:
 
 def date(markdown: Column, label: str) -> Column:
     """The date after ``Published``, ``Accepted`` or ``Received``, as written."""
-    return F.nullif(F.regexp_extract(_text(markdown), f"(?U){label}{_DATE}", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(_text(markdown), f"(?U){label}{DATE}", 1), F.lit(""))
 
 
 def typed_date(text: Column) -> Column:

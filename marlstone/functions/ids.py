@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import text_key
+from .text import let, text_key
 
 #: Fixed value: the namespace of object identifiers (RFC 4122), in which content ids lie.
 _OID = "6ba7b8129dad11d180b400c04fd430c8"
@@ -30,8 +30,8 @@ def stem(path: Column) -> Column:
 
 def duplicate_keys(slug: Column, url: Column, doi: Column, article_pdf: Column, review_pdf: Column, title: Column, journal: Column) -> Column:
     """Up to six keys."""
-    tagged = lambda tag, x: F.concat(F.lit(f"{tag}:"), F.when(x != "", x))
-    t, j = text_key(title), text_key(journal)
+    tagged = lambda tag, x: let(x, lambda v: F.when(v != "", F.concat(F.lit(f"{tag}:"), v)))
+    named = let(F.struct(text_key(title).alias("t"), text_key(journal).alias("j")), lambda v: F.coalesce(F.concat(F.lit("title_journal:"), v["j"], F.lit(":"), v["t"]), F.concat(F.lit("title:"), v["t"])))
     return F.array_compact(
         F.array(
             tagged("slug", slug),
@@ -39,7 +39,7 @@ def duplicate_keys(slug: Column, url: Column, doi: Column, article_pdf: Column,
             tagged("doi", F.lower(doi)),
             tagged("article_pdf", F.lower(article_pdf)),
             tagged("peer_review_pdf", F.lower(review_pdf)),
-            F.coalesce(F.concat(F.lit("title_journal:"), j, F.lit(":"), t), F.concat(F.lit("title:"), t)),
+            named,
         )
     )
 

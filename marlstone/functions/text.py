@@ -2,40 +2,50 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Unicode white space, as str.strip() and str.split() see it.
-_SPACE = r"[\s\x1c-\x1f]"
+#: Fixed value: Unicode white space, as str.strip() and str.split() see it; spelt out, since
+#: Java's own Unicode classes are slow.
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Fixed value: where str.splitlines() ends a line.
+BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+def let(x: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(x)`` with ``x`` worked out once, however often ``make`` names it: an expression
+    that is named twice would be copied, and copies in copies grow without bound."""
+    return F.get(F.transform(F.array(x), make), F.lit(0))
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.regexp_replace(x, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
 
 
 def blank_to_null(x: Column) -> Column:
     """Null, empty and blank all count as missing."""
-    return F.when(strip(x) != "", x)
+    return F.when(x.rlike(rf"[^{SPACE}]"), x)
 
 
 def lines(x: Column) -> Column:
     """The lines of a text; a last line end adds none."""
-    ended = F.split(x, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
-    return F.when(F.element_at(ended, -1) == "", F.slice(ended, F.lit(1), F.size(ended) - 1)).otherwise(ended)
+    return let(F.split(x, BREAK), lambda xs: F.when(F.element_at(xs, -1) == "", F.slice(xs, F.lit(1), F.size(xs) - 1)).otherwise(xs))
 
 
 def stripped_lines(x: Column) -> Column:
     """The lines of a text that aren't blank, without the space around them."""
-    return F.filter(F.transform(lines(x), strip), lambda line: line != "")
+    return F.filter(F.transform(F.split(x, BREAK), strip), lambda line: line != "")
 
 
 def word_count(x: Column) -> Column:
-    return F.when(x.isNull(), 0).otherwise(F.size(F.filter(F.split(x, rf"(?U){_SPACE}+"), lambda w: w != "")))
+    return F.coalesce(F.size(F.regexp_extract_all(x, F.lit(rf"[^{SPACE}]+"), F.lit(0))), F.lit(0))
 
 
 def text_key(x: Column) -> Column:
     """Lower case, single spaces, none around; null if nothing is left."""
-    return F.nullif(F.regexp_replace(F.lower(strip(x)), rf"(?U){_SPACE}+", " "), F.lit(""))
+    return F.nullif(F.regexp_replace(F.lower(strip(x)), rf"[{SPACE}]+", " "), F.lit(""))
 
 
 def string_list(x: Column) -> Column:
@@ -43,7 +53,7 @@ def string_list(x: Column) -> Column:
     nothing but separators is its own single part."""
     parts = F.filter(F.transform(F.split(x, "[;,]"), strip), lambda part: part != "")
     whole = F.filter(F.array(strip(x)), lambda part: part != "")
-    return F.when(x.isNull(), F.array().cast("array<string>")).when(F.size(parts) > 0, parts).otherwise(whole)
+    return F.when(x.isNull(), F.array().cast("array<string>")).when(x.rlike(f"[^;,{SPACE}]"), parts).otherwise(whole)
 
 
 def clean_list(xs: Column) -> Column:

@@ -36,5 +36,8 @@ class SiteProfile:
 
 DEFAULT = SiteProfile()
 
+# Fixed values, for the right results: how pages name their fields, and what links and dates look like.
 AUTHOR_KEYS = ("authors", "author", "citation_author", "dc.creator", "dc_creator")
 KEYWORD_KEYS = ("keywords", "keyword", "citation_keywords")
+MARKDOWN_LINK = r"\[([^\]]+)\]\((https?://[^\)]+)\)"
+DATE = r":\s*([0-9]{1,2}\s+\w+\s+[0-9]{4})"
