@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chosen, stored, table
+from .common import bucketed, chosen, dropped, stored, table
 from .repeats import halves
 
 LENGTHS = (512, 1024, 2048, 4096)
@@ -40,8 +40,8 @@ SHARD = 40_000
 #: Closes each document among words, of which none is empty.
 END = ""
 _WORD = re.compile("[^\\x20\\x09-\\x0d]+")
-#: A row for each distinct pair of id and text, and which of its equals it is.
-ROW = ("doc_id", "h1", "h2", "copy")
+#: Names a row: a digest of its id and text, and which of its equals it is.
+ROW = ("h1", "h2", "copy")
 
 
 def n_tokens(text: Column) -> Column:
@@ -101,18 +101,18 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, overhead: int
 
 
 def _placed(rows: DataFrame, lengths: tuple[int, ...], overhead: int, shard: int) -> DataFrame:
-    """Pieces and their places, of rows (doc_id, h1, h2, n: tokens), of which equal ones are numbered."""
+    """Pieces and their places, of rows (doc_id, h1, h2, n: tokens, copies: how many are equal)."""
     most = max(lengths)
-    rows = stored(rows.groupBy("doc_id", "h1", "h2", "n").agg(F.count(F.lit(1)).alias("copies")), "lengths")
+    rows = stored(rows.select("doc_id", "h1", "h2", "n", "copies"), "lengths")
     count = rows.agg(F.sum(F.ceil(F.col("n") / most) * F.col("copies"))).first()[0] or 0
     each = rows.select("doc_id", "h1", "h2", "n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
-    pieces = each.select(*ROW, "n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / most).cast("int") - 1)).alias("piece"))
+    pieces = each.select("doc_id", *ROW, "n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / most).cast("int") - 1)).alias("piece"))
     start = F.col("piece").cast("long") * most
-    pieces = pieces.select(*ROW, "piece", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - start).alias("n_tokens"))
+    pieces = pieces.select("doc_id", *ROW, "piece", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - start).alias("n_tokens"))
     sharded = pieces.withColumn("shard", F.pmod(F.xxhash64(*ROW, "piece"), F.lit(max(1, -(-count // shard)))).cast("int"))
 
     def one(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("n_tokens", "descending"), *[(c, "ascending") for c in (*ROW, "piece")]])
+        rows = rows.sort_by([("n_tokens", "descending"), *[(c, "ascending") for c in ("doc_id", *ROW, "piece")]])
         sizes = rows["n_tokens"].to_pylist()
         bins, final = best_fit(sizes, lengths, overhead)
         filled, slots, slot, offset = [0] * len(final), [0] * len(final), [], []
@@ -123,7 +123,7 @@ def _placed(rows: DataFrame, lengths: tuple[int, ...], overhead: int, shard: int
             filled[b] += s
         ids = np.array(bins, np.int64) + (rows["shard"][0].as_py() << 32)
         made = {"bin_id": pa.array(ids), "bin_length": pa.array([final[b] for b in bins], pa.int32()), "slot": pa.array(slot, pa.int32()), "bin_offset": pa.array(offset, pa.int32())}
-        return pa.table({x: rows[x] for x in (*ROW, "piece", "start", "n_tokens")} | made)
+        return pa.table({x: rows[x] for x in ("doc_id", *ROW, "piece", "start", "n_tokens")} | made)
 
     shape = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h1 bigint, h2 bigint, copy bigint, piece int, start bigint, n_tokens bigint, bin_id bigint, bin_length int, slot int, bin_offset int"
     return sharded.groupBy("shard").applyInArrow(one, shape)
@@ -131,7 +131,8 @@ def _placed(rows: DataFrame, lengths: tuple[int, ...], overhead: int, shard: int
 
 def _own(docs: DataFrame, body: Column | None = None) -> DataFrame:
     rows = chosen(docs, doc_id="doc_id", text="text")
-    h1, h2 = halves(F.coalesce(F.col("text"), F.lit("")))
+    name = F.concat(F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("")), F.lit("\x00"), F.coalesce(F.col("text"), F.lit("")))
+    h1, h2 = halves(name)
     return rows.select("doc_id", h1.alias("h1"), h2.alias("h2"), (F.col("text") if body is None else body).alias("body"))
 
 
@@ -139,53 +140,50 @@ def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OV
     """One row for each piece: doc_id, piece (from 0), start and n_tokens (in the document's
     words), bin_id, bin_length, slot (in the bin, from 0) and bin_offset (in its tokens)."""
     rows = _own(docs).select("doc_id", "h1", "h2", n_tokens(F.col("body")).alias("n"))
-    return _placed(rows, lengths, overhead, shard).drop("h1", "h2", "copy")
+    return _placed(rows.groupBy("doc_id", "h1", "h2", "n").agg(F.count(F.lit(1)).alias("copies")), lengths, overhead, shard).drop(*ROW)
 
 
 def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD, tokens: Column | None = None) -> DataFrame:
-    """One row for each bin: bin_id, bin_length, n_tokens, the sequence ``tokens``, and of its
-    pieces in order the arrays doc_ids, starts (in the document's tokens) and sizes.  ``tokens``
-    makes an array of tokens, none of them empty, of the column ``text``; without it they are
-    words and END."""
-    own = _own(docs, tokens)
-    if tokens is not None:
-        own = stored(own, "tokens")  # a tokenizer runs once
+    """One row for each bin: bin_id, bin_length, n_tokens, and of its pieces in order the
+    arrays doc_ids, starts (in the document's tokens), sizes and parts, which joined are the
+    sequence.  ``tokens`` makes an array of tokens of the column ``text``, and a part is
+    such an array; without it tokens are words and END, and a part joins them by a space."""
+    rows = _own(docs, tokens).groupBy("h1", "h2").agg(F.first("doc_id").alias("doc_id"), F.first("body").alias("body"), F.count(F.lit(1)).alias("copies"))
+    bodies = bucketed(rows, ["h1", "h2"], "bodies")  # one shuffle of the texts; the join below needs none
     n = n_tokens(F.col("body")) if tokens is None else F.size("body").cast("bigint")
-    placed = stored(_placed(own.select("doc_id", "h1", "h2", n.alias("n")), lengths, overhead, shard), "placed")
+    placed = stored(_placed(bodies.withColumn("n", n), lengths, overhead, shard), "placed")
     place = F.struct("start", "n_tokens", "bin_id", "bin_length", "slot")
     places = stored(placed.groupBy(*ROW).agg(F.collect_list(place).alias("places")), "places")  # of one document
-    bodies = stored(own.groupBy("doc_id", "h1", "h2").agg(F.first("body").alias("body")), "bodies")
-    same = bodies["doc_id"].eqNullSafe(places["doc_id"]) & (bodies["h1"] == places["h1"]) & (bodies["h2"] == places["h2"])
+    dropped(placed)
     as_words = tokens is None
-    kind = "string" if as_words else own.schema["body"].dataType.elementType.simpleString()
-    id_kind = own.schema["doc_id"].dataType.simpleString()
+    kind = "string" if as_words else bodies.schema["body"].dataType.simpleString()
+    id_kind = bodies.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
         for batch in batches:
             at = {c: batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "body", "places")}
-            take, columns, parts = [], {c: [] for c in ("bin_id", "bin_length", "slot", "start")}, []
+            take, columns, sizes, parts = [], {c: [] for c in ("bin_id", "bin_length", "slot", "start")}, [], []
             for i, (body, own) in enumerate(zip(at["body"], at["places"].to_pylist(), strict=True)):
                 whole = [*_WORD.findall(body.as_py() or ""), END] if as_words else body.values
                 for p in own:
                     take.append(i)
                     for c, v in columns.items():
                         v.append(p[c])
-                    parts.append(whole[p["start"] : p["start"] + p["n_tokens"]])
-            lists = pa.array(parts, pa.list_(pa.string())) if as_words else pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.concat_arrays(parts) if parts else pa.array([], at["body"].type.value_type))
-            yield pa.record_batch({"bin_id": pa.array(columns["bin_id"], pa.int64()), "bin_length": pa.array(columns["bin_length"], pa.int32()), "slot": pa.array(columns["slot"], pa.int32()), "doc_id": at["doc_id"].take(pa.array(take, pa.int64())), "start": pa.array(columns["start"], pa.int64()), "tokens": lists})
+                    part = whole[p["start"] : p["start"] + p["n_tokens"]]
+                    sizes.append(len(part))
+                    parts.append(" ".join(part) if as_words else part)
+            none = pa.array([], pa.string() if as_words else at["body"].type.value_type)
+            made = pa.array(parts, pa.string()) if as_words else pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)), pa.concat_arrays(parts) if parts else none)
+            yield pa.record_batch({"bin_id": pa.array(columns["bin_id"], pa.int64()), "bin_length": pa.array(columns["bin_length"], pa.int32()), "slot": pa.array(columns["slot"], pa.int32()), "doc_id": at["doc_id"].take(pa.array(take, pa.int64())), "start": pa.array(columns["start"], pa.int64()), "size": pa.array(sizes, pa.int32()), "part": made})
 
-    joined = bodies.join(places, same).select(bodies["doc_id"], "body", "places")
-    pieces = joined.mapInArrow(cut, f"bin_id bigint, bin_length int, slot int, doc_id {id_kind}, start bigint, tokens array<{kind}>")
-    bins = pieces.groupBy("bin_id", "bin_length").agg(F.array_sort(F.collect_list(F.struct("slot", "doc_id", "start", "tokens"))).alias("p"))  # a bin's, so few
-    whole = F.flatten(F.transform("p", lambda x: x["tokens"]))
-    listed = [F.transform("p", lambda x: x["doc_id"]).alias("doc_ids"), F.transform("p", lambda x: x["start"]).alias("starts"), F.transform("p", lambda x: F.size(x["tokens"])).alias("sizes")]
-    made = bins.select("bin_id", "bin_length", whole.alias("tokens"), *listed)
-    return made.select("bin_id", "bin_length", F.size("tokens").alias("n_tokens"), "tokens", "doc_ids", "starts", "sizes")
+    joined = bodies.join(places, ["h1", "h2"]).select("doc_id", "body", "places")
+    pieces = joined.mapInArrow(cut, f"bin_id bigint, bin_length int, slot int, doc_id {id_kind}, start bigint, size int, part {kind}")
+    bins = pieces.groupBy("bin_id", "bin_length").agg(F.sum("size").cast("int").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("slot", "doc_id", "start", "size", "part"))).alias("p"))  # a bin's, so few
+    listed = [F.col(f"p.{c}").alias(name) for name, c in (("doc_ids", "doc_id"), ("starts", "start"), ("sizes", "size"), ("parts", "part"))]
+    return bins.select("bin_id", "bin_length", "n_tokens", *listed)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequences' places and contents, these as SHA-256 of the words joined by a space."""
     made = packed(table(spark, sf_dir, "documents"))
-    return made.withColumn("tokens_sha256", F.sha2(F.array_join("tokens", " "), 256)).drop("tokens")
-
-
+    return made.withColumn("tokens_sha256", F.sha2(F.array_join("parts", " "), 256)).drop("parts")
