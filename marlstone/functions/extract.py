@@ -66,7 +66,8 @@ def authors(metadata: Column, markdown: Column) -> Column:
         names = string_list(F.replace(second, F.lit(" & "), F.lit(", ")))
         return F.when(~second.startswith("## "), let(names, lambda xs: F.when((F.size(xs) > 0) & F.forall(xs, lambda n: word_count(n) <= 6), xs)))
 
-    second = let(stripped_lines(F.slice(F.split(strip(_text(markdown)), rf"(?:{BREAK})[{SPACE}]*", 3), F.lit(1), F.lit(2))[1]), lambda xs: F.get(xs, F.lit(0)))
+    # breaks take the blank lines after them along
+    second = strip(F.get(F.split(strip(_text(markdown)), rf"(?:{BREAK})[{SPACE}]*", 3), F.lit(1)))
     return F.coalesce(_listed(metadata, AUTHOR_KEYS), let(second, named), F.array().cast("array<string>"))
 
 

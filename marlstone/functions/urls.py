@@ -77,21 +77,39 @@ def slug_from_url(url: Column) -> Column:
     return F.element_at(F.split(normalize_article_url(url), "/"), -1)
 
 
+def _without_dots(path: Column) -> Column:
+    """An absolute path without ``.`` and ``..`` (RFC 3986, 5.2.4)."""
+    parts = F.slice(F.split(path, "/"), F.lit(2), F.size(F.split(path, "/")))
+    walked = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, x)),
+        lambda done: F.concat(F.lit("/"), F.array_join(done, "/")),
+    )
+    ends = F.when(path.rlike(r"/\.{1,2}$") & ~walked.endswith("/"), "/").otherwise("")
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), F.concat(walked, ends)).otherwise(path)
+
+
 def resolve(base: Column, href: Column) -> Column:
-    """An address in a page against the page's own, by the cases of RFC 3986 (without
-    ``..`` inside the reference, which sites don't write in links)."""
+    """An address in a page against the page's own, by the cases of RFC 3986."""
     href = strip(href)
     root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     plain = F.regexp_replace(base, "(?s)[?#].*$", "")
     folder = F.when(plain == root, F.concat(root, F.lit("/"))).otherwise(F.regexp_replace(plain, "[^/]*$", ""))
+
+    def under(start: Column) -> Column:
+        whole = F.concat(start, href)
+        path = F.regexp_extract(whole, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
+        return F.concat(root, _without_dots(path), F.regexp_extract(whole, r"(?s)([?#].*)$", 1))
+
     return (
         F.when(href.rlike(_SCHEME) | (F.coalesce(base, F.lit("")) == ""), href)
         .when(href == "", base)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), href))
-        .when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("/"), under(root))
         .when(href.startswith("#"), F.concat(F.regexp_replace(base, "(?s)#.*$", ""), href))
         .when(href.startswith("?"), F.concat(plain, href))
-        .otherwise(F.concat(folder, F.regexp_replace(href, r"^(\./)+", "")))
+        .otherwise(under(folder))
     )
 
 

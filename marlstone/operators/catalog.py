@@ -1,4 +1,4 @@
-"""The crawl catalogue: attempts, latest states, page log, statistics, resuming."""
+"""The fetch catalogue: attempts, latest states, page log, statistics, resuming."""
 
 from __future__ import annotations
 
@@ -27,7 +27,7 @@ def upserted(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return table.join(new, keys, "left_anti").unionByName(new)
 
 
-def crawl_stats(articles: DataFrame, latest: DataFrame) -> DataFrame:
+def attempt_stats(articles: DataFrame, latest: DataFrame) -> DataFrame:
     """A1, A2: one row; an empty catalogue gives zeros and nulls (Q17)."""
     n = articles.agg(F.count(F.lit(1)).alias("total_articles"))
     states = latest.agg(

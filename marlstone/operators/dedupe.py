@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .checkpoints import cut
 
@@ -65,8 +64,3 @@ def greedy_leaders(rows: DataFrame, id_column: str, keys: str, most_rounds: int
     owner = pairs.join(leaders, "id", "left_semi").filter("k is not null").groupBy("k").agg(F.min("id").alias("owner"))
     found = pairs.join(owner, "k", "left").groupBy("id").agg(F.min("owner").alias("owner"))
     return found.select(F.col("id").alias(id_column), F.coalesce("owner", "id").alias("leader"))
-
-
-def in_order(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Adds ``seen``, the row's number among those of its keys."""
-    return rows.withColumn("seen", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))

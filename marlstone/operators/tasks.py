@@ -9,9 +9,9 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .checkpoints import cut
+from .numbering import numbered
 
 #: The states that the parsing service reports while it isn't finished.
 WAITING = ("waiting-file", "pending", "running", "converting")
@@ -19,15 +19,8 @@ BATCH = 200
 
 
 def chunked(rows: DataFrame, order: list[str], size: int = BATCH) -> DataFrame:
-    """Consecutive batches in the given order, and no empty one at the end (Q18).  The
-    rows are numbered without one task that sees all: sorted partitions are counted, and
-    their few sums are added up."""
-    placed = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    placed = placed.withColumn("at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    placed = cut(placed)
-    sums = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # a row for each partition
-    return placed.join(before, "part").withColumn("batch", F.floor((F.col("before") + F.col("at")) / size).cast("int")).select(*rows.columns, "batch")
+    """Consecutive batches in the given order, and no empty one at the end (Q18)."""
+    return numbered(rows, order, "marl_ord").select(*rows.columns, F.floor(F.col("marl_ord") / size).cast("int").alias("batch"))
 
 
 def file_state(state: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,15 @@ from ..functions.html import html_links, html_markdown, html_meta, html_review,
 from ..functions.urls import is_article_url, listing_url_with_year, normalize_article_url, slug_from_url
 from ..operators import catalog, dedupe, frontier, records
 from ..operators.checkpoints import cut
+from ..operators.numbering import numbered
 from ..profile import DEFAULT, SiteProfile
 from ..sources import files, providers
 
 ATTEMPT = "url string, status string, attempted_at string, succeeded_at string, article_slug string, error_message string"
+KEY = "dup_key string, slug string"
+UNDERFILLED = "archive_url string, page_number int, page_discovered int"
+#: Pages of a listing that are collected at once, at most.
+MOST_PAGES = 64
 PAGE = "archive_url string, page_number int, articles_found int, visited_at string"
 
 
@@ -45,12 +51,17 @@ class Catalog:
         """Adds rows, which all get the same, later time ``at``."""
         rows.withColumn("at", F.lit(now())).write.mode("append").parquet(f"{self.folder}/{name}")
 
-    def articles(self) -> DataFrame:
-        """One row for each slug, the last written."""
+    def articles(self, slugs: DataFrame | None = None) -> DataFrame:
+        """One row for each slug (of ``slugs`` only, if given), the last written."""
         if not self._there("articles"):
-            empty = records.records(self.spark.createDataFrame([], providers.SCRAPE))
-            return empty
-        return dedupe.last_by(self.log("articles", ""), ["slug"], ["at"]).drop("at")
+            return records.records(self.spark.createDataFrame([], providers.SCRAPE))
+        rows = self.log("articles", "")
+        rows = rows if slugs is None else rows.join(slugs.select("slug"), "slug", "left_semi")
+        return dedupe.last_by(rows, ["slug"], ["at"]).drop("at")
+
+    def names(self) -> DataFrame:
+        """slug and article_url of what is there: two columns of the log."""
+        return self.log("articles", "slug string, article_url string").select("slug", "article_url")
 
     def attempts(self) -> DataFrame:
         return catalog.latest_attempts(self.log("attempts", ATTEMPT).withColumn("ord", F.struct("at", "attempted_at")))
@@ -64,7 +75,7 @@ class Catalog:
 
     def stats(self) -> dict:
         """A2, Q17."""
-        return catalog.crawl_stats(self.articles(), self.attempts()).first().asDict()
+        return catalog.attempt_stats(self.articles(), self.attempts()).first().asDict()
 
     def failed(self) -> DataFrame:
         return catalog.failed_urls(self.attempts())
@@ -85,26 +96,39 @@ class Catalog:
 
 
 class Collector:
-    """M1-M9 over a catalogue, with an injected fetcher (X1) and callback."""
-
-    def __init__(self, spark: SparkSession, folder: str, fetch: providers.Fetcher, site: SiteProfile = DEFAULT, on_progress: Callable[[dict], None] | None = None, partitions: int | None = None):
-        self.spark, self.catalog, self.fetch, self.site = spark, Catalog(spark, folder), fetch, site
-        self.on_progress, self.partitions = on_progress or (lambda event: None), partitions
-
-    def collect_urls(self, urls: DataFrame, resume: bool = True, retry_failed: bool = True) -> DataFrame:
+    """M1-M9 over a catalogue (X2: a folder, or a Catalog), with an engine (X1: ``article``
+    and, for PDFs, ``content``; or a function that fetches a page) and a callback (X3).
+    ``per_second`` holds for articles and PDFs, over all ``partitions`` tasks."""
+
+    def __init__(self, spark: SparkSession, store: str | Catalog, client, site: SiteProfile = DEFAULT, on_progress: Callable[[dict], None] | None = None, partitions: int | None = None, per_second: float = 0.0):
+        self.spark, self.site = spark, site
+        self.catalog = store if isinstance(store, Catalog) else Catalog(spark, store)
+        self.client, self.fetch, self.content = client, getattr(client, "article", client), getattr(client, "content", None)
+        self.engine = getattr(client, "engine", "native")
+        self.on_progress = on_progress or (lambda event: None)
+        self.pace = {"partitions": partitions, "per_second": per_second}
+
+    def collect_urls(self, urls: DataFrame, resume: bool = True, retry_failed: bool = True, peer_reviews: bool = True) -> DataFrame:
         """M1: fetches what is neither cached nor known; returns the records of all addresses,
         one for each slug.  Duplicates are found before anything of theirs is written (Q11);
-        the order of addresses decides who leads (Q10)."""
+        the order of addresses decides who leads (Q10).
+
+        Of the catalogue only slugs, addresses and the keys that new records share are read.
+        Articles are written before attempts; both are read by key, the last row counting, so
+        a run that is repeated after a crash changes nothing."""
         own = urls.withColumn("url", normalize_article_url(F.col("url"))).filter(is_article_url(F.col("url"), self.site))
         own = own.withColumn("slug", slug_from_url(F.col("url"))).select("url", "ord", "slug")
-        there = cut(self.catalog.articles())
-        plan = cut(frontier.planned(own, self.catalog.attempts(), there, retry_failed, resume))
-        got = cut(plan.filter("action = 'fetch'").select("url", "ord").join(providers.fetched(frontier.pending(plan), self.fetch, self.partitions), "url"))
+        plan = cut(frontier.planned(own, self.catalog.attempts(), self.catalog.names(), retry_failed, resume))
+        got = cut(plan.filter("action = 'fetch'").select("url", "ord").join(providers.fetched(frontier.pending(plan), self.fetch, **self.pace), "url"))
         good = got.filter("error is null")
         made = cut(good.select("ord", "url").join(self._records(good).withColumnRenamed("article_url", "url0"), F.col("url") == F.col("url0")).withColumnRenamed("url0", "article_url"))
         keyed = made.select("ord", records.keys_of(made).alias("keys"))
-        known = dedupe.key_index(there.select("slug", records.keys_of(there).alias("keys"), F.col("slug").alias("place")), "slug", "keys", "place") if resume else None
-        match = dedupe.existing_match(keyed, known, "ord", "keys") if known is not None else keyed.select("ord", F.lit(None).cast("string").alias("duplicate_of"))
+        if resume:
+            asked = keyed.select(F.explode("keys").alias("dup_key")).distinct()
+            known = self.catalog.log("keys", KEY).join(asked, "dup_key", "left_semi").groupBy("dup_key").agg(F.min("slug").alias("first_id"))
+            match = dedupe.existing_match(keyed, known, "ord", "keys")
+        else:
+            match = keyed.select("ord", F.lit(None).cast("string").alias("duplicate_of"))
         match = cut(match)
         fresh = keyed.join(match.filter("duplicate_of is null"), "ord", "left_semi")
         leaders = cut(dedupe.greedy_leaders(fresh, "ord", "keys"))
@@ -112,12 +136,13 @@ class Collector:
         slug_of = made.select(F.col("ord").alias("leader"), F.col("slug").alias("leader_slug"))
         outcome = made.select("ord", "url").join(match, "ord", "left").join(leaders, "ord", "left").join(slug_of, "leader", "left")
         outcome = cut(outcome.select("ord", "url", F.coalesce("duplicate_of", "leader_slug").alias("slug")))
-        new = cut(kept.drop("ord", "url"))
+        new = self._with_files(cut(kept.drop("url")), peer_reviews)
         time = now()
         known_rows = plan.filter("action = 'known'").select("url", F.col("record_slug").alias("slug"))
         succeeded = outcome.select("url", "slug").unionByName(known_rows)
         none = F.lit(None).cast("string")
-        self.catalog.append("articles", new)
+        self.catalog.append("keys", new.select(F.explode(records.keys_of(new)).alias("dup_key"), "slug"))
+        self.catalog.append("articles", new.drop("ord"))
         self.catalog.append(
             "attempts",
             succeeded.select("url", F.lit("success").alias("status"), F.lit(time).alias("attempted_at"), F.lit(time).alias("succeeded_at"), F.col("slug").alias("article_slug"), none.alias("error_message")).unionByName(
@@ -125,7 +150,36 @@ class Collector:
             ),
         )
         slugs = outcome.select("slug").unionByName(plan.filter("record_slug is not null").select(F.col("record_slug").alias("slug"))).distinct()
-        return there.unionByName(new).join(slugs, "slug", "left_semi")
+        # a checkpoint, as plans over one folder at different times pass for the same plan
+        return cut(self.catalog.articles(slugs))
+
+    def _with_files(self, new: DataFrame, peer_reviews: bool) -> DataFrame:
+        """SNK1-SNK4: writes each record's markdown, PDFs and JSON, and its slim form to the
+        log; returns the records with the paths.  A file that can't be had is a row of the
+        log ``assets`` with its error, and no reason to lose the record (Q11)."""
+        folder = self.catalog.folder
+        named = lambda end: F.concat("slug", F.lit(end)).alias("name")
+        slug = F.regexp_replace("name", r"\.[a-z]+$", "").alias("slug")
+        written = files.write_blobs(new.filter("body_markdown is not null").select(named(".md"), "body_markdown"), f"{folder}/markdown", "name", "body_markdown")
+        assets = [written.select(slug, F.lit("markdown_path").alias("kind"), "path", "error")]
+        for kind, wanted in (("article_pdf", True), ("peer_review_pdf", peer_reviews)):
+            if not wanted or self.content is None:
+                continue
+            urls = new.filter(F.col(f"{kind}_url").isNotNull()).select("slug", F.col(f"{kind}_url").alias("url"))
+            got = cut(urls.join(providers.downloaded(urls.select("url").distinct(), self.content, **self.pace), "url"))
+            written = files.write_blobs(got.filter("error is null").select(named(".pdf"), "content"), f"{folder}/{kind}s", "name", "content")
+            assets += [written.select(slug, F.lit(f"{kind}_path").alias("kind"), "path", "error"), got.filter("error is not null").select("slug", F.lit(f"{kind}_path").alias("kind"), F.lit(None).cast("string").alias("path"), "error")]
+        whole = assets[0]
+        for x in assets[1:]:
+            whole = whole.unionByName(x)
+        self.catalog.append("assets", whole)
+        kinds = ("markdown_path", "article_pdf_path", "peer_review_pdf_path")
+        paths = whole.groupBy("slug").agg(*[F.max(F.when(F.col("kind") == k, F.col("path"))).alias(k) for k in kinds])
+        out = new.drop(*kinds).join(paths, "slug", "left").withColumn("record_path", F.concat(F.lit(f"{folder}/records/"), "slug", F.lit(".json")))
+        out = cut(out.select(*new.columns))
+        files.write_blobs(records.as_json(out.drop("ord"), "slug").select(named(".json"), "json"), f"{folder}/records", "name", "json")
+        files.append_jsonl(out.select("ord", *records.SUMMARY), f"{folder}/articles.jsonl", ["ord"])
+        return out
 
     def _records(self, scrapes: DataFrame) -> DataFrame:
         """Fields that the fetcher left out come from the page's markup."""
@@ -138,24 +192,27 @@ class Collector:
             F.coalesce("metadata", last_meta(html_meta(html, F.col("url")))).alias("metadata"),
             html_review(html).alias("review"),
         )
-        return records.records(full, self.site, labelled=F.col("review"))
+        return records.records(full, self.site, self.engine, labelled=F.col("review"))
 
-    def collect_archive(self, archive: str, page: Callable[[str, int], list[str]], max_pages: int | None = 1, resume: bool = True, retry_failed: bool = True, start: int | None = None) -> DataFrame:
-        """M2, ST1-ST3: page by page, a page being logged after its articles are written."""
+    def collect_archive(self, archive: str, page: Callable[[str, int], list[str]], max_pages: int | None = 1, resume: bool = True, retry_failed: bool = True, start: int | None = None, peer_reviews: bool = True) -> DataFrame:
+        """M2, ST1-ST3: page by page, a page being logged after its articles are written.  Pages
+        are worked on in batches of 1, 2, 4 ... up to ``MOST_PAGES``, so the catalogue is read a
+        few times and not once for each page; after a crash a batch's pages come again."""
         first = start if start is not None else self.catalog.resume_page(archive, self.site.page_size) if resume else 1
-        pages = cut(providers.listing_pages(self.spark, archive, page, first, max_pages, self.site.page_size))
-        found = None
-        total = 0
-        for row in pages.orderBy("page_number").collect():  # pages of one listing
-            n, new = len(row["page_urls"]), row["new_urls"]
-            if 0 < n < self.site.page_size:
-                self.catalog.append("underfilled", self.spark.createDataFrame([(archive, row["page_number"], n)], "archive_url string, page_number int, page_discovered int"))
-            if new:
-                got = self.collect_urls(files.urls_from_list(self.spark, new), resume, retry_failed)
+        pages = providers.iter_pages(archive, page, first, max_pages, self.site.page_size)
+        found, total, size = None, 0, 1
+        while batch := list(islice(pages, size)):
+            size = min(2 * size, MOST_PAGES)
+            few = [(archive, number, len(urls)) for _, number, urls, _ in batch if 0 < len(urls) < self.site.page_size]
+            if few:
+                self.catalog.append("underfilled", self.spark.createDataFrame(few, UNDERFILLED))
+            if new := [u for *_, urls in batch for u in urls]:
+                got = self.collect_urls(files.urls_from_list(self.spark, new), resume, retry_failed, peer_reviews)
                 found = got if found is None else found.unionByName(got)
-            total += len(new)
-            self.on_progress({"page_number": row["page_number"], "page_discovered": n, "page_new": len(new), "cumulative_discovered": total, "underfilled": 0 < n < self.site.page_size})
-            self.catalog.append("pages", self.spark.createDataFrame([(archive, row["page_number"], n, now())], PAGE))
+            for _, number, urls, fresh in batch:
+                total += len(fresh)
+                self.on_progress({"page_number": number, "page_discovered": len(urls), "page_new": len(fresh), "cumulative_discovered": total, "underfilled": 0 < len(urls) < self.site.page_size})
+            self.catalog.append("pages", self.spark.createDataFrame([(archive, number, len(urls), now()) for _, number, urls, _ in batch], PAGE))
         return self.catalog.articles().limit(0) if found is None else found.dropDuplicates(["slug"])
 
     def fill_gaps_archive(self, archive: str, page: Callable[[str, int], list[str]], max_pages: int | None = None) -> DataFrame:
@@ -175,6 +232,19 @@ class Collector:
         """M5, ST5: the article addresses under a sitemap."""
         return self.collect_urls(discover_sitemap(documents, root, self.site), **how)
 
+    def discover(self, query: str, limit: int = 20) -> DataFrame:
+        """M6, SRC3."""
+        return providers.searched(self.spark, self.client, query, limit, self.site)
+
+    def discover_archive(self, archive: str, page: Callable[[str, int], list[str]], max_pages: int | None = 5, year: int | None = None) -> DataFrame:
+        return discover_archive(self.spark, archive, page, max_pages, year)
+
+    def discover_site(self, archives: list[str], page: Callable[[str, int], list[str]], max_pages: int | None = 20) -> DataFrame:
+        return discover_site(self.spark, archives, page, max_pages)
+
+    def discover_sitemap(self, documents: DataFrame, root: str) -> DataFrame:
+        return discover_sitemap(documents, root, self.site)
+
     def stats(self) -> dict:
         return self.catalog.stats()
 
@@ -187,7 +257,7 @@ def discover_sitemap(documents: DataFrame, root: str, site: SiteProfile = DEFAUL
     pages = entries.filter("kind = 'page'").join(reached.select(F.col("node").alias("src"), "level"), "src")
     urls = pages.select(normalize_article_url(F.col("dst")).alias("url"), F.struct("level", "src", "at").alias("place")).filter(is_article_url(F.col("url"), site))
     first = dedupe.first_by(urls, ["url"], ["place"])
-    return first.select("url", F.xxhash64("place").alias("ord"))
+    return numbered(first.select("url", "place"), ["place"]).select("url", "ord")
 
 
 def discover_archive(spark: SparkSession, archive: str, page: Callable[[str, int], list[str]], max_pages: int | None = 5, year: int | None = None) -> DataFrame:

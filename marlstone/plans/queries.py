@@ -362,7 +362,7 @@ def cache_latest(spark, sf_dir):
 
 @query(f"{LATEST} SELECT (SELECT count(*) FROM documents) AS total_articles, count(*) AS cached_urls, count(*) FILTER (WHERE status = 'success') AS success_urls, count(*) FILTER (WHERE status = 'failed') AS failed_urls, max(last_attempted_at) AS last_attempted_at, max(last_succeeded_at) AS last_succeeded_at FROM l")
 def cache_stats(spark, sf_dir):
-    return catalog.crawl_stats(table(spark, sf_dir, "documents"), _latest(spark, sf_dir))
+    return catalog.attempt_stats(table(spark, sf_dir, "documents"), _latest(spark, sf_dir))
 
 
 @query(f"{LATEST} SELECT url, error_message, last_attempted_at FROM l WHERE status = 'failed' ORDER BY url")

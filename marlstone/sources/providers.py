@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -10,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.urls import is_article_url, normalize_article_url
+from ..operators.dedupe import first_by
+from ..operators.numbering import numbered
+from ..profile import DEFAULT, SiteProfile
+from .clients import Client, NotThere, found_urls
+
 SCRAPE = "url string, markdown string, html string, raw_html string, links array<string>, metadata map<string,string>, error string"
 
 
@@ -31,17 +38,43 @@ class TableFetcher:
         return self.pages[url]
 
 
-def fetched(urls: DataFrame, fetch: Fetcher, partitions: int | None = None) -> DataFrame:
-    """SRC3-SRC7, M7: one scrape for each address (url); a failure is a row with its error.
-    The caller stores the result before using it twice, as a fetch isn't repeatable."""
+class Gate:
+    """ST8: lets one request through in each interval; for a driver's or a task's own loop."""
+
+    def __init__(self, per_second: float, clock=None, sleep=None):
+        self.interval = 1 / per_second if per_second > 0 else 0.0
+        self.clock, self.sleep, self.next = clock or time.monotonic, sleep or time.sleep, 0.0
+
+    def wait(self) -> None:
+        now = self.clock()
+        if now < self.next:
+            self.sleep(self.next - now)
+            now = self.next
+        self.next = now + self.interval
+
+
+def _dealt(rows: DataFrame, partitions: int | None, per_second: float) -> tuple[DataFrame, float]:
+    """Rows over so many tasks, and the rate of each, so that all keep to ``per_second``."""
+    if per_second > 0 and not partitions:
+        raise ValueError("a rate is shared between tasks, so their number must be given")
+    return (rows.repartition(partitions), per_second / partitions) if partitions else (rows, 0.0)
+
+
+def fetched(urls: DataFrame, fetch: Fetcher, partitions: int | None = None, per_second: float = 0.0) -> DataFrame:
+    """SRC4-SRC7, M7: one scrape for each address (url); a failure is a row with its error.
+    ``per_second`` requests are let through, over all of the ``partitions`` tasks.  The caller
+    stores the result before using it twice, as a fetch isn't repeatable."""
+    own, rate = _dealt(urls.select("url"), partitions, per_second)
     names = ("markdown", "html", "raw_html", "links", "metadata")
     kinds = {"links": pa.list_(pa.string()), "metadata": pa.map_(pa.string(), pa.string())}
     schema = pa.schema([("url", pa.string()), *[(n, kinds.get(n, pa.string())) for n in names], ("error", pa.string())])
 
     def run(batches):
+        gate = Gate(rate)
         for batch in batches:
             rows = []
             for url in batch.column(0).to_pylist():
+                gate.wait()
                 try:
                     got = fetch(url)
                     rows.append({"url": url} | {n: list(got[n].items()) if n == "metadata" and got.get(n) is not None else got.get(n) for n in names} | {"error": None})
@@ -49,14 +82,55 @@ def fetched(urls: DataFrame, fetch: Fetcher, partitions: int | None = None) -> D
                     rows.append({"url": url} | dict.fromkeys(names) | {"error": str(e)})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    own = urls.select("url")
-    return (own.repartition(partitions) if partitions else own).mapInArrow(run, SCRAPE)
+    return own.mapInArrow(run, SCRAPE)
+
+
+def downloaded(urls: DataFrame, content: Callable[[str], bytes], partitions: int | None = None, per_second: float = 0.0) -> DataFrame:
+    """SNK2, SRC23: url, content and error of each address (url), under the same rate."""
+    own, rate = _dealt(urls.select("url"), partitions, per_second)
+    schema = pa.schema([("url", pa.string()), ("content", pa.binary()), ("error", pa.string())])
+
+    def run(batches):
+        gate = Gate(rate)
+        for batch in batches:
+            for url in batch.column(0).to_pylist():  # a row at a time, as contents are large
+                gate.wait()
+                try:
+                    row = {"url": url, "content": content(url), "error": None}
+                except Exception as e:  # a failed download is a result
+                    row = {"url": url, "content": None, "error": str(e)}
+                yield pa.RecordBatch.from_pylist([row], schema)
+
+    return own.mapInArrow(run, "url string, content binary, error string")
+
+
+def searched(spark: SparkSession, client: Client, query: str, limit: int = 20, site: SiteProfile = DEFAULT) -> DataFrame:
+    """SRC3, L1: url and ord of a search's hits: normal, articles only, the first of equals,
+    ``limit`` at most.  A search answers with few hits, which come through the driver."""
+    hits = spark.createDataFrame(list(enumerate(found_urls(client.search(query, limit)))), "ord bigint, url string")
+    own = hits.select(normalize_article_url(F.col("url")).alias("url"), "ord").filter(is_article_url(F.col("url"), site))
+    return first_by(own, ["url"], ["ord"]).orderBy("ord").limit(limit)
+
+
+def page_of(archive: str, number: int, page: Callable[[str, int], list[str]], page_size: int = 20) -> list[str]:
+    """SRC4, SRC5: the addresses on a listing's page.  One that isn't there is empty; one that
+    has fewer than it should is asked for once more, and both answers are joined (Q30)."""
+
+    def ask() -> list[str]:
+        try:
+            return page(archive, number)
+        except NotThere:
+            return []
+
+    urls = list(dict.fromkeys(ask()))
+    return list(dict.fromkeys([*urls, *ask()])) if 0 < len(urls) < page_size else urls
 
 
 class ListingSource(DataSource):
-    """SRC8: pages of a listing from ``first`` to ``last``, one input partition each.  The
-    option ``pages`` names a function ``module:name`` that takes (archive, page) and returns
-    the page's addresses; an empty page ends the listing for its reader."""
+    """SRC8: pages of a listing from ``first`` to ``last``, one input partition each, so all
+    are asked for; ``until_empty`` then ends the listing at its first empty page.  The option
+    ``pages`` names a function ``module:name`` that takes (archive, page) and returns the
+    page's addresses; ``page_size`` tells which pages to ask for again."""
 
     @classmethod
     def name(cls) -> str:
@@ -74,6 +148,7 @@ class _ListingReader(DataSourceReader):
         self.archive = options["archive"]
         self.pages = range(int(options.get("first", 1)), int(options["last"]) + 1)
         self.function = options["pages"]
+        self.page_size = int(options.get("page_size", 20))
 
     def partitions(self):
         return [InputPartition(p) for p in self.pages]
@@ -82,34 +157,43 @@ class _ListingReader(DataSourceReader):
         import importlib
 
         module, name = self.function.split(":")
-        urls = getattr(importlib.import_module(module), name)(self.archive, partition.value)
-        yield (self.archive, partition.value, urls)
+        function = getattr(importlib.import_module(module), name)
+        yield (self.archive, partition.value, page_of(self.archive, partition.value, function, self.page_size))
 
 
-def listing_pages(spark: SparkSession, archive: str, page: Callable[[str, int], list[str]], first: int = 1, max_pages: int | None = None, page_size: int = 20) -> DataFrame:
-    """SRC8, L2, Z6: archive_url, page_number, page_urls and new_urls, page by page until an
-    empty one (which is included: Q13) or past the page numbered ``max_pages`` (Q14).  An
-    underfilled page is asked for once more and both answers are joined (Q30).  Pages are
-    few and their number isn't known ahead, so this loop is the driver's."""
+def until_empty(pages: DataFrame) -> DataFrame:
+    """SRC8, Z6: pages (archive_url, page_number, urls) up to each archive's first empty one,
+    which counts (Q13)."""
+    ends = pages.filter(F.size("urls") == 0).groupBy("archive_url").agg(F.min("page_number").alias("marl_end"))
+    return pages.join(ends, "archive_url", "left").filter("marl_end is null or page_number <= marl_end").drop("marl_end")
+
+
+def iter_pages(archive: str, page: Callable[[str, int], list[str]], first: int = 1, max_pages: int | None = None, page_size: int = 20) -> Iterator[tuple[str, int, list[str], list[str]]]:
+    """SRC8, L2, Z6: archive, page number, addresses and new addresses, page by page until an
+    empty one (which is included: Q13) or past the page numbered ``max_pages`` (Q14).  The
+    number of pages isn't known ahead, so this loop is the driver's; only addresses that
+    were seen are held."""
     seen: set[str] = set()
-    rows = []
     number = first
     while max_pages is None or number <= max_pages:
-        urls = list(dict.fromkeys(page(archive, number)))
-        if 0 < len(urls) < page_size:
-            urls = list(dict.fromkeys([*urls, *page(archive, number)]))
+        urls = page_of(archive, number, page, page_size)
         new = [u for u in urls if u not in seen]
         seen.update(new)
-        rows.append((archive, number, urls, new))
+        yield archive, number, urls, new
         if not urls:
-            break
+            return
         number += 1
+
+
+def listing_pages(spark: SparkSession, archive: str, page: Callable[[str, int], list[str]], first: int = 1, max_pages: int | None = None, page_size: int = 20) -> DataFrame:
+    """The pages of ``iter_pages`` as a frame."""
+    rows = list(iter_pages(archive, page, first, max_pages, page_size))
     return spark.createDataFrame(rows, "archive_url string, page_number int, page_urls array<string>, new_urls array<string>")
 
 
 def discovered(pages: DataFrame) -> DataFrame:
     """SRC9: the addresses of listing pages in order (url, ord)."""
-    return pages.select("page_number", F.posexplode("new_urls").alias("at", "url")).select("url", (F.col("page_number").cast("bigint") * 100_000 + F.col("at")).alias("ord"))
+    return numbered(pages.select("page_number", F.posexplode("new_urls").alias("at", "url")), ["page_number", "at"]).select("url", "ord")
 
 
 def sitemap_entries(documents: DataFrame) -> DataFrame:

@@ -56,20 +56,3 @@ def fill_gaps(spark: SparkSession, source: str, schema: T.StructType, sink: str,
         (rows if known is None else rows.join(known, "url", "left_anti")).write.mode("overwrite").parquet(f"{sink}/batch={base + number}")
 
     seen.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-class Gate:
-    """ST8: lets one request through in each interval; for a driver's or a task's own loop."""
-
-    def __init__(self, per_second: float, clock=None, sleep=None):
-        import time
-
-        self.interval = 1 / per_second if per_second > 0 else 0.0
-        self.clock, self.sleep, self.next = clock or time.monotonic, sleep or time.sleep, 0.0
-
-    def wait(self) -> None:
-        now = self.clock()
-        if now < self.next:
-            self.sleep(self.next - now)
-            now = self.next
-        self.next = now + self.interval

@@ -1,12 +1,11 @@
 import hashlib
-import random
 import uuid
-from urllib.parse import parse_qsl, urlencode, urljoin, urlparse
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.functions import extract, html, ids, text, urls
+from marlstone.functions import extract, html, ids, pdf, text, urls
 from marlstone.operators import records
 
 
@@ -28,40 +27,28 @@ def test_text_helpers_equal_python(spark):
     assert column(spark, [["a ", "", None], None], text.clean_list, "array<string>") == [["a"], []]
 
 
-URLS = [
-    "https://www.nature.com/articles/ncomms123?x=1#top", " HTTPS://Host.org/A/b/?page=2&type=article ", "http://h.org", "http://h.org/?", "http://h.org/p;v=1/?a=1&a=2&b=#f",
-    "https://h.org/ncomms/research-articles?type=article", "https://h.org/research-articles?type=article&sort=x&page=9", "http://h.org/a%20b?q=a+b%2Fc&empty=&~t=*",
+#: Worked out by hand: an address, without query and fragment, without fragment, of 2024, first and third page, slug.
+ADDRESSES = [
+    ("https://www.nature.com/articles/ncomms123?x=1#top", "https://www.nature.com/articles/ncomms123", "https://www.nature.com/articles/ncomms123?x=1", "https://www.nature.com/articles/ncomms123?x=1&year=2024", "https://www.nature.com/articles/ncomms123?x=1", "https://www.nature.com/articles/ncomms123?x=1&page=3", "ncomms123"),
+    (" HTTPS://Host.org/A/b/?page=2&type=article ", "https://Host.org/A/b", "https://Host.org/A/b/?page=2&type=article", "https://Host.org/A/b/?page=2&type=article&year=2024", "https://Host.org/A/b/?type=article", "https://Host.org/A/b/?page=3&type=article", "b"),
+    ("http://h.org", "http://h.org", "http://h.org", "http://h.org?year=2024", "http://h.org", "http://h.org?page=3", "h.org"),
+    ("http://h.org/?", "http://h.org", "http://h.org", "http://h.org?year=2024", "http://h.org", "http://h.org?page=3", "h.org"),
+    ("http://h.org/p;v=1/?a=1&a=2&b=#f", "http://h.org/p;v=1", "http://h.org/p;v=1/?a=1&a=2&b=", "http://h.org/p;v=1/?a=2&b=&year=2024", "http://h.org/p;v=1/?a=2&b=", "http://h.org/p;v=1/?a=2&b=&page=3", "p;v=1"),
+    ("https://h.org/ncomms/research-articles?type=article", "https://h.org/ncomms/research-articles", "https://h.org/ncomms/research-articles?type=article", "https://h.org/ncomms/research-articles?type=article&year=2024", "https://h.org/ncomms/research-articles?type=article", "https://h.org/ncomms/research-articles?type=article&page=3&searchType=journalSearch&sort=PubDate", "research-articles"),
+    ("https://h.org/research-articles?type=article&sort=x&page=9", "https://h.org/research-articles", "https://h.org/research-articles?type=article&sort=x&page=9", "https://h.org/research-articles?type=article&sort=x&page=9&year=2024", "https://h.org/research-articles?type=article&sort=x", "https://h.org/research-articles?type=article&sort=x&page=3&searchType=journalSearch", "research-articles"),
+    ("http://h.org/a%20b?q=a+b%2Fc&empty=&~t=*", "http://h.org/a%20b", "http://h.org/a%20b?q=a+b%2Fc&empty=&~t=*", "http://h.org/a%20b?q=a+b%2Fc&empty=&~t=%2A&year=2024", "http://h.org/a%20b?q=a+b%2Fc&empty=&~t=%2A", "http://h.org/a%20b?q=a+b%2Fc&empty=&~t=%2A&page=3", "a%20b"),
 ]
 
 
-def test_url_algebra_equals_urllib(spark):
-    def normal(u):
-        return urlparse(u.strip())._replace(query="", fragment="").geturl().rstrip("/")
-
-    def listing(u):
-        return urlparse(u.strip())._replace(fragment="").geturl().rstrip("/")
-
-    def with_year(u):
-        p = urlparse(listing(u))
-        return p._replace(query=urlencode(dict(parse_qsl(p.query, keep_blank_values=True)) | {"year": "2024"})).geturl()
-
-    def paged(u, n):
-        p = urlparse(listing(u))
-        q = dict(parse_qsl(p.query, keep_blank_values=True))
-        q.pop("page", None) if n <= 1 else q.update(page=str(n))
-        if n > 1 and p.path.endswith("/research-articles") and q.get("type") == "article":
-            q.setdefault("searchType", "journalSearch")
-            q.setdefault("sort", "PubDate")
-        return p._replace(query=urlencode(q)).geturl()
-
-    assert column(spark, URLS, urls.normalize_article_url) == list(map(normal, URLS))
-    assert column(spark, URLS, urls.normalize_listing_url) == list(map(listing, URLS))
-    assert column(spark, URLS, lambda x: urls.listing_url_with_year(x, F.lit(2024))) == list(map(with_year, URLS))
-    for n in (1, 3):
-        assert column(spark, URLS, lambda x, n=n: urls.archive_page_url(x, F.lit(n))) == [paged(u, n) for u in URLS]
-    assert column(spark, URLS, urls.slug_from_url) == [normal(u).rsplit("/", 1)[-1] for u in URLS]
-    once = column(spark, URLS, urls.normalize_article_url)
-    assert column(spark, once, urls.normalize_article_url) == once
+def test_addresses(spark):
+    given, plain, listing, dated, first, third, slugs = map(list, zip(*ADDRESSES, strict=True))
+    assert column(spark, given, urls.normalize_article_url) == plain
+    assert column(spark, given, urls.normalize_listing_url) == listing
+    assert column(spark, given, lambda x: urls.listing_url_with_year(x, F.lit(2024))) == dated
+    assert column(spark, given, lambda x: urls.archive_page_url(x, F.lit(1))) == first
+    assert column(spark, given, lambda x: urls.archive_page_url(x, F.lit(3))) == third
+    assert column(spark, given, urls.slug_from_url) == slugs
+    assert column(spark, plain, urls.normalize_article_url) == plain
 
 
 @pytest.mark.parametrize("base", ["http://h.org/a/b?x=1#f", "http://h.org", "https://h.org/dir/"])
@@ -158,8 +145,13 @@ def test_duplicate_keys(spark):
     assert df.select(ids.duplicate_keys(*[F.col(x) for x in "abcdefg"])).first()[0] == ["slug:s", "url:http://u", "peer_review_pdf:p", "title:my title"]
 
 
-def test_random_urls(spark):
-    rng = random.Random(0)
-    made = ["http://h.org/" + "".join(rng.choice("ab/;=&?#.") for _ in range(12)) for _ in range(200)]
-    want = [urlparse(u)._replace(query="", fragment="").geturl().rstrip("/") for u in made]
-    assert column(spark, made, urls.normalize_article_url) == want
+def test_pdf_information():
+    data = rb"%PDF-1.4 1 0 obj << /Title (A \(small\) title \\ \101) /Author <FEFF00C90061> /Keywords (a (b) c) /Subject (open >> endobj"
+    assert pdf.information(data) == {"Title": "A (small) title \\ A", "Author": "\u00c9a", "Keywords": "a (b) c"}
+    assert pdf.information(b"no pdf /Title (x)") == pdf.information(b"") == pdf.information(None) == {}
+
+
+@pytest.mark.parametrize("href", ["../x", "a/../b", "./a/./b", "../../../x", "/a/../b/./c", "..", "a/..", "g;x=1/../y"])
+def test_dots_in_addresses(spark, href):
+    base = "http://a.org/b/c/d;p?q"
+    assert column(spark, [href], lambda x: urls.resolve(F.lit(base), x)) == [urljoin(base, href)]

@@ -1,5 +1,7 @@
 import io
+import json
 import random
+import time
 import zipfile
 
 import pytest
@@ -8,8 +10,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import html
 from marlstone.operators import bibliography, blocks, catalog, dedupe, frontier, tasks
 from marlstone.plans.collect import Catalog, Collector, discover_sitemap
-from marlstone.sources import files, providers
-from marlstone.streaming.collect import Gate
+from marlstone.sources import clients, files, providers
 
 A = "https://www.nature.com/articles/"
 
@@ -105,7 +106,7 @@ def test_closure_guards(spark):
 
 def test_gate():
     time, slept = [0.0], []
-    gate = Gate(2.0, clock=lambda: time[0], sleep=slept.append)
+    gate = providers.Gate(2.0, clock=lambda: time[0], sleep=slept.append)
     gate.wait()
     gate.wait()
     time[0] = 5.0
@@ -130,6 +131,71 @@ def scraped(i, **more):
     return {"markdown": f"# Title {i}\n\nAnn\n## Abstract\nabout {i}"} | more
 
 
+def test_collected_files(spark, tmp_path):
+    """Markdown, PDFs, JSON and the slim log, with the paths; a PDF that can't be had loses nothing but itself."""
+    pdf_url = "https://static-content.springer.com/x/p1.pdf"
+    pages = {A + "ncomms1": scraped(1) | {"markdown": scraped(1)["markdown"] + f"\n[Peer Review File]({pdf_url})\n[Download PDF]({A}ncomms1.pdf)"}, A + "ncomms2": scraped(2, metadata={"title": "Two"})}
+    contents = {pdf_url: b"%PDF-1\n\x00\xff", A + "ncomms1.pdf": b"%PDF-2"}
+    collector = Collector(spark, str(tmp_path), clients.TableClient(pages, contents=contents), partitions=2, per_second=1000.0)
+    got = {r["slug"]: r for r in collector.collect_urls(files.urls_from_list(spark, list(pages))).collect()}
+    one, two = got["ncomms1"], got["ncomms2"]
+    read = lambda p: (tmp_path / p).read_bytes()
+    assert read("markdown/ncomms1.md").decode() == pages[A + "ncomms1"]["markdown"] and one["markdown_path"].endswith("markdown/ncomms1.md")
+    assert read("article_pdfs/ncomms1.pdf") == b"%PDF-2" and read("peer_review_pdfs/ncomms1.pdf") == contents[pdf_url] and one["peer_review_pdf_path"].endswith("peer_review_pdfs/ncomms1.pdf")
+    assert two["article_pdf_url"] and two["article_pdf_path"] is None and two["record_path"].endswith("records/ncomms2.json")
+    assert json.loads(read("records/ncomms1.json"))["article_pdf_path"] == one["article_pdf_path"]
+    assert [(r["slug"], r["kind"]) for r in collector.catalog.log("assets", "").filter("error is not null").collect()] == [("ncomms2", "article_pdf_path")]
+    assert {r["slug"]: r["record_path"] for r in files.records_from_jsonl(spark, f"{tmp_path}/articles.jsonl").collect()} == {s: r["record_path"] for s, r in got.items()}
+    other = Collector(spark, str(tmp_path / "x"), clients.TableClient(pages, contents=contents))
+    assert {r["peer_review_pdf_path"] for r in other.collect_urls(files.urls_from_list(spark, list(pages)), peer_reviews=False).collect()} == {None}
+
+
+def test_engines(spark):
+    class Answer:
+        def __init__(self, **fields):
+            self.fields = fields
+
+        def model_dump(self):
+            return self.fields
+
+    calls = []
+
+    def call(method, arguments):
+        calls.append((method, arguments))
+        return Answer(data={"web": [Answer(url=A + "ncomms1?x"), {"url": A + "ncomms2"}, {"url": "http://other"}, {"title": "none"}, A + "ncomms1", A + "ncomms3"]}) if method == "search" else Answer(markdown="m", rawHtml="<p>", links=None, metadata={"a": ["x", "y"], "b": None})
+
+    service = clients.client("service", call)
+    assert [(r["url"]) for r in providers.searched(spark, service, "q", 2).orderBy("ord").collect()] == [A + "ncomms1", A + "ncomms2"]
+    assert service.article("u") == {"markdown": "m", "html": None, "raw_html": "<p>", "links": None, "metadata": {"a": "x; y"}}
+    service.listing("u", 2)
+    assert calls[-1][1]["actions"][0]["milliseconds"] == 5000
+    assert clients.found_urls({"web": []}) == clients.found_urls(None) == [] and clients.found_urls({"web": ["u"]}) == ["u"]
+    pages = {"u": (200, "<title>é</title>".encode()), "gone": (404, b""), "bad": (500, b"")}
+    native = clients.client("native", lambda url, headers: pages[url])
+    assert native.article("u") == {"html": "<title>é</title>"} and native.listing("gone") == {} and native.content("u") == pages["u"][1]
+    for f in (lambda: native.article("gone"), lambda: native.listing("bad"), lambda: native.search("q", 1), lambda: clients.client("other", call)):
+        with pytest.raises((LookupError, OSError, NotImplementedError, ValueError)):
+            f()
+    asked = []
+
+    def page(archive, n):
+        asked.append(n)
+        if n > 1:
+            raise clients.NotThere(n)
+        return ["a"] * 20
+
+    assert [p[2] for p in providers.iter_pages("x", page)] == [["a"], []] and asked == [1, 1, 2]
+    assert clients.landing_html(clients.TableClient(contents={"https://doi.org/d": b"page"}), "d") == "page" and clients.landing_html(clients.TableClient(), "d") is None
+
+
+def test_rates_are_shared(spark):
+    began = time.monotonic()
+    got = providers.downloaded(spark.createDataFrame([(f"u{i}",) for i in range(8)], "url string"), lambda url: url.encode(), partitions=2, per_second=8.0).collect()
+    assert len(got) == 8 and time.monotonic() - began > 0.6
+    with pytest.raises(ValueError):
+        providers.downloaded(spark.range(1).selectExpr("'u' as url"), str.encode, per_second=1.0)
+
+
 def test_collect(spark, tmp_path):
     store = {A + f"ncomms{i}": scraped(i) for i in range(6)} | {A + "ncomms9": scraped(1)}  # 9 has the title of 1
     collector = Collector(spark, str(tmp_path), providers.TableFetcher(store))
@@ -167,7 +233,7 @@ def test_sitemap(spark):
     docs = [("root", f"<sitemapindex {ns}><sitemap><loc>m1</loc></sitemap><sitemap><loc>m2</loc></sitemap></sitemapindex>")]
     docs += [(f"m{i}", f"<urlset {ns}><url><loc>{A}ncomms{i}</loc></url><url><loc>{A}ncomms1</loc></url><url><loc>http://no</loc></url></urlset>") for i in (1, 2)]
     got = discover_sitemap(spark.createDataFrame(docs, "url string, xml string"), "root")
-    assert sorted(r["url"] for r in got.collect()) == [A + "ncomms1", A + "ncomms2"]
+    assert [(r["url"], r["ord"]) for r in got.orderBy("ord").collect()] == [(A + "ncomms1", 0), (A + "ncomms2", 1)]
 
 
 def test_files(spark, tmp_path):
@@ -182,16 +248,38 @@ def test_files(spark, tmp_path):
     found = files.pdf_files(spark, str(tmp_path / "p"))
     assert sorted(r["name"] for r in found.collect()) == ["x.PDF", "x.pdf", "y.pdf"]
     assert [r["name"] for r in files.pdf_files(spark, str(tmp_path / "p"), recursive=False).collect()] == ["x.pdf"]  # Q21
-    written = files.write_blobs(spark.createDataFrame([("s1", "body"), ("s2", "two")], "slug string, md string"), str(tmp_path / "blobs"), "slug", "md")
-    assert written.count() == 2
+    rows = spark.createDataFrame([("s1.md", "body é\n".encode()), ("s2.bin", bytes(range(256))), ("../out", b"x"), (None, b"y"), ("s3", None)], "name string, content binary")
+    written = {r["name"]: r for r in files.write_blobs(rows, str(tmp_path / "blobs"), "name", "content").collect()}
+    assert sorted(p.name for p in (tmp_path / "blobs").iterdir()) == ["s1.md", "s2.bin"] and (tmp_path / "blobs" / "s2.bin").read_bytes() == bytes(range(256))
+    assert written["s1.md"]["error"] is None and written["../out"]["error"] == written[None]["error"] == "not a file name" and written["s3"]["error"] == "no content"
+    files.write_blobs(spark.createDataFrame([("s1.md", "new")], "name string, content string"), str(tmp_path / "blobs"), "name", "content", replace=False)
+    assert (tmp_path / "blobs" / "s1.md").read_text() == "body é\n"
+    files.write_blobs(spark.createDataFrame([("s1.md", "new")], "name string, content string"), str(tmp_path / "blobs"), "name", "content")
+    assert (tmp_path / "blobs" / "s1.md").read_text() == "new"
+
+
+def test_appended_lines(spark, tmp_path):
+    """The last append of a slug counts, whatever the size of its file; and the last line in it."""
+    path = str(tmp_path / "log.jsonl")
+    files.append_jsonl(spark.createDataFrame([(0, "a", "old " * 500), (1, "b", "one"), (2, "b", "two")], "n int, slug string, title string").repartition(3), path, ["n"])
+    files.append_jsonl(spark.createDataFrame([(0, "a", "new")], "n int, slug string, title string"), path, ["n"])
+    assert sorted((r["slug"], r["title"]) for r in files.records_from_jsonl(spark, path).collect()) == [("a", "new"), ("b", "two")]
+    (tmp_path / "dois").mkdir()
+    (tmp_path / "dois" / "2.txt").write_text("d3\n\n")
+    (tmp_path / "dois" / "1.txt").write_text("d1\n d2\n")
+    assert [(r["ord"], r["doi"]) for r in files.doi_list(spark, str(tmp_path / "dois")).orderBy("ord").collect()] == [(0, "d1"), (1, "d2"), (2, "d3"), (3, "")]
 
 
 def test_listing_source(spark):
     spark.dataSource.register(providers.ListingSource)
-    rows = spark.read.format("listing").option("archive", "x").option("last", 3).option("pages", "tests.test_operators:listed").load()
+    rows = spark.read.format("listing").option("archive", "x").option("last", 3).option("page_size", 1).option("pages", "tests.test_operators:listed").load()
     assert sorted((r["page_number"], r["urls"]) for r in rows.collect()) == [(1, ["x1"]), (2, ["x2"]), (3, ["x3"])]
 
 
+    pages = spark.createDataFrame([("x", n, ["u"] if n not in (3, 5) else []) for n in range(1, 7)] + [("y", 1, ["u"])], "archive_url string, page_number int, urls array<string>")
+    assert sorted((r[0], r[1]) for r in providers.until_empty(pages).collect()) == [("x", 1), ("x", 2), ("x", 3), ("y", 1)]
+
+
 def listed(archive, page):
     return [f"{archive}{page}"]
 
