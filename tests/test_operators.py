@@ -63,20 +63,113 @@ def test_zip_members_stay_inside(spark):
     assert [m["name"] for m in rows[0]["m"]] == ["ok.txt", "dir/in.json", "c"] and rows[1]["m"] == rows[2]["m"] == []
 
 
-def test_parse_counts_a_file_once_q19(spark):
-    rows = spark.createDataFrame([(f"f{i}", b"x") for i in range(5)], "file string, content binary")
+class Service:
+    """A parsing service that runs on its caller's clock: the n-th poll finds the n-th state of each file."""
+
+    def __init__(self, states, broken=(), upload_fails=0, poll_fails=0):
+        self.states, self.broken, self.left = states, broken, {"upload": upload_fails, "poll": poll_fails}
+        self.calls, self.now = [], 0.0
+
+    def fails(self, what):
+        self.calls.append(what)
+        self.left[what] -= 1
+        if self.left[what] >= 0:
+            raise OSError(f"{what} failed")
+
+    def upload(self, contents):
+        self.fails("upload")
+        return "b1"
+
+    def poll(self, batch):
+        self.fails("poll")
+        n = self.calls.count("poll") - 1
+        return {f: (s[min(n, len(s) - 1)], f, None if s[min(n, len(s) - 1)] != "failed" else "bad pdf") for f, s in self.states.items()}
+
+    def download(self, url):
+        if url in self.broken:
+            raise OSError("gone")
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as z:
+            z.writestr("x1_origin.pdf", b"%PDF")
+            z.writestr("full.md", url)
+        return data.getvalue()
 
-    def poll(batch):
-        return {n: ("done", n, None) if n != "f1" else ("failed", None, "bad pdf") for n in batch if n != "f4"}
+    def clock(self):
+        return self.now
+
+    def sleep(self, seconds):
+        self.calls.append(f"sleep {seconds:g}")
+        self.now += seconds
 
-    def download(url):
-        if url == "f2":
-            raise OSError("gone")
-        return b"zip"
 
-    got = tasks.parse_documents(rows, lambda batch: list(batch), poll, download)
+def parsed(spark, service, names, **how):
+    rows = spark.createDataFrame([(n, b"x") for n in names], "file string, content binary")
+    return tasks.parse_documents(rows, service, clock=service.clock, sleep=service.sleep, **how)
+
+
+def test_parse_counts_a_file_once_q19(spark):
+    states = {"f0.pdf": ["pending", "done"], "f1": ["failed"], "f2": ["running", "running", "done"], "f3": ["done"]}
+    got = parsed(spark, Service(states, broken=["f2"], poll_fails=1, upload_fails=2), ["f0.pdf", "f1", "f2", "f3", "f4"], settings=tasks.Settings(poll_timeout=40.0))
     assert tasks.run_summary(got).first().asDict() == {"total": 5, "successful": 2, "failed": 3}
-    assert {(r["file"], r["phase"]) for r in tasks.run_errors(got).collect()} == {("f1", "poll"), ("f2", "download"), ("f4", "poll")}
+    assert {(r["file"], r["phase"], r["error"]) for r in tasks.run_errors(got).collect()} == {("f1", "poll", "bad pdf"), ("f2", "download", "gone"), ("f4", "poll", "no end after 40 s")}
+    members = {(r["stem"], r["name"]): bytes(r["content"]) for r in tasks.result_members(got).collect()}
+    assert members == {("f0", "f0_origin.pdf"): b"%PDF", ("f0", "full.md"): b"f0.pdf", ("f3", "f3_origin.pdf"): b"%PDF", ("f3", "full.md"): b"f3"}
+    assert dict(map(tuple, tasks.processed(got).collect())) == {"f0.pdf": True, "f1": False, "f2": False, "f3": True, "f4": False}
+
+
+def test_parse_polls_without_uploading_again():
+    """The loop itself, outside Spark, where its calls can be seen."""
+    service = Service({"a": ["pending"]}, poll_fails=2)
+    waits = []
+    assert tasks.retried(lambda: service.upload({}), 3, lambda k: 2.0**k, waits.append) == ("b1", None) and waits == []
+    again = Service({}, upload_fails=5)
+    assert tasks.retried(lambda: again.upload({}), 3, lambda k: 2.0**k, waits.append) == (None, "upload failed") and waits == [2.0, 4.0]
+
+
+def test_parse_goes_on_from_known_files(spark):
+    known = spark.createDataFrame([("f0", "b0", "f0")], "file string, batch_id string, url string")
+    got = {r["file"]: r for r in parsed(spark, Service({}, upload_fails=9), ["f0", "f1"], known=known).collect()}
+    assert got["f0"]["error"] is None and got["f0"]["batch_id"] == "b0" and (got["f1"]["phase"], got["f1"]["error"]) == ("upload", "upload failed")
+
+
+def test_middle(spark):
+    blocks_ = spark.createDataFrame([(1, 0, 2, "text", "b", None), (1, 0, 1, "title", "a", 1), (1, 0, 3, "table", "t1", None), (1, 0, 4, "discarded", "no", None), (1, 1, 1, "table", "t2", None), (1, 1, 2, "text", "c", None), (1, 3, 1, "table", "t3", None)], "doc int, page_idx int, index int, type string, text string, level int")
+    pages = spark.createDataFrame([(1, i, 600, 800) for i in range(4)], "doc int, page_idx int, width int, height int")
+    made = json.loads(blocks.middle(blocks.page_infos(blocks_, pages)).first()["middle"])
+    assert [[b["text"] for b in p["para_blocks"]] for p in made["pdf_info"]] == [["a", "b", "t1\nt2"], ["c"], [], ["t3"]]
+    assert [[b["text"] for b in p["discarded_blocks"]] for p in made["pdf_info"]] == [["no"], [], [], []] and made["pdf_info"][2]["page_size"] == [600, 800]
+
+
+def test_provided_levels(spark):
+    rows = spark.createDataFrame([(d, i, f"t{i}", 9.0, 1) for d in (1, 2, 3) for i in range(2)], "doc int, ordinal int, text string, height double, page_number int")
+    tries = {}
+
+    def ask(titles):
+        tries[len(tries)] = 1
+        if len(tries) < 2:
+            raise OSError("busy")
+        return "<think>{</think> ```{'0': 1, 1: '2',}```" if len(tries) < 6 else "{0: 1}"
+
+    got = blocks.provided_levels(rows.filter("doc = 1"), ask)
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 1), (1, 1, 2)]
+    assert blocks.provided_levels(rows, lambda titles: "no").count() == 0
+    assert blocks.with_levels(rows, got).filter("level is not null").count() == 2
+    assert [r["markdown"] for r in blocks.RENDERERS["pipeline"](spark.createDataFrame([(1, 0, 0, "title", "T", 3)], "doc int, page_idx int, index int, type string, text string, level int")).collect()] == ["# T"]
+
+
+def test_files_and_logs(spark, tmp_path):
+    (tmp_path / "log.json").write_text('[{"batch_id": "b", "file_name": "f", "processed": true}, {"file_name": "g"}]')
+    assert [(r["file_name"], r["processed"]) for r in files.read_task_log(spark, str(tmp_path / "log.json")).orderBy("file_name").collect()] == [("f", True), ("g", None)]
+    files.write_list(spark.createDataFrame([("b",), (None,), ("a",)], "doi string"), "doi", str(tmp_path / "ok"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "ok")).collect()] == ["a", "b"]
+    files.write_one_json(spark.createDataFrame([(1, None)], "total int, error string"), str(tmp_path / "sum"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "sum")).collect()] == ['{"total":1,"error":null}']
+    found = spark.createDataFrame([("file:/d/a.pdf", 3), ("file:/d/b.pdf", 0)], "path string, length long")
+    wanted = spark.createDataFrame([("/d/a.pdf",), ("/d/b.pdf",), ("/d/c.pdf",), ("/d/a.txt",)], "path string")
+    assert sorted(map(tuple, files.validated(found, wanted).collect())) == [("/d/a.pdf", True, None), ("/d/a.txt", False, "not a PDF"), ("/d/b.pdf", False, "empty"), ("/d/c.pdf", False, "missing")]
+    a, b = spark.createDataFrame([(5, "x"), (1, "y"), (7, "z")], "n int, l string"), spark.createDataFrame([(30, "p"), (10, "q")], "n int, r string")
+    assert sorted(map(tuple, tasks.zipped(a, b, "n").collect())) == [(0, "y", "q"), (1, "x", "p")]
+    assert files.records_or_log(None, a) is a and files.records_or_log(a.limit(0), b) is b and files.records_or_log(a, b) is a
 
 
 def test_references_stand_missing_fields_q22(spark):
