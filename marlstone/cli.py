@@ -1,79 +1,173 @@
-"""Command line.  Pages come from a folder of scrapes in JSON lines (url, markdown, html,
-links, metadata), listings from JSON lines (archive_url, page_number, urls): no network."""
+"""Command line.  Without ``--transport`` pages come from tables: a file of scrapes in JSON lines
+(url, markdown, html, links, metadata), listings (archive_url, page_number, urls), searches
+(query, ord, url) and a folder of PDFs by file name; so no network is needed.  A transport or a
+parsing service is named as ``module:function``."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .functions.ids import stem
+from .functions.urls import listing_url_with_year
+from .operators import blocks, tasks
 from .operators.frontier import union_sources
+from .operators.numbering import numbered
 from .plans.collect import Catalog, Collector, discover_archive, discover_site, discover_sitemap
 from .profile import DEFAULT
-from .sources import files, providers
+from .sources import clients, files, providers
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser("marlstone", description=__doc__)
     sub = top.add_subparsers(dest="command", required=True)
-    add = lambda name, *flags: [p := sub.add_parser(name), [p.add_argument(*f, **k) for f, k in flags]][0]
+
+    def add(name: str, *flags) -> None:
+        made = sub.add_parser(name)
+        for names, how in flags:
+            made.add_argument(*names, **how)
+
     flag = lambda *f, **k: (f, k)
-    out, scrapes, listings = flag("--output-dir", default="output"), flag("--scrapes"), flag("--listings")
-    pages = lambda n: (flag("--pages", type=int, default=n), flag("--all-pages", action="store_true"))
-    add("discover-archive", listings, flag("--archive-url", default=DEFAULT.archive), flag("--year", type=int), *pages(5))
-    add("discover-site", listings, flag("--archive-url", action="append"), *pages(20))
+    switch = lambda *f: flag(*f, action="store_true")
+    out, listings = flag("--output-dir", default="output"), flag("--listings")
+    engine = (flag("--engine", choices=[*clients.ENGINES, "table"], default="table"), flag("--transport"), flag("--scrapes"), flag("--searches"), flag("--pdfs"))
+    pages = lambda n: (flag("--pages", type=int, default=n), switch("--all-pages"))
+    add("discover", *engine, flag("--query", required=True), flag("--limit", type=int, default=20))
+    add("discover-archive", *engine, listings, flag("--archive-url", default=DEFAULT.archive), flag("--year", type=int), *pages(5))
+    add("discover-site", *engine, listings, flag("--archive-url", action="append"), *pages(20))
     add("discover-sitemap", flag("--documents", required=True), flag("--sitemap-url", required=True))
-    add("stats", out, flag("--json", action="store_true"), flag("--list-failed", action="store_true"))
-    add("collect", out, scrapes, listings, flag("--url", action="append", default=[]), flag("--input"), flag("--archive", action="store_true"), flag("--site", action="store_true"), flag("--archive-url", action="append"), flag("--sitemap-url"), flag("--documents"), flag("--year", type=int), *pages(1), flag("--force", action="store_true"), flag("--skip-failed-cache", action="store_true"), flag("--fill-gaps", action="store_true"), flag("--json-output"))
-    add("parse", flag("pdf_files", nargs="*"), flag("--data-dir", default="."), flag("--no-recursive", dest="recursive", action="store_false"))
+    add("stats", out, switch("--json"), switch("--list-failed"))
+    sources = (flag("--url", action="append", default=[]), flag("--input"), flag("--query"), flag("--limit", type=int, default=20), switch("--archive"), switch("--site"), flag("--archive-url", action="append"), flag("--sitemap-url"), flag("--documents"), flag("--year", type=int))
+    how = (switch("--skip-peer-reviews"), switch("--force"), switch("--skip-failed-cache"), switch("--fill-gaps"), flag("--json-output"), switch("--print-records"), flag("--max-workers", type=int, default=4), flag("--requests-per-second", type=float, default=1.0))
+    add("collect", out, *engine, listings, *sources, *pages(1), *how)
+    add("parse", out, flag("pdf_files", nargs="*"), switch("--all"), flag("--data-dir", default="."), flag("--recursive", action=argparse.BooleanOptionalAction, default=True), flag("--service"), flag("--task-log"), flag("--max-retries", type=int, default=3), switch("--fail-on-error"), flag("--model-version", default="vlm"), flag("--language", default="en"), switch("--no-ocr"), flag("--poll-timeout", type=float, default=300.0), switch("--verbose"), switch("--save-summary"))
+    add("papers", out, flag("--dois", nargs="*", default=[]), flag("--doi-list"), flag("--works"), flag("--pdf-dir"), switch("--metadata"))
+    add("render", out, flag("--blocks", required=True), flag("--start", type=int, default=0), flag("--end", type=int), flag("--mode", choices=[*blocks.RENDERERS], default="vlm"))
     return top
 
 
+def named(name: str):
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def page_function(spark: SparkSession, path: str | None):
-    rows = spark.read.schema("archive_url string, page_number int, urls array<string>").json(path).collect() if path else []  # a listing's pages
-    listing = {(r["archive_url"], r["page_number"]): list(r["urls"] or []) for r in rows}
-    return lambda archive, number: listing.get((archive, number), [])
+    """Asks the table of listings for one page at a time."""
+    rows = spark.read.schema("archive_url string, page_number int, urls array<string>").json(path) if path else None
 
+    def page(archive: str, number: int) -> list[str]:
+        if rows is None:
+            return []
+        return [u for r in rows.filter((F.col("archive_url") == archive) & (F.col("page_number") == number)).collect() for u in r["urls"] or []]  # one page
 
-def fetcher(spark: SparkSession, path: str | None) -> providers.TableFetcher:
-    rows = spark.read.schema(providers.SCRAPE).json(path).collect() if path else []
-    return providers.TableFetcher({r["url"]: r.asDict() for r in rows})
+    return page
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    args = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("marlstone").getOrCreate()
-    most = None if getattr(args, "all_pages", False) else getattr(args, "pages", None)
-    if args.command == "stats":
-        catalog = Catalog(spark, args.output_dir)
-        stats = catalog.stats()
-        print(json.dumps(stats) if args.json else "\n".join(f"{k}: {v}" for k, v in stats.items()))
-        if args.list_failed:
-            for r in catalog.failed().toLocalIterator():
-                print(r["url"], r["error_message"], sep="\t")
-        return 0
-    if args.command == "parse":
-        found = files.pdf_files(spark, args.data_dir, args.recursive)
-        named = [f.rsplit("/", 1)[-1] for f in args.pdf_files]
-        chosen = files.unique_names(found.filter(found["name"].isin(named)) if named else found)
-        for r in chosen.orderBy("path").toLocalIterator():
+def make_client(spark: SparkSession, args):
+    if args.engine != "table":
+        if not args.transport:
+            raise SystemExit(f"--engine {args.engine} needs a --transport")
+        return clients.client(args.engine, named(args.transport))
+    scrapes = spark.read.schema(providers.SCRAPE).json(args.scrapes) if args.scrapes else spark.createDataFrame([], providers.SCRAPE)
+    searches = spark.read.schema("query string, ord bigint, url string").json(args.searches) if args.searches else None
+    contents = None
+    if args.pdfs:  # by the last part of an address
+        contents = files.pdf_files(spark, args.pdfs, content=True).select(F.col("name").alias("url"), "content")
+    return FolderSource(scrapes, searches, contents)
+
+
+class FolderSource(providers.TableSource):
+    def downloaded(self, urls: DataFrame) -> DataFrame:
+        last = urls.select("url", F.element_at(F.split("url", "/"), -1).alias("name"))
+        got = super().downloaded(last.select(F.col("name").alias("url")).distinct()).withColumnRenamed("url", "name")
+        return last.join(got, "name").select("url", "content", "error")
+
+
+def parse(args, spark: SparkSession) -> int:
+    """Checks the files, parses them, writes results, summary and task log."""
+    if not args.pdf_files and not args.all:
+        print("name PDFs, or --all", file=sys.stderr)
+        return 1
+    found = files.pdf_files(spark, args.data_dir, args.recursive, content=True)
+    if args.pdf_files:
+        wanted = [f.rsplit("/", 1)[-1] for f in args.pdf_files]
+        there = {r["name"] for r in found.filter(found["name"].isin(wanted)).select("name").collect()}
+        for name in sorted(set(wanted) - there):
+            print(f"missing: {name}", file=sys.stderr)
+        if args.fail_on_error and set(wanted) - there:
+            return 1
+        found = found.filter(found["name"].isin(wanted))
+    chosen = files.unique_names(found)
+    if not chosen.head(1):
+        return 1
+    if args.verbose or not args.service:
+        for r in chosen.select("path").orderBy("path").toLocalIterator():
             print(r["path"])
-        return 0 if chosen.head(1) else 1
-    if args.command.startswith("discover"):
-        if args.command == "discover-sitemap":
-            urls = discover_sitemap(spark.read.json(args.documents), args.sitemap_url)
-        elif args.command == "discover-site":
-            urls = discover_site(spark, args.archive_url or [DEFAULT.archive], page_function(spark, args.listings), most)
-        else:
-            urls = discover_archive(spark, args.archive_url, page_function(spark, args.listings), most, args.year)
-        for r in urls.toLocalIterator():
-            print(r["url"])
+    if not args.service:
+        return 0
+    settings = tasks.Settings(tries=args.max_retries, poll_timeout=args.poll_timeout, model_version=args.model_version, language=args.language, ocr=not args.no_ocr)
+    known = None
+    if args.task_log:
+        known = files.read_task_log(spark, args.task_log).filter("state = 'done'").select(F.col("file_name").alias("file"), "batch_id", F.col("result_path").alias("url"))
+    got = tasks.parse_documents(chosen.select(F.col("name").alias("file"), "content"), named(args.service)(settings), settings, known)
+    members = tasks.result_members(got)
+    for name in [r["stem"] for r in members.select("stem").distinct().toLocalIterator()]:  # a folder for each file; members may lie in folders of it
+        own = members.filter(members["stem"] == name).withColumn("name", F.replace("name", F.lit("/"), F.lit("__")))
+        files.write_blobs(own, f"{args.output_dir}/{name}", "name", "content")
+    errors = [r.asDict() for r in tasks.run_errors(got).orderBy("file").collect()]  # of the files that were named
+    summary = tasks.run_summary(got).first().asDict() | {"errors": errors, "output_dir": args.output_dir}
+    log = got.join(tasks.processed(got), "file").select("batch_id", F.col("file").alias("file_name"), "state", "phase", "error", "processed")
+    log.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{args.output_dir}/task_log")
+    if args.save_summary:
+        files.write_one_json(tasks.run_summary(got), f"{args.output_dir}/summary")
+    print(json.dumps(summary))
+    return 1 if errors and (args.fail_on_error or not summary["successful"]) else 0
+
+
+def papers(args, spark: SparkSession) -> int:
+    """DOIs with their works from a file (doi, work), and what PDFs say of themselves."""
+    if args.metadata:
+        info = files.pdf_files(spark, args.pdf_dir or ".", content=True).select("path", files.pdf_info(F.col("content")).alias("info"))
+        for r in info.orderBy("path").toLocalIterator():
+            print(json.dumps({"path": r["path"], "title": (r["info"] or {}).get("Title"), "info": r["info"]}))
         return 0
-    collector = Collector(spark, args.output_dir, fetcher(spark, args.scrapes), on_progress=lambda e: print(json.dumps(e), file=sys.stderr))
-    how = {"resume": not args.force, "retry_failed": not args.skip_failed_cache}
+    given = [spark.createDataFrame([(i, d) for i, d in enumerate(args.dois)], "ord bigint, doi string")]
+    if args.doi_list:
+        given.append(files.doi_list(spark, args.doi_list).select("ord", "doi"))
+    dois = union_sources(*[g.select(F.col("doi").alias("url"), "ord") for g in given]).filter("url <> ''").select(F.col("url").alias("doi"), "place")
+    if args.works:
+        works = spark.read.schema("doi string, title string, journal array<string>, citations bigint").json(args.works)
+        dois = dois.join(works, "doi", "left")
+    for r in dois.orderBy("place").drop("place").toLocalIterator():
+        print(json.dumps(r.asDict()))
+    files.write_list(dois, "doi", f"{args.output_dir}/dois")
+    return 0
+
+
+def render(args, spark: SparkSession) -> int:
+    """Sessions ``start`` to ``end`` of blocks in JSON lines (doc, page_idx, index, type,
+    text, level) as markdown files; one that is there is left alone."""
+    rows = spark.read.schema("doc string, page_idx int, index int, type string, text string, level int").json(args.blocks)
+    docs = files.sliced(rows.select("doc").distinct(), "doc", args.start, args.end)
+    made = blocks.RENDERERS[args.mode](rows.join(docs, "doc", "left_semi"))
+    made = made.select(F.concat(stem(F.col("doc")), F.lit(".md")).alias("name"), blocks.with_image_dir(F.col("markdown"), f"{args.output_dir}/images").alias("markdown"))
+    written = files.write_blobs(made, args.output_dir, "name", "markdown", replace=False)
+    for r in written.orderBy("name").toLocalIterator():
+        print(r["path"] or f"{r['name']}: {r['error']}")
+    return 1 if written.filter("error is not null").head(1) else 0
+
+
+def collect(args, spark: SparkSession, most: int | None) -> int:
+    collector = Collector(spark, args.output_dir, make_client(spark, args), on_progress=lambda e: print(json.dumps(e), file=sys.stderr), partitions=args.max_workers, per_second=args.requests_per_second)
+    how = {"resume": not args.force, "retry_failed": not args.skip_failed_cache, "peer_reviews": not args.skip_peer_reviews}
     archives, page = args.archive_url or [DEFAULT.archive], page_function(spark, args.listings)
+    if args.year is not None:
+        archives = [spark.range(1).select(listing_url_with_year(F.lit(a), F.lit(args.year))).first()[0] for a in archives]
     if args.fill_gaps:
         got = collector.fill_gaps_archive(archives[0], page, most)
     elif args.archive:
@@ -83,14 +177,46 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.sitemap_url:
         got = collector.collect_sitemap(spark.read.json(args.documents), args.sitemap_url, **how)
     else:
-        lists = [files.urls_from_list(spark, args.url)] + ([files.urls_from_file(spark, args.input)] if args.input else [])
-        merged = union_sources(*lists)
-        got = collector.collect_urls(merged.select("url", merged["place"].alias("ord")).selectExpr("url", "ord.list * 1000000000000 + ord.ord as ord"), **how)
+        lists = [files.urls_from_list(spark, args.url)] + ([files.urls_from_file(spark, args.input)] if args.input else []) + ([collector.discover(args.query, args.limit)] if args.query else [])
+        got = collector.collect_urls(numbered(union_sources(*lists), ["place"]).select("url", "ord"), **how)
     if args.json_output:
         got.drop("metadata").write.mode("overwrite").option("ignoreNullFields", "false").json(args.json_output)
+    if args.print_records:
+        for text in got.drop("metadata").toJSON().toLocalIterator():
+            print(text)
     print("\n".join(f"{k}: {v}" for k, v in collector.stats().items()))
     return 0
 
 
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    args = parser().parse_args(argv)
+    spark = spark or SparkSession.builder.appName("marlstone").getOrCreate()
+    most = None if getattr(args, "all_pages", False) else getattr(args, "pages", None)
+    if args.command in ("parse", "papers", "render"):
+        return {"parse": parse, "papers": papers, "render": render}[args.command](args, spark)
+    if args.command == "collect":
+        return collect(args, spark, most)
+    if args.command == "stats":
+        catalog = Catalog(spark, args.output_dir)
+        stats = catalog.stats()
+        print(json.dumps(stats) if args.json else "\n".join(f"{k}: {v}" for k, v in stats.items()))
+        if args.list_failed:
+            for r in catalog.failed().toLocalIterator():
+                print(r["url"], r["error_message"], sep="\t")
+        return 0
+    if args.command == "discover":
+        urls = providers.searched(spark, make_client(spark, args), args.query, args.limit)
+    elif args.command == "discover-sitemap":
+        urls = discover_sitemap(spark.read.json(args.documents), args.sitemap_url)
+    elif args.command == "discover-site":
+        urls = discover_site(spark, args.archive_url or [DEFAULT.archive], page_function(spark, args.listings), most)
+        urls = numbered(urls, ["place"])
+    else:
+        urls = discover_archive(spark, args.archive_url, page_function(spark, args.listings), most, args.year)
+    for r in urls.orderBy("ord").toLocalIterator():
+        print(r["url"])
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())

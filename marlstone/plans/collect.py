@@ -103,10 +103,12 @@ class Collector:
     def __init__(self, spark: SparkSession, store: str | Catalog, client, site: SiteProfile = DEFAULT, on_progress: Callable[[dict], None] | None = None, partitions: int | None = None, per_second: float = 0.0):
         self.spark, self.site = spark, site
         self.catalog = store if isinstance(store, Catalog) else Catalog(spark, store)
-        self.client, self.fetch, self.content = client, getattr(client, "article", client), getattr(client, "content", None)
+        pace = {"partitions": partitions, "per_second": per_second}
+        self.client, content = client, getattr(client, "content", None)
+        self._fetched = getattr(client, "fetched", None) or (lambda urls: providers.fetched(urls, getattr(client, "article", client), **pace))
+        self._downloaded = (client.downloaded if getattr(client, "contents", None) is not None else None) if isinstance(client, providers.TableSource) else (lambda urls: providers.downloaded(urls, content, **pace)) if content else None
         self.engine = getattr(client, "engine", "native")
         self.on_progress = on_progress or (lambda event: None)
-        self.pace = {"partitions": partitions, "per_second": per_second}
 
     def collect_urls(self, urls: DataFrame, resume: bool = True, retry_failed: bool = True, peer_reviews: bool = True) -> DataFrame:
         """M1: fetches what is neither cached nor known; returns the records of all addresses,
@@ -119,7 +121,7 @@ class Collector:
         own = urls.withColumn("url", normalize_article_url(F.col("url"))).filter(is_article_url(F.col("url"), self.site))
         own = own.withColumn("slug", slug_from_url(F.col("url"))).select("url", "ord", "slug")
         plan = cut(frontier.planned(own, self.catalog.attempts(), self.catalog.names(), retry_failed, resume))
-        got = cut(plan.filter("action = 'fetch'").select("url", "ord").join(providers.fetched(frontier.pending(plan), self.fetch, **self.pace), "url"))
+        got = cut(plan.filter("action = 'fetch'").select("url", "ord").join(self._fetched(frontier.pending(plan)), "url"))
         good = got.filter("error is null")
         made = cut(good.select("ord", "url").join(self._records(good).withColumnRenamed("article_url", "url0"), F.col("url") == F.col("url0")).withColumnRenamed("url0", "article_url"))
         keyed = made.select("ord", records.keys_of(made).alias("keys"))
@@ -163,10 +165,10 @@ class Collector:
         written = files.write_blobs(new.filter("body_markdown is not null").select(named(".md"), "body_markdown"), f"{folder}/markdown", "name", "body_markdown")
         assets = [written.select(slug, F.lit("markdown_path").alias("kind"), "path", "error")]
         for kind, wanted in (("article_pdf", True), ("peer_review_pdf", peer_reviews)):
-            if not wanted or self.content is None:
+            if not wanted or self._downloaded is None:
                 continue
             urls = new.filter(F.col(f"{kind}_url").isNotNull()).select("slug", F.col(f"{kind}_url").alias("url"))
-            got = cut(urls.join(providers.downloaded(urls.select("url").distinct(), self.content, **self.pace), "url"))
+            got = cut(urls.join(self._downloaded(urls.select("url").distinct()), "url"))
             written = files.write_blobs(got.filter("error is null").select(named(".pdf"), "content"), f"{folder}/{kind}s", "name", "content")
             assets += [written.select(slug, F.lit(f"{kind}_path").alias("kind"), "path", "error"), got.filter("error is not null").select("slug", F.lit(f"{kind}_path").alias("kind"), F.lit(None).cast("string").alias("path"), "error")]
         whole = assets[0]

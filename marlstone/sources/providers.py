@@ -85,6 +85,34 @@ def fetched(urls: DataFrame, fetch: Fetcher, partitions: int | None = None, per_
     return own.mapInArrow(run, SCRAPE)
 
 
+class TableSource:
+    """Answers with the rows of a table of scrapes, by a join on the normal address, and
+    searches and contents from tables as well; nothing of them comes to the driver."""
+
+    engine = "table"
+
+    def __init__(self, scrapes: DataFrame, searches: DataFrame | None = None, contents: DataFrame | None = None):
+        self.scrapes, self.searches, self.contents = scrapes, searches, contents
+
+    def fetched(self, urls: DataFrame) -> DataFrame:
+        """The first scrape of each address by markdown; those that aren't there fail."""
+        names = ("markdown", "html", "raw_html", "links", "metadata")
+        own = self.scrapes.select(normalize_article_url(F.col("url")).alias("url"), F.struct(*names).alias("s"))
+        own = own.groupBy("url").agg(F.min_by("s", F.col("s.markdown")).alias("a"), F.any_value("s").alias("b")).select("url", F.coalesce("a", "b").alias("s"))
+        error = F.when(F.col("s").isNull(), F.concat(F.lit("no page at "), "url")).alias("error")
+        return urls.select("url").join(own, "url", "left").select("url", *[F.col(f"s.{n}").alias(n) for n in names], error)
+
+    def downloaded(self, urls: DataFrame) -> DataFrame:
+        """contents: url, content."""
+        own = self.contents.groupBy("url").agg(F.min("content").alias("content"))
+        return urls.select("url").join(own, "url", "left").select("url", "content", F.when(F.col("content").isNull(), F.concat(F.lit("nothing at "), "url")).alias("error"))
+
+    def search(self, query: str, limit: int) -> dict:
+        """searches: query, ord, url."""
+        rows = self.searches.filter(F.col("query") == query).orderBy("ord").limit(limit).collect() if self.searches is not None else []
+        return {"web": [{"url": r["url"]} for r in rows]}
+
+
 def downloaded(urls: DataFrame, content: Callable[[str], bytes], partitions: int | None = None, per_second: float = 0.0) -> DataFrame:
     """SNK2, SRC23: url, content and error of each address (url), under the same rate."""
     own, rate = _dealt(urls.select("url"), partitions, per_second)
