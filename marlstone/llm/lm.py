@@ -37,7 +37,7 @@ STATES, SYMBOLS, ROUNDS = 4, 8192, 3
 #: Tokens whose counts every task holds; longer ones than LONGEST bytes go by a digest there.
 DICTIONARY, LONGEST = 65_536, 64
 #: Tokens of a stretch, and steps of all sequences that are worked on at once.
-STRETCH, CELLS = 1024, 1 << 19
+STRETCH, CELLS = 512, 1 << 19
 #: Distinct tokens that a counting task holds before it passes them on.
 FLUSH = 250_000
 SHAPES = 32
@@ -244,20 +244,24 @@ def expected(model: Model, sequences: list[np.ndarray], stretch: int = STRETCH)
     forward-backward recursions on many of them at once."""
     k = len(model.start)
     sums = [np.zeros(k), np.zeros((k, k)), np.zeros((len(model.emit), k))]
-    pieces, before, after = [], [], []
-    none, end = np.zeros((1, k)), np.ones((1, k))
-    for s in sequences:
-        own = [s[i : i + stretch] for i in range(0, len(s), stretch)]
+    cuts = [[s[i : i + stretch] for i in range(0, len(s), stretch)] for s in sequences]
+    pieces = [x for own in cuts for x in own]
+    sizes = np.array(list(map(len, pieces)))
+    long = np.flatnonzero(np.repeat([len(own) > 1 for own in cuts], [len(own) for own in cuts]))
+    steps = np.empty((len(long), k, k))
+    for part in _portions(sizes[long] * k):
+        steps[part] = transfers(model, [pieces[i] for i in long[part].tolist()])
+    before, after, at = [], [], 0
+    for own in cuts:
         if len(own) > 1:
-            steps = np.empty((len(own), k, k))
-            for part in _portions(np.array(list(map(len, own))) * k):
-                steps[part] = transfers(model, [own[i] for i in part])
-            b, a = _borders(model, steps)
-        pieces += own
-        before.append(b if len(own) > 1 else none)
-        after.append(a if len(own) > 1 else end)
+            b, a = _borders(model, steps[at : at + len(own)])
+            at += len(own)
+        else:
+            b, a = np.zeros((1, k)), np.ones((1, k))
+        before.append(b)
+        after.append(a)
     before, after = np.concatenate(before), np.concatenate(after)
-    for part in _portions(np.array(list(map(len, pieces)))):
+    for part in _portions(sizes):
         for x, y in zip(sums, _counts(model, [pieces[i] for i in part], before[part], after[part]), strict=True):
             x += y
     return tuple(sums)
