@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import extract, html, ids, text, urls
 from ..operators import bibliography, blocks, catalog, dedupe, frontier, records, tasks
-from ..operators.checkpoints import scratch
+from ..operators.checkpoints import cut, scratch
+from ..profile import DEFAULT
 from ..sources import files, providers
 from ..streaming import collect
 
@@ -131,10 +132,10 @@ def html_markdown(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html.html_markdown(c("html")).alias("markdown"), html.html_review(c("html")).alias("review"))
 
 
-@query("SELECT page_id, url AS page_url, 'title' IN (CASE WHEN html LIKE '%<title>%' THEN 'title' END) AS has_title FROM pages")
+@query(f"SELECT page_id, url AS page_url, replace(replace(replace({TITLE}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, CASE WHEN {TITLE} IS NULL THEN 'url' ELSE 'title url' END AS keys FROM pages")
 def html_meta(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", html.last_meta(html.html_meta(c("html"), c("url"))).alias("meta"))
-    return rows.select("page_id", c("meta")["url"].alias("page_url"), F.map_contains_key("meta", F.lit("title")).alias("has_title"))
+    return rows.select("page_id", c("meta")["url"].alias("page_url"), c("meta")["title"].alias("title"), F.array_join(F.array_sort(F.map_keys("meta")), " ").alias("keys"))
 
 
 @query(f"SELECT {NORMAL} AS url, min(page_id) AS page_id FROM pages GROUP BY 1")
@@ -294,10 +295,12 @@ def record_summary(spark, sf_dir):
     return records.summary(records.records(scrapes(spark, sf_dir)))
 
 
-@query(f"""{RECORDS} SELECT slug, CAST(to_json(struct_pack(slug := slug, title := title, published_date := published_date, article_pdf_url := article_pdf_url)) AS VARCHAR) AS json FROM rec""")
+_SLIM = ", ".join(f"{k} := {f'CAST(NULL AS VARCHAR)' if k.endswith('_path') else k}" for k in records.SUMMARY)
+
+
+@query(f"""{RECORDS} SELECT slug, CAST(to_json(struct_pack({_SLIM})) AS VARCHAR) AS json FROM rec""")
 def record_json(spark, sf_dir):
-    rows = records.records(scrapes(spark, sf_dir)).select("slug", "title", "published_date", "article_pdf_url")
-    return records.as_json(rows, "slug")
+    return records.as_json(records.summary(records.records(scrapes(spark, sf_dir))), "slug")
 
 
 DUP_KEYS = """dk AS (SELECT k, unnest(list_filter(['slug:' || slug, 'url:' || lower(article_url), 'doi:' || lower(doi), 'article_pdf:' || lower(article_pdf_url),
@@ -305,9 +308,20 @@ DUP_KEYS = """dk AS (SELECT k, unnest(list_filter(['slug:' || slug, 'url:' || lo
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scrapes(spark, sf_dir)
-    made = records.records(rows.select("url", "markdown", "html", "links", F.map_concat("metadata", F.map_from_arrays(F.array(F.lit("k")), F.array(c("k").cast("string")))).alias("metadata")))
-    return made.select(c("metadata")["k"].cast("bigint").alias("k"), records.keys_of(made).alias("keys"))
+    """k and keys of each record, from the six fields that they need."""
+    rows, site = scrapes(spark, sf_dir), DEFAULT
+    url, markdown, metadata = c("url"), c("markdown"), c("metadata")
+    fields = rows.select(
+        "k",
+        urls.slug_from_url(url).alias("slug"),
+        urls.normalize_article_url(url).alias("article_url"),
+        extract.doi(url, markdown).alias("doi"),
+        extract.article_pdf_url(url, c("links"), markdown, c("html"), metadata).alias("article_pdf_url"),
+        extract.peer_review_url(markdown, F.lit(None).cast("string")).alias("peer_review_pdf_url"),
+        extract.title(url, metadata, markdown).alias("title"),
+        F.lit(site.journal).alias("journal"),
+    )
+    return fields.select("k", records.keys_of(fields).alias("keys"))
 
 
 @query(f"{RECORDS}, {DUP_KEYS} SELECT k, dup_key FROM dk")
@@ -320,10 +334,11 @@ def dup_index(spark, sf_dir):
     return dedupe.key_index(_keyed(spark, sf_dir), "k", "keys", "k")
 
 
-@query(f"{RECORDS}, {DUP_KEYS}, i AS (SELECT dup_key, min(k) AS first_id FROM dk WHERE k % 2 = 0 GROUP BY dup_key) SELECT k, min(first_id) AS duplicate_of FROM dk LEFT JOIN i USING (dup_key) WHERE k % 2 = 1 GROUP BY k")
+@query(f"{RECORDS}, {DUP_KEYS}, i AS (SELECT dup_key, min(k) AS first_id FROM dk GROUP BY dup_key) SELECT k, min(first_id) AS duplicate_of FROM dk LEFT JOIN i USING (dup_key) GROUP BY k")
 def dedupe_existing(spark, sf_dir):
-    rows = _keyed(spark, sf_dir)  # the even ones are there already
-    return dedupe.existing_match(rows.filter("k % 2 = 1"), dedupe.key_index(rows.filter("k % 2 = 0"), "k", "keys", "k"), "k", "keys")
+    """All records against an index of all: each finds itself or one before it."""
+    rows = cut(_keyed(spark, sf_dir))
+    return dedupe.existing_match(rows, dedupe.key_index(rows, "k", "keys", "k"), "k", "keys")
 
 
 @query(f"""
@@ -558,7 +573,9 @@ def render_markdown(spark, sf_dir):
     return blocks.rendered(_blocks(spark, sf_dir).withColumn("level", c("index") % 3 + 1))
 
 
-@query()
+@query(f"""{ROWS.replace("WITH ", "WITH RECURSIVE ", 1)}, t AS (SELECT doc, CAST(row_number() OVER o - 1 AS INTEGER) AS ordinal, least(4, dense_rank() OVER (PARTITION BY doc ORDER BY n % 5 DESC)) AS wanted FROM f WHERE type = 'title' WINDOW o AS (PARTITION BY doc ORDER BY page_idx, "index")),
+w AS (SELECT doc, ordinal, CAST(1 AS INTEGER) AS level FROM t WHERE ordinal = 0 UNION ALL SELECT t.doc, t.ordinal, CAST(least(t.wanted, w.level + 1) AS INTEGER) FROM w JOIN t ON t.doc = w.doc AND t.ordinal = w.ordinal + 1)
+SELECT doc, ordinal, level FROM w""")
 def rule_levels(spark, sf_dir):
     rows = blocks.titles(_blocks(spark, sf_dir)).withColumn("height", c("n") % 5)
     return blocks.rule_levels(rows)
@@ -628,3 +645,6 @@ def queries():
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+from . import round_trips  # noqa: E402, F401  (adds its queries to these)

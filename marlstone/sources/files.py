@@ -141,7 +141,8 @@ def write_blobs(rows: DataFrame, folder: str, name: str, content: str, replace:
 def read_task_log(spark: SparkSession, path: str) -> DataFrame:
     """SRC28: a task log, as one JSON array or as lines, back as rows."""
     kind = "batch_id string, file_name string, file_path string, state string, result_path string, processed boolean"
-    return spark.read.schema(kind).json(path, multiLine=True)
+    first = spark.read.text(path).filter(strip(F.col("value")) != "").first()
+    return spark.read.schema(kind).json(path, multiLine=bool(first) and first["value"].lstrip().startswith("["))
 
 
 def write_one_json(row: DataFrame, path: str) -> None:
