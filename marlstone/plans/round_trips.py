@@ -14,6 +14,7 @@ from ..operators import blocks, records, tasks
 from ..operators.checkpoints import cut, scratch
 from ..profile import DEFAULT
 from ..sources import clients, files, providers
+from ..streaming.polls import final_states
 from .collect import Collector, discover_site, discover_sitemap
 from .queries import AUTHORS, HEADINGS, PARTS, RECORDS, ROWS, _blocks, query, scrapes, table
 
@@ -500,6 +501,26 @@ def task_log(spark, sf_dir):
     return files.read_task_log(spark, path).select("file_name", "state", "processed")
 
 
+POLLED = "CASE event_id % 9 WHEN 0 THEN 'done' WHEN 4 THEN 'failed' ELSE 'running' END"
+
+
+@query(f"""
+WITH p AS (SELECT CAST(user_id AS VARCHAR) AS file, {POLLED} AS state, ts, event_id FROM events),
+f AS (SELECT *, min(ts) OVER (PARTITION BY file) AS begun, max(ts) OVER () AS seen FROM p),
+g AS (SELECT file, min(begun) + INTERVAL 1 DAY AS stop, min(seen) AS seen,
+  arg_min(state, struct_pack(ts := ts, e := event_id)) FILTER (WHERE state <> 'running' AND ts <= begun + INTERVAL 1 DAY) AS state FROM f GROUP BY file)
+SELECT file, coalesce(state, 'timeout') AS state FROM g WHERE state IS NOT NULL OR stop < seen
+""")
+def polls_stream(spark, sf_dir):
+    """Polls of all files as a stream: ends, and timeouts after a day without one."""
+    rows = table(spark, sf_dir, "events").select(c("user_id").cast("string").alias("file"), F.expr(POLLED).alias("state"), "ts", c("event_id").alias("ord"))
+    source, sink = scratch(spark, "polls"), scratch(spark, "ends")
+    rows.write.parquet(source)
+    stream = final_states(spark.readStream.schema(rows.schema).parquet(source), timeout_s=86_400)
+    stream.writeStream.format("parquet").option("checkpointLocation", scratch(spark, "state")).option("path", sink).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("file string, state string").parquet(sink)
+
+
 @query("WITH a AS (SELECT s_name, row_number() OVER (ORDER BY s_suppkey) - 1 AS place FROM supplier), b AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS place FROM nation) SELECT place, s_name, n_name FROM a JOIN b USING (place)")
 def zipped_rows(spark, sf_dir):
     a, b = table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("k"), "s_name"), table(spark, sf_dir, "nation").select(c("n_nationkey").alias("k"), "n_name")

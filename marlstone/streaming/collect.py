@@ -3,9 +3,10 @@ batch is checkpointed after its rows are written, so a repeated batch changes no
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,46 +14,46 @@ from ..functions.urls import normalize_article_url
 from ..operators.dedupe import first_by
 
 
-def collect_pages(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, files_per_batch: int = 1, on_batch: Callable[[int, int], None] | None = None) -> int:
-    """ST1-ST3, ST6, ST9: reads new page files (url and other columns) from ``source`` and
-    appends to ``sink`` the rows whose address isn't there yet, the first of a batch.  Each
-    batch writes a folder of its own number, so that a batch that is repeated after a crash
-    replaces itself.  Returns the number of batches."""
-    ran = []
+def _run(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, files_per_batch: int, on_batch: Callable[[int, int], None] | None) -> int:
+    """Appends each batch's new rows to ``sink`` in a folder named by the checkpoint and the
+    batch's number: a batch that is repeated after a crash replaces itself, and another
+    stream's batches are never touched."""
+    ran, own = [], hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, number: int) -> None:
+        name = f"batch={own}-{number:08d}"
         rows = first_by(batch.withColumn("url", normalize_article_url(F.col("url"))), ["url"], ["page_id"])
-        known = _known(spark, sink, number)
+        known = _known(spark, sink, name)
         new = rows if known is None else rows.join(known, "url", "left_anti")
-        new.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        counted = Observation()
+        new.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{sink}/{name}")
         ran.append(number)
         if on_batch:
-            on_batch(number, spark.read.parquet(f"{sink}/batch={number}").count())
+            on_batch(number, counted.get["n"])  # counted as they were written
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return len(ran)
 
 
-def _known(spark: SparkSession, sink: str, number: int) -> DataFrame | None:
-    """Addresses that other batches have written."""
+def collect_pages(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, files_per_batch: int = 1, on_batch: Callable[[int, int], None] | None = None) -> int:
+    """ST1-ST3, ST6, ST9: reads new page files (url and other columns) from ``source`` and
+    appends to ``sink`` the rows whose address isn't there yet, the first of a batch.  Returns
+    the number of batches; ``on_batch`` is told each one's number and new rows."""
+    return _run(spark, source, schema, sink, checkpoint, files_per_batch, on_batch)
+
+
+def _known(spark: SparkSession, sink: str, name: str) -> DataFrame | None:
+    """Addresses that other batches have written: one column of the sink, in an anti-join
+    with a batch's few rows."""
     path = spark._jvm.org.apache.hadoop.fs.Path(sink)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(path):
         return None
-    done = [s.getPath().toString() for s in files.listStatus(path) if s.getPath().getName().startswith("batch=") and s.getPath().getName() != f"batch={number}"]
-    return spark.read.parquet(*done).select("url").distinct() if done else None
+    done = [s.getPath().toString() for s in files.listStatus(path) if s.getPath().getName().startswith("batch=") and s.getPath().getName() != name]
+    return spark.read.parquet(*done).select("url") if done else None
 
 
-def fill_gaps(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, files_per_batch: int = 1, first_number: int | None = None) -> None:
+def fill_gaps(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, files_per_batch: int = 1, on_batch: Callable[[int, int], None] | None = None) -> int:
     """ST4: goes over all pages again under a new checkpoint; rows that are there stay."""
-    seen = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    base = first_number if first_number is not None else 1_000_000
-
-    def write(batch: DataFrame, number: int) -> None:
-        rows = first_by(batch.withColumn("url", normalize_article_url(F.col("url"))), ["url"], ["page_id"])
-        known = _known(spark, sink, base + number)
-        (rows if known is None else rows.join(known, "url", "left_anti")).write.mode("overwrite").parquet(f"{sink}/batch={base + number}")
-
-    seen.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return _run(spark, source, schema, sink, checkpoint, files_per_batch, on_batch)

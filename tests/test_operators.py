@@ -11,6 +11,7 @@ from marlstone.functions import html
 from marlstone.operators import bibliography, blocks, catalog, dedupe, frontier, tasks
 from marlstone.plans.collect import Catalog, Collector, discover_sitemap
 from marlstone.sources import clients, files, providers
+from marlstone.streaming import collect
 
 A = "https://www.nature.com/articles/"
 
@@ -363,6 +364,36 @@ def test_appended_lines(spark, tmp_path):
     assert [(r["ord"], r["doi"]) for r in files.doi_list(spark, str(tmp_path / "dois")).orderBy("ord").collect()] == [(0, "d1"), (1, "d2"), (2, "d3"), (3, "")]
 
 
+def test_streams_that_fill_gaps_twice(spark, tmp_path):
+    """Each run of a gap filler keeps its rows: the first finds page 3, the second page 4."""
+    kind = spark.createDataFrame([], "page_id int, url string").schema
+    made = lambda n: spark.createDataFrame([(n, f"http://u{n}"), (n + 10, "http://u0/")], kind).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    made(1)
+    told = []
+    assert collect.collect_pages(spark, f"{tmp_path}/in", kind, f"{tmp_path}/out", f"{tmp_path}/c0", on_batch=lambda n, rows: told.append((n, rows))) == 1 and told == [(0, 2)]
+    for n in (3, 4):
+        made(n)
+        collect.fill_gaps(spark, f"{tmp_path}/in", kind, f"{tmp_path}/out", f"{tmp_path}/c{n}")
+    got = sorted((r["url"], r["page_id"]) for r in spark.read.parquet(f"{tmp_path}/out").select("url", "page_id").collect())
+    assert got == [("http://u0", 11), ("http://u1", 1), ("http://u3", 3), ("http://u4", 4)]
+
+
+def test_polls_over_several_batches(spark, tmp_path):
+    """A file's end counts once; a file without one times out when time has gone on, and not again."""
+    from datetime import datetime
+
+    from marlstone.streaming.polls import final_states
+
+    at = lambda minute: datetime(2024, 1, 1, 0, minute)
+    batches = [[("a", "running", at(0), 1), ("b", "running", at(0), 2), ("c", "done", at(1), 3)], [("a", "done", at(3), 4), ("c", "failed", at(4), 5), ("d", "running", at(20), 6)], [("b", "done", at(21), 7), ("e", "done", at(40), 8)]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "file string, state string, ts timestamp, ord long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = final_states(spark.readStream.schema("file string, state string, ts timestamp, ord long").parquet(f"{tmp_path}/in"))
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").option("path", f"{tmp_path}/out").trigger(availableNow=True).start().awaitTermination()
+    got = sorted((r["file"], r["state"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [("a", "done"), ("b", "timeout"), ("c", "done"), ("d", "timeout"), ("e", "done")]
+
+
 def test_listing_source(spark):
     spark.dataSource.register(providers.ListingSource)
     rows = spark.read.format("listing").option("archive", "x").option("last", 3).option("page_size", 1).option("pages", "tests.test_operators:listed").load()
