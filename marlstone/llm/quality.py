@@ -155,7 +155,7 @@ def quality_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdicts on ``documents``, where a host is a source's texts of one order of length
     (powers of two of their characters): those of the shortest texts are rejected."""
     docs = table(spark, sf_dir, "documents")
-    size = F.floor(F.log2(F.length(F.coalesce("text", F.lit(""))) + 1)).cast("int")
+    size = F.length(F.bin(F.length(F.coalesce("text", F.lit(""))) + 1)) - 1
     rows = stored(docs.select(F.concat_ws("/", F.coalesce("source", F.lit(NO_HOST)), size.cast("string")).alias("host"), measured(F.col("text")).alias("m")), "measures")
     verdicts = host_verdicts(rows, "host", "m")
     rates = [F.round(c, 9).alias(c) for c in verdicts.columns if c.endswith("_rate")]
@@ -229,7 +229,7 @@ FROM f JOIN verdict USING (host)
 """
 )
 HOSTS_SQL = (
-    _MEASURED_SQL.replace("{host}", "coalesce(source, chr(0)) || '/' || CAST(CAST(floor(log2(length(coalesce(text, '')) + 1)) AS INTEGER) AS VARCHAR)")
+    _MEASURED_SQL.replace("{host}", "coalesce(source, chr(0)) || '/' || CAST(length(bin(length(coalesce(text, '')) + 1)) - 1 AS VARCHAR)")
     + """
 SELECT host, n, """
     + ", ".join(f"round(max(rate) FILTER (WHERE rule = '{k}'), 9) AS {k}_rate" for k in ("short", "repeats", "symbols", "odd_words"))
