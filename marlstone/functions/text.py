@@ -59,3 +59,13 @@ def string_list(x: Column) -> Column:
 def clean_list(xs: Column) -> Column:
     """T3 for a list: its parts that aren't blank."""
     return F.coalesce(F.filter(F.transform(xs, strip), lambda x: x.isNotNull() & (x != "")), F.array().cast("array<string>"))
+
+
+def stamp(time: Column) -> Column:
+    """A time as it goes into file names."""
+    return F.date_format(time, "yyyyMMdd_HHmmss")
+
+
+def iso_time(time: Column) -> Column:
+    """A time in ISO 8601 with microseconds, as logs have it."""
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

@@ -230,9 +230,17 @@ class Collector:
             whole = whole.unionByName(f)
         return whole
 
-    def collect_sitemap(self, documents: DataFrame, root: str, **how) -> DataFrame:
-        """M5, ST5: the article addresses under a sitemap."""
-        return self.collect_urls(discover_sitemap(documents, root, self.site), **how)
+    def collect_sitemap(self, documents: DataFrame, root: str, batch: int = 10_000, **how) -> DataFrame:
+        """M5, ST5: the article addresses under a sitemap, breadth first, in batches of ``batch``:
+        what a batch found is written before the next one is asked for."""
+        urls = cut(discover_sitemap(documents, root, self.site))
+        total, found = urls.count(), None
+        for start in range(0, max(1, total), batch):
+            own = urls.filter((F.col("ord") >= start) & (F.col("ord") < start + batch))
+            got = self.collect_urls(own, **how)
+            found = got if found is None else found.unionByName(got)
+            self.on_progress({"discovered": min(total, start + batch), "of": total})
+        return found.dropDuplicates(["slug"])
 
     def discover(self, query: str, limit: int = 20) -> DataFrame:
         """M6, SRC3."""

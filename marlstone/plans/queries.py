@@ -430,14 +430,14 @@ j AS (SELECT u.url, u.ord, u.slug, status, cr.slug AS cached_slug, coalesce(sr.s
 p AS (SELECT url, ord, slug, status, CASE WHEN status = 'success' AND cached_slug IS NOT NULL THEN 'cached' WHEN known_slug IS NOT NULL THEN 'known' ELSE 'fetch' END AS action, cached_slug, known_slug FROM j)"""
 
 
-def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _plan(spark: SparkSession, sf_dir: str, retry_failed: bool = True) -> DataFrame:
     name = lambda k: F.concat(F.lit("ncomms"), c(k).cast("string"))
     url = lambda k: F.concat(F.lit("https://www.nature.com/articles/"), name(k))
     own = table(spark, sf_dir, "customer").select(url("c_custkey").alias("url"), c("c_custkey").alias("ord"), name("c_custkey").alias("slug"))
     last = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max_by("o_orderstatus", "o_orderkey").alias("last"))
     cache = last.select(url("o_custkey").alias("url"), F.when(c("last") == "F", "failed").otherwise("success").alias("status"), name("o_custkey").alias("article_slug"))
     there = own.filter("ord % 3 = 0 or ord % 10 = 7").select(F.when(c("ord") % 10 == 7, F.concat(F.lit("x"), "slug")).otherwise(c("slug")).alias("slug"), c("url").alias("article_url"))
-    return frontier.planned(own, cache, there)
+    return frontier.planned(own, cache, there, retry_failed)
 
 
 @query(f"{PLAN} SELECT url, ord, slug, status, CASE action WHEN 'cached' THEN cached_slug WHEN 'known' THEN known_slug END AS record_slug, action FROM p")
@@ -450,6 +450,11 @@ def pending_urls(spark, sf_dir):
     return frontier.pending(_plan(spark, sf_dir)).select("url", "ord")
 
 
+@query(f"{PLAN} SELECT url, CASE WHEN status = 'failed' AND NOT coalesce(action = 'cached', false) THEN 'skipped' ELSE action END AS action FROM p")
+def skip_failed(spark, sf_dir):
+    return _plan(spark, sf_dir, retry_failed=False).select("url", F.when((c("status") == "failed") & (c("action") == "cached"), "skipped").otherwise(c("action")).alias("action"))
+
+
 @query(f"{PLAN} SELECT url, cached_slug AS record_slug FROM p WHERE action = 'cached'")
 def cached_records(spark, sf_dir):
     return _plan(spark, sf_dir).filter("action = 'cached'").select("url", "record_slug")

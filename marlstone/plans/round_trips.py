@@ -3,13 +3,14 @@ scratch folder, and the same result in SQL."""
 
 from __future__ import annotations
 
+import contextlib
 import io
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import extract, html, ids
+from ..functions import extract, html, ids, text, urls
 from ..operators import blocks, records, tasks
 from ..operators.checkpoints import cut, scratch
 from ..profile import DEFAULT
@@ -211,6 +212,33 @@ def listing_ends(spark, sf_dir):
     return providers.until_empty(pages).select("page_number")
 
 
+class _Hit:
+    def __init__(self, url: str):
+        self.url = url
+
+
+@query(f"SELECT '{A}ncomms' || n_nationkey AS url, CAST(n_nationkey AS BIGINT) AS ord FROM nation WHERE n_nationkey % 2 = 0")
+def search_service(spark, sf_dir):
+    """A service's answer: objects, nested under ``data``, of which odd ones are no articles."""
+    keys = [r[0] for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey").collect()]
+    hits = [_Hit(f"{A}ncomms{k}/#x" if k % 2 == 0 else f"http://other/{k}") for k in keys]
+    return providers.searched(spark, clients.client("service", lambda method, arguments: {"data": {"web": hits}}), "q", 1000)
+
+
+@query("""SELECT c_custkey AS k, CASE c_custkey % 6 WHEN 0 THEN 'http://h.org/a/x' || c_custkey WHEN 1 THEN 'http://h.org/a/b/y' || c_custkey || '?q=1' WHEN 2 THEN 'http://o.org/' || c_custkey
+  WHEN 3 THEN 'http://h.org/a/b/c?p=2#f' || c_custkey WHEN 4 THEN 'http://h.org/r/' || c_custkey ELSE 'http://h.org/a/b/c?k=' || c_custkey END AS url FROM customer""")
+def resolve_relative(spark, sf_dir):
+    starts = ("../x", "./y", "//o.org/", "#f", "/q/../r/", "?k=")
+    k = c("c_custkey")
+    href = F.coalesce(*[F.when(k % 6 == i, F.concat(F.lit(x), k.cast("string"), F.lit("?q=1" if i == 1 else ""))) for i, x in enumerate(starts)])
+    return table(spark, sf_dir, "customer").select(k.alias("k"), urls.resolve(F.lit("http://h.org/a/b/c?p=2"), href).alias("url"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso FROM events")
+def date_stamps(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", text.stamp(c("ts")).alias("stamp"), text.iso_time(c("ts")).alias("iso"))
+
+
 SITEMAP = f"""WITH e AS (SELECT 'map' || c_nationkey AS src, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS pos, '{A}ncomms' || (c_custkey % 500) AS url FROM customer),
 f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY url ORDER BY src, pos) = 1)"""
 
@@ -400,6 +428,17 @@ def sitemap_collected(spark, sf_dir):
     return collector.collect_sitemap(root, "root").select("slug")
 
 
+@query("SELECT list, count(*) AS n FROM (SELECT n_nationkey // 13 AS list FROM nation) GROUP BY list")
+def site_collected(spark, sf_dir):
+    """Two archives, one after the other."""
+    rows = [r[0] for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey").collect()]
+    pages = table(spark, sf_dir, "nation").select(F.concat(F.lit(f"{A}ncomms"), c("n_nationkey").cast("string")).alias("url"), F.concat(F.lit("# "), "n_name").alias("markdown"), *[none().alias(n) for n in ("html", "raw_html")], F.lit(None).cast("array<string>").alias("links"), F.create_map().cast("map<string,string>").alias("metadata"))
+    collector = Collector(spark, scratch(spark, "catalog"), providers.TableSource(pages))
+    page = lambda archive, n: [f"{A}ncomms{k}" for k in rows if k // 13 == int(archive)]
+    got = collector.collect_site(["0", "1"], page, max_pages=1)
+    return got.select(F.floor(F.regexp_extract("slug", r"(\d+)$", 1).cast("bigint") / 13).alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n"))
+
+
 # -- parsing --------------------------------------------------------------------------------------------
 
 
@@ -572,3 +611,101 @@ def provided_levels(spark, sf_dir):
 def render_pipeline(spark, sf_dir):
     made = blocks.RENDERERS["pipeline"](_blocks(spark, sf_dir))
     return made.select("doc", blocks.with_image_dir(c("markdown"), "the").alias("markdown"))
+
+
+# -- commands -------------------------------------------------------------------------------------------------
+
+
+def _said(spark: SparkSession, *argv: str) -> DataFrame:
+    """What a command prints, a line each."""
+    from .. import cli
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        code = cli.main([str(a) for a in argv], spark)
+    lines = out.getvalue().splitlines()
+    return spark.createDataFrame([(i, x) for i, x in enumerate([*lines, f"exit {code}"])], "ord int, line string").select("line")
+
+
+def _as_json(rows: DataFrame, name: str) -> str:
+    path = scratch(rows.sparkSession, name)
+    rows.write.json(path)
+    return path
+
+
+@query(f"SELECT '{A}ncomms' || n_nationkey AS line FROM nation WHERE n_nationkey < 5 UNION ALL SELECT 'exit 0'")
+def cli_discover(spark, sf_dir):
+    searches = table(spark, sf_dir, "nation").select(F.lit("q").alias("query"), c("n_nationkey").alias("ord"), F.concat(F.lit(f"{A}ncomms"), c("n_nationkey").cast("string")).alias("url"))
+    return _said(spark, "discover", "--searches", _as_json(searches, "searches"), "--query", "q", "--limit", 5)
+
+
+def _listings(spark: SparkSession, sf_dir: str) -> str:
+    rows = table(spark, sf_dir, "nation").groupBy((c("n_regionkey") % 2).cast("string").alias("archive_url"), F.floor(c("n_nationkey") / 10 + 1).cast("int").alias("page_number"))
+    return _as_json(rows.agg(F.array_sort(F.collect_list("n_name")).alias("urls")), "listings")
+
+
+@query("SELECT n_name AS line FROM nation WHERE n_regionkey % 2 = 0 UNION ALL SELECT 'exit 0'")
+def cli_archive(spark, sf_dir):
+    return _said(spark, "discover-archive", "--listings", _listings(spark, sf_dir), "--archive-url", "0", "--all-pages")
+
+
+@query("SELECT n_name AS line FROM nation WHERE n_nationkey < 20 UNION ALL SELECT 'exit 0'")
+def cli_site(spark, sf_dir):
+    return _said(spark, "discover-site", "--listings", _listings(spark, sf_dir), "--archive-url", "0", "--archive-url", "1", "--pages", 2)
+
+
+@query(f"SELECT '{A}ncomms' || s_suppkey AS line FROM supplier UNION ALL SELECT 'exit 0'")
+def cli_sitemap(spark, sf_dir):
+    documents = _as_json(_sitemap(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", 10**9), "sitemaps")
+    return _said(spark, "discover-sitemap", "--documents", documents, "--sitemap-url", "root")
+
+
+@query(f"SELECT unnest(['total_articles: ' || count(*), 'cached_urls: 25', 'success_urls: 25', 'failed_urls: 0', 'exit 0']) AS line FROM nation")
+def cli_collect(spark, sf_dir):
+    url = F.concat(F.lit(f"{A}ncomms"), c("n_nationkey").cast("string"))
+    pages = table(spark, sf_dir, "nation").select(url.alias("url"), F.concat(F.lit("# "), "n_name").alias("markdown"))
+    listing = _text_lines(spark, pages.select(c("url").alias("value")), ["value"])
+    folder = scratch(spark, "collected")
+    _said(spark, "collect", "--scrapes", _as_json(pages, "scrapes"), "--input", listing, "--output-dir", folder)
+    return _said(spark, "stats", "--output-dir", folder).filter("not line like 'last_%'")
+
+
+@query(f"SELECT CAST(count(*) FILTER (WHERE error IS NULL) AS VARCHAR) AS successful, CAST(count(*) FILTER (WHERE error IS NOT NULL) AS VARCHAR) AS failed FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'bad' WHEN s_suppkey % 11 = 0 THEN 'gone' END AS error FROM supplier)")
+def cli_parse(spark, sf_dir):
+    folder = f"{scratch(spark, 'pdfs')}"
+    rows = table(spark, sf_dir, "supplier").select(F.concat(c("s_suppkey").cast("string"), F.lit(".pdf")).alias("name"), "s_name")
+    files.write_blobs(rows, folder, "name", "s_name")
+    said = _said(spark, "parse", "--all", "--data-dir", folder, "--output-dir", scratch(spark, "parsed"), "--service", "marlstone.plans.round_trips:fast_service", "--save-summary")
+    found = said.filter("line like '{%'").select(F.from_json("line", "successful string, failed string").alias("s"))
+    return found.select("s.successful", "s.failed")
+
+
+class _Fast(_Known):
+    """As ``_Known``, and at an end at the first poll."""
+
+    def poll(self, batch: str) -> dict[str, tuple]:
+        return {n: ("failed", None, "bad") if int(n.removesuffix(".pdf")) % 5 == 0 else ("done", f"http://r/{n.removesuffix('.pdf')}", None) for n in self.names}
+
+
+def fast_service(settings: tasks.Settings) -> _Fast:
+    return _Fast()
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS doi, CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS citations FROM supplier")
+def cli_papers(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier")
+    dois = _text_lines(spark, rows.select("s_suppkey", c("s_suppkey").cast("string").alias("value")), ["s_suppkey"])
+    works = _as_json(rows.filter("s_suppkey % 2 = 0").select(c("s_suppkey").cast("string").alias("doi"), c("s_nationkey").alias("citations")), "works")
+    said = _said(spark, "papers", "--doi-list", dois, "--works", works, "--output-dir", scratch(spark, "papers"))
+    return said.filter("line like '{%'").select(F.from_json("line", "doi string, citations int").alias("r")).select("r.*")
+
+
+@query(f"""{ROWS}, picked AS (SELECT doc FROM (SELECT DISTINCT doc FROM f) ORDER BY CAST(doc AS VARCHAR) LIMIT 5 OFFSET 2)
+SELECT doc || '.md' AS name, sha256(string_agg(CASE WHEN type = 'title' THEN '## ' || text ELSE text END, chr(10) || chr(10) ORDER BY page_idx, "index")) AS sha FROM f WHERE doc IN (SELECT doc FROM picked) GROUP BY doc""")
+def cli_render(spark, sf_dir):
+    rows = _blocks(spark, sf_dir).select(c("doc").cast("string").alias("doc"), "page_idx", "index", "type", "text", F.lit(2).alias("level"))
+    folder = scratch(spark, "rendered")
+    for _ in range(2):  # the second time every file is there
+        _said(spark, "render", "--blocks", _as_json(rows, "blocks"), "--start", 2, "--end", 7, "--output-dir", folder)
+    found = spark.read.format("binaryFile").load(folder)
+    return found.select(ids.base_name(c("path")).alias("name"), F.sha2("content", 256).alias("sha"))
