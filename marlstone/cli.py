@@ -116,9 +116,8 @@ def parse(args, spark: SparkSession) -> int:
         known = files.read_task_log(spark, args.task_log).filter("state = 'done'").select(F.col("file_name").alias("file"), "batch_id", F.col("result_path").alias("url"))
     got = tasks.parse_documents(chosen.select(F.col("name").alias("file"), "content"), named(args.service)(settings), settings, known)
     members = tasks.result_members(got)
-    for name in [r["stem"] for r in members.select("stem").distinct().toLocalIterator()]:  # a folder for each file; members may lie in folders of it
-        own = members.filter(members["stem"] == name).withColumn("name", F.replace("name", F.lit("/"), F.lit("__")))
-        files.write_blobs(own, f"{args.output_dir}/{name}", "name", "content")
+    own = members.select(F.concat_ws("/", "stem", "name").alias("name"), "content")  # a folder for each file
+    files.write_blobs(own, args.output_dir, "name", "content", nested=True)
     errors = [r.asDict() for r in tasks.run_errors(got).orderBy("file").collect()]  # of the files that were named
     summary = tasks.run_summary(got).first().asDict() | {"errors": errors, "output_dir": args.output_dir}
     log = got.join(tasks.processed(got), "file").select("batch_id", F.col("file").alias("file_name"), "state", "phase", "error", "processed")

@@ -191,7 +191,8 @@ def listing_discovered(spark, sf_dir):
     return providers.discovered(providers.listing_pages(spark, "x", _listing(spark, sf_dir, 97)))
 
 
-@query("SELECT (s_suppkey - 1) // 20 + 1 AS page_number, count(*) AS n FROM supplier WHERE (s_suppkey - 1) // 20 < 3 GROUP BY 1 UNION ALL SELECT * FROM (SELECT (max(s_suppkey) - 1) // 20 + 2 AS p, 0 FROM supplier) WHERE p <= 3")
+@query("""WITH s AS (SELECT (row_number() OVER (ORDER BY s_suppkey) - 1) // 20 + 1 AS page_number FROM supplier), p AS (SELECT page_number, count(*) AS n FROM s GROUP BY 1)
+SELECT * FROM p WHERE page_number <= 3 UNION ALL SELECT * FROM (SELECT max(page_number) + 1 AS p, 0 FROM p) WHERE p <= 3""")
 def listing_pages(spark, sf_dir):
     pages = providers.listing_pages(spark, "x", _listing(spark, sf_dir, 10**9), max_pages=3)
     return pages.select(c("page_number").cast("bigint").alias("page_number"), F.size("page_urls").cast("bigint").alias("n"))

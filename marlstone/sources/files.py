@@ -101,11 +101,12 @@ def append_jsonl(rows: DataFrame, path: str, order: list[str] | None = None) ->
     rows.withColumn("appended_at", F.lit(at)).write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
-def write_blobs(rows: DataFrame, folder: str, name: str, content: str, replace: bool = True) -> DataFrame:
-    """SNK1, SNK2, SNK14: a file ``folder/name`` for each row, byte for byte (texts in UTF-8),
+def write_blobs(rows: DataFrame, folder: str, name: str, content: str, replace: bool = True, nested: bool = False) -> DataFrame:
+    """SNK1, SNK2, SNK14, SNK16: a file ``folder/name`` for each row, byte for byte (texts in UTF-8),
     in any store that Arrow's file systems reach.  Returns name, path, n_bytes and error.  A
     file gets its name once it is whole; one that is there is replaced, or else left alone.
-    A name that isn't a plain file name, and null content, are errors of their row.  Written
+    A name that isn't a plain file name (with ``nested``, a plain path below the folder), and
+    null content, are errors of their row.  Written
     once: the result is a checkpoint."""
     body = F.col(content)
     given = rows.select(F.col(name).cast("string").alias("name"), (body if rows.schema[content].dataType == T.BinaryType() else F.encode(body.cast("string"), "UTF-8")).alias("content"))
@@ -117,7 +118,8 @@ def write_blobs(rows: DataFrame, folder: str, name: str, content: str, replace:
             out = {"name": [], "path": [], "n_bytes": [], "error": []}
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 path, why = None, None
-                if not name or name in (".", "..") or "/" in name or "\\" in name:
+                parts = (name or "").split("/")
+                if "\\" in (name or "") or len(parts) > 1 and not nested or any(x in ("", ".", "..") for x in parts):
                     why = "not a file name"
                 elif data is None:
                     why = "no content"
@@ -125,6 +127,8 @@ def write_blobs(rows: DataFrame, folder: str, name: str, content: str, replace:
                     path = f"{base.rstrip('/')}/{name}"
                     try:
                         if replace or files.get_file_info(path).type == pa_fs.FileType.NotFound:
+                            if len(parts) > 1:
+                                files.create_dir(path.rpartition("/")[0])
                             part = f"{path}.{uuid.uuid4().hex}.part"
                             with files.open_output_stream(part) as f:
                                 f.write(data)
