@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import chosen, table
 
 #: Cached pre-tokens in a Python worker; when full, the cache starts anew.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 250_000
 #: Longer pre-tokens aren't cached.
 CACHE_BYTES = 64
 
