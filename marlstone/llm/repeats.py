@@ -255,7 +255,7 @@ def removed(docs: DataFrame, units: Units, solve: Callable, group: int = GROUP,
     large = stored(merged.groupBy("key").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > group).select("key"), "large")
     some_large = bool(large.head(1))
     small = merged.join(large, "key", "left_anti") if some_large else merged
-    solved = small.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _solved(batches, units, solve), "c1 bigint, c2 bigint, low int, high int, first boolean")
+    solved = small.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _solved(batches, solve, keep_first), "c1 bigint, c2 bigint, low int, high int, first boolean")
     steps = []
     if some_large:
         solved = solved.unionByName(_by_whole_windows(merged.join(large, "key"), units, steps))
@@ -318,11 +318,12 @@ def _records(out: dict) -> pa.RecordBatch:
     return pa.record_batch({c: pa.array(out[c], t) for c, t in RECORD.items()})
 
 
-def _solved(batches, units: Units, solve: Callable):
+def _solved(batches, solve: Callable, keep_first: bool):
     """Merged records sorted by key, in portions of whole groups -> ranges of repeated
     windows, cut where ``first`` changes: whether the record's owner has the first of all
-    occurrences.  ``solve(contents, counts)`` gives for each of the ``counts`` windows of
-    each record the number of its node, or -1 if these records have it once."""
+    occurrences (told only with ``keep_first``).  ``solve(contents, counts)`` gives for each
+    of the ``counts`` windows of each record the number of its node, or -1 if these records
+    have it once."""
 
     def out(tables):
         t = pa.Table.from_batches(tables)
@@ -338,13 +339,13 @@ def _solved(batches, units: Units, solve: Callable):
             node = np.concatenate(solve(contents[at:end], n))
             record = np.repeat(np.arange(at, end), n)
             offset = np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
-            owner = np.stack((low[at:end], h1[at:end], h2[at:end]), 1)
-            rank = np.unique(owner, axis=0, return_inverse=True)[1].ravel()
-            order = np.lexsort((first[record] + offset, rank[record - at], node))
-            starts = np.concatenate(([True], node[order[1:]] != node[order[:-1]]))
-            leads = np.zeros(len(node), bool)
-            leads[order[starts]] = True
-            state = np.where(node >= 0, np.where(leads, 2, 1), np.where(weights[record] > 1, 2, 0))
+            state = ((node >= 0) | (weights[record] > 1)).astype(np.int8)
+            if keep_first:
+                rank = np.unique(np.stack((low[at:end], h1[at:end], h2[at:end]), 1), axis=0, return_inverse=True)[1].ravel()
+                order = np.lexsort((first[record] + offset, rank[record - at], node))
+                leads = np.zeros(len(node), bool)
+                leads[order[np.concatenate(([True], node[order[1:]] != node[order[:-1]]))]] = True
+                state[(state > 0) & (leads | (node < 0))] = 2
             edge = np.flatnonzero(np.concatenate(([True], (state[1:] != state[:-1]) | (record[1:] != record[:-1]))))
             length = np.diff(np.concatenate((edge, [len(node)])))
             used = state[edge] > 0
