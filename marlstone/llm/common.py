@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,18 @@ def dropped(*tables: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
+def left() -> frozenset[str]:
+    """The folders of the tables that aren't deleted yet."""
+    return frozenset(_left)
+
+
+def deleted(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes tables by their folders; nothing may read them any more."""
+    for path in paths:
+        if path in _left:
+            _delete(spark, path)
+
+
 def _written(spark: SparkSession, write, made, path: str) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")  # the shuffles of this write are of no use after it
