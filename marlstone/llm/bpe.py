@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import chosen, table
 
-#: Cached pre-tokens in a Python worker; when full, the cache starts anew.
-CACHE_ENTRIES = 250_000
+#: Cached pre-tokens in a Python worker (some 250 bytes each); when full, the cache starts
+#: anew.  The smaller cache is for plans whose other steps need the memory.
+CACHE_ENTRIES, FEWER_ENTRIES = 1_000_000, 250_000
 #: Longer pre-tokens aren't cached.
 CACHE_BYTES = 64
 
@@ -49,8 +50,8 @@ class RankQueue:
 class Encoder:
     """Encodes and decodes under one rank table and one splitting pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = CACHE_ENTRIES):
+        self.ranks, self.entries = ranks, entries
         self.pieces = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.tokens = {rank: token for token, rank in ranks.items()}
@@ -135,7 +136,7 @@ class Encoder:
             if known is None:
                 known = tuple(self.merge(piece.encode()))
                 if len(piece) <= CACHE_BYTES:
-                    if len(cache) >= CACHE_ENTRIES:
+                    if len(cache) >= self.entries:
                         cache.clear()
                     cache[piece] = known
             extend(known)
@@ -145,15 +146,15 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple[str, str, int], Encoder] = {}
 
 
-def _encoder(shared, pattern: str) -> Encoder:
+def _encoder(shared, pattern: str, entries: int = CACHE_ENTRIES) -> Encoder:
     """One encoder for each vocabulary in a Python worker."""
     content = shared.value
-    key = hashlib.sha256(content).hexdigest(), pattern
+    key = hashlib.sha256(content).hexdigest(), pattern, entries
     if key not in _encoders:
-        _encoders[key] = Encoder(parse_ranks(content), pattern)
+        _encoders[key] = Encoder(parse_ranks(content), pattern, entries)
     return _encoders[key]
 
 
@@ -163,13 +164,13 @@ def _vocabulary(spark: SparkSession, vocabulary: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(spark: SparkSession, text: Column, vocabulary: str, pattern: str) -> Column:
+def encode(spark: SparkSession, text: Column, vocabulary: str, pattern: str, entries: int = CACHE_ENTRIES) -> Column:
     """``array<int>``: the token ids of each text."""
     shared = _vocabulary(spark, vocabulary)
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
-        encoder = _encoder(shared, pattern)
+        encoder = _encoder(shared, pattern, entries)
         return pa.array((encoder.encode(x.as_py() or "") for x in texts), pa.list_(pa.int32()))
 
     return run(text)
@@ -212,7 +213,7 @@ def closed(spark: SparkSession, text: Column, vocabulary: str | None = None, pat
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
         end = max(parse_ranks(f.read()).values(), default=-1) + 1
-    return F.array_append(encode(spark, text, path, pattern or public_tokenizers.PATTERN), F.lit(end))
+    return F.array_append(encode(spark, text, path, pattern or public_tokenizers.PATTERN, FEWER_ENTRIES), F.lit(end))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
