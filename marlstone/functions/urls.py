@@ -6,14 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..profile import DEFAULT, SiteProfile
-from .text import strip
+from .text import let, strip
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 
 
 def _lower_scheme(url: Column) -> Column:
-    scheme = F.regexp_extract(url, _SCHEME, 1)
-    return F.concat(F.lower(scheme), F.substr(url, F.length(scheme) + 1))
+    def lowered(u: Column) -> Column:
+        at = F.instr(u, ":")
+        return F.when(u.rlike(_SCHEME), F.concat(F.lower(F.substr(u, F.lit(1), at)), F.substr(u, at + 1))).otherwise(u)
+
+    return let(url, lowered)
 
 
 def normalize_article_url(url: Column) -> Column:

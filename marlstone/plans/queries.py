@@ -312,7 +312,7 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, site = scrapes(spark, sf_dir), DEFAULT
     url, markdown, metadata = c("url"), c("markdown"), c("metadata")
     fields = rows.select(
-        "k",
+        "*",
         urls.slug_from_url(url).alias("slug"),
         urls.normalize_article_url(url).alias("article_url"),
         extract.doi(url, markdown).alias("doi"),
