@@ -45,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
     sources = (flag("--url", action="append", default=[]), flag("--input"), flag("--query"), flag("--limit", type=int, default=20), switch("--archive"), switch("--site"), flag("--archive-url", action="append"), flag("--sitemap-url"), flag("--documents"), flag("--year", type=int))
     how = (switch("--skip-peer-reviews"), switch("--force"), switch("--skip-failed-cache"), switch("--fill-gaps"), flag("--json-output"), switch("--print-records"), flag("--max-workers", type=int, default=4), flag("--requests-per-second", type=float, default=1.0))
     add("collect", out, *engine, listings, *sources, *pages(1), *how)
-    add("parse", out, flag("pdf_files", nargs="*"), switch("--all"), flag("--data-dir", default="."), flag("--recursive", action=argparse.BooleanOptionalAction, default=True), flag("--service"), flag("--task-log"), flag("--max-retries", type=int, default=3), switch("--fail-on-error"), flag("--model-version", default="vlm"), flag("--language", default="en"), switch("--no-ocr"), flag("--poll-timeout", type=float, default=300.0), switch("--verbose"), switch("--save-summary"))
+    add("parse", out, flag("pdf_files", nargs="*"), switch("--all"), flag("--data-dir", default="."), flag("--recursive", action=argparse.BooleanOptionalAction, default=True), flag("--service"), flag("--task-log"), flag("--max-retries", type=int, default=3), switch("--fail-on-error"), flag("--model-version", default="vlm"), flag("--language", default="en"), switch("--no-ocr"), flag("--poll-timeout", type=float, default=300.0), flag("--retry-gap", type=float, default=1.0), switch("--verbose"), switch("--save-summary"))
     add("papers", out, flag("--dois", nargs="*", default=[]), flag("--doi-list"), flag("--works"), flag("--pdf-dir"), switch("--metadata"))
     add("render", out, flag("--blocks", required=True), flag("--start", type=int, default=0), flag("--end", type=int), flag("--mode", choices=[*blocks.RENDERERS], default="vlm"))
     return top
@@ -110,7 +110,7 @@ def parse(args, spark: SparkSession) -> int:
             print(r["path"])
     if not args.service:
         return 0
-    settings = tasks.Settings(tries=args.max_retries, poll_timeout=args.poll_timeout, model_version=args.model_version, language=args.language, ocr=not args.no_ocr)
+    settings = tasks.Settings(tries=args.max_retries, poll_timeout=args.poll_timeout, download_gap=args.retry_gap, model_version=args.model_version, language=args.language, ocr=not args.no_ocr)
     known = None
     if args.task_log:
         known = files.read_task_log(spark, args.task_log).filter("state = 'done'").select(F.col("file_name").alias("file"), "batch_id", F.col("result_path").alias("url"))

@@ -676,7 +676,7 @@ def cli_parse(spark, sf_dir):
     folder = f"{scratch(spark, 'pdfs')}"
     rows = table(spark, sf_dir, "supplier").select(F.concat(c("s_suppkey").cast("string"), F.lit(".pdf")).alias("name"), "s_name")
     files.write_blobs(rows, folder, "name", "s_name")
-    said = _said(spark, "parse", "--all", "--data-dir", folder, "--output-dir", scratch(spark, "parsed"), "--service", "marlstone.plans.round_trips:fast_service", "--save-summary")
+    said = _said(spark, "parse", "--all", "--data-dir", folder, "--output-dir", scratch(spark, "parsed"), "--service", "marlstone.plans.round_trips:fast_service", "--retry-gap", 0, "--save-summary")
     found = said.filter("line like '{%'").select(F.from_json("line", "successful string, failed string").alias("s"))
     return found.select("s.successful", "s.failed")
 
