@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -108,6 +110,10 @@ def write_blobs(rows: DataFrame, folder: str, name: str, content: str, replace:
     A name that isn't a plain file name (with ``nested``, a plain path below the folder), and
     null content, are errors of their row.  Written
     once: the result is a checkpoint."""
+    if re.match("file:/(?!/)", folder):
+        folder = folder.removeprefix("file:")
+    elif "://" not in folder:
+        folder = os.path.abspath(folder)  # of the driver, as executors work elsewhere
     body = F.col(content)
     given = rows.select(F.col(name).cast("string").alias("name"), (body if rows.schema[content].dataType == T.BinaryType() else F.encode(body.cast("string"), "UTF-8")).alias("content"))
 

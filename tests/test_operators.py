@@ -330,7 +330,7 @@ def test_sitemap(spark):
     assert [(r["url"], r["ord"]) for r in got.orderBy("ord").collect()] == [(A + "ncomms1", 0), (A + "ncomms2", 1)]
 
 
-def test_files(spark, tmp_path):
+def test_files(spark, tmp_path, monkeypatch):
     (tmp_path / "urls.txt").write_text("# c\n http://a \n\nhttp://b\n")
     assert [r["url"] for r in files.urls_from_file(spark, str(tmp_path / "urls.txt")).orderBy("ord").collect()] == ["http://a", "http://b"]
     (tmp_path / "log.jsonl").write_text('{"slug":"a","title":"old"}\n\n{"title":"no slug"}\n[1]\n{"slug":"a","title":"new","extra":1}\n')
@@ -350,6 +350,11 @@ def test_files(spark, tmp_path):
     assert (tmp_path / "blobs" / "s1.md").read_text() == "body é\n"
     files.write_blobs(spark.createDataFrame([("s1.md", "new")], "name string, content string"), str(tmp_path / "blobs"), "name", "content")
     assert (tmp_path / "blobs" / "s1.md").read_text() == "new"
+    for start in ("file:", "file://"):
+        files.write_blobs(spark.createDataFrame([(f"in/{len(start)}", start)], "name string, content string"), f"{start}{tmp_path}/uri", "name", "content", nested=True)
+        assert (tmp_path / "uri" / "in" / f"{len(start)}").read_text() == start
+    monkeypatch.chdir(tmp_path)
+    assert files.write_blobs(spark.createDataFrame([("x", "y")], "name string, content string"), "plain", "name", "content").first()["path"] == f"{tmp_path}/plain/x"
 
 
 def test_appended_lines(spark, tmp_path):
