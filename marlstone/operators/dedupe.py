@@ -25,8 +25,10 @@ def last_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def key_index(rows: DataFrame, id_column: str, keys: str, order: str) -> DataFrame:
-    """Key -> the first record that has it."""
-    return rows.select(id_column, order, F.explode(keys).alias("dup_key")).groupBy("dup_key").agg(F.min_by(id_column, order).alias("first_id"))
+    """Key -> the first record that has it.  Exploded with empty lists, which are dropped
+    after: an inner explode would have the lists made twice more, to filter by them first."""
+    pairs = rows.select(id_column, order, F.explode_outer(keys).alias("dup_key")).filter("dup_key is not null")
+    return pairs.groupBy("dup_key").agg(F.min_by(id_column, order).alias("first_id"))
 
 
 def existing_match(rows: DataFrame, index: DataFrame, id_column: str, keys: str) -> DataFrame:

@@ -326,7 +326,7 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{RECORDS}, {DUP_KEYS} SELECT k, dup_key FROM dk")
 def dup_keys(spark, sf_dir):
-    return _keyed(spark, sf_dir).select("k", F.explode("keys").alias("dup_key"))
+    return _keyed(spark, sf_dir).select("k", F.explode_outer("keys").alias("dup_key")).filter("dup_key is not null")
 
 
 @query(f"{RECORDS}, {DUP_KEYS} SELECT dup_key, min(k) AS first_id FROM dk GROUP BY dup_key")
