@@ -6,15 +6,19 @@ import os
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import duckdb
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
 from marlstone.llm import queries as llm
 
 from .test_simhash import slow_components, slow_fingerprint
+from .test_texts import runs_by_hand
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
@@ -128,6 +132,30 @@ def test_op1(spark, docs):
     assert used == Counter((i, k) for i, ws in words.items() for k in range(len(ws)))
 
 
+def test_op12(spark, docs):
+    want = []
+    for i, t in docs:
+        words, h = WORD.findall(t), zlib.crc32(str(i).encode())
+        n, g = len(words), h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            words = [words[j] if j < a else words[a + (j - a) % (1 + (n - a) // (3 + g % 8))] for j in range(n)]
+        found = runs_by_hand(words)
+        best = min(found, key=lambda x: (-Fraction(x[1], x[2]), x[0], x[2]), default=(None,) * 3)
+        gone = {j for s, length, q in found for j in range(s + q, s + length)}
+        kept = " ".join(w for j, w in enumerate(words) if j not in gone)
+        want.append((i, len(found), *best, best[0] is not None and 1000 * best[1] // best[2] or None, sha("".join(f"{s},{length},{q}\n" for s, length, q in found).encode()), sha(kept.encode())))
+    made = rows(spark, "op12_runs", "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    assert sorted(map(repr, made)) == sorted(map(repr, want))
+    assert any(w[1] for w in want)
+
+
+def test_op13(spark, docs):
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    n = [len(whole.encode(t, add_special_tokens=False)) for _, t in docs]
+    assert rows(spark, "op13_tokens", "doc_id", "n_bytes", "n_tokens", "over_limit") == sorted((i, len(t.encode()), k, k > 1024) for (i, t), k in zip(docs, n, strict=True))
+
+
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
