@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .checkpoints import cut
+from .components import components
 
 
 def first_by(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -38,31 +40,92 @@ def existing_match(rows: DataFrame, index: DataFrame, id_column: str, keys: str)
     return pairs.groupBy(id_column).agg(F.min("first_id").alias("duplicate_of"))
 
 
-def greedy_leaders(rows: DataFrame, id_column: str, keys: str, most_rounds: int = 1000) -> DataFrame:
-    """Walks the rows by id; a row is kept if it shares no key with a kept row before
+#: Rows with their keys of a component that one task goes through by itself, at most; and the
+#: rounds before components are looked for.
+ALONE, FEW = 200_000, 2
+
+
+def greedy_leaders(rows: DataFrame, id_column: str, keys: str, alone: int = ALONE) -> DataFrame:
+    """Walks the rows by id; a row is kept if it shares no key with a kept row before
     it, and a rejected row's keys count for nothing.  Returns id and leader (itself, if
     kept; else the smallest kept row that shares a key; Q10).
 
-    Each round keeps the undecided rows that are the smallest undecided one of all their
-    keys, and rejects those that share a key with them.  Rounds are written, not kept in
-    lineage; a chain of conflicts of length n takes n / 2 rounds.  Raises if rows are
-    undecided after ``most_rounds``."""
+    A round decides the rows that are the smallest of all their keys, and with them all that
+    hang on these by rows with a single smaller neighbour: such a row is kept if its
+    neighbour isn't, so pointers that double tell from the parity of its distance, and a
+    chain of n conflicts takes log n steps.  What is left after ``FEW`` rounds falls into
+    components of conflicts, and those of up to ``alone`` pairs are walked each in one task.
+    Larger ones take further rounds, each of which decides a row at least, until none is
+    left: there is no cap."""
     pairs = cut(rows.select(F.col(id_column).alias("id"), F.explode_outer(keys).alias("k")).distinct())
-    open_, leaders = pairs, None
-    for _ in range(most_rounds):
-        least = open_.filter("k is not null").groupBy("k").agg(F.min("id").alias("low"))
-        state = open_.join(least, "k", "left").groupBy("id").agg(F.bool_and(F.coalesce(F.col("low") == F.col("id"), F.lit(True))).alias("leads"))
-        new = cut(state.filter("leads").select("id"))
-        if not new.head(1):
+    open_ = pairs.filter("k is not null")
+    kept, rounds = [pairs.filter("k is null").select("id").join(open_, "id", "left_anti")], 0
+    while True:
+        nodes, some = _blockers(open_)
+        if not some["n"]:
+            break
+        lead = nodes.filter("low is null").select("id")
+        if some["waiting"]:
+            lead = lead.unionByName(_by_parity(nodes.filter("low = high and not many").select("id", F.col("low").alias("parent")), lead))
+        kept.append(lead)
+        if not some["waiting"]:
             break
-        leaders = new if leaders is None else leaders.unionByName(new)
-        taken = open_.join(new, "id", "left_semi").filter("k is not null").select("k").distinct()
-        out = open_.join(taken, "k", "left_semi").select("id").unionByName(new).distinct()
+        taken = open_.join(lead, "id", "left_semi").select("k").distinct()
+        out = open_.join(taken, "k", "left_semi").select("id").unionByName(lead).distinct()
         open_ = cut(open_.join(out, "id", "left_anti"))
-    else:
-        if open_.head(1):
-            raise ValueError(f"rows undecided after {most_rounds} rounds")
-    leaders = pairs.select("id").limit(0) if leaders is None else leaders
+        rounds += 1
+        if rounds == FEW and open_.head(1):
+            walked, open_ = _walked(open_, alone)
+            kept.append(walked)
+    leaders = kept[0]
+    for more in kept[1:]:
+        leaders = leaders.unionByName(more)
     owner = pairs.join(leaders, "id", "left_semi").filter("k is not null").groupBy("k").agg(F.min("id").alias("owner"))
     found = pairs.join(owner, "k", "left").groupBy("id").agg(F.min("owner").alias("owner"))
     return found.select(F.col("id").alias(id_column), F.coalesce("owner", "id").alias("leader"))
+
+
+def _blockers(pairs: DataFrame):
+    """Of each row the smaller rows that share a key with it: the least of all keys' firsts
+    (``low``, null without a smaller row) and the greatest (``high``), and whether any key has
+    ``many``; and how many rows there are, and how many have smaller ones.  Firsts and seconds
+    of a key are aggregates, so a key of any number of rows needs no task to itself."""
+    firsts = pairs.groupBy("k").agg(F.min("id").alias("one"))
+    own = pairs.join(firsts, "k")
+    seconds = own.filter("id > one").groupBy("k").agg(F.min("id").alias("two"))
+    before = F.when(F.col("id") > F.col("one"), F.col("one"))
+    nodes = own.join(seconds, "k", "left").groupBy("id").agg(F.min(before).alias("low"), F.max(before).alias("high"), F.bool_or(F.coalesce(F.col("id") > F.col("two"), F.lit(False))).alias("many"))
+    nodes = cut(nodes)
+    return nodes, nodes.agg(F.count(F.lit(1)).alias("n"), F.count("low").alias("waiting")).first()
+
+
+def _by_parity(pointers: DataFrame, lead: DataFrame) -> DataFrame:
+    """The rows (id, parent) that are kept, as their chain of parents begins at a row that
+    leads, an even number of steps away."""
+    at = cut(pointers.withColumn("odd", F.lit(True)).withColumn("moved", F.lit(True)))
+    while at.filter("moved").head(1):
+        ahead = at.select(F.col("id").alias("parent"), F.col("parent").alias("next"), F.col("odd").alias("more"))
+        moved = F.col("next").isNotNull()
+        at = cut(at.join(ahead, "parent", "left").select("id", F.coalesce("next", "parent").alias("parent"), F.when(moved, F.col("odd") != F.col("more")).otherwise(F.col("odd")).alias("odd"), moved.alias("moved")))
+    return cut(at.filter("not odd").join(lead.select(F.col("id").alias("parent")), "parent", "left_semi").select("id"))
+
+
+def _walked(pairs: DataFrame, alone: int) -> tuple[DataFrame, DataFrame]:
+    """The kept rows of small components of conflicts, and the pairs of the large ones."""
+    kind = pairs.schema["id"].dataType.simpleString()
+    firsts = pairs.groupBy("k").agg(F.min("id").alias("b"))
+    whole = components(pairs.join(firsts, "k").select(F.col("id").alias("a"), "b"))
+    own = cut(pairs.join(whole, "id").select("root", "id", "k"))
+    large = own.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > alone).select("root")
+    small = own.join(large, "root", "left_anti")
+
+    def walk(frame: pd.DataFrame) -> pd.DataFrame:
+        taken: set = set()
+        kept = []
+        for one, keys in frame.groupby("id", sort=True)["k"]:
+            if taken.isdisjoint(keys):
+                taken.update(keys)
+                kept.append(one)
+        return pd.DataFrame({"id": kept})
+
+    return cut(small.groupBy("root").applyInPandas(walk, f"id {kind}")), cut(own.join(large, "root", "left_semi").select("id", "k"))

@@ -53,18 +53,25 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     return first_by(whole, ["url"], ["place"])
 
 
-def closure(roots: DataFrame, edges: DataFrame, most_levels: int = 100) -> DataFrame:
+#: Levels after which the nodes found so far are written as one table.
+TOGETHER = 32
+
+
+def closure(roots: DataFrame, edges: DataFrame, most_levels: int | None = None) -> DataFrame:
     """Nodes reached from the roots (node), breadth first, with their level.
-    edges: src, dst.  One join a level, until a level is empty; ``most_levels`` guards
-    against a source that makes nodes without end and raises when it is passed."""
+    edges: src, dst.  One join a level, until a level is empty, as it is sooner or later where
+    the edges are a table.  ``most_levels``, if given, guards against a source that makes
+    nodes without end, and raises when it is passed."""
     found = cut(roots.select("node").distinct().withColumn("level", F.lit(0)))
-    last = found
-    for level in range(1, most_levels + 2):
+    last, level = found, 0
+    while True:
+        level += 1
         reached = edges.join(last.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
         last = cut(reached.join(found, "node", "left_anti").withColumn("level", F.lit(level)))
         if not last.head(1):
             return found
-        if level > most_levels:
+        if most_levels is not None and level > most_levels:
             raise ValueError(f"more than {most_levels} levels")
         found = found.unionByName(last)
-    return found
+        if level % TOGETHER == 0:
+            found = cut(found)

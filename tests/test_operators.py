@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlstone.functions import html
-from marlstone.operators import bibliography, blocks, catalog, dedupe, frontier, tasks
+from marlstone.operators import bibliography, blocks, catalog, components, dedupe, frontier, tasks
 from marlstone.plans.collect import Catalog, Collector, discover_sitemap
 from marlstone.sources import clients, files, providers
 from marlstone.streaming import collect
@@ -34,12 +34,38 @@ def test_greedy_dedupe_equals_the_loop(spark, seed):
     assert dict(map(tuple, dedupe.greedy_leaders(df, "id", "keys").collect())) == sequential(rows)
 
 
-def test_greedy_dedupe_raises_when_rows_stay_undecided(spark):
-    rows = [(i, [f"k{i}", f"k{i + 1}"]) for i in range(10)]  # each conflicts with the next
-    df = spark.createDataFrame(rows, "id int, keys array<string>")
-    assert dict(map(tuple, dedupe.greedy_leaders(df, "id", "keys", most_rounds=5).collect())) == sequential(rows)
-    with pytest.raises(ValueError):
-        dedupe.greedy_leaders(df, "id", "keys", most_rounds=3)
+def test_greedy_dedupe_of_long_chains(spark):
+    """Chains of any length end exactly: by parity, by a walk of their component, or by rounds."""
+    chain = [(i, [f"k{i}", f"k{i + 1}"]) for i in range(10)]  # each conflicts with the next
+    df = spark.createDataFrame(chain, "id int, keys array<string>")
+    assert dict(map(tuple, dedupe.greedy_leaders(df, "id", "keys").collect())) == sequential(chain)
+    n = 100_000
+    long = spark.range(n).select(F.col("id"), F.array(F.concat(F.lit("k"), F.col("id").cast("string")), F.concat(F.lit("k"), (F.col("id") + 1).cast("string"))).alias("keys"))
+    got = dedupe.greedy_leaders(long, "id", "keys").agg(F.count(F.lit(1)), F.count_if(F.expr("leader = id - id % 2"))).first()
+    assert tuple(got) == (n, n)  # of each two neighbours the even one leads
+    wide = [(i, [f"k{i + j}" for j in range(3)]) for i in range(40)] + [(100 + i, ["one"]) for i in range(30)]  # each conflicts with the next two
+    df = spark.createDataFrame(wide, "id int, keys array<string>")
+    for alone in (1000, 0):
+        assert dict(map(tuple, dedupe.greedy_leaders(df, "id", "keys", alone=alone).collect())) == sequential(wide)
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    links = [(i, i + 1) for i in range(0, 300) if i % 60 != 59] + [(1000 + rng.randrange(40), 1000 + rng.randrange(40)) for _ in range(30)] + [(7, 7)]
+    root = {x: x for pair in links for x in pair}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((top(a), top(b)))
+        root[high] = low
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    got = dict(map(tuple, components.components(spark.createDataFrame(links, "a int, b int")).collect()))
+    assert got == {x: top(x) for x in linked}
+    assert components.components(spark.createDataFrame([], "a int, b int")).count() == 0
 
 
 def test_resume_pages_is_the_mex(spark):
