@@ -11,28 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.urls import normalize_article_url
-from ..operators.dedupe import first_by
+from .seen import with_first
 
 
 def _run(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, files_per_batch: int, on_batch: Callable[[int, int], None] | None) -> int:
     """Appends each batch's new rows to ``sink`` in a folder named by the checkpoint and the
     batch's number: a batch that is repeated after a crash replaces itself, and another
-    stream's batches are never touched."""
+    stream's batches are never touched.  What this stream has seen is keyed state; what
+    others had written when it began is read once."""
     ran, own = [], hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, number: int) -> None:
-        name = f"batch={own}-{number:08d}"
-        rows = first_by(batch.withColumn("url", normalize_article_url(F.col("url"))), ["url"], ["page_id"])
-        known = _known(spark, sink, name)
-        new = rows if known is None else rows.join(known, "url", "left_anti")
         counted = Observation()
-        new.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{sink}/{name}")
+        new = batch.filter("marl_new").drop("marl_new").observe(counted, F.count(F.lit(1)).alias("n"))
+        new.write.mode("overwrite").parquet(f"{sink}/batch={own}-{number:08d}")
         ran.append(number)
         if on_batch:
             on_batch(number, counted.get["n"])  # counted as they were written
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = with_first(stream.withColumn("url", normalize_article_url(F.col("url"))), "url", ["page_id"], _known(spark, sink, own), "marl_new")
+    rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return len(ran)
 
 
@@ -43,15 +42,14 @@ def collect_pages(spark: SparkSession, source: str, schema: T.StructType, sink:
     return _run(spark, source, schema, sink, checkpoint, files_per_batch, on_batch)
 
 
-def _known(spark: SparkSession, sink: str, name: str) -> DataFrame | None:
-    """Addresses that other batches have written: one column of the sink, in an anti-join
-    with a batch's few rows."""
+def _known(spark: SparkSession, sink: str, own: str) -> DataFrame | None:
+    """Addresses that other streams have written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(sink)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(path):
         return None
-    done = [s.getPath().toString() for s in files.listStatus(path) if s.getPath().getName().startswith("batch=") and s.getPath().getName() != name]
-    return spark.read.parquet(*done).select("url") if done else None
+    done = [s.getPath().toString() for s in files.listStatus(path) if (name := s.getPath().getName()).startswith("batch=") and not name.startswith(f"batch={own}-")]
+    return spark.read.schema("url string").parquet(*done).distinct() if done else None
 
 
 def fill_gaps(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, files_per_batch: int = 1, on_batch: Callable[[int, int], None] | None = None) -> int:
