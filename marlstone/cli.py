@@ -1,7 +1,8 @@
 """Command line.  Without ``--transport`` pages come from tables: a file of scrapes in JSON lines
 (url, markdown, html, links, metadata), listings (archive_url, page_number, urls), searches
-(query, ord, url) and a folder of PDFs by file name; so no network is needed.  A transport or a
-parsing service is named as ``module:function``."""
+(query, ord, url) and a folder of PDFs by file name; so no network is needed.  With one,
+articles, PDFs and listings are asked of the engine.  A transport or a parsing service is named
+as ``module:function``."""
 
 from __future__ import annotations
 
@@ -56,29 +57,28 @@ def named(name: str):
     return getattr(importlib.import_module(module), function)
 
 
-def page_function(spark: SparkSession, path: str | None):
-    """Asks the table of listings for one page at a time."""
-    rows = spark.read.schema("archive_url string, page_number int, urls array<string>").json(path) if path else None
-
-    def page(archive: str, number: int) -> list[str]:
-        if rows is None:
-            return []
-        return [u for r in rows.filter((F.col("archive_url") == archive) & (F.col("page_number") == number)).collect() for u in r["urls"] or []]  # one page
-
-    return page
-
-
 def make_client(spark: SparkSession, args):
     if args.engine != "table":
         if not args.transport:
             raise SystemExit(f"--engine {args.engine} needs a --transport")
+        if getattr(args, "listings", None):
+            raise SystemExit(f"--listings is a table of pages; --engine {args.engine} reads listings itself")
         return clients.client(args.engine, named(args.transport))
     scrapes = spark.read.schema(providers.SCRAPE).json(args.scrapes) if args.scrapes else spark.createDataFrame([], providers.SCRAPE)
     searches = spark.read.schema("query string, ord bigint, url string").json(args.searches) if args.searches else None
     contents = None
     if args.pdfs:  # by the last part of an address
         contents = files.pdf_files(spark, args.pdfs, content=True).select(F.col("name").alias("url"), "content")
-    return FolderSource(scrapes, searches, contents)
+    path = getattr(args, "listings", None)
+    listings = spark.read.schema("archive_url string, page_number int, urls array<string>").json(path) if path else None
+    return FolderSource(scrapes, searches, contents, listings)
+
+
+def listing_source(client):
+    """The client, if it can read listings."""
+    if client.engine == "table" and client.listings is None:
+        raise SystemExit("--engine table reads listings from --listings")
+    return client
 
 
 class FolderSource(providers.TableSource):
@@ -164,15 +164,17 @@ def render(args, spark: SparkSession) -> int:
 def collect(args, spark: SparkSession, most: int | None) -> int:
     collector = Collector(spark, args.output_dir, make_client(spark, args), on_progress=lambda e: print(json.dumps(e), file=sys.stderr), partitions=args.max_workers, per_second=args.requests_per_second)
     how = {"resume": not args.force, "retry_failed": not args.skip_failed_cache, "peer_reviews": not args.skip_peer_reviews}
-    archives, page = args.archive_url or [DEFAULT.archive], page_function(spark, args.listings)
+    archives = args.archive_url or [DEFAULT.archive]
+    if args.fill_gaps or args.archive or args.site:
+        listing_source(collector.client)
     if args.year is not None:
         archives = [spark.range(1).select(listing_url_with_year(F.lit(a), F.lit(args.year))).first()[0] for a in archives]
     if args.fill_gaps:
-        got = collector.fill_gaps_archive(archives[0], page, most)
+        got = collector.fill_gaps_archive(archives[0], max_pages=most)
     elif args.archive:
-        got = collector.collect_archive(archives[0], page, most, **how)
+        got = collector.collect_archive(archives[0], max_pages=most, **how)
     elif args.site:
-        got = collector.collect_site(archives, page, most, **how)
+        got = collector.collect_site(archives, max_pages=most, **how)
     elif args.sitemap_url:
         got = collector.collect_sitemap(spark.read.json(args.documents), args.sitemap_url, **how)
     else:
@@ -208,10 +210,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.command == "discover-sitemap":
         urls = discover_sitemap(spark.read.json(args.documents), args.sitemap_url)
     elif args.command == "discover-site":
-        urls = discover_site(spark, args.archive_url or [DEFAULT.archive], page_function(spark, args.listings), most)
+        urls = discover_site(spark, args.archive_url or [DEFAULT.archive], listing_source(make_client(spark, args)), most)
         urls = numbered(urls, ["place"])
     else:
-        urls = discover_archive(spark, args.archive_url, page_function(spark, args.listings), most, args.year)
+        urls = discover_archive(spark, args.archive_url, listing_source(make_client(spark, args)), most, args.year)
     for r in urls.orderBy("ord").toLocalIterator():
         print(r["url"])
     return 0

@@ -50,30 +50,28 @@ def greedy_leaders(rows: DataFrame, id_column: str, keys: str, alone: int = ALON
     it, and a rejected row's keys count for nothing.  Returns id and leader (itself, if
     kept; else the smallest kept row that shares a key; Q10).
 
-    A round decides the rows that are the smallest of all their keys, and with them all that
-    hang on these by rows with a single smaller neighbour: such a row is kept if its
-    neighbour isn't, so pointers that double tell from the parity of its distance, and a
-    chain of n conflicts takes log n steps.  What is left after ``FEW`` rounds falls into
+    A round decides the rows that are the smallest of all their keys and those that share
+    a key with them, and from the second round on all that hang on these by rows with a
+    single smaller neighbour: such a row is kept if its neighbour isn't, so pointers that
+    double tell from the parity of its distance, and a chain of n conflicts takes log n steps.  What is left after ``FEW`` rounds falls into
     components of conflicts, and those of up to ``alone`` pairs are walked each in one task.
     Larger ones take further rounds, each of which decides a row at least, until none is
     left: there is no cap."""
     pairs = cut(rows.select(F.col(id_column).alias("id"), F.explode_outer(keys).alias("k")).distinct())
     open_ = pairs.filter("k is not null")
     kept, rounds = [pairs.filter("k is null").select("id").join(open_, "id", "left_anti")], 0
-    while True:
-        nodes, some = _blockers(open_)
-        if not some["n"]:
-            break
+    while open_.head(1):
+        nodes, waiting = _blockers(open_)
         lead = nodes.filter("low is null").select("id")
-        if some["waiting"]:
+        if rounds:  # most conflicts are over after the first round
             lead = lead.unionByName(_by_parity(nodes.filter("low = high and not many").select("id", F.col("low").alias("parent")), lead))
         kept.append(lead)
-        if not some["waiting"]:
+        rounds += 1
+        if not waiting:
             break
         taken = open_.join(lead, "id", "left_semi").select("k").distinct()
         out = open_.join(taken, "k", "left_semi").select("id").unionByName(lead).distinct()
         open_ = cut(open_.join(out, "id", "left_anti"))
-        rounds += 1
         if rounds == FEW and open_.head(1):
             walked, open_ = _walked(open_, alone)
             kept.append(walked)
@@ -88,15 +86,15 @@ def greedy_leaders(rows: DataFrame, id_column: str, keys: str, alone: int = ALON
 def _blockers(pairs: DataFrame):
     """Of each row the smaller rows that share a key with it: the least of all keys' firsts
     (``low``, null without a smaller row) and the greatest (``high``), and whether any key has
-    ``many``; and how many rows there are, and how many have smaller ones.  Firsts and seconds
-    of a key are aggregates, so a key of any number of rows needs no task to itself."""
+    ``many``; and whether any row has smaller ones.  Firsts and seconds of a key are
+    aggregates, so a key of any number of rows needs no task to itself."""
     firsts = pairs.groupBy("k").agg(F.min("id").alias("one"))
     own = pairs.join(firsts, "k")
     seconds = own.filter("id > one").groupBy("k").agg(F.min("id").alias("two"))
     before = F.when(F.col("id") > F.col("one"), F.col("one"))
     nodes = own.join(seconds, "k", "left").groupBy("id").agg(F.min(before).alias("low"), F.max(before).alias("high"), F.bool_or(F.coalesce(F.col("id") > F.col("two"), F.lit(False))).alias("many"))
     nodes = cut(nodes)
-    return nodes, nodes.agg(F.count(F.lit(1)).alias("n"), F.count("low").alias("waiting")).first()
+    return nodes, bool(nodes.filter("low is not null").head(1))
 
 
 def _by_parity(pointers: DataFrame, lead: DataFrame) -> DataFrame:

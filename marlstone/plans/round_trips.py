@@ -6,17 +6,22 @@ from __future__ import annotations
 import contextlib
 import io
 import zipfile
+import zlib
+from functools import reduce
 
+import pyarrow.fs as pa_fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import extract, html, ids, text, urls
 from ..operators import blocks, records, tasks
 from ..operators.checkpoints import cut, scratch
 from ..profile import DEFAULT
-from ..sources import clients, files, providers
+from ..sources import clients, files, listing, providers
 from ..streaming.polls import final_states
-from .collect import Collector, discover_site, discover_sitemap
+from .collect import Collector, discover_archive, discover_site, discover_sitemap, listed
 from .queries import AUTHORS, HEADINGS, PARTS, RECORDS, ROWS, _blocks, query, scrapes, table
 
 c = F.col
@@ -119,53 +124,70 @@ def search_hits(spark, sf_dir):
     return providers.searched(spark, providers.TableSource(hits, searches=hits), "q", 20).filter("ord < 7")
 
 
-class _Pages:
-    """A transport for either engine: the n-th page of a table by its address."""
+class _Web:
+    """A transport for either engine that answers from a table (url, status, body), which lies
+    in the shared folder in parts by address: a request reads one part, and nothing of the
+    table goes through the driver or into a task's closure."""
 
-    def __init__(self, rows: dict[str, tuple[int, str]]):
-        self.rows = rows
+    parts = 16
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    @classmethod
+    def of(cls, rows: DataFrame) -> _Web:
+        folder = scratch(rows.sparkSession, "web")
+        rows.select("url", "status", "body", (F.crc32(F.encode("url", "UTF-8")) % cls.parts).cast("int").alias("part")).write.partitionBy("part").parquet(folder)
+        return cls(folder)
+
+    def __call__(self, url: str) -> tuple[int, str]:
+        store, base = pa_fs.FileSystem.from_uri(self.folder) if ":" in self.folder else (pa_fs.LocalFileSystem(), self.folder)
+        part = f"{base}/part={zlib.crc32(url.encode()) % self.parts}"
+        if store.get_file_info(part).type == pa_fs.FileType.NotFound:
+            return 404, ""
+        found = pq.read_table(part, filesystem=store, columns=["status", "body"], filters=[("url", "=", url)]).to_pylist()
+        return (found[0]["status"], found[0]["body"]) if found else (404, "")
 
     def get(self, url: str, headers: dict) -> tuple[int, bytes]:
-        number, body = self.rows[url]
-        return (404 if number % 5 == 0 else 200), body.encode()
+        status, body = self(url)
+        return status, body.encode()
 
     def call(self, method: str, arguments: dict) -> dict:
-        number, body = self.rows[arguments["url"]]
-        if number % 5 == 0:
-            raise OSError(f"status 404 at {arguments['url']}")
-        return {"data": {"markdown": f"# {number}", "rawHtml": body, "links": [arguments["url"]], "metadata": {"n": number, "none": None}}}
+        status, body = self(arguments["url"])
+        if status >= 400:
+            raise OSError(f"status {status} at {arguments['url']}")
+        return {"data": {"markdown": f"# {body}", "rawHtml": body, "links": [arguments["url"]], "metadata": {"n": len(body), "none": None}}}
 
 
-def _transport(spark: SparkSession, sf_dir: str) -> tuple[_Pages, DataFrame]:
-    """Nations as pages: few, as each task holds a transport's pages."""
-    rows = table(spark, sf_dir, "nation").select(F.concat(F.lit("http://n/"), c("n_nationkey").cast("string")).alias("url"), "n_nationkey", F.concat(F.lit("<title>"), "n_name", F.lit("</title>")).alias("html"))
-    return _Pages({r["url"]: (r["n_nationkey"], r["html"]) for r in rows.collect()}), rows
+def _nations(spark: SparkSession, sf_dir: str, start: str = "http://n/") -> tuple[_Web, DataFrame]:
+    """Nations as pages, of which every fifth isn't there."""
+    rows = table(spark, sf_dir, "nation").select(F.concat(F.lit(start), c("n_nationkey").cast("string")).alias("url"), F.when(c("n_nationkey") % 5 == 0, 404).otherwise(200).alias("status"), F.concat(F.lit("<title>"), "n_name", F.lit("</title>")).alias("body"))
+    return _Web.of(rows), rows
 
 
 @query("SELECT 'http://n/' || n_nationkey AS url, CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS title, CASE WHEN n_nationkey % 5 = 0 THEN 'http://n/' || n_nationkey END AS error FROM nation")
 def fetched_native(spark, sf_dir):
-    transport, rows = _transport(spark, sf_dir)
+    transport, rows = _nations(spark, sf_dir)
     got = providers.fetched(rows, clients.client("native", transport.get).article, partitions=2, per_second=1000.0)
     return got.select("url", html.html_title(c("html")).alias("title"), "error")
 
 
-@query("SELECT 'http://n/' || n_nationkey AS url, CASE WHEN n_nationkey % 5 <> 0 THEN '# ' || n_nationkey || ' ' || n_nationkey || ' 1 ' || '<title>' || n_name || '</title>' END AS fields, CASE WHEN n_nationkey % 5 = 0 THEN 'status 404 at http://n/' || n_nationkey END AS error FROM nation")
+@query("SELECT 'http://n/' || n_nationkey AS url, CASE WHEN n_nationkey % 5 <> 0 THEN '# <title>' || n_name || '</title> ' || (15 + length(n_name)) || ' 1 ' || '<title>' || n_name || '</title>' END AS fields, CASE WHEN n_nationkey % 5 = 0 THEN 'status 404 at http://n/' || n_nationkey END AS error FROM nation")
 def fetched_service(spark, sf_dir):
-    transport, rows = _transport(spark, sf_dir)
+    transport, rows = _nations(spark, sf_dir)
     got = providers.fetched(rows, clients.client("service", transport.call).article)
     return got.select("url", F.concat("markdown", F.lit(" "), c("metadata")["n"], F.lit(" "), F.size("links").cast("string"), F.lit(" "), "raw_html").alias("fields"), "error")
 
 
 @query("SELECT 'http://n/' || n_nationkey AS url, CASE WHEN n_nationkey % 5 <> 0 THEN sha256('<title>' || n_name || '</title>') END AS sha FROM nation")
 def downloads(spark, sf_dir):
-    transport, rows = _transport(spark, sf_dir)
+    transport, rows = _nations(spark, sf_dir)
     return providers.downloaded(rows, clients.client("native", transport.get).content, partitions=2, per_second=1000.0).select("url", F.sha2("content", 256).alias("sha"))
 
 
 @query("SELECT '10.1/' || n_nationkey AS doi, CASE WHEN n_nationkey % 5 <> 0 THEN '<title>' || n_name || '</title>' END AS html FROM nation")
 def landing_pages(spark, sf_dir):
-    transport, _ = _transport(spark, sf_dir)
-    moved = _Pages({k.replace("http://n/", "https://doi.org/10.1/"): v for k, v in transport.rows.items()})
+    moved, _ = _nations(spark, sf_dir, "https://doi.org/10.1/")
     dois = table(spark, sf_dir, "nation").select(F.concat(F.lit("10.1/"), c("n_nationkey").cast("string")).alias("url"))
     native = clients.client("native", moved.get)
 
@@ -176,39 +198,73 @@ def landing_pages(spark, sf_dir):
     return providers.downloaded(dois, landing).select(c("url").alias("doi"), F.decode("content", "UTF-8").alias("html"))
 
 
-def _listing(spark: SparkSession, sf_dir: str, of: int, width: int = 20):
-    """Suppliers as a listing's pages of 20 addresses: a function of archive and page."""
-    rows = [r[0] for r in table(spark, sf_dir, "supplier").orderBy("s_suppkey").select("s_suppkey").collect()]  # a listing is the driver's
-
-    def page(archive: str, number: int) -> list[str]:
-        return [f"s{k % of}" for k in rows[(number - 1) * width : number * width]]
-
-    return page
+def _listing(spark: SparkSession, sf_dir: str, archives: dict[str, int]) -> providers.TableSource:
+    """Suppliers as listings with pages of 20 addresses, one for each modulus of keys."""
+    rows = table(spark, sf_dir, "supplier")
+    number = F.floor(c("s_suppkey") / 20 + 1).cast("int").alias("page_number")
+    one = lambda name, of: rows.groupBy(number).agg(F.transform(F.array_sort(F.collect_list("s_suppkey")), lambda k: F.concat(F.lit("s"), (k % of).cast("string"))).alias("urls")).withColumn("archive_url", F.lit(name))
+    return providers.TableSource(rows, listings=reduce(DataFrame.unionByName, [one(name, of) for name, of in archives.items()]))
 
 
 @query("SELECT 's' || (s_suppkey % 97) AS url, row_number() OVER (ORDER BY min(s_suppkey)) - 1 AS ord FROM supplier GROUP BY 1")
 def listing_discovered(spark, sf_dir):
-    return providers.discovered(providers.listing_pages(spark, "x", _listing(spark, sf_dir, 97)))
+    return discover_archive(spark, "x", _listing(spark, sf_dir, {"x": 97}), None)
 
 
 @query("""WITH s AS (SELECT (row_number() OVER (ORDER BY s_suppkey) - 1) // 20 + 1 AS page_number FROM supplier), p AS (SELECT page_number, count(*) AS n FROM s GROUP BY 1)
 SELECT * FROM p WHERE page_number <= 3 UNION ALL SELECT * FROM (SELECT max(page_number) + 1 AS p, 0 FROM p) WHERE p <= 3""")
 def listing_pages(spark, sf_dir):
-    pages = providers.listing_pages(spark, "x", _listing(spark, sf_dir, 10**9), max_pages=3)
-    return pages.select(c("page_number").cast("bigint").alias("page_number"), F.size("page_urls").cast("bigint").alias("n"))
+    pages = listed(spark, "x", _listing(spark, sf_dir, {"x": 10**9}), last=3)
+    return pages.select(c("page_number").cast("bigint").alias("page_number"), F.size("urls").cast("bigint").alias("n"))
 
 
 @query("WITH s AS (SELECT 's' || (s_suppkey % 97) AS url, 0 AS list, s_suppkey AS k FROM supplier UNION ALL SELECT 's' || (s_suppkey % 130), 1, s_suppkey FROM supplier) SELECT url, min(list) AS list FROM s GROUP BY url")
 def site_discovered(spark, sf_dir):
-    pages = [_listing(spark, sf_dir, n) for n in (97, 130)]
-    found = discover_site(spark, ["0", "1"], lambda archive, number: pages[int(archive)](archive, number), None)
+    found = discover_site(spark, ["0", "1"], _listing(spark, sf_dir, {"0": 97, "1": 130}), None)
     return found.select("url", "place.list")
 
 
+def _markup(spark: SparkSession, sf_dir: str, of: str, key: str, name: str) -> _Web:
+    """Rows of a table as a site: article pages with a title, and a listing of 20 links a
+    page, as markup, under the addresses that its pages have."""
+    rows, k = table(spark, sf_dir, of), c(key).cast("string")
+    title = F.concat(F.lit("<title>"), name, F.lit("</title><main><h1>"), name, F.lit("</h1></main>"))
+    articles = rows.select(F.concat(F.lit(f"{A}ncomms"), k).alias("url"), F.lit(200).alias("status"), title.alias("body"))
+    number = F.floor(c(key) / 20 + 1).cast("int").alias("number")
+    link = F.struct(c(key).alias("at"), F.concat(F.lit('<li><a href="/articles/ncomms'), k, F.when(c(key) % 3 == 0, "?a=b").when(c(key) % 3 == 1, "#x").otherwise("/"), F.lit('">x</a><a href="/other">y</a></li>')).alias("tag"))
+    pages = rows.groupBy(number).agg(F.array_join(F.transform(F.array_sort(F.collect_list(link)), lambda x: x["tag"]), "").alias("body"))
+    listings = pages.select(urls.archive_page_url(F.lit(DEFAULT.archive), c("number")).alias("url"), F.lit(200).alias("status"), F.concat(F.lit("<ul>"), "body", F.lit("</ul>")).alias("body"))
+    return _Web.of(articles.unionByName(listings))
+
+
+@query("SELECT CAST(s_suppkey // 20 + 1 AS INTEGER) AS page_number, string_agg('ncomms' || s_suppkey, ' ' ORDER BY s_suppkey) AS slugs, CAST(CASE WHEN count(*) < 20 THEN 1 ELSE 0 END AS INTEGER) AS retries FROM supplier GROUP BY 1 UNION ALL SELECT CAST(max(s_suppkey // 20) + 2 AS INTEGER), '', CAST(0 AS INTEGER) FROM supplier")
+def listing_stream(spark, sf_dir):
+    """A listing's markup, page by page as a stream that ends at the first page that isn't there."""
+    web, folder = _markup(spark, sf_dir, "supplier", "s_suppkey", "s_name"), scratch(spark, "pages")
+    pages = listing.stream(spark, clients.client("native", web.get), DEFAULT.archive)
+    slugs = F.array_join(F.transform("urls", lambda u: F.replace(u, F.lit(A), F.lit(""))), " ")
+    stream = pages.select("page_number", slugs.alias("slugs"), "retries").writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint").start()
+    stream.processAllAvailable()
+    stream.stop()
+    return spark.read.schema("page_number int, slugs string, retries int").parquet(f"{folder}/rows")
+
+
+@query("SELECT 'ncomms' || n_nationkey AS slug, n_name AS title, CAST(n_nationkey // 20 + 1 AS INTEGER) AS page_number FROM nation")
+def native_archive(spark, sf_dir):
+    """A listing and its articles, both asked of the engine."""
+    told: list[dict] = []
+    web = _markup(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    collector = Collector(spark, scratch(spark, "catalog"), clients.client("native", web.get), on_progress=told.append, partitions=4)
+    got = collector.collect_archive(DEFAULT.archive, max_pages=None)
+    pages = collector.catalog.pages().filter("articles_found > 0").select("page_number", (c("page_number") * 20).alias("last"))
+    number = F.regexp_extract("slug", r"(\d+)$", 1).cast("int")
+    return got.select("slug", "title", F.floor(number / 20 + 1).cast("int").alias("page_number")).join(pages.select("page_number"), "page_number", "left_semi")
+
+
 @query("SELECT CAST(p AS INTEGER) AS page_number FROM range(1, 5) t(p)")
 def listing_ends(spark, sf_dir):
     """A listing read page by page in parallel ends at its first empty page."""
-    rows = table(spark, sf_dir, "nation").filter("n_nationkey between 1 and 8")  # pages 4 and 7 are empty
+    rows = table(spark, sf_dir, "nation").filter("n_nationkey > 0")  # pages 4 and 7 are empty
     pages = rows.select(F.lit("x").alias("archive_url"), c("n_nationkey").cast("int").alias("page_number"), F.when(c("n_nationkey").isin(4, 7), F.array().cast("array<string>")).otherwise(F.array("n_name")).alias("urls"))
     return providers.until_empty(pages).select("page_number")
 
@@ -393,17 +449,24 @@ def collect_again(spark, sf_dir):
 
 def _archive(spark: SparkSession, sf_dir: str, again: bool = False) -> Collector:
     """Nations as a listing of 20 and 5 articles and an empty page."""
-    names = [f"{A}ncomms{r[0]}" for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey").collect()]
-    url = F.concat(F.lit(f"{A}ncomms"), c("n_nationkey").cast("string"))
-    pages = table(spark, sf_dir, "nation").select(url.alias("url"), F.concat(F.lit("# "), "n_name").alias("markdown"), *[none().alias(n) for n in ("html", "raw_html")], F.lit(None).cast("array<string>").alias("links"), F.create_map().cast("map<string,string>").alias("metadata"))
-    collector = Collector(spark, scratch(spark, "catalog"), providers.TableSource(pages))
-    page = lambda archive, n: names[(n - 1) * 20 : n * 20]
-    collector.collect_archive("x", page, max_pages=2 if again else None)
+    collector = Collector(spark, scratch(spark, "catalog"), _nation_source(spark, sf_dir, F.lit("x"), 20))
+    collector.collect_archive("x", max_pages=2 if again else None)
     if again:
-        collector.fill_gaps_archive("x", page)
+        collector.fill_gaps_archive("x")
     return collector
 
 
+def _nation_source(spark: SparkSession, sf_dir: str, archive, width: int) -> providers.TableSource:
+    """Nations as articles, and as listings with so many on a page."""
+    rows = table(spark, sf_dir, "nation")
+    url = F.concat(F.lit(f"{A}ncomms"), c("n_nationkey").cast("string"))
+    pages = rows.select(url.alias("url"), F.concat(F.lit("# "), "n_name").alias("markdown"), *[none().alias(n) for n in ("html", "raw_html")], F.lit(None).cast("array<string>").alias("links"), F.create_map().cast("map<string,string>").alias("metadata"))
+    keys = rows.withColumn("archive_url", archive)
+    at = F.row_number().over(Window.partitionBy("archive_url").orderBy("n_nationkey")) - 1  # nations are few
+    listings = keys.withColumn("page_number", F.floor(at / width + 1).cast("int")).groupBy("archive_url", "page_number").agg(F.transform(F.array_sort(F.collect_list("n_nationkey")), lambda k: F.concat(F.lit(f"{A}ncomms"), k.cast("string"))).alias("urls"))
+    return providers.TableSource(pages, listings=listings)
+
+
 @query("SELECT CAST(n_nationkey // 20 + 1 AS INTEGER) AS page_number, CAST(count(*) AS INTEGER) AS articles_found FROM nation GROUP BY 1 UNION ALL SELECT 3, 0")
 def archive_pages(spark, sf_dir):
     return _archive(spark, sf_dir).catalog.pages().select("page_number", "articles_found")
@@ -432,11 +495,8 @@ def sitemap_collected(spark, sf_dir):
 @query("SELECT list, count(*) AS n FROM (SELECT n_nationkey // 13 AS list FROM nation) GROUP BY list")
 def site_collected(spark, sf_dir):
     """Two archives, one after the other."""
-    rows = [r[0] for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey").collect()]
-    pages = table(spark, sf_dir, "nation").select(F.concat(F.lit(f"{A}ncomms"), c("n_nationkey").cast("string")).alias("url"), F.concat(F.lit("# "), "n_name").alias("markdown"), *[none().alias(n) for n in ("html", "raw_html")], F.lit(None).cast("array<string>").alias("links"), F.create_map().cast("map<string,string>").alias("metadata"))
-    collector = Collector(spark, scratch(spark, "catalog"), providers.TableSource(pages))
-    page = lambda archive, n: [f"{A}ncomms{k}" for k in rows if k // 13 == int(archive)]
-    got = collector.collect_site(["0", "1"], page, max_pages=1)
+    collector = Collector(spark, scratch(spark, "catalog"), _nation_source(spark, sf_dir, F.floor(c("n_nationkey") / 13).cast("string"), 13))
+    got = collector.collect_site(["0", "1"], max_pages=1)
     return got.select(F.floor(F.regexp_extract("slug", r"(\d+)$", 1).cast("bigint") / 13).alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -25,8 +25,8 @@ from ..profile import DEFAULT, MARKDOWN_LINK, SiteProfile
 from .clients import Client, NotThere
 
 SCHEMA = "archive_url string, page_number int, urls array<string>, retries int"
-#: Pages that a micro-batch asks for at most; the first asks for one, and each for twice as many as the one before.
-MOST_PAGES = 64
+#: Pages that the first micro-batch asks for, each next one for twice as many, and the most.
+FIRST_PAGES, MOST_PAGES = 8, 64
 #: Stands for the page number in the address of "any" page.
 _ANY = 987_654_321
 
@@ -152,7 +152,7 @@ class _Stream(DataSourceStreamReader):
     """Offsets: the next page, and whether the listing may go on there."""
 
     def __init__(self, pages: _Pages, most: int):
-        self.pages, self.most, self.ahead = pages, most, 1
+        self.pages, self.most, self.ahead = pages, most, min(FIRST_PAGES, most)
         self.at: dict | None = None
         self.held: dict[int, tuple[list[str], int]] = {}
 

@@ -9,13 +9,13 @@ from typing import Protocol
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.urls import is_article_url, normalize_article_url
 from ..operators.dedupe import first_by
 from ..operators.numbering import numbered
 from ..profile import DEFAULT, SiteProfile
-from .clients import Client, NotThere, found_urls
+from .clients import Client, found_urls
+from .listing import ListingSource, asked  # noqa: F401
 
 SCRAPE = "url string, markdown string, html string, raw_html string, links array<string>, metadata map<string,string>, error string"
 
@@ -91,8 +91,22 @@ class TableSource:
 
     engine = "table"
 
-    def __init__(self, scrapes: DataFrame, searches: DataFrame | None = None, contents: DataFrame | None = None):
-        self.scrapes, self.searches, self.contents = scrapes, searches, contents
+    def __init__(self, scrapes: DataFrame, searches: DataFrame | None = None, contents: DataFrame | None = None, listings: DataFrame | None = None):
+        self.scrapes, self.searches, self.contents, self.listings = scrapes, searches, contents, listings
+
+    def pages(self, archive: str, first: int = 1, last: int | None = None) -> DataFrame:
+        """SRC8, Z6: the pages (archive_url, page_number, urls) of a listing up to ``last`` or
+        its first empty one, which counts (Q13); one that isn't there is empty."""
+        rows = self.listings.filter((F.col("archive_url") == archive) & (F.col("page_number") >= first) & (F.lit(True) if last is None else F.col("page_number") <= last))
+        full = rows.filter(F.size("urls") > 0).groupBy("page_number").agg(F.min("urls").alias("urls"))
+        start = rows.sparkSession.range(1).select(F.lit(first - 1).alias("n"))
+        numbers = full.select(F.col("page_number").alias("n")).unionByName(start)
+        ends = numbers.select((F.col("n") + 1).alias("n")).join(numbers, "n", "left_anti").agg(F.min("n").alias("end"))
+        empty = ends.select(F.col("end").cast("int").alias("page_number"), F.array().cast("array<string>").alias("urls")).filter(F.lit(True) if last is None else F.col("page_number") <= last)
+        known = full.select(F.col("page_number").cast("int").alias("page_number"), F.array_distinct("urls").alias("urls"))
+        one = F.lit(1).alias("one")
+        before = known.select("*", one).join(ends.select("end", one), "one").filter("page_number < end").select("page_number", "urls")  # the end is one row
+        return before.unionByName(empty).select(F.lit(archive).alias("archive_url"), "page_number", "urls")
 
     def fetched(self, urls: DataFrame) -> DataFrame:
         """The first scrape of each address by markdown; those that aren't there fail."""
@@ -140,55 +154,6 @@ def searched(spark: SparkSession, client: Client, query: str, limit: int = 20, s
     return first_by(own, ["url"], ["ord"]).orderBy("ord").limit(limit)
 
 
-def page_of(archive: str, number: int, page: Callable[[str, int], list[str]], page_size: int = 20) -> list[str]:
-    """SRC4, SRC5: the addresses on a listing's page.  One that isn't there is empty; one that
-    has fewer than it should is asked for once more, and both answers are joined (Q30)."""
-
-    def ask() -> list[str]:
-        try:
-            return page(archive, number)
-        except NotThere:
-            return []
-
-    urls = list(dict.fromkeys(ask()))
-    return list(dict.fromkeys([*urls, *ask()])) if 0 < len(urls) < page_size else urls
-
-
-class ListingSource(DataSource):
-    """SRC8: pages of a listing from ``first`` to ``last``, one input partition each, so all
-    are asked for; ``until_empty`` then ends the listing at its first empty page.  The option
-    ``pages`` names a function ``module:name`` that takes (archive, page) and returns the
-    page's addresses; ``page_size`` tells which pages to ask for again."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "listing"
-
-    def schema(self) -> str:
-        return "archive_url string, page_number int, urls array<string>"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _ListingReader(self.options)
-
-
-class _ListingReader(DataSourceReader):
-    def __init__(self, options):
-        self.archive = options["archive"]
-        self.pages = range(int(options.get("first", 1)), int(options["last"]) + 1)
-        self.function = options["pages"]
-        self.page_size = int(options.get("page_size", 20))
-
-    def partitions(self):
-        return [InputPartition(p) for p in self.pages]
-
-    def read(self, partition) -> Iterator[tuple]:
-        import importlib
-
-        module, name = self.function.split(":")
-        function = getattr(importlib.import_module(module), name)
-        yield (self.archive, partition.value, page_of(self.archive, partition.value, function, self.page_size))
-
-
 def until_empty(pages: DataFrame) -> DataFrame:
     """SRC8, Z6: pages (archive_url, page_number, urls) up to each archive's first empty one,
     which counts (Q13)."""
@@ -204,7 +169,7 @@ def iter_pages(archive: str, page: Callable[[str, int], list[str]], first: int =
     seen: set[str] = set()
     number = first
     while max_pages is None or number <= max_pages:
-        urls = page_of(archive, number, page, page_size)
+        urls, _ = asked(lambda retry, n=number: page(archive, n), page_size)
         new = [u for u in urls if u not in seen]
         seen.update(new)
         yield archive, number, urls, new

@@ -425,6 +425,45 @@ def test_polls_over_several_batches(spark, tmp_path):
     assert got == [("a", "done"), ("b", "timeout"), ("c", "done"), ("d", "timeout"), ("e", "done")]
 
 
+def test_polls_forget_files_by_the_clock(spark, tmp_path):
+    """Timeouts come without a further report, and state goes when its time is over."""
+    from datetime import datetime
+
+    from marlstone.streaming.polls import final_states
+
+    kind, ended = "file string, state string, ts timestamp, ord long", []
+    spark.createDataFrame([(f, s, datetime(2024, 1, 1), i) for i, (f, s) in enumerate([("a", "running"), ("b", "done"), ("b", "failed"), ("c", "pending")])], kind).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = final_states(spark.readStream.schema(kind).parquet(f"{tmp_path}/in"), timeout_s=1, keep_s=2, wall_clock=True)
+    query = stream.writeStream.foreachBatch(lambda batch, n: ended.extend((r["file"], r["state"]) for r in batch.collect())).option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="200 milliseconds").start()
+    most, began = 0, time.monotonic()
+    try:
+        while time.monotonic() - began < 90:
+            rows = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+            most = max([most, *rows])
+            if most and rows[-1] == 0:
+                break
+            time.sleep(0.3)
+    finally:
+        query.stop()
+    assert sorted(ended) == [("a", "timeout"), ("b", "done"), ("c", "timeout")] and most >= 3 and rows[-1] == 0
+
+
+def test_polls_forget_files_by_their_own_time(spark, tmp_path):
+    from datetime import datetime
+
+    from marlstone.streaming.polls import final_states
+
+    kind, left = "file string, state string, ts timestamp, ord long", []
+    for k, rows in enumerate([[("a", "done", datetime(2024, 1, 1), 1), ("b", "running", datetime(2024, 1, 1), 2)], [("z", "done", datetime(2024, 1, 9), 3)], [("z", "done", datetime(2024, 1, 20), 4)]]):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = final_states(spark.readStream.schema(kind).parquet(f"{tmp_path}/in"), timeout_s=60, keep_s=3600)
+        query = stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").option("path", f"{tmp_path}/out").trigger(availableNow=True).start()
+        query.awaitTermination()
+        left.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert sorted((r["file"], r["state"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [("a", "done"), ("b", "timeout"), ("z", "done")]
+    assert left[0] > 0 and left[-1] == 0  # all are forgotten when time has gone on
+
+
 def test_listing_source(spark):
     spark.dataSource.register(providers.ListingSource)
     rows = spark.read.format("listing").option("archive", "x").option("last", 3).option("page_size", 1).option("pages", "tests.test_operators:listed").load()
