@@ -155,3 +155,17 @@ def test_pdf_information():
 def test_dots_in_addresses(spark, href):
     base = "http://a.org/b/c/d;p?q"
     assert column(spark, [href], lambda x: urls.resolve(F.lit(base), x)) == [urljoin(base, href)]
+
+
+def test_markdown_of_made_pages():
+    """T23, worked out by hand."""
+    said = lambda page: html.page_markdown(html.parsed(page))
+    authors = '<ul class="c-article-author-list"><li>Ann <b>Lee</b></li><li>Bo</li></ul>'
+    abstract = '<section class="c-article-section" aria-labelledby="abstract-1"><h2>Abstract</h2><p class="c-article-section__content">sum</p></section>'
+    inner = '<section class="c-article-section"><h2>In</h2><h3>Not this</h3><p>a <i>b</i></p><script>no()</script><section class="c-article-section"><h3>Deep</h3><ul><li>c</li><li> </li></ul></section></section>'
+    assert said(f"<h1>T</h1><h1>U</h1>{authors}{abstract}{inner}") == "# T\n\nAnn Lee, Bo\n\n## Abstract\n\nsum\n\n## Abstract\n\nsum\n\n## In\n\na b\nc\n\n## Deep\n\nc"
+    assert said("<main><h1>T</h1><p>x</p><p>y</p></main>") == "# T\n\nT\nx\ny"
+    assert said('<h1>T</h1><div class="c-article-section__content">one<br>two</div><main>no</main>') == "# T\n\n## Abstract\n\none\ntwo"
+    assert said('<span class="c-article-section__content">not a div</span><main>m</main>') == "m"
+    assert said(f"<h1></h1>{authors}<p>outside</p>") == "# \n\nAnn Lee, Bo" and said("") == said("<p>x</p>") == ""
+    assert said('<section class="c-article-section"><p>no heading</p></section><section class="c-article-section"><h2></h2><h2>second</h2></section>') == "no heading"
