@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from .functions.ids import stem
 from .functions.urls import listing_url_with_year
-from .operators import blocks, tasks
+from .operators import bibliography, blocks, tasks
 from .operators.frontier import union_sources
 from .operators.numbering import numbered
-from .plans.collect import Catalog, Collector, discover_archive, discover_site, discover_sitemap
+from .plans.collect import Catalog, Collector, crawl_sitemap, discover_archive, discover_site, discover_sitemap
 from .profile import DEFAULT
 from .sources import clients, files, providers
 
@@ -41,13 +41,13 @@ def parser() -> argparse.ArgumentParser:
     add("discover", *engine, flag("--query", required=True), flag("--limit", type=int, default=20))
     add("discover-archive", *engine, listings, flag("--archive-url", default=DEFAULT.archive), flag("--year", type=int), *pages(5))
     add("discover-site", *engine, listings, flag("--archive-url", action="append"), *pages(20))
-    add("discover-sitemap", flag("--documents", required=True), flag("--sitemap-url", required=True))
+    add("discover-sitemap", *engine, flag("--documents"), flag("--sitemap-url", required=True))
     add("stats", out, switch("--json"), switch("--list-failed"))
     sources = (flag("--url", action="append", default=[]), flag("--input"), flag("--query"), flag("--limit", type=int, default=20), switch("--archive"), switch("--site"), flag("--archive-url", action="append"), flag("--sitemap-url"), flag("--documents"), flag("--year", type=int))
     how = (switch("--skip-peer-reviews"), switch("--force"), switch("--skip-failed-cache"), switch("--fill-gaps"), flag("--json-output"), switch("--print-records"), flag("--max-workers", type=int, default=4), flag("--requests-per-second", type=float, default=1.0))
     add("collect", out, *engine, listings, *sources, *pages(1), *how)
     add("parse", out, flag("pdf_files", nargs="*"), switch("--all"), flag("--data-dir", default="."), flag("--recursive", action=argparse.BooleanOptionalAction, default=True), flag("--service"), flag("--task-log"), flag("--max-retries", type=int, default=3), switch("--fail-on-error"), flag("--model-version", default="vlm"), flag("--language", default="en"), switch("--no-ocr"), flag("--poll-timeout", type=float, default=300.0), flag("--retry-gap", type=float, default=1.0), switch("--verbose"), switch("--save-summary"))
-    add("papers", out, flag("--dois", nargs="*", default=[]), flag("--doi-list"), flag("--works"), flag("--pdf-dir"), switch("--metadata"))
+    add("papers", out, flag("--dois", nargs="*", default=[]), flag("--doi-list"), flag("--works"), flag("--lookup"), flag("--max-retries", type=int, default=3), flag("--retry-gap", type=float, default=0.2), flag("--pdf-dir"), switch("--metadata"))
     add("render", out, flag("--blocks", required=True), flag("--start", type=int, default=0), flag("--end", type=int), flag("--mode", choices=[*blocks.RENDERERS], default="vlm"))
     return top
 
@@ -74,6 +74,15 @@ def make_client(spark: SparkSession, args):
     return FolderSource(scrapes, searches, contents, listings)
 
 
+def sitemap_documents(spark: SparkSession, args) -> DataFrame | None:
+    """Documents from a file; without one the engine is asked for them."""
+    if args.documents:
+        return spark.read.schema("url string, xml string").json(args.documents)
+    if args.engine == "table":
+        raise SystemExit("--engine table reads sitemaps from --documents")
+    return None
+
+
 def listing_source(client):
     """The client, if it can read listings."""
     if client.engine == "table" and client.listings is None:
@@ -129,9 +138,10 @@ def parse(args, spark: SparkSession) -> int:
 
 
 def papers(args, spark: SparkSession) -> int:
-    """DOIs with their works from a file (doi, work), and what PDFs say of themselves."""
+    """DOIs with their works, from a file (doi, title, journal, citations) or asked of a
+    function ``module:function`` of a DOI and the retry's number; and what PDFs say of themselves."""
     if args.metadata:
-        info = files.pdf_files(spark, args.pdf_dir or ".", content=True).select("path", files.pdf_info(F.col("content")).alias("info"))
+        info = files.pdf_files(spark, args.pdf_dir or ".").select("path", files.pdf_info_at(F.col("path")).alias("info"))
         for r in info.orderBy("path").toLocalIterator():
             print(json.dumps({"path": r["path"], "title": (r["info"] or {}).get("Title"), "info": r["info"]}))
         return 0
@@ -142,6 +152,11 @@ def papers(args, spark: SparkSession) -> int:
     if args.works:
         works = spark.read.schema("doi string, title string, journal array<string>, citations bigint").json(args.works)
         dois = dois.join(works, "doi", "left")
+    elif args.lookup:
+        works, dead = bibliography.looked_up(dois, named(args.lookup), args.max_retries, args.retry_gap)
+        told = works.select("doi", F.get("work.title", F.lit(0)).alias("title"), F.col("work.container_title").alias("journal"), F.col("work.is_referenced_by_count").alias("citations"), F.lit(None).cast("string").alias("error"))
+        none = [F.lit(None).cast(told.schema[k].dataType).alias(k) for k in ("title", "journal", "citations")]
+        dois = dois.join(told.unionByName(dead.select("doi", *none, "error")), "doi", "left")
     for r in dois.orderBy("place").drop("place").toLocalIterator():
         print(json.dumps(r.asDict()))
     files.write_list(dois, "doi", f"{args.output_dir}/dois")
@@ -176,7 +191,7 @@ def collect(args, spark: SparkSession, most: int | None) -> int:
     elif args.site:
         got = collector.collect_site(archives, max_pages=most, **how)
     elif args.sitemap_url:
-        got = collector.collect_sitemap(spark.read.json(args.documents), args.sitemap_url, **how)
+        got = collector.collect_sitemap(sitemap_documents(spark, args), args.sitemap_url, **how)
     else:
         lists = [files.urls_from_list(spark, args.url)] + ([files.urls_from_file(spark, args.input)] if args.input else []) + ([collector.discover(args.query, args.limit)] if args.query else [])
         got = collector.collect_urls(numbered(union_sources(*lists), ["place"]).select("url", "ord"), **how)
@@ -208,7 +223,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command == "discover":
         urls = providers.searched(spark, make_client(spark, args), args.query, args.limit)
     elif args.command == "discover-sitemap":
-        urls = discover_sitemap(spark.read.json(args.documents), args.sitemap_url)
+        documents = sitemap_documents(spark, args)
+        urls = discover_sitemap(documents, args.sitemap_url) if documents is not None else crawl_sitemap(spark, make_client(spark, args), args.sitemap_url)
     elif args.command == "discover-site":
         urls = discover_site(spark, args.archive_url or [DEFAULT.archive], listing_source(make_client(spark, args)), most)
         urls = numbered(urls, ["place"])

@@ -125,7 +125,8 @@ def page_infos(blocks: DataFrame, pages: DataFrame, document: str = "doc") -> Da
 def middle(infos: DataFrame, backend: str = "vlm", document: str = "doc") -> DataFrame:
     """One JSON text for each document, its pages in order; a table that goes on at the
     top of the next page (a page that begins with a table after one that ends with one) is
-    joined to the one before, and leaves that page."""
+    joined to the one before, and leaves that page.  That goes for tables in plain text; those
+    in markup are joined before, by their columns (``tables.joined_tables``)."""
     listed = infos.groupBy(document).agg(F.array_sort(F.collect_list(F.struct("page_idx", "page_size", "para_blocks", "discarded_blocks"))).alias("pages"))  # pages of one document
     kind = listed.schema["pages"].dataType.simpleString()
 
@@ -133,7 +134,8 @@ def middle(infos: DataFrame, backend: str = "vlm", document: str = "doc") -> Dat
         last = F.try_element_at(done, F.lit(-1))
         ends = F.when(F.size(done) > 0, F.when(F.size(last["para_blocks"]) > 0, F.try_element_at(last["para_blocks"], F.lit(-1))["type"]))
         begins = F.get(page["para_blocks"], F.lit(0))
-        goes_on = F.coalesce((ends == "table") & (begins["type"] == "table"), F.lit(False))
+        plain = ~F.lower(F.coalesce(begins["text"], F.lit(""))).contains("<table")  # markup is for ``tables.joined_tables``
+        goes_on = F.coalesce((ends == "table") & (begins["type"] == "table") & plain, F.lit(False))
         whole = F.try_element_at(last["para_blocks"], F.lit(-1))
         longer = F.concat(
             F.slice(last["para_blocks"], F.lit(1), F.size(last["para_blocks"]) - 1),

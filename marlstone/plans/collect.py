@@ -16,7 +16,7 @@ from ..operators.checkpoints import cut, scratch
 from ..operators.ledger import Ledger, Log, now
 from ..operators.numbering import numbered
 from ..profile import DEFAULT, SiteProfile
-from ..sources import files, listing, providers
+from ..sources import files, listing, providers, sitemaps
 from ..streaming.seen import with_first
 
 ATTEMPT = "url string, status string, attempted_at string, succeeded_at string, article_slug string, error_message string"
@@ -282,10 +282,11 @@ class Collector:
         """M4: archive after archive; the union isn't deduplicated across them."""
         return reduce(DataFrame.unionByName, [self.collect_archive(a, page, max_pages, **how) for a in archives])
 
-    def collect_sitemap(self, documents: DataFrame, root: str, batch: int = 10_000, **how) -> DataFrame:
+    def collect_sitemap(self, documents: DataFrame | None, root: str, batch: int = 10_000, **how) -> DataFrame:
         """M5, ST5: the article addresses under a sitemap, breadth first, in batches of ``batch``:
-        what a batch found is written before the next one is asked for."""
-        urls = cut(discover_sitemap(documents, root, self.site))
+        what a batch found is written before the next one is asked for.  Without documents
+        (url, xml) the engine is asked for them."""
+        urls = cut(self.discover_sitemap(documents, root))
         total, found = urls.count(), []
         for start in range(0, max(1, total), batch):
             found.append(self.collect_urls(urls.filter((F.col("ord") >= start) & (F.col("ord") < start + batch)), **how))
@@ -302,22 +303,39 @@ class Collector:
     def discover_site(self, archives: list[str], page: Callable[[str, int], list[str]] | None = None, max_pages: int | None = 20) -> DataFrame:
         return discover_site(self.spark, archives, page or self.client, max_pages, self.site)
 
-    def discover_sitemap(self, documents: DataFrame, root: str) -> DataFrame:
-        return discover_sitemap(documents, root, self.site)
+    def discover_sitemap(self, documents: DataFrame | None, root: str) -> DataFrame:
+        if documents is not None:
+            return discover_sitemap(documents, root, self.site)
+        return crawl_sitemap(self.spark, self.client, root, self.site, self.on_progress)
 
     def stats(self) -> dict:
         return self.catalog.stats()
 
 
+def crawl_sitemap(spark: SparkSession, client, root: str, site: SiteProfile = DEFAULT, on_progress: Callable[[dict], None] | None = None) -> DataFrame:
+    """SRC11, SRC12: url and ord of the articles below the sitemap ``root``, whose documents the
+    engine is asked for.  Documents and entries that can't be read are told as events."""
+    pages, errors = sitemaps.crawled(spark, client.content, root)
+    if on_progress:
+        for r in errors.toLocalIterator():
+            on_progress({"sitemap": r["src"], "error": r["error"]})
+    return _articles(pages, site)
+
+
+def _articles(pages: DataFrame, site: SiteProfile) -> DataFrame:
+    """Sitemap entries (level, src, at, dst) as the articles' addresses in order."""
+    urls = pages.select(normalize_article_url(F.col("dst")).alias("url"), F.struct("level", "src", "at").alias("place")).filter(is_article_url(F.col("url"), site))
+    first = dedupe.first_by(urls, ["url"], ["place"])
+    return numbered(first.select("url", "place"), ["place"]).select("url", "ord")
+
+
 def discover_sitemap(documents: DataFrame, root: str, site: SiteProfile = DEFAULT) -> DataFrame:
     """SRC11: url and ord of the articles below the sitemap ``root`` among documents (url, xml)."""
     entries = providers.sitemap_entries(documents)
     start = documents.sparkSession.createDataFrame([(root,)], "node string")
     reached = frontier.closure(start, entries.filter("kind = 'index'").select("src", "dst"))
     pages = entries.filter("kind = 'page'").join(reached.select(F.col("node").alias("src"), "level"), "src")
-    urls = pages.select(normalize_article_url(F.col("dst")).alias("url"), F.struct("level", "src", "at").alias("place")).filter(is_article_url(F.col("url"), site))
-    first = dedupe.first_by(urls, ["url"], ["place"])
-    return numbered(first.select("url", "place"), ["place"]).select("url", "ord")
+    return _articles(pages, site)
 
 
 def with_new(pages: DataFrame) -> DataFrame:

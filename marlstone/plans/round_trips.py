@@ -4,11 +4,14 @@ scratch folder, and the same result in SQL."""
 from __future__ import annotations
 
 import contextlib
+import gzip
 import io
+import json
 import zipfile
 import zlib
 from functools import reduce
 
+import pyarrow as pa
 import pyarrow.fs as pa_fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import extract, html, ids, text, urls
-from ..operators import blocks, records, tasks
+from ..operators import bibliography, blocks, records, tables, tasks
 from ..operators.checkpoints import cut, scratch
 from ..profile import DEFAULT
-from ..sources import clients, files, listing, providers
+from ..sources import clients, files, listing, providers, sitemaps
 from ..streaming.polls import final_states
 from .collect import Collector, discover_archive, discover_site, discover_sitemap, listed
 from .queries import AUTHORS, HEADINGS, PARTS, RECORDS, ROWS, _blocks, query, scrapes, table
@@ -315,6 +318,56 @@ def sitemap_order(spark, sf_dir):
     return discover_sitemap(_sitemap(spark, sf_dir), "root")
 
 
+@query("SELECT 'http://w/' || (c_custkey % 50) AS src, 'index' AS kind, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS total FROM customer WHERE c_custkey % 7 = 0 GROUP BY 1 UNION ALL SELECT 'http://w/' || (c_custkey % 50), 'page', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey % 7 <> 0 GROUP BY 1")
+def sitemap_files(spark, sf_dir):
+    """Entries of sitemap files, of which every second is compressed, read by their tags."""
+    k = c("c_custkey")
+    tag = F.when(k % 7 == 0, "sitemap").otherwise("url")
+    entry = F.concat(F.lit("<"), tag, F.lit("><lastmod>2024</lastmod><loc> http://x?a=1&amp;k="), k.cast("string"), F.lit(" </loc></"), tag, F.lit(">"))
+    rows = table(spark, sf_dir, "customer").withColumn("file", k % 50).select("file", k.alias("k"), entry.alias("e"))
+    body = F.concat(F.lit('<?xml version="1.0"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">\n'), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "e"))), lambda x: x["e"]), "\n"), F.lit("\n</urlset>"))
+    made = rows.groupBy("file").agg(F.encode(body, "UTF-8").alias("content"))
+
+    @F.arrow_udf("binary")
+    def packed(contents):
+        return pa.array((gzip.compress(x.as_py()) for x in contents), pa.binary())
+
+    folder, odd = scratch(spark, "sitemaps"), c("file") % 2 == 1
+    named = made.select(F.concat(c("file").cast("string"), F.when(odd, ".xml.gz").otherwise(".xml")).alias("name"), F.when(odd, packed(c("content"))).otherwise(c("content")).alias("content"))
+    files.write_blobs(named, folder, "name", "content")
+    found = sitemaps.entries(spark, folder).select(F.concat(F.lit("http://w/"), F.regexp_extract("file", r"(\d+)\.xml(\.gz)?$", 1)).alias("src"), "kind", F.regexp_extract("dst", r"^http://x\?a=1&k=(\d+)$", 1).cast("bigint").alias("k"))
+    return found.groupBy("src", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
+
+
+@query(f"SELECT '{A}ncomms' || s_suppkey AS url, CAST(s_nationkey AS INTEGER) AS nation FROM supplier")
+def sitemap_crawled(spark, sf_dir):
+    """A sitemap of sitemaps, one for each nation, fetched through the engine."""
+    k = c("s_suppkey").cast("string")
+    rows = table(spark, sf_dir, "supplier")
+    sets = rows.groupBy("s_nationkey").agg(F.array_join(F.collect_list(F.concat(F.lit(f"<url><loc>{A}ncomms"), k, F.lit("?x=1</loc></url>"))), "\n").alias("x")).select(F.concat(F.lit("http://w/"), c("s_nationkey").cast("string")).alias("url"), F.lit(200).alias("status"), F.concat(F.lit("<urlset>"), "x", F.lit("</urlset>")).alias("body"))
+    index = table(spark, sf_dir, "nation").agg(F.array_join(F.collect_list(F.concat(F.lit("<sitemap><loc>http://w/"), c("n_nationkey").cast("string"), F.lit("</loc></sitemap>"))), "\n").alias("x")).select(F.lit("http://w/root").alias("url"), F.lit(200).alias("status"), F.concat(F.lit("<sitemapindex>"), "x", F.lit("</sitemapindex>")).alias("body"))
+    web = _Web.of(sets.unionByName(index))
+    pages, _ = sitemaps.crawled(spark, clients.client("native", web.get).content, "http://w/root")
+    return pages.select(urls.normalize_article_url(c("dst")).alias("url"), F.regexp_extract("src", r"(\d+)$", 1).cast("int").alias("nation"))
+
+
+@query("SELECT '10.1/' || s_suppkey AS doi, CASE WHEN s_suppkey % 5 < 3 THEN s_nationkey END AS citations, CAST(least(s_suppkey % 5 + 1, 3) AS INTEGER) AS tries, CASE WHEN s_suppkey % 5 >= 3 THEN 'busy' END AS error FROM supplier")
+def works_looked_up(spark, sf_dir):
+    """Works asked for in rounds: some come at the second or third try, some never."""
+    k = c("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(F.concat(F.lit("10.1/"), k.cast("string")).alias("url"), F.lit(200).alias("status"), F.to_json(F.struct((k % 5).alias("after"), c("s_nationkey").alias("is-referenced-by-count"), F.array("s_name").alias("container-title"))).alias("body"))
+    web = _Web.of(rows)
+
+    def lookup(doi: str, retry: int) -> dict | None:
+        work = json.loads(web(doi)[1])
+        if retry < work["after"]:
+            raise OSError("busy")
+        return work
+
+    works, dead = bibliography.looked_up(rows.select(c("url").alias("doi")), lookup, gap=0.0)
+    return works.select("doi", c("work.is_referenced_by_count").cast("int").alias("citations"), "tries", none().alias("error")).unionByName(dead.select("doi", F.lit(None).cast("int").alias("citations"), "tries", "error"))
+
+
 # -- fields of pages ---------------------------------------------------------------------------
 
 

@@ -180,12 +180,32 @@ def plain_path(path):
 
 
 def pdf_info(content):
-    """SRC19, SRC20: ``map<string,string>`` of a PDF's information dictionary, as far as it
-    stands in the file uncompressed: literal, hexadecimal and UTF-16 strings are read.
-    Empty for what isn't a PDF or has none; the last entry of a name counts."""
+    """SRC19, SRC20: ``map<string,string>`` of a PDF's information dictionary, wherever the
+    file's tables say that it is, compressed or not; strings may be literal, hexadecimal or
+    UTF-16.  Empty for what isn't a PDF or has none; ``Encrypted`` alone where strings can't
+    be read; of a damaged file the entries that stand in it."""
 
     @F.arrow_udf("map<string,string>")
     def run(files: pa.Array) -> pa.Array:
         return pa.array((list(pdf.information(x.as_py()).items()) for x in files), pa.map_(pa.string(), pa.string()))
 
     return run(content)
+
+
+def pdf_info_at(path):
+    """As ``pdf_info`` for files by their paths: only their ends, their tables of objects and
+    the dictionary are read.  Null for a file that can't be opened."""
+
+    @F.arrow_udf("map<string,string>")
+    def run(paths: pa.Array) -> pa.Array:
+        found: list = []
+        for x in paths:
+            try:
+                store, base = pa_fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", x.as_py() or ""))
+                with store.open_input_file(base) as file:
+                    found.append(list(pdf.information(pdf.FileSource(file)).items()))
+            except (OSError, pa.ArrowInvalid):
+                found.append(None)
+        return pa.array(found, pa.map_(pa.string(), pa.string()))
+
+    return run(path)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,24 +55,49 @@ class Gate:
         self.next = now + self.interval
 
 
-def _dealt(rows: DataFrame, partitions: int | None, per_second: float) -> tuple[DataFrame, float]:
-    """Rows over so many tasks, and the rate of each, so that all keep to ``per_second``."""
+class Slots(Gate):
+    """ST8: one rate for all tasks.  Second ``began + n / per_second`` is slot n; of ``tasks``
+    tasks, number ``task`` sends requests only in the slots whose number leaves it as rest.
+    A task that is late, or is run again, goes on with its next slot, so requests never
+    come faster than the rate, whichever tasks run when; machines need but equal clocks."""
+
+    def __init__(self, per_second: float, task: int = 0, tasks: int = 1, began: float = 0.0, clock=None, sleep=None):
+        super().__init__(per_second, clock or time.time, sleep)
+        self.task, self.tasks, self.began, self.last = task, tasks, began, -1
+
+    def wait(self) -> None:
+        if not self.interval:
+            return
+        now = self.clock()
+        due = max(self.last + 1, math.ceil((now - self.began) / self.interval - 1e-6), 0)
+        due += (self.task - due) % self.tasks
+        self.last = due
+        if (left := self.began + due * self.interval - now) > 0:
+            self.sleep(left)
+
+
+def _dealt(rows: DataFrame, partitions: int | None, per_second: float) -> tuple[DataFrame, Callable[[], Gate]]:
+    """Rows over so many tasks, and what makes the gate of the task that asks, so that all
+    together keep to ``per_second``."""
     if per_second > 0 and not partitions:
         raise ValueError("a rate is shared between tasks, so their number must be given")
-    return (rows.repartition(partitions), per_second / partitions) if partitions else (rows, 0.0)
+    if not partitions:
+        return rows, lambda: Gate(0.0)
+    began = time.time()
+    return rows.repartition(partitions), lambda: Slots(per_second, TaskContext.get().partitionId(), partitions, began)
 
 
 def fetched(urls: DataFrame, fetch: Fetcher, partitions: int | None = None, per_second: float = 0.0) -> DataFrame:
     """SRC4-SRC7, M7: one scrape for each address (url); a failure is a row with its error.
     ``per_second`` requests are let through, over all of the ``partitions`` tasks.  The caller
     stores the result before using it twice, as a fetch isn't repeatable."""
-    own, rate = _dealt(urls.select("url"), partitions, per_second)
+    own, make_gate = _dealt(urls.select("url"), partitions, per_second)
     names = ("markdown", "html", "raw_html", "links", "metadata")
     kinds = {"links": pa.list_(pa.string()), "metadata": pa.map_(pa.string(), pa.string())}
     schema = pa.schema([("url", pa.string()), *[(n, kinds.get(n, pa.string())) for n in names], ("error", pa.string())])
 
     def run(batches):
-        gate = Gate(rate)
+        gate = make_gate()
         for batch in batches:
             rows = []
             for url in batch.column(0).to_pylist():
@@ -129,11 +156,11 @@ class TableSource:
 
 def downloaded(urls: DataFrame, content: Callable[[str], bytes], partitions: int | None = None, per_second: float = 0.0) -> DataFrame:
     """SNK2, SRC23: url, content and error of each address (url), under the same rate."""
-    own, rate = _dealt(urls.select("url"), partitions, per_second)
+    own, make_gate = _dealt(urls.select("url"), partitions, per_second)
     schema = pa.schema([("url", pa.string()), ("content", pa.binary()), ("error", pa.string())])
 
     def run(batches):
-        gate = Gate(rate)
+        gate = make_gate()
         for batch in batches:
             for url in batch.column(0).to_pylist():  # a row at a time, as contents are large
                 gate.wait()

@@ -1,5 +1,8 @@
 import hashlib
+import random
+import re
 import uuid
+import zlib
 from urllib.parse import urljoin
 
 import pytest
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import extract, html, ids, pdf, text, urls
 from marlstone.operators import records
+from marlstone.sources import files
 
 
 def column(spark, values, make, kind="string"):
@@ -169,3 +173,81 @@ def test_markdown_of_made_pages():
     assert said('<span class="c-article-section__content">not a div</span><main>m</main>') == "m"
     assert said(f"<h1></h1>{authors}<p>outside</p>") == "# \n\nAnn Lee, Bo" and said("") == said("<p>x</p>") == ""
     assert said('<section class="c-article-section"><p>no heading</p></section><section class="c-article-section"><h2></h2><h2>second</h2></section>') == "no heading"
+
+
+def made_pdf(info, compressed=True, predictor=False, encrypt=False, newer=None):
+    """A PDF of version 1.5 with its information dictionary in a compressed stream of objects and
+    a compressed table, or with plain ones; ``newer`` is a later dictionary, appended."""
+    out, offsets = bytearray(b"%PDF-1.5\n%\xe2\xe3\n" + b"x" * 5000 + b"\n"), {}
+    crypt = b" /Encrypt 9 0 R" if encrypt else b""
+
+    def add(number, body):
+        offsets[number] = len(out)
+        out.extend(b"%d 0 obj\n%s\nendobj\n" % (number, body))
+
+    if not compressed:
+        add(3, info)
+        table = len(out)
+        out.extend(b"xref\n0 1\n0000000000 65535 f \n3 1\n%010d 00000 n \ntrailer\n<< /Size 4 /Info 3 0 R%s >>\nstartxref\n%d\n%%%%EOF" % (offsets[3], crypt, table))
+        if newer:
+            add(3, newer)
+            later = len(out)
+            out.extend(b"xref\n3 1\n%010d 00000 n \ntrailer\n<< /Size 4 /Info 3 0 R /Prev %d >>\nstartxref\n%d\n%%%%EOF" % (offsets[3], table, later))
+        return bytes(out)
+    objects = b"<< /Type /Catalog >>"
+    head = b"1 0 3 %d " % (len(objects) + 1)
+    packed = zlib.compress(head + objects + b" " + info)
+    add(2, b"<< /Type /ObjStm /N 2 /First %d /Filter /FlateDecode /Length 5 0 R >>\nstream\n%s\nendstream" % (len(head), packed))
+    add(5, b"%d" % len(packed))
+    rows = [b"\x00\x00\x00\x00\x00", b"\x02\x00\x00\x02\x00", b"\x01" + offsets[2].to_bytes(3, "big") + b"\x00", b"\x02\x00\x00\x02\x01", b"\x00" * 5, b"\x01" + offsets[5].to_bytes(3, "big") + b"\x00"]
+    body, how = b"".join(rows), b""
+    if predictor:
+        body, above, how = b"", bytes(5), b" /DecodeParms << /Predictor 12 /Columns 5 >>"
+        for row in rows:
+            body += b"\x02" + bytes((x - y) & 255 for x, y in zip(row, above, strict=True))
+            above = row
+    raw, table = zlib.compress(body), len(out)
+    add(7, b"<< /Type /XRef /Size 6 /W [1 3 1] /Info 3 0 R%s%s /Filter /FlateDecode /Length %d >>\nstream\n%s\nendstream" % (crypt, how, len(raw), raw))
+    return bytes(out) + b"startxref\n%d\n%%%%EOF\n" % table
+
+
+def test_compressed_pdfs(tmp_path, spark):
+    info = b"<< /Title (A \\(title\\) \\351) /Author <FEFF00C9> /Kids [ 1 0 R (x) << /Title (no) >> ] /Producer 4 0 R /Subject (\xef\xbb\xbf\xc3\xa9) >>"
+    want = {"Title": "A (title) \u00e9", "Author": "\u00c9", "Subject": "\u00e9"}
+    for how in ({}, {"predictor": True}, {"compressed": False}):
+        assert pdf.information(made_pdf(info, **how)) == want
+        assert pdf.information(made_pdf(info, **how, encrypt=True)) == {pdf.ENCRYPTED: "true"}
+    assert pdf.information(made_pdf(info, compressed=False, newer=b"<< /Title (newer) >>")) == {"Title": "newer"}
+    whole = made_pdf(info)
+    damaged = re.sub(rb"startxref.*", b"startxref\n99999999\n", whole, flags=re.S)
+    assert pdf.information(damaged) == {} and pdf.information(damaged + b"<< /Title (found) >>") == {"Title": "found"}
+    rng = random.Random(1)
+    for _ in range(300):  # whatever is broken, nothing is raised
+        broken = bytearray(whole)
+        for _ in range(5):
+            broken[rng.randrange(len(broken) - 300, len(broken))] = rng.randrange(256)
+        assert isinstance(pdf.information(bytes(broken)), dict)
+    paths = []
+    for i, data in enumerate((whole, made_pdf(info, encrypt=True), b"no PDF")):
+        (tmp_path / f"{i}.pdf").write_bytes(data)
+        paths.append((f"file:{tmp_path}/{i}.pdf",))
+    got = spark.createDataFrame([*paths, (f"file:{tmp_path}/none.pdf",)], "path string").select(files.pdf_info_at(F.col("path")).alias("i")).collect()
+    assert [r["i"] for r in got] == [want, {pdf.ENCRYPTED: "true"}, {}, None]
+
+
+def test_few_bytes_of_a_pdf_are_read():
+    class Counted(pdf.Source):
+        n = 0
+
+        def read(self, at, n):
+            got = super().read(at, n)
+            self.n += len(got)
+            return got
+
+    whole = b"%PDF-1.5\n" + b"z" * 2_000_000 + b"\n"
+    moved = made_pdf(b"<< /Title (t) >>", compressed=False)
+    at = len(whole)
+    moved = whole + re.sub(rb"(\d{10}) 00000 n", lambda m: b"%010d 00000 n" % (int(m[1]) + at), moved)
+    moved = re.sub(rb"startxref\n(\d+)", lambda m: b"startxref\n%d" % (int(m[1]) + at), moved)
+    source = Counted(moved)
+    assert pdf.information(source) == {"Title": "t"} and source.n < 40_000
