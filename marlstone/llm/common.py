@@ -8,8 +8,6 @@ import shutil
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +20,8 @@ _own_dirs: dict[str, str] = {}
 
 #: The folder of each frame that ``stored`` or ``bucketed`` has made and ``dropped`` hasn't deleted.
 _tables: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-_left: set[str] = set()
+#: Folders that aren't deleted yet, each with a weak reference to what all plans that read it share.
+_left: dict[str, object] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,13 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    _left.discard(path)
+    _left.pop(path, None)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _at_exit() -> None:
-    """Deletes what no ``dropped`` did: tables that returned frames still read."""
+    """Deletes what is still there: tables that returned frames could read to the end.  (A
+    driver that is killed leaves them to whoever clears the folder it named.)"""
     spark = SparkSession.getActiveSession()
     if spark is not None and spark.sparkContext._jsc is not None:
         for path in list(_left):
@@ -66,19 +66,17 @@ def dropped(*tables: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
-def left() -> frozenset[str]:
-    """The folders of the tables that aren't deleted yet."""
-    return frozenset(_left)
-
-
-def deleted(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Deletes tables by their folders; nothing may read them any more."""
-    for path in paths:
-        if path in _left:
+def swept(spark: SparkSession) -> None:
+    """Deletes the tables that no frame can read any more: those whose relation, which the
+    plans of a table and of all that was made of it share, is garbage in the JVM.  Runs before
+    each new table, so a round of a loop frees what the rounds before it left."""
+    for path, relation in list(_left.items()):
+        if relation.get() is None:
             _delete(spark, path)
 
 
 def _written(spark: SparkSession, write, made, path: str) -> DataFrame:
+    swept(spark)
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")  # the shuffles of this write are of no use after it
     try:
@@ -87,7 +85,8 @@ def _written(spark: SparkSession, write, made, path: str) -> DataFrame:
         spark.conf.set(SHUFFLE_CLEANUP, before)
     df = made()
     _tables[df] = path
-    _left.add(path)
+    relation = df._jdf.queryExecution().analyzed().collectLeaves().head().relation()
+    _left[path] = spark._jvm.java.lang.ref.WeakReference(relation)
     return df
 
 

@@ -37,6 +37,8 @@ LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 64
 #: Pieces in a shard.
 SHARD = 40_000
+#: Equal rows that are numbered from one range, so that no array is as long as there are of them.
+COPIES = 10_000
 #: Closes each document among words, of which none is empty.
 END = ""
 _WORD = re.compile("[^\\x20\\x09-\\x0d]+")
@@ -105,7 +107,9 @@ def _placed(rows: DataFrame, lengths: tuple[int, ...], overhead: int, shard: int
     most = max(lengths)
     rows = stored(rows.select("doc_id", "h1", "h2", "n", "copies"), "lengths")
     count = rows.agg(F.sum(F.ceil(F.col("n") / most) * F.col("copies"))).first()[0] or 0
-    each = rows.select("doc_id", "h1", "h2", "n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+    steps = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"), F.lit(COPIES).cast("bigint")))
+    each = rows.select("doc_id", "h1", "h2", "n", "copies", steps.alias("low"))
+    each = each.select("doc_id", "h1", "h2", "n", F.explode(F.sequence("low", F.least(F.col("low") + COPIES - 1, F.col("copies")))).alias("copy"))
     pieces = each.select("doc_id", *ROW, "n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / most).cast("int") - 1)).alias("piece"))
     start = F.col("piece").cast("long") * most
     pieces = pieces.select("doc_id", *ROW, "piece", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - start).alias("n_tokens"))

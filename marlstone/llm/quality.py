@@ -143,11 +143,12 @@ def quality_rules(docs: DataFrame, **limits) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.  Rows are
-    written with their measures, so each text is measured once."""
-    rows = stored(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("marl_row"), docs["source"].alias("marl_source"), measured(docs["text"]).alias("marl_m")), "measured")
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns, of any type
+    (maps too).  Rows are written with their measures, so each text is measured once."""
+    own = docs["doc_id"].cast("string") if "doc_id" in docs.columns else F.lit(None).cast("string")
+    rows = stored(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("marl_row"), docs["source"].alias("marl_source"), own.alias("marl_id"), measured(docs["text"]).alias("marl_m")), "measured")
     verdicts = host_verdicts(rows.select("marl_source", "marl_m"), "marl_source", "marl_m", **limits)
-    kept = with_verdicts(rows.filter(~base_failed(F.col("marl_m"))), "marl_source", ["marl_row"], verdicts).filter(~F.col("marl_host.rejected"))
+    kept = with_verdicts(rows.filter(~base_failed(F.col("marl_m"))), "marl_source", ["marl_id", "marl_m"], verdicts).filter(~F.col("marl_host.rejected"))
     return kept.select("marl_row.*")
 
 

@@ -38,6 +38,8 @@ def test_quality_hosts(spark):
     kept = quality.keep_good(df)
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [*range(60), *range(600, 606)]
     assert quality.quality_rules(df.limit(0)).count() == 0 and quality.keep_good(df.limit(0)).count() == 0
+    maps = df.withColumn("more", topk.F.create_map(topk.F.lit("k"), topk.F.col("text")))
+    assert quality.keep_good(maps).count() == 66 and quality.keep_good(maps.drop("doc_id")).count() == 66
 
 
 @pytest.mark.parametrize(("scale", "block"), [(256.0, 16_384), (3e7, 16_384), (256.0, 20), (3e7, 9), (1e8, 20)])
