@@ -28,7 +28,8 @@ def _markdown_links(markdown: Column) -> Column:
 def _section(markdown: Column, marker: str) -> Column:
     """What follows the marker's first occurrence (anywhere: Q2) up to a line that is a
     level-2 heading; null without one."""
-    after = F.get(F.split(_text(markdown), marker, 2), F.lit(1))
+    at = F.instr(markdown, marker)
+    after = F.when(at > 0, F.substr(markdown, at + len(marker)))
     return F.regexp_replace(after, rf"(?s)(?:\A|{BREAK})[{SPACE}]*## .*\z", "")
 
 
@@ -76,9 +77,15 @@ def keywords(metadata: Column) -> Column:
     return F.coalesce(_listed(metadata, KEYWORD_KEYS), F.array().cast("array<string>"))
 
 
-def section_headings(markdown: Column) -> Column:
-    """T5: level-2 headings in order."""
-    found = F.filter(F.transform(F.split(_text(markdown), BREAK), strip), lambda x: x.startswith("## "))
+def text_lines(markdown: Column) -> Column:
+    return F.split(_text(markdown), BREAK)
+
+
+def section_headings(markdown: Column, lines: Column | None = None) -> Column:
+    """T5: level-2 headings in order.  ``lines`` are the text's, if they are at hand."""
+    lines = text_lines(markdown) if lines is None else lines
+    maybe = F.filter(lines, lambda x: x.contains("## "))  # few are left to be stripped
+    found = F.filter(F.transform(maybe, strip), lambda x: x.startswith("## "))
     return F.transform(found, lambda x: strip(F.substr(x, F.lit(4))))
 
 
@@ -99,14 +106,14 @@ def article_pdf_url(url: Column, links: Column, markdown: Column, html: Column,
     return F.coalesce(linked, labelled, exact, made)
 
 
-def title(url: Column, metadata: Column, markdown: Column, site: SiteProfile = DEFAULT) -> Column:
+def title(url: Column, metadata: Column, markdown: Column, site: SiteProfile = DEFAULT, lines: Column | None = None) -> Column:
     """The metadata's title without the journal, else the first level-1 heading that
-    isn't the slug."""
+    isn't the slug.  ``lines`` are the text's, if they are at hand."""
     own = strip(blank_to_null(F.try_element_at(metadata, F.lit("title"))))
     suffix = f" | {site.journal}"
     named = let(own, lambda t: F.when(t.endswith(suffix), strip(F.substr(t, F.lit(1), F.length(t) - len(suffix)))).otherwise(t))
     slug = slug_from_url(url)
-    heads = F.transform(F.filter(F.split(_text(markdown), BREAK), lambda x: x.startswith("# ")), lambda x: strip(F.substr(x, F.lit(3))))
+    heads = F.transform(F.filter(text_lines(markdown) if lines is None else lines, lambda x: x.startswith("# ")), lambda x: strip(F.substr(x, F.lit(3))))
     return F.coalesce(named, let(slug, lambda own: _first(F.filter(heads, lambda x: (x != "") & (x != F.coalesce(own, F.lit("")))))))
 
 

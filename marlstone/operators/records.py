@@ -20,13 +20,16 @@ def records(scrapes: DataFrame, site: SiteProfile = DEFAULT, source: str = "nati
     """One record for each scrape (url, markdown, html, links, metadata).
     ``labelled`` is the supplement that the page's markup labels, if there is markup."""
     c = F.col
-    fields = scrapes.select(
+    # worked out once: the optimizer doesn't copy what isn't cheap into two places
+    staged = scrapes.withColumn("marl_lines", x.text_lines(c("markdown")))
+    fields = staged.select(
         "*",
         normalize_article_url(c("url")).alias("article_url"),
+        x.title(c("url"), c("metadata"), c("markdown"), site, c("marl_lines")).alias("title"),
         x.abstract(c("markdown")).alias("abstract"),
         x.authors(c("metadata"), c("markdown")).alias("authors"),
         x.keywords(c("metadata")).alias("keywords"),
-        x.section_headings(c("markdown")).alias("section_headings"),
+        x.section_headings(c("markdown"), c("marl_lines")).alias("section_headings"),
         x.reference_count(c("markdown")).alias("reference_count"),
         x.article_pdf_url(c("url"), c("links"), c("markdown"), c("html"), c("metadata"), site).alias("article_pdf_url"),
         x.peer_review_url(c("markdown"), F.lit(None).cast("string") if labelled is None else labelled, site).alias("peer_review_pdf_url"),
@@ -49,7 +52,7 @@ def records(scrapes: DataFrame, site: SiteProfile = DEFAULT, source: str = "nati
     return fields.select(
         slug_from_url(c("url")).alias("slug"),
         "article_url",
-        x.title(c("url"), c("metadata"), c("markdown"), site).alias("title"),
+        c("title"),
         x.doi(c("url"), c("markdown"), site).alias("doi"),
         F.lit(site.journal).alias("journal"),
         c("published").alias("published_date"),
