@@ -81,6 +81,41 @@ def test_engines_on_random_strings():
             assert len(set(flat)) == len({n for n, _ in flat}) == len({w for _, w in flat})  # a node for each repeated window
 
 
+def test_subtrees_against_brute_force():
+    """Internal nodes of every depth, and maximal repeats, worked out from all substrings."""
+    rng = random.Random(6)
+    depths = set()
+    for _ in range(60):
+        texts = [[rng.randrange(3) for _ in range(rng.randrange(1, 30))] for _ in range(rng.randrange(1, 5))]
+        ids = np.array([x for t in texts for x in t], np.int64)
+        offsets = np.cumsum([0, *map(len, texts)])
+        ends = np.repeat(offsets[1:], np.diff(offsets))
+        trees = suffixtree.Subtrees(ids, np.arange(len(ids)), ends)
+        found = trees.nodes()
+        places, after, front = {}, {}, {}  # of each substring: where it starts, what follows it, and what it follows
+        for t, o in zip(texts, offsets.tolist(), strict=False):
+            for i in range(len(t)):
+                for j in range(i + 1, len(t) + 1):
+                    sub = tuple(t[i:j])
+                    places.setdefault(sub, set()).add(o + i)
+                    after.setdefault(sub, set()).add(t[j] if j < len(t) else ("end", o))
+                    front.setdefault(sub, set()).add(t[i - 1] if i else ("start", o))
+        want = {(len(x), tuple(sorted(p))) for x, p in places.items() if len(p) > 1 and len(after[x]) > 1}
+        leaves = lambda n: tuple(sorted(trees.leaves[n[1] : n[2] + 1].tolist()))
+        assert {(int(n[0]), leaves(n)) for n in found} == want and len(found) == len(want)
+        depths |= {d for d, _ in want}
+        before = np.concatenate(([0], ids[:-1]))
+        before[offsets[:-1]] = -1 - np.arange(len(texts))
+        maximal = trees.maximal(found, before[trees.leaves])
+        assert {(int(n[0]), leaves(n)) for n in maximal} == {(len(x), tuple(sorted(p))) for x, p in places.items() if len(p) > 1 and len(after[x]) > 1 and len(front[x]) > 1}
+        for least in (2, 4):
+            deep = trees.nodes(least)
+            assert {tuple(n) for n in deep.tolist()} == {tuple(n) for n in found.tolist() if n[0] >= least}
+            top = suffixtree.topmost(deep)
+            assert sorted(x for n in top for x in leaves(n)) == sorted({x for n in deep for x in leaves(n)})
+    assert len(depths) > 5
+
+
 def test_prefixes_split_ordinary_text():
     """Prefixes are as long as they must be, and no longer."""
     rng = np.random.default_rng(1)
