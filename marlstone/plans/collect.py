@@ -28,6 +28,8 @@ ASSET = "slug string, kind string, path string, error string"
 PAGES = "archive_url string, page_number int, urls array<string>, new_urls array<string>, retries int"
 #: Pages of a listing that are collected at once, at most.
 MOST_PAGES = listing.MOST_PAGES
+#: The columns of an article record, once they are known.
+_article: list[str] = []
 
 
 def _last_attempt(rows: DataFrame) -> DataFrame:
@@ -41,10 +43,10 @@ class Catalog(Ledger):
     appear together; the current state is the last row of each key."""
 
     def __init__(self, spark: SparkSession, folder: str, **how):
-        article = records.records(spark.createDataFrame([], providers.SCRAPE)).schema
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in article)
+        if not _article:  # a long plan, of which only the columns are wanted
+            _article.append(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.records(spark.createDataFrame([], providers.SCRAPE)).schema))
         logs = {
-            "articles": Log(columns, "slug", lambda rows: dedupe.last_by(rows, ["slug"], ["at"])),
+            "articles": Log(_article[0], "slug", lambda rows: dedupe.last_by(rows, ["slug"], ["at"])),
             "keys": Log(KEY, "dup_key", lambda rows: rows.groupBy("dup_key").agg(F.min("slug").alias("slug"), F.max("at").alias("at"))),
             "attempts": Log(ATTEMPT, "url", _last_attempt),
             "pages": Log(PAGE, "archive_url", lambda rows: dedupe.last_by(rows, ["archive_url", "page_number"], ["at"])),
