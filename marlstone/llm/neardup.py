@@ -1,4 +1,5 @@
-"""Near copies of a given similarity: SimHash links and min-hash bands, each verified.
+"""Near copies of a given similarity: SimHash links and min-hash bands, then shared rare
+shingles for whatever these leave out; each link is verified.
 
 SimHash links (operator 5) find texts that differ in few bits of 64.  Texts whose sets of
 five-word shingles have a Jaccard similarity of 0.8 mostly differ in more, at which no segment
@@ -17,6 +18,15 @@ by 128 bytes in memory.)  Each meeting is
 verified on the texts: only pairs of similarity ``SIMILAR`` or more link, and components of
 links are groups.
 
+So far that is likely to find a pair, not sure to.  What two groups may still have in common is
+found exactly (``between``).  All shingles have one order, by hash, with the commonest ones last.
+Two sets of a similarity of 0.8 share a shingle among the first fifth of the larger one and the
+first ninth of the smaller one (prefix filter), so texts meet by those.  Only keys that texts of
+two groups share go on; of their pairs those go that differ in too many bits of a parity bitmap,
+as each differing bit is a differing shingle.  The rest is verified: first one pair of each two
+groups, then all pairs whose groups are still apart.  A key of more than ``BLOCK`` texts is
+worked through in pairs of blocks.  Which shingles count as common changes the cost alone.
+
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered; a text of fewer than five is one shingle.
 
 Defined results: null, empty and blank texts have no words and are copies of each other; the
@@ -45,6 +55,12 @@ BINS, ROWS, BANDS = 128, 4, 12
 MEET, SAME = 83, 115
 #: Texts of a band that one part has, about.
 PART = 4096
+#: Bits of a parity bitmap; texts of a key in one block, about.
+BITS, BLOCK = 1024, 2048
+#: Texts of an Arrow batch in which a shingle is common, and how many such are told by a batch and kept in all.
+OFTEN, TOLD, COMMON = 8, 4096, 65_536
+#: Shingles that a task holds at once, about.
+CHUNK = 1 << 20
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -91,27 +107,74 @@ def similar(a: bytes, b: bytes, width: int = WIDTH, least: tuple[int, int] = SIM
     return both * least[1] >= (len(x) + len(y) - both) * least[0]
 
 
+def parity(own: np.ndarray) -> bytes:
+    """For each bit whether an odd number of these distinct shingles fall on it."""
+    at = (own >> np.uint64(17)) % np.uint64(BITS)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
+def ordered(own: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Distinct sorted shingles in the order that all texts share: the common ones (sorted, with
+    their ranks) last."""
+    if not len(common):
+        return own
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    late = common[at] == own
+    return np.concatenate((own[~late], own[late][np.argsort(rank[at[late]])]))
+
+
+def prefixes(n: int, least: tuple[int, int] = SIMILAR) -> tuple[int, int]:
+    """How many of the first of n shingles a text shares one with any similar text that is no
+    larger, and with any that is no smaller."""
+    part, of = least
+    return n + 1 + -n * part // of, n + 1 + -2 * n * part // (part + of)
+
+
+def frequent(sets: dict[bytes, np.ndarray]) -> list[dict]:
+    """The shingles that many of these sets have, with the number of those."""
+    if not sets:
+        return []
+    keys, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+    often = np.flatnonzero(counts >= OFTEN)
+    often = often[np.argsort(-counts[often], kind="stable")[:TOLD]]
+    return [{"key": k, "n": n} for k, n in zip(keys[often].view(np.int64).tolist(), counts[often].tolist(), strict=True)]
+
+
 _SIGNED = lambda x: int(x) - (1 << 64) if x >= 1 << 63 else int(x)
 
 
 def signs(text: Column, width: int = WIDTH) -> Column:
     """``struct<d1, d2, fp, sketch, bands>``: a digest of the words, operator 5's fingerprint, a
-    byte of each min-hash, and the bands' keys; of a text without words the digest only."""
+    byte of each min-hash, the bands' keys, and a parity bitmap; of a text without words the
+    digest only.  The first row of an Arrow batch also tells which shingles are common among its texts."""
 
-    @F.arrow_udf("struct<d1:bigint,d2:bigint,fp:bigint,sketch:binary,bands:array<bigint>>")
+    @F.arrow_udf("struct<d1:bigint,d2:bigint,fp:bigint,sketch:binary,bands:array<bigint>,bits:binary,common:array<struct<key:bigint,n:int>>>")
     def run(texts: pa.Array) -> pa.Array:
-        made: dict[str, list] = {"d1": [], "d2": [], "fp": [], "sketch": [], "bands": []}
+        made: dict[str, list] = {"d1": [], "d2": [], "fp": [], "sketch": [], "bands": [], "bits": []}
+        sets: dict[bytes, np.ndarray] = {}
+        common: list[dict] = []
+        held = 0
         for x in texts.cast(pa.binary()):
             data = x.as_buffer().to_pybytes() if x.is_valid else b""
             digest = hashlib.blake2b(b" ".join(data.lower().split()), digest_size=16).digest()
             hashes = shingles(data, width)
             least = min_hashes(hashes) if len(hashes) else None
+            own = np.unique(hashes)
+            made["bits"].append(None if least is None else parity(own))
+            if digest not in sets:
+                sets[digest] = own
+                held += len(own)
+                if held >= CHUNK:
+                    common += frequent(sets)
+                    sets, held = {}, 0
             made["d1"].append(int.from_bytes(digest[:8], "little", signed=True))
             made["d2"].append(int.from_bytes(digest[8:], "little", signed=True))
             made["fp"].append(None if least is None else _SIGNED(fingerprint(hashes)))
             made["sketch"].append(None if least is None else (least & np.uint64(255)).astype(np.uint8).tobytes())
             made["bands"].append([] if least is None else [_SIGNED(xxhash.xxh64_intdigest(least[i * ROWS : (i + 1) * ROWS].tobytes(), i)) for i in range(BANDS)])
-        kinds = {"d1": pa.int64(), "d2": pa.int64(), "fp": pa.int64(), "sketch": pa.binary(), "bands": pa.list_(pa.int64())}
+        common += frequent(sets)
+        made["common"] = [common if i == 0 else [] for i in range(len(texts))]
+        kinds = {"d1": pa.int64(), "d2": pa.int64(), "fp": pa.int64(), "sketch": pa.binary(), "bands": pa.list_(pa.int64()), "bits": pa.binary(), "common": pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int32())]))}
         return pa.StructArray.from_arrays([pa.array(made[k], kind) for k, kind in kinds.items()], list(kinds))
 
     return run(text)
@@ -184,26 +247,176 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, least: tupl
     return both.mapInArrow(run, "a string, b string")
 
 
+def _fronts(common: np.ndarray, rank: np.ndarray, width: int, least: tuple[int, int]):
+    """Texts -> their first shingles (key, d1, d2, n): n is the text's number of shingles,
+    negative where only larger texts look for the key."""
+
+    def run(batches):
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            rows = 0
+            for x in batch.column(0).cast(pa.binary()):
+                data = x.as_buffer().to_pybytes() if x.is_valid else b""
+                own = ordered(np.unique(shingles(data, width)), common, rank)
+                if not len(own):
+                    continue
+                digest = np.frombuffer(hashlib.blake2b(b" ".join(data.lower().split()), digest_size=16).digest(), "<i8")
+                larger, smaller = prefixes(len(own), least)
+                sizes = np.full(larger, -len(own), np.int64)
+                sizes[:smaller] = len(own)
+                for kind, values in zip(out, (own[:larger].view(np.int64), np.full(larger, digest[0]), np.full(larger, digest[1]), sizes), strict=True):
+                    kind.append(values)
+                rows += larger
+                if rows >= CHUNK:
+                    yield _numbers(out)
+                    out, rows = [[], [], [], []], 0
+            yield _numbers(out)
+
+    return run
+
+
+def _numbers(out: list[list[np.ndarray]]) -> pa.RecordBatch:
+    return pa.record_batch({k: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)) for k, v in zip(("key", "d1", "d2", "n"), out, strict=True)})
+
+
+def _shared(batches):
+    """Of rows sorted by their first column those that share it with another."""
+    held, shares = None, False
+    for batch in batches:
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not rows.num_rows:
+            continue
+        keys = rows.column(0).to_numpy()
+        same = keys[1:] == keys[:-1]
+        keep = np.concatenate((same, [False])) | np.concatenate(([shares], same))
+        held, shares = rows.slice(len(keys) - 1), bool(keep[-1])
+        yield rows.slice(0, len(keys) - 1).filter(pa.array(keep[:-1], pa.bool_()))
+    if shares:
+        yield held
+
+
+def _crossed(least: tuple[int, int]):
+    """Rows (key, i, j, part, id, n, root, bits) sorted by key, i and j -> pairs of texts of
+    different roots that may be similar (a, b, ra, rb, apart), apart being their differing bits."""
+    share, of = least
+
+    def met(rows: list[tuple], out: dict[str, list]) -> None:
+        across = rows[0][1] != rows[0][2]
+        ids, part = [r[4] for r in rows], np.array([r[3] for r in rows])
+        n = np.array([r[5] for r in rows], np.int64)
+        small, size = n > 0, np.abs(n)
+        names = [r[6] for r in rows]
+        root = np.unique(names, return_inverse=True)[1]
+        bits = np.frombuffer(b"".join(r[7] for r in rows), np.uint64).reshape(len(rows), -1)
+        for x in range(len(rows) - 1):
+            low, high = np.minimum(size[x + 1 :], size[x]), np.maximum(size[x + 1 :], size[x])
+            fits = (root[x + 1 :] != root[x]) & (of * low >= share * high) & np.where(size[x + 1 :] < size[x], small[x + 1 :], small[x])
+            if across:
+                fits &= part[x + 1 :] != part[x]
+            near = x + 1 + np.flatnonzero(fits)
+            if not len(near):
+                continue
+            apart = np.bitwise_count(bits[near] ^ bits[x]).sum(1, dtype=np.int64)
+            fine = apart * (of + share) <= (size[near] + size[x]) * (of - share)
+            for y, d in zip(near[fine].tolist(), apart[fine].tolist(), strict=True):
+                a, b = (x, y) if ids[x] > ids[y] else (y, x)
+                for k, v in zip(out, (ids[a], ids[b], names[a], names[b], d), strict=True):
+                    out[k].append(v)
+
+    def run(batches):
+        group, rows = None, []
+        for batch in batches:
+            out: dict[str, list] = {"a": [], "b": [], "ra": [], "rb": [], "apart": []}
+            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                if row[:3] != group:
+                    if len(rows) > 1:
+                        met(rows, out)
+                    group, rows = row[:3], []
+                rows.append(row)
+            yield _pairs(out)
+        if len(rows) > 1:
+            out = {"a": [], "b": [], "ra": [], "rb": [], "apart": []}
+            met(rows, out)
+            yield _pairs(out)
+
+    return run
+
+
+def _pairs(out: dict[str, list]) -> pa.RecordBatch:
+    return pa.record_batch({k: pa.array(v, pa.int64() if k == "apart" else pa.string()) for k, v in out.items()})
+
+
+def between(of: DataFrame, docs: DataFrame, skipped: DataFrame, common: DataFrame, width: int = WIDTH, least: tuple[int, int] = SIMILAR) -> DataFrame:
+    """All pairs (a, b, ra, rb, apart) of distinct texts (id, root, bits) of different roots that
+    may be similar; none that is gets lost.  ``docs`` (doc_id, h, text) without the rows
+    ``skipped`` (doc_id, h) has each text once or more; common (key, n): shingles that come last."""
+    last = common.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).toPandas()
+    keys, sums = last["key"].to_numpy(np.int64).view(np.uint64), last["n"].to_numpy(np.int64)
+    rank = np.argsort(np.lexsort((keys, sums)))
+    by_key = np.argsort(keys)
+    skip = skipped.toDF("no_id", "no_h")
+    texts = docs.join(skip, docs["doc_id"].eqNullSafe(skip["no_id"]) & (docs["h"] == skip["no_h"]), "left_anti").select("text")
+    fronts = texts.mapInArrow(_fronts(keys[by_key], rank[by_key], width, least), "key bigint, d1 bigint, d2 bigint, n bigint")
+    shared = fronts.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key bigint, d1 bigint, d2 bigint, n bigint")
+    shared = stored(shared.select("key", F.concat(*[F.lpad(F.hex(d), 16, "0") for d in ("d1", "d2")]).alias("id"), "n"), "fronts")
+    tagged = stored(shared.join(of.select("id", "root"), "id"), "tagged")
+    mixed = tagged.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("one"), F.max("root").alias("other"), F.max("n").alias("most"))
+    mixed = mixed.filter("one <> other and most > 0").select("key", F.ceil(F.col("rows") / BLOCK).alias("parts"))
+    held = tagged.join(mixed, "key").join(of.select("id", "bits"), "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    held = held.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    held = held.select("key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id", "n", "root", "bits")
+    met = held.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossed(least), "a string, b string, ra string, rb string, apart bigint")
+    made = stored(met.distinct(), "between")
+    dropped(shared, tagged)
+    return made
+
+
+def _texts(pairs: DataFrame, distinct: DataFrame, docs: DataFrame) -> DataFrame:
+    """id and text of what the pairs name."""
+    need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    owners = distinct.join(need, "id", "left_semi").select("id", F.col("best.doc_id").alias("own"), F.col("best.h").alias("own_h"))
+    found = docs.join(owners, (docs["h"] == F.col("own_h")) & docs["doc_id"].eqNullSafe(F.col("own"))).select("id", "text")
+    return stored(found.dropDuplicates(["id"]), "texts")
+
+
+def _joined(of: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """Texts (id, root and others) with the roots that links between roots (a, b) leave."""
+    roots = components(links).toDF("root", "least")
+    return stored(of.join(roots, "root", "left").withColumn("root", F.coalesce("least", "root")).drop("least"), name)
+
+
 def grouped(rows: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """id and root of every distinct text of ``rows`` (doc_id, h, id, fp, sketch, bands) with
+    """id and root of every distinct text of ``rows`` (doc_id, h and what ``signs`` says) with
     best (the first row: none, doc_id, h) and n, its rows.  ``docs``: doc_id, h, text."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("best")
-    distinct = stored(rows.groupBy("id").agg(first, F.count(F.lit(1)).alias("n"), *[F.any_value(k).alias(k) for k in ("fp", "sketch", "bands")]), "distinct")
+    distinct = stored(rows.groupBy("id").agg(first, F.count(F.lit(1)).alias("n"), *[F.any_value(k).alias(k) for k in ("fp", "sketch", "bands", "bits")]), "distinct")
     pairs = meetings(distinct)
-    need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    owners = distinct.join(need, "id", "left_semi").select("id", F.col("best.doc_id").alias("own"), F.col("best.h").alias("own_h"))
-    found = docs.join(owners, (docs["h"] == F.col("own_h")) & docs["doc_id"].eqNullSafe(F.col("own"))).select("id", "text")
-    texts = stored(found.dropDuplicates(["id"]), "texts")
-    roots = components(verified(pairs, texts, width)).toDF("id", "root")
-    made = stored(distinct.select("id", "best", "n").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "groups")
-    dropped(pairs, texts, distinct)
-    return made
+    texts = _texts(pairs, distinct, docs)
+    own = distinct.select("id", "best", "n", "bits", F.col("id").alias("root"))
+    of = _joined(own, verified(pairs, texts, width), "groups")
+    dropped(pairs, texts)
+    copies = rows.join(distinct.filter("n > 1").select("id", F.col("best.doc_id").alias("own"), F.col("best.h").alias("own_h")), "id")
+    skipped = copies.filter(~(F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("h") == F.col("own_h")))).select("doc_id", "h").distinct()
+    more = between(of, docs, skipped, rows.select(F.explode("common").alias("c")).select("c.*"), width)
+    if more.head(1):
+        texts = _texts(more, distinct, docs)
+        # one pair of each two groups, and then all whose groups are still apart
+        likely = more.groupBy("ra", "rb").agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("p")).select("ra", "rb", "p.a", "p.b")
+        likely = stored(likely, "likely")
+        of = _joined(of, verified(likely, texts, width).join(likely, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b")), "groups")
+        now = lambda side: of.select(F.col("id").alias(side), F.col("root").alias(f"now_{side}"))
+        rest = stored(more.join(likely, ["a", "b"], "left_anti").join(now("a"), "a").join(now("b"), "b").filter("now_a <> now_b").select("a", "b", "now_a", "now_b"), "rest")
+        if rest.head(1):
+            of = _joined(of, verified(rest.select("a", "b"), texts, width).join(rest, ["a", "b"]).select(F.col("now_a").alias("a"), F.col("now_b").alias("b")), "groups")
+        dropped(texts, likely, rest)
+    dropped(more, distinct)
+    return of
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row of each group of near copies among ``docs`` (doc_id, text and others)."""
     own = chosen(docs, doc_id="doc_id", text="text").select("doc_id", F.xxhash64("text").alias("h"), "text")
-    rows = stored(own.select("doc_id", "h", signs(F.col("text"), width).alias("s")).select("doc_id", "h", F.concat(*[F.lpad(F.hex(f"s.{d}"), 16, "0") for d in ("d1", "d2")]).alias("id"), "s.fp", "s.sketch", "s.bands"), "signs")
+    rows = stored(own.select("doc_id", "h", signs(F.col("text"), width).alias("s")).select("doc_id", "h", F.concat(*[F.lpad(F.hex(f"s.{d}"), 16, "0") for d in ("d1", "d2")]).alias("id"), "s.fp", "s.sketch", "s.bands", "s.bits", "s.common"), "signs")
     best = grouped(rows, own, width).groupBy("root").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
     best = stored(best.select(F.col("best.doc_id").alias("marl_id"), F.col("best.h").alias("marl_h"), (F.col("n") > 1).alias("marl_many")), "best")
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("marl_row"), docs["doc_id"].alias("marl_id0"), F.xxhash64(docs["text"]).alias("marl_h0"))

@@ -76,6 +76,74 @@ def test_large_groups_meet_through_their_leaders(spark, monkeypatch):
     assert kept == sorted(set(slow_groups([(r[0], r[1]) for r in rows])))
 
 
+def near_limit(rng, groups):
+    """Short and long texts with copies whose similarities lie just around 0.8."""
+    rows = []
+    for k in range(groups):
+        words = [f"g{k}w{i}" for i in range(rng.choice([9, 13, 20, 40, 80, 160]))]
+        rows.append(" ".join(words))
+        for _ in range(rng.randrange(1, 4)):
+            n = len(words) - 4  # shingles; one that goes at an end takes one with it
+            rows.append(" ".join(words[: len(words) - rng.randrange(1, max(2, n // 4))] if rng.random() < 0.5 else edited(rng, words, rng.choice([0.01, 0.02, 0.03]))))
+    return rows
+
+
+def test_no_group_is_split(spark):
+    """Pairs just above 0.8 that no band or leader brings together are links too."""
+    rng = random.Random(5)
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(near_limit(rng, 1200))]
+    want = sorted({w for w in slow_by_key(rows)})
+    assert sorted(r["doc_id"] for r in neardup.keep_one(frame(spark, rows)).collect()) == want
+
+
+def slow_by_key(rows):
+    """As ``slow_groups``; rows are compared with those that share a shingle."""
+    near: dict = {}
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    sets = [grams(r[1]) for r in rows]
+    for i, own in enumerate(sets):
+        for j in {j for g in own for j in near.get(g, ())}:
+            both = len(own & sets[j])
+            if 5 * both >= 4 * (len(own) + len(sets[j]) - both):
+                up[max(root(i), root(j))] = min(root(i), root(j))
+        for g in own:
+            near.setdefault(g, []).append(i)
+    return [rows[root(i)][0] for i in range(len(rows))]
+
+
+def test_shared_shingles_alone_find_all(spark, monkeypatch):
+    """Without bands, with blocks of a few texts, and with a passage that all texts have."""
+    monkeypatch.setattr(neardup, "MEET", neardup.BINS + 1)
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rng = random.Random(6)
+    common = " ".join(f"c{i}" for i in range(30))
+    texts = near_limit(rng, 60) + [f"{common} {t}" for t in near_limit(rng, 40)]
+    words = [f"x{i}" for i in range(120)]
+    texts += [" ".join(edited(rng, words, 0.02)) for _ in range(40)] + [texts[0]] * 3 + ["", None]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    want = sorted(set(slow_groups([(r[0], r[1]) for r in rows])))
+    assert sorted(r["doc_id"] for r in neardup.keep_one(frame(spark, rows)).collect()) == want
+
+
+def test_prefixes_and_bitmaps():
+    rng = random.Random(7)
+    for n in range(1, 200):
+        larger, smaller = neardup.prefixes(n)
+        assert 1 <= smaller <= larger <= n
+    import numpy as np
+
+    a = np.array(sorted(rng.randrange(1 << 63) for _ in range(300)), np.uint64)
+    b = np.concatenate((a[:280], np.array([rng.randrange(1 << 63) for _ in range(15)], np.uint64)))
+    x, y = (int.from_bytes(neardup.parity(v), "big") for v in (a, b))
+    assert 0 < (x ^ y).bit_count() <= 35
+
+
 def test_bins():
     hashes = neardup.shingles(b"a b c d e f g h")
     least = neardup.min_hashes(hashes)
