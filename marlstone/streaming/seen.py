@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,27 +18,30 @@ def state_in_rocks(spark) -> None:
 
 
 class _First(StatefulProcessor):
-    """State of a key: that it was seen.  Of a batch's rows the smallest is the first."""
+    """State of a key: that it was seen.  Of a batch's rows the smallest is the first.  Rows
+    come as they are: a frame for each key would cost more than all the rest."""
 
-    def __init__(self, order: list[str], flag: str):
-        self.order, self.flag = order, flag
+    def __init__(self, order: list[str], columns: list[str]):
+        self.order, self.made = order, Row(*columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        known, best = self.seen.exists(), None
-        for frame in rows:  # one at a time: a key may have any number of rows
-            frame = frame.assign(**{self.flag: False})
-            if not known:
-                own = frame.sort_values(self.order, kind="stable")
-                frame = own if best is None else pd.concat([best, own]).sort_values(self.order, kind="stable")
-                best, frame = frame.iloc[:1], frame.iloc[1:]
-            if len(frame):
-                yield frame
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
+        if self.seen.exists():
+            for row in rows:
+                yield self.made(*row, False)
+            return
+        best = None
+        for row in rows:  # one at a time: a key may have any number of rows
+            place = tuple((row[k] is None, row[k]) for k in self.order)
+            if best is None or place < best[0]:
+                row, best = None if best is None else best[1], (place, row)
+            if row is not None:
+                yield self.made(*row, False)
         if best is not None:
             self.seen.update((True,))
-            yield best.assign(**{self.flag: True})
+            yield self.made(*best[1], True)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802
         self.seen.update((True,))
@@ -56,4 +58,4 @@ def with_first(stream: DataFrame, key: str, order: list[str], known: DataFrame |
     state_in_rocks(stream.sparkSession)
     out = T.StructType([*stream.schema.fields, T.StructField(flag, T.BooleanType())])
     start = stream.sparkSession.createDataFrame([], T.StructType([stream.schema[key]])) if known is None else known.select(key)
-    return stream.groupBy(key).transformWithStateInPandas(_First(order, flag), out, "append", "None", initialState=start.groupBy(key))
+    return stream.groupBy(key).transformWithState(_First(order, out.names), out, "append", "None", initialState=start.groupBy(key))

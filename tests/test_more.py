@@ -125,3 +125,20 @@ def test_slots_keep_the_rate_of_all_tasks():
     assert all(b - a > 0.4999 for a, b in zip(times, times[1:])) and len(times) == 80
     free = providers.Slots(0.0, clock=lambda: 1 / 0)
     free.wait()
+
+
+def test_first_of_a_key_takes_rows_as_they_are():
+    """No frame is made for a key: its rows pass, and the smallest, nulls last, is the first."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    from marlstone.streaming.seen import _First
+
+    seen: list = []
+    made = _First(["n"], ["n", "url", "new"])
+    made.seen = SimpleNamespace(exists=lambda: bool(seen), update=seen.append)
+    rows = [Row(n=n, url="u") for n in (None, 3, 1, 2, 1)]
+    got = [tuple(r) for r in made.handleInputRows(("u",), iter(rows), None)]
+    assert sorted(got, key=repr) == sorted([(None, "u", False), (3, "u", False), (1, "u", True), (2, "u", False), (1, "u", False)], key=repr)
+    assert [tuple(r) for r in made.handleInputRows(("u",), iter(rows[:1]), None)] == [(None, "u", False)]
