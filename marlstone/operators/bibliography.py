@@ -30,7 +30,9 @@ def looked_up(dois: DataFrame, lookup: Callable[[str, int], dict | None], tries:
     (doi), each asked for once a round by ``lookup(doi, retry)``, on the executors.  Only what
     failed or had no answer goes on to the next round, ``gap`` seconds later; what ``tries``
     rounds don't bring is a dead letter with its last error.  Rounds are checkpoints, so a
-    lost executor repeats no other's requests."""
+    lost executor repeats no other's requests.  A round's requests are dealt to ``partitions``
+    tasks, by default as many as run at once: by their bytes they would go to one or two."""
+    spread = partitions or dois.sparkSession.sparkContext.defaultParallelism
     schema = pa.schema([("doi", pa.string()), ("answer", pa.string()), ("error", pa.string())])
     pending, works, dead = dois.select("doi").filter("doi is not null").distinct(), [], None
     for retry in range(tries):
@@ -50,7 +52,7 @@ def looked_up(dois: DataFrame, lookup: Callable[[str, int], dict | None], tries:
                     rows.append({"doi": doi, "answer": None if got is None else json.dumps(_plain(got)), "error": why if got is None else None})
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-        dealt = pending.repartition(partitions) if partitions else pending
+        dealt = pending.repartition(spread)
         got = cut(dealt.mapInArrow(ask, "doi string, answer string, error string"))
         works.append(got.filter("error is null").select("doi", F.from_json("answer", WORK).alias("work"), F.lit(retry + 1).alias("tries")))
         dead = got.filter("error is not null").select("doi", "error", F.lit(retry + 1).alias("tries"))

@@ -12,6 +12,7 @@ import zlib
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pa_fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -130,26 +131,35 @@ def search_hits(spark, sf_dir):
 class _Web:
     """A transport for either engine that answers from a table (url, status, body), which lies
     in the shared folder in parts by address: a request reads one part, and nothing of the
-    table goes through the driver or into a task's closure."""
+    table goes through the driver or into a task's closure.  Parts are as many as the table
+    needs to have some ``rows`` in each, so a request costs the same however large it is."""
 
-    parts = 16
+    rows = 512
 
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, parts: int):
+        self.folder, self.parts = folder, parts
 
     @classmethod
     def of(cls, rows: DataFrame) -> _Web:
-        folder = scratch(rows.sparkSession, "web")
-        rows.select("url", "status", "body", (F.crc32(F.encode("url", "UTF-8")) % cls.parts).cast("int").alias("part")).write.partitionBy("part").parquet(folder)
-        return cls(folder)
+        folder, rows = scratch(rows.sparkSession, "web"), cut(rows.select("url", "status", "body"))
+        parts = max(1, -(-rows.count() // cls.rows))
+        dealt = rows.withColumn("part", (F.crc32(F.encode("url", "UTF-8")) % parts).cast("int"))
+        dealt.repartition("part").write.partitionBy("part").parquet(folder)  # a part is one file
+        return cls(folder, parts)
 
     def __call__(self, url: str) -> tuple[int, str]:
         store, base = pa_fs.FileSystem.from_uri(self.folder) if ":" in self.folder else (pa_fs.LocalFileSystem(), self.folder)
         part = f"{base}/part={zlib.crc32(url.encode()) % self.parts}"
         if store.get_file_info(part).type == pa_fs.FileType.NotFound:
             return 404, ""
-        found = pq.read_table(part, filesystem=store, columns=["status", "body"], filters=[("url", "=", url)]).to_pylist()
-        return (found[0]["status"], found[0]["body"]) if found else (404, "")
+        for file in store.get_file_info(pa_fs.FileSelector(part)):
+            if file.base_name.endswith(".parquet"):
+                with store.open_input_file(file.path) as opened:
+                    held = pq.ParquetFile(opened).read(["url", "status", "body"], use_threads=False)
+                at = pc.index(held["url"], url).as_py()
+                if at >= 0:
+                    return held["status"][at].as_py(), held["body"][at].as_py()
+        return 404, ""
 
     def get(self, url: str, headers: dict) -> tuple[int, bytes]:
         status, body = self(url)

@@ -142,3 +142,22 @@ def test_first_of_a_key_takes_rows_as_they_are():
     got = [tuple(r) for r in made.handleInputRows(("u",), iter(rows), None)]
     assert sorted(got, key=repr) == sorted([(None, "u", False), (3, "u", False), (1, "u", True), (2, "u", False), (1, "u", False)], key=repr)
     assert [tuple(r) for r in made.handleInputRows(("u",), iter(rows[:1]), None)] == [(None, "u", False)]
+
+
+def test_a_request_reads_a_part_of_the_same_size(spark):
+    """Parts grow in number with the table; requests are dealt to all tasks, few as their bytes are."""
+    import os
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from marlstone.plans.round_trips import _Web
+
+    n = 20 * _Web.rows
+    web = _Web.of(spark.range(n).select(F.concat(F.lit("u"), "id").alias("url"), F.lit(200).alias("status"), F.col("id").cast("string").alias("body")))
+    files = [os.path.join(d, f) for d, _, fs in os.walk(web.folder.removeprefix("file:")) for f in fs if f.endswith(".parquet")]
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in files]
+    assert sum(sizes) == n and max(sizes) < 2 * _Web.rows
+    assert web("u7") == (200, "7") and web("none") == (404, "")
+    works, _ = bibliography.looked_up(spark.range(40).select(F.concat(F.lit("u"), "id").alias("doi")), lambda doi, retry: {"title": [str(os.getpid())]}, gap=0.0)
+    assert works.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and works.count() == 40
