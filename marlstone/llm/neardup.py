@@ -22,7 +22,10 @@ So far that is likely to find a pair, not sure to.  What two groups may still ha
 found exactly (``between``).  All shingles have one order, by hash, with the commonest ones last.
 Two sets of a similarity of 0.8 share a shingle among the first fifth of the larger one and the
 first ninth of the smaller one (prefix filter), so texts meet by those.  Only keys that texts of
-two groups share go on; of their pairs those go that differ in too many bits of a parity bitmap,
+two groups share go on.  If both prefixes are longer by a twentieth of their texts, similar texts
+share as much more in them: a text with fewer keys that another group has too is like none of it
+(``needed``), so texts that have no more than some passages in common never meet, however many do.
+Of the pairs of the others those go that differ in too many bits of a parity bitmap,
 as each differing bit is a differing shingle.  The rest is verified: first one pair of each two
 groups, then all pairs whose groups are still apart.  A key of more than ``BLOCK`` texts is
 worked through in pairs of blocks.  Which shingles count as common changes the cost alone.
@@ -57,6 +60,8 @@ MEET, SAME = 83, 115
 PART = 4096
 #: Bits of a parity bitmap; texts of a key in one block, about.
 BITS, BLOCK = 1024, 2048
+#: A text is counted by one in so many of its shingles beyond its prefix.
+SLACK = 20
 #: Texts of an Arrow batch in which a shingle is common, and how many such are told by a batch and kept in all.
 OFTEN, TOLD, COMMON = 8, 4096, 65_536
 #: Shingles that a task holds at once, about.
@@ -65,17 +70,19 @@ _EMPTY = np.uint64(2**64 - 1)
 
 
 def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
-    """The hashes of a text's shingles, repeats included."""
+    """The hashes of a text's shingles, repeats included: each word's XXH64 times an odd number
+    for its place, added up and mixed."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[:-1]))
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     n = max(1, len(words) - width + 1)
-    last = (ends[width - 1 :] if len(words) >= width else ends[-1:]) - 1
-    hashed = xxhash.xxh64_intdigest
-    return np.array([hashed(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)], np.uint64)
+    made = np.zeros(n, np.uint64)
+    for i in range(min(width, len(words))):
+        made += hashed[i : i + n] * np.uint64(xxhash.xxh64_intdigest(b"%d" % i, SEED) | 1)
+    made ^= made >> np.uint64(32)
+    made *= np.uint64(0xBF58476D1CE4E5B9)
+    return made ^ made >> np.uint64(29)
 
 
 def min_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -93,7 +100,7 @@ def min_hashes(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(hashes: np.ndarray) -> int:
-    """Operator 5's fingerprint of these shingles."""
+    """The fingerprint of these shingles, as operator 5 makes it."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65_536):
         counts += np.unpackbits(hashes[at : at + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -102,7 +109,11 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 def similar(a: bytes, b: bytes, width: int = WIDTH, least: tuple[int, int] = SIMILAR) -> bool:
     """Whether two texts' sets of shingles are as similar as that."""
-    x, y = np.unique(shingles(a, width)), np.unique(shingles(b, width))
+    return matching(np.unique(shingles(a, width)), np.unique(shingles(b, width)), least)
+
+
+def matching(x: np.ndarray, y: np.ndarray, least: tuple[int, int] = SIMILAR) -> bool:
+    """Whether two sets are as similar as that."""
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both * least[1] >= (len(x) + len(y) - both) * least[0]
 
@@ -130,6 +141,21 @@ def prefixes(n: int, least: tuple[int, int] = SIMILAR) -> tuple[int, int]:
     return n + 1 + -n * part // of, n + 1 + -2 * n * part // (part + of)
 
 
+def slack(n: int) -> int:
+    """By how many shingles more than its prefix a text is counted."""
+    return n // SLACK
+
+
+def needed(n: int, least: tuple[int, int] = SIMILAR) -> int:
+    """How many of its counted shingles a text of n shares at least with any similar one.  Let
+    that be of m <= n, so that they share 4/9 (n + m) in all, which is no less than 4/5 n and
+    8/9 m.  Whichever counted part ends first, all that both have up to there is in both
+    parts, and after it come no more than 4/5 of its text less 1 and the slack.  So the parts
+    share 1 + slack(m) or more, and m is 4/5 n at least."""
+    part, of = least
+    return 1 + slack(-(-n * part // of))
+
+
 def frequent(sets: dict[bytes, np.ndarray]) -> list[dict]:
     """The shingles that many of these sets have, with the number of those."""
     if not sets:
@@ -237,9 +263,14 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, least: tupl
     """The pairs (a, b) whose texts (id, text) are similar."""
 
     def run(batches):
+        name, own = None, None  # rows come by b, whose shingles are worked out once
         for batch in batches:
             a, b, x, y = (batch.column(i) for i in range(4))
-            keep = [similar((p.as_py() or "").encode(), (q.as_py() or "").encode(), width, least) for p, q in zip(x, y, strict=True)]
+            keep = []
+            for p, q, now in zip(x, y, b.to_pylist(), strict=True):
+                if now != name:
+                    name, own = now, np.unique(shingles((q.as_py() or "").encode(), width))
+                keep.append(matching(np.unique(shingles((p.as_py() or "").encode(), width)), own, least))
             yield pa.record_batch({"a": a.filter(pa.array(keep, pa.bool_())), "b": b.filter(pa.array(keep, pa.bool_()))})
 
     one = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")).hint("merge"), "a")
@@ -248,12 +279,13 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, least: tupl
 
 
 def _fronts(common: np.ndarray, rank: np.ndarray, width: int, least: tuple[int, int]):
-    """Texts -> their first shingles (key, d1, d2, n): n is the text's number of shingles,
-    negative where only larger texts look for the key."""
+    """Texts -> their first shingles (key, d1, d2, n, level): n is the text's number of shingles;
+    keys of level 0 are looked for by all texts, of level 1 by no larger ones, of level 2 by none
+    (they are counted)."""
 
     def run(batches):
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             rows = 0
             for x in batch.column(0).cast(pa.binary()):
                 data = x.as_buffer().to_pybytes() if x.is_valid else b""
@@ -262,21 +294,24 @@ def _fronts(common: np.ndarray, rank: np.ndarray, width: int, least: tuple[int,
                     continue
                 digest = np.frombuffer(hashlib.blake2b(b" ".join(data.lower().split()), digest_size=16).digest(), "<i8")
                 larger, smaller = prefixes(len(own), least)
-                sizes = np.full(larger, -len(own), np.int64)
-                sizes[:smaller] = len(own)
-                for kind, values in zip(out, (own[:larger].view(np.int64), np.full(larger, digest[0]), np.full(larger, digest[1]), sizes), strict=True):
+                n = larger + slack(len(own))
+                level = np.full(n, 2, np.int8)
+                level[:larger] = 1
+                level[:smaller] = 0
+                for kind, values in zip(out, (own[:n].view(np.int64), np.full(n, digest[0]), np.full(n, digest[1]), np.full(n, len(own)), level), strict=True):
                     kind.append(values)
-                rows += larger
+                rows += n
                 if rows >= CHUNK:
                     yield _numbers(out)
-                    out, rows = [[], [], [], []], 0
+                    out, rows = [[], [], [], [], []], 0
             yield _numbers(out)
 
     return run
 
 
 def _numbers(out: list[list[np.ndarray]]) -> pa.RecordBatch:
-    return pa.record_batch({k: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)) for k, v in zip(("key", "d1", "d2", "n"), out, strict=True)})
+    kinds = {"key": np.int64, "d1": np.int64, "d2": np.int64, "n": np.int64, "level": np.int8}
+    return pa.record_batch({k: pa.array(np.concatenate(v) if v else np.zeros(0, kinds[k])) for k, v in zip(kinds, out, strict=True)})
 
 
 def _shared(batches):
@@ -296,48 +331,53 @@ def _shared(batches):
 
 
 def _crossed(least: tuple[int, int]):
-    """Rows (key, i, j, part, id, n, root, bits) sorted by key, i and j -> pairs of texts of
+    """Rows (key, i, j, part, id, n, level, root, bits) sorted by key, i and j -> pairs of texts of
     different roots that may be similar (a, b, ra, rb, apart), apart being their differing bits."""
     share, of = least
 
-    def met(rows: list[tuple], out: dict[str, list]) -> None:
-        across = rows[0][1] != rows[0][2]
-        ids, part = [r[4] for r in rows], np.array([r[3] for r in rows])
-        n = np.array([r[5] for r in rows], np.int64)
-        small, size = n > 0, np.abs(n)
-        names = [r[6] for r in rows]
-        root = np.unique(names, return_inverse=True)[1]
-        bits = np.frombuffer(b"".join(r[7] for r in rows), np.uint64).reshape(len(rows), -1)
-        for x in range(len(rows) - 1):
-            low, high = np.minimum(size[x + 1 :], size[x]), np.maximum(size[x + 1 :], size[x])
-            fits = (root[x + 1 :] != root[x]) & (of * low >= share * high) & np.where(size[x + 1 :] < size[x], small[x + 1 :], small[x])
-            if across:
-                fits &= part[x + 1 :] != part[x]
-            near = x + 1 + np.flatnonzero(fits)
-            if not len(near):
-                continue
-            apart = np.bitwise_count(bits[near] ^ bits[x]).sum(1, dtype=np.int64)
-            fine = apart * (of + share) <= (size[near] + size[x]) * (of - share)
-            for y, d in zip(near[fine].tolist(), apart[fine].tolist(), strict=True):
-                a, b = (x, y) if ids[x] > ids[y] else (y, x)
-                for k, v in zip(out, (ids[a], ids[b], names[a], names[b], d), strict=True):
-                    out[k].append(v)
+    def met(rows: pa.RecordBatch) -> pa.RecordBatch:
+        """Whole groups; each row with the one that comes d later, for all d at once."""
+        key, i, j, part, size, level = (rows.column(c).to_numpy() for c in ("key", "i", "j", "part", "n", "level"))
+        group = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+        root = rows.column("root").dictionary_encode().indices.to_numpy()
+        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(key), -1)
+        found, d, x = [], 1, np.flatnonzero(group[1:] == group[:-1])
+        while len(x):
+            y = x + d
+            low, high = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+            fits = (root[x] != root[y]) & (of * low >= share * high) & (np.where(size[y] < size[x], level[y], level[x]) == 0) & ((i[x] == j[x]) | (part[x] != part[y]))
+            p, q = x[fits], y[fits]
+            apart = np.bitwise_count(bits[p] ^ bits[q]).sum(1, dtype=np.int64)
+            fine = apart * (of + share) <= (size[p] + size[q]) * (of - share)
+            found.append((p[fine], q[fine], apart[fine]))
+            d += 1
+            x = x[x + d < len(key)]
+            x = x[group[x + d] == group[x]]
+        p, q, apart = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        ids, names = rows.column("id").to_pylist(), rows.column("root").to_pylist()
+        out: dict[str, list] = {"a": [], "b": [], "ra": [], "rb": [], "apart": apart.tolist()}
+        for x, y in zip(p.tolist(), q.tolist(), strict=True):
+            one, other = (x, y) if ids[x] > ids[y] else (y, x)
+            for k, v in zip(out, (ids[one], ids[other], names[one], names[other]), strict=False):
+                out[k].append(v)
+        return _pairs(out)
 
     def run(batches):
-        group, rows = None, []
+        held = None  # the last group, which may go on
         for batch in batches:
-            out: dict[str, list] = {"a": [], "b": [], "ra": [], "rb": [], "apart": []}
-            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
-                if row[:3] != group:
-                    if len(rows) > 1:
-                        met(rows, out)
-                    group, rows = row[:3], []
-                rows.append(row)
-            yield _pairs(out)
-        if len(rows) > 1:
-            out = {"a": [], "b": [], "ra": [], "rb": [], "apart": []}
-            met(rows, out)
-            yield _pairs(out)
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if not rows.num_rows:
+                continue
+            same = np.ones(rows.num_rows, bool)
+            for c in ("key", "i", "j"):
+                values = rows.column(c).to_numpy()
+                same &= values == values[-1]
+            cut = int(same.argmax())
+            held = rows.slice(cut)
+            if cut:
+                yield met(rows.slice(0, cut))
+        if held is not None:
+            yield met(held)
 
     return run
 
@@ -346,6 +386,11 @@ def _pairs(out: dict[str, list]) -> pa.RecordBatch:
     return pa.record_batch({k: pa.array(v, pa.int64() if k == "apart" else pa.string()) for k, v in out.items()})
 
 
+def _needed(n: Column, least: tuple[int, int]) -> Column:
+    """``needed`` as a column."""
+    return 1 + F.floor(F.ceil(n * least[0] / least[1]) / SLACK)
+
+
 def between(of: DataFrame, docs: DataFrame, skipped: DataFrame, common: DataFrame, width: int = WIDTH, least: tuple[int, int] = SIMILAR) -> DataFrame:
     """All pairs (a, b, ra, rb, apart) of distinct texts (id, root, bits) of different roots that
     may be similar; none that is gets lost.  ``docs`` (doc_id, h, text) without the rows
@@ -356,18 +401,22 @@ def between(of: DataFrame, docs: DataFrame, skipped: DataFrame, common: DataFram
     by_key = np.argsort(keys)
     skip = skipped.toDF("no_id", "no_h")
     texts = docs.join(skip, docs["doc_id"].eqNullSafe(skip["no_id"]) & (docs["h"] == skip["no_h"]), "left_anti").select("text")
-    fronts = texts.mapInArrow(_fronts(keys[by_key], rank[by_key], width, least), "key bigint, d1 bigint, d2 bigint, n bigint")
-    shared = fronts.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key bigint, d1 bigint, d2 bigint, n bigint")
-    shared = stored(shared.select("key", F.concat(*[F.lpad(F.hex(d), 16, "0") for d in ("d1", "d2")]).alias("id"), "n"), "fronts")
+    rows = "key bigint, d1 bigint, d2 bigint, n bigint, level tinyint"
+    fronts = texts.mapInArrow(_fronts(keys[by_key], rank[by_key], width, least), rows)
+    shared = fronts.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, rows)
+    shared = stored(shared.select("key", F.concat(*[F.lpad(F.hex(d), 16, "0") for d in ("d1", "d2")]).alias("id"), "n", "level"), "fronts")
     tagged = stored(shared.join(of.select("id", "root"), "id"), "tagged")
-    mixed = tagged.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("one"), F.max("root").alias("other"), F.max("n").alias("most"))
-    mixed = mixed.filter("one <> other and most > 0").select("key", F.ceil(F.col("rows") / BLOCK).alias("parts"))
-    held = tagged.join(mixed, "key").join(of.select("id", "bits"), "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    across = tagged.join(tagged.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one <> other").select("key"), "key")
+    enough = across.groupBy("id").agg(F.count(F.lit(1)).alias("keys"), F.any_value("n").alias("n")).filter(F.col("keys") >= _needed(F.col("n"), least)).select("id")
+    looked = stored(tagged.filter("level < 2").join(enough, "id"), "looked")
+    mixed = looked.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("one"), F.max("root").alias("other"), F.min("level").alias("level"))
+    mixed = mixed.filter("one <> other and level = 0").select("key", F.ceil(F.col("rows") / BLOCK).alias("parts"))
+    held = looked.join(mixed, "key").join(of.select("id", "bits"), "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     held = held.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    held = held.select("key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id", "n", "root", "bits")
+    held = held.select("key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id", "n", "level", "root", "bits")
     met = held.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossed(least), "a string, b string, ra string, rb string, apart bigint")
     made = stored(met.distinct(), "between")
-    dropped(shared, tagged)
+    dropped(shared, tagged, looked)
     return made
 
 

@@ -144,6 +144,39 @@ def test_prefixes_and_bitmaps():
     assert 0 < (x ^ y).bit_count() <= 35
 
 
+def test_counted_shingles():
+    """Sets that are just similar enough share as many counted shingles as each needs, in any order."""
+    rng, tight = random.Random(8), 0
+    counted = lambda n: neardup.prefixes(n)[0] + neardup.slack(n)
+    for _ in range(3000):
+        both = rng.randrange(1, 300)
+        x = list(range(both))
+        y = list(range(both))
+        for k in range(both // 4):  # 4/5 of the union is in both
+            (x, y)[rng.random() < rng.choice([0, 0.5, 1])].append(1000 + k)
+        order = rng.choice([lambda v: rng.random(), lambda v: v, lambda v: -v])
+        place = {v: order(v) for v in x + y}
+        x, y = (sorted(v, key=place.get) for v in (x, y))
+        shared = len(set(x[: counted(len(x))]) & set(y[: counted(len(y))]))
+        assert shared >= max(neardup.needed(len(x)), neardup.needed(len(y)))
+        tight += shared <= 2 + max(neardup.needed(len(x)), neardup.needed(len(y)))
+    assert tight > 100 and neardup.needed(1000) == 41
+
+
+def test_texts_that_share_passages_never_meet(spark, monkeypatch):
+    """Long texts with a passage in common aren't verified, two that are near copies are."""
+    pairs, real = [], neardup.verified
+    monkeypatch.setattr(neardup, "verified", lambda some, *more: pairs.append(some.count()) or real(some, *more))
+    passages = [" ".join(f"p{k}w{i}" for i in range(80)) for k in range(6)]
+    texts = [" ".join(f"t{k}w{i}" for i in range(3000)) + " " + passages[k // 6] for k in range(36)]
+    monkeypatch.setattr(neardup, "MEET", neardup.BINS + 1)  # so that bands find nothing
+    words = texts[0].split()
+    words[::100] = [f"new{i}" for i in range(len(words[::100]))]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate([*texts, " ".join(words)])]
+    assert sorted(r["doc_id"] for r in neardup.keep_one(frame(spark, rows)).collect()) == list(range(36))
+    assert sum(pairs) == 1
+
+
 def test_bins():
     hashes = neardup.shingles(b"a b c d e f g h")
     least = neardup.min_hashes(hashes)
